@@ -116,3 +116,58 @@ def wide_plays_from_events(events: DataFrame, part: DataFrame) -> DataFrame:
                          (F.col("p_size") > 25).alias("explicit"),
                          (F.col("p_size") * 2).alias("popularity"))
     return ev.join(tracks, "track_id", "inner")
+
+
+# ------------------------------------------------------------ staged inputs
+def item_values(events: DataFrame) -> DataFrame:
+    """Play records from ``events`` as ``topic, key, value`` text rows.
+
+    Damage injected for the decode checks (every row is kept): for
+    ``event_id % 20 = 0`` the value is not JSON, for ``event_id % 20 = 10`` the
+    ``song_id`` field is missing.
+    """
+    from ..functions.scalars import format_played_at
+    song = F.get_json_object("props", "$.k")
+    full = F.to_json(F.struct(
+        format_played_at("ts", micros=True).alias("played_at"), song.alias("song_id"),
+        F.col("event_type").alias("album_id"), F.col("user_id").cast("string").alias("artist_id"),
+        F.round(F.col("value") * 1000).cast("int").alias("duration_ms")))
+    no_key = F.to_json(F.struct(
+        format_played_at("ts", micros=True).alias("played_at"),
+        F.col("event_type").alias("album_id"), F.col("user_id").cast("string").alias("artist_id"),
+        F.round(F.col("value") * 1000).cast("int").alias("duration_ms")))
+    bucket = F.col("event_id") % 20
+    value = (F.when(bucket == 0, F.lit("not json"))
+             .when(bucket == 10, no_key).otherwise(full))
+    return events.select(F.lit("item_topic").alias("topic"), song.alias("key"),
+                         value.alias("value"))
+
+
+def catalog_with_gaps(part: DataFrame) -> DataFrame:
+    """Catalogue rows with ``track_name`` NULL where ``p_partkey % 10 = 0``."""
+    cat = catalog_from_part(part)
+    return cat.withColumn("track_name", F.when(
+        F.col("track_id").cast("long") % 10 == 0, F.lit(None)).otherwise(F.col("track_name")))
+
+
+def payload_documents(lineitem: DataFrame, part: DataFrame, supplier: DataFrame) -> DataFrame:
+    """One nested payload per order; items newest first, second artist ``guest``.
+
+    Each document's items come from one order, so a document's size is bounded
+    by the lines of one order.
+    """
+    from ..functions.scalars import format_played_at
+    lines = (lineitem
+             .join(part.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey")
+             .join(supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey"))
+    item = F.struct(
+        F.struct((-F.unix_micros(F.col("l_shipdate").cast("timestamp"))).alias("t"),
+                 "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").alias("_k"),
+        format_played_at("l_shipdate").alias("played_at"),
+        F.struct(F.col("p_name").alias("name"),
+                 F.array(F.struct(F.col("s_name").alias("name")),
+                         F.struct(F.lit("guest").alias("name"))).alias("artists")).alias("track"))
+    docs = lines.groupBy(F.col("l_orderkey").alias("payload_id")).agg(
+        F.sort_array(F.collect_list(item)).alias("_items"))
+    return docs.select("payload_id", F.transform("_items", lambda x: F.struct(
+        x["played_at"].alias("played_at"), x["track"].alias("track"))).alias("items"))

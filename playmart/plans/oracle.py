@@ -91,6 +91,145 @@ HEADLINE = (_with(FACT, SONG, f"ts AS ({_top_cte('song', 'song_id', 'song_name')
 FROM m""")
 
 
+# ------------------------------------------------------- decode fixtures
+BAD = "event_id % 20 = 0"
+NOKEY = "event_id % 20 = 10"
+ISO_MICRO = "'%Y-%m-%dT%H:%M:%S.%fZ'"
+ISO_SEC = "'%Y-%m-%dT%H:%M:%S.000Z'"
+
+DECODE = f"""SELECT CASE WHEN {BAD} THEN NULL ELSE strftime(ts, {ISO_MICRO}) END AS played_at,
+  CASE WHEN {BAD} OR {NOKEY} THEN NULL ELSE json_extract_string(props, '$.k') END AS song_id,
+  CASE WHEN {BAD} THEN NULL ELSE event_type END AS album_id,
+  CASE WHEN {BAD} THEN NULL ELSE CAST(user_id AS VARCHAR) END AS artist_id,
+  CASE WHEN {BAD} THEN NULL ELSE CAST(ROUND(value * 1000) AS INTEGER) END AS duration_ms
+FROM events"""
+
+PARSE = f"""SELECT CASE WHEN {BAD} THEN NULL ELSE ts END AS played_at,
+  CASE WHEN {BAD} OR {NOKEY} THEN NULL ELSE json_extract_string(props, '$.k') END AS song_id,
+  CASE WHEN {BAD} THEN NULL ELSE CAST(ROUND(value * 1000) AS INTEGER) END AS duration_ms
+FROM events"""
+
+QUARANTINE = f"""SELECT CASE WHEN {BAD} THEN 'malformed' WHEN {NOKEY} THEN 'null_key'
+  ELSE 'accepted' END AS status, COUNT(*) AS rows FROM events GROUP BY 1"""
+
+# --------------------------------------------------------------- catalogue
+ARTISTS_TEXT = "'[''' || p_brand || ''']'"
+CAT = f"""cat AS (SELECT CAST(p_partkey AS VARCHAR) AS track_id, p_name AS track_name,
+  {ARTISTS_TEXT} AS artists, p_type AS album_name, p_size * 10000 AS duration_ms,
+  p_size > 25 AS explicit, p_size * 2 AS popularity, p_partkey FROM part)"""
+
+CATALOG_SCAN = _with(CAT) + """SELECT track_id,
+  CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE track_name END AS track_name,
+  artists, album_name, duration_ms, explicit, popularity,
+  '2023-01-01' AS release_date, 10 AS track_number FROM cat"""
+
+CATALOG_COMPLETE = CATALOG_SCAN + " WHERE p_partkey % 10 <> 0"
+
+DEFAULTS = _with(CAT) + """SELECT track_id, duration_ms, explicit, popularity,
+  '2023-01-01' AS release_date, 10 AS track_number FROM cat"""
+
+STABLE_KEYS = _with(CAT) + """SELECT DISTINCT 'album' AS kind, album_name AS name,
+  'album_' || substr(md5(album_name), 1, 16) AS key FROM cat
+UNION
+SELECT DISTINCT 'artist' AS kind, artists AS name,
+  'artist_' || substr(md5(artists), 1, 16) AS key FROM cat"""
+
+STRIP = _with(CAT) + "SELECT track_id, trim(artists, '[]''') AS artist_name FROM cat"
+
+BOOL_LABEL = _with(CAT) + """SELECT track_id,
+  CASE WHEN explicit THEN 'True' ELSE 'False' END AS explicit_label FROM cat"""
+
+TRUNC = """SELECT event_id, CAST(trunc(value) AS INTEGER) AS value_int,
+  CAST(json_extract_string(props, '$.k') AS INTEGER) AS k_int,
+  TRY_CAST(event_type AS INTEGER) AS type_int FROM events"""
+
+FORMAT_TS = _with(FACT) + f"SELECT played_at, strftime(played_at, {ISO_SEC}) AS played_at_text FROM fact"
+
+# ----------------------------------------------------------------- fan-out
+WIDE = """w AS (SELECT cat.*, l.l_shipdate AS played_ts,
+  'album_' || substr(md5(album_name), 1, 16) AS album_id,
+  'artist_' || substr(md5(artists), 1, 16) AS artist_id
+  FROM lineitem l JOIN cat ON CAST(l.l_partkey AS VARCHAR) = cat.track_id)"""
+
+ARTIST_URL = "https://open.example.com/artist/"
+RECORD_SQL = {
+    "song_topic": ("track_id", """json_object('song_id', track_id, 'song_name', track_name,
+      'duration', duration_ms, 'explicit', CASE WHEN explicit THEN 'True' ELSE 'False' END,
+      'popularity', popularity)"""),
+    "album_topic": ("album_id", """json_object('album_id', album_id, 'album_name', album_name,
+      'album_type', 'album', 'release_date', '2023-01-01', 'total_tracks', 10)"""),
+    "artist_topic": ("artist_id", f"""json_object('artist_id', artist_id,
+      'artist_name', trim(artists, '[]'''), 'external_url', '{ARTIST_URL}' || artist_id)"""),
+    "item_topic": ("track_id", f"""json_object('played_at', strftime(played_ts, {ISO_SEC}),
+      'song_id', track_id, 'album_id', album_id, 'artist_id', artist_id,
+      'duration_ms', duration_ms)"""),
+}
+
+
+def topic_sql(topic: str, with_topic: bool) -> str:
+    key, val = RECORD_SQL[topic]
+    t = f"'{topic}' AS topic, " if with_topic else ""
+    return f"SELECT {t}{key} AS key, CAST({val} AS VARCHAR) AS value FROM w"
+
+
+ALL_TOPICS = "\nUNION ALL\n".join(topic_sql(t, True) for t in RECORD_SQL)
+FANOUT_ALL = _with(CAT, WIDE) + ALL_TOPICS
+ENCODE = (_with(CAT, WIDE, f"r AS ({ALL_TOPICS})") + """SELECT topic, hex(encode(key)) AS key_hex,
+  CAST(octet_length(encode(value)) AS INTEGER) AS value_bytes FROM r""")
+
+# ----------------------------------------------------------------- payload
+PAYLOAD_ROWS = f"""SELECT l_orderkey AS payload_id,
+  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber,
+    l_partkey, l_suppkey, l_quantity) AS INTEGER) AS pos,
+  p_name AS name, s_name AS artist, strftime(l_shipdate, {ISO_SEC}) AS played_at
+FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
+QUALIFY pos <= 50"""
+
+PAYLOAD_COUNTS = """SELECT l_orderkey AS payload_id, CAST(LEAST(COUNT(*), 50) AS INTEGER) AS count
+FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
+GROUP BY 1"""
+
+
+# ------------------------------------------------------------------ digest
+def _esc(x: str) -> str:
+    return (f"replace(replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'),"
+            f" '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')")
+
+
+def _lists(src: str) -> str:
+    order = "ORDER BY plays DESC, name ASC NULLS LAST"
+    return (f"SELECT COALESCE(string_agg(COALESCE(name, '') || ' (' || plays || ' plays)', ', '"
+            f" {order}), '') AS txt, COALESCE(string_agg('<li>' || {_esc('COALESCE(name, ' + chr(39) * 2 + ')')}"
+            f" || ' — ' || plays || ' plays</li>', '' {order}), '') AS li FROM {src}")
+
+
+DIGEST_BASE = _with(
+    FACT, SONG, ARTIST,
+    f"ts AS ({_top_cte('song', 'song_id', 'song_name')})",
+    f"ta AS ({_top_cte('artist', 'artist_id', 'artist_name')})",
+    f"m AS (SELECT CAST(COALESCE(SUM(duration_ms) // 60000, 0) AS BIGINT) AS mins"
+    f" FROM fact WHERE {window(7)})",
+    f"sl AS ({_lists('ts')})",
+    f"al AS ({_lists('ta')})",
+    """p AS (SELECT 'Write a short, upbeat weekly listening summary for one listener.' || chr(10)
+    || 'Listening in the past 7 days:' || chr(10)
+    || '- Total listening time: ' || m.mins || ' minutes' || chr(10)
+    || '- Top songs: ' || sl.txt || chr(10)
+    || '- Top artists: ' || al.txt || chr(10)
+    || 'Three paragraphs of prose, under 200 words.' AS prompt,
+    m.mins AS mins, sl.li AS sli, al.li AS ali FROM m, sl, al)""")
+
+DIGEST_PROMPT = DIGEST_BASE + "SELECT prompt FROM p"
+DIGEST_HTML = DIGEST_BASE + (
+    "SELECT '<html><body><h1>Your Weekly Listening</h1><p>' || replace(" + _esc("prompt")
+    + ", chr(10), '<br>') || '</p><h3>By the Numbers</h3>"
+    "<p><strong>Total listening time:</strong> ' || mins || ' minutes</p>"
+    "<h4>Top Songs</h4><ol>' || sli || '</ol><h4>Top Artists</h4><ol>' ||"
+    " ali || '</ol></body></html>' AS html FROM p")
+PREVIEW = DIGEST_BASE + "SELECT substr(prompt, 1, 200) || '...' AS preview FROM p"
+NL_BREAK = DIGEST_BASE + "SELECT replace(prompt, chr(10), '<br>') AS text_html FROM p"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "top_songs_week": top(SONG, "song", "song_id", "song_name", 5),
@@ -108,4 +247,32 @@ def oracle_sql() -> dict[str, str]:
         "latest_events": LATEST,
         "weekly_stats": STATS,
         "headline_top_song": HEADLINE,
+        "decode_json_records": DECODE,
+        "parse_played_at": PARSE,
+        "quarantine_bad_records": QUARANTINE,
+        "format_played_at": FORMAT_TS,
+        "bool_label": BOOL_LABEL,
+        "truncate_to_int": TRUNC,
+        "stable_keys": STABLE_KEYS,
+        "strip_char_set": STRIP,
+        "fanout_all_topics": FANOUT_ALL,
+        "fanout_song_records": _with(CAT, WIDE) + topic_sql("song_topic", False),
+        "fanout_album_records": _with(CAT, WIDE) + topic_sql("album_topic", False),
+        "fanout_artist_records": _with(CAT, WIDE) + topic_sql("artist_topic", False),
+        "fanout_play_records": _with(CAT, WIDE) + topic_sql("item_topic", False),
+        "encode_records": ENCODE,
+        "default_missing_columns": DEFAULTS,
+        "scan_csv_catalog": CATALOG_SCAN,
+        "drop_incomplete_rows": CATALOG_COMPLETE,
+        "flatten_nested_payload": PAYLOAD_ROWS,
+        "payload_counts": PAYLOAD_COUNTS,
+        "digest_prompt": DIGEST_PROMPT,
+        "digest_html": DIGEST_HTML,
+        "preview_text": PREVIEW,
+        "newline_to_break": NL_BREAK,
+        "filter_last_7_days": _with(FACT) + f"SELECT * FROM fact WHERE {window(7)}",
+        "filter_last_30_days": _with(FACT) + f"SELECT * FROM fact WHERE {window(30)}",
+        "scan_star_tables": _with(FACT) + "SELECT * FROM fact",
+        "join_fact_song": _with(FACT, SONG) + "SELECT * FROM fact JOIN song USING (song_id)",
+        "join_fact_artist": _with(FACT, ARTIST) + "SELECT * FROM fact JOIN artist USING (artist_id)",
     }

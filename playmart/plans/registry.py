@@ -120,3 +120,215 @@ def _q(spark, d):
 def _q(spark, d):
     s, a = _star_asof(spark, d)
     return R.headline_top_song(R.weekly_stats(s, a, n=5))
+
+
+# ------------------------------------------------- decode, quarantine, time
+from ..operators import decode as D  # noqa: E402
+from ..schemas import PLAY_RECORD, CATALOG_REQUIRED  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+
+def _items(spark, d):
+    return X.item_values(X.table(spark, d, "events"))
+
+
+@register("decode_json_records")
+def _q(spark, d):
+    return D.decode_records(_items(spark, d), PLAY_RECORD)
+
+
+@register("parse_played_at")
+def _q(spark, d):
+    rec = D.with_parsed_time(D.decode_records(_items(spark, d), PLAY_RECORD))
+    return rec.select(F.col("played_at").cast("timestamp_ntz").alias("played_at"),
+                      "song_id", "duration_ms")
+
+
+@register("quarantine_bad_records")
+def _q(spark, d):
+    rows = _items(spark, d)
+    # one parse, one aggregate: accepted and each reject reason counted together
+    parsed = D.classify(D.parse_values(rows, PLAY_RECORD), PLAY_RECORD, ("song_id",))
+    return (parsed.groupBy(F.coalesce("_reject", F.lit("accepted")).alias("status"))
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+# ---------------------------------------------------------------- scalars
+from ..functions import scalars as S  # noqa: E402
+
+
+@register("format_played_at")
+def _q(spark, d):
+    f = X.star(spark, d).fact
+    return f.select("played_at", S.format_played_at("played_at").alias("played_at_text"))
+
+
+@register("bool_label")
+def _q(spark, d):
+    cat = X.catalog_from_part(X.table(spark, d, "part"))
+    return cat.select("track_id", S.bool_label("explicit").alias("explicit_label"))
+
+
+@register("truncate_to_int")
+def _q(spark, d):
+    ev = X.table(spark, d, "events")
+    return ev.select("event_id", S.to_int("value").alias("value_int"),
+                     S.to_int(F.get_json_object("props", "$.k")).alias("k_int"),
+                     S.to_int(F.col("event_type")).alias("type_int"))
+
+
+@register("stable_keys")
+def _q(spark, d):
+    cat = X.catalog_from_part(X.table(spark, d, "part"))
+    albums = cat.select(F.lit("album").alias("kind"), F.col("album_name").alias("name"),
+                        S.stable_key("album_", "album_name").alias("key"))
+    artists = cat.select(F.lit("artist").alias("kind"), F.col("artists").alias("name"),
+                         S.stable_key("artist_", "artists").alias("key"))
+    return albums.unionByName(artists).distinct()
+
+
+@register("strip_char_set")
+def _q(spark, d):
+    cat = X.catalog_from_part(X.table(spark, d, "part"))
+    return cat.select("track_id", S.strip_chars("artists").alias("artist_name"))
+
+
+# ---------------------------------------------------------------- fan-out
+from ..operators import fanout as FO  # noqa: E402
+
+
+def _wide(spark, d):
+    return X.wide_plays_from_lineitem(X.table(spark, d, "lineitem"), X.table(spark, d, "part"))
+
+
+@register("fanout_all_topics")
+def _q(spark, d):
+    return FO.fanout(_wide(spark, d))
+
+
+for _topic, _key in (("song_topic", "fanout_song_records"), ("album_topic", "fanout_album_records"),
+                     ("artist_topic", "fanout_artist_records"),
+                     ("item_topic", "fanout_play_records")):
+    register(_key)(lambda spark, d, _t=_topic: FO.topic_records(_wide(spark, d), _t))
+
+
+@register("encode_records")
+def _q(spark, d):
+    enc = FO.encode_records(FO.fanout(_wide(spark, d)))
+    return enc.select("topic", F.hex("key").alias("key_hex"),
+                      F.octet_length("value").alias("value_bytes"))
+
+
+@register("default_missing_columns")
+def _q(spark, d):
+    cat = FO.with_defaults(X.catalog_from_part(X.table(spark, d, "part")))
+    return cat.select("track_id", "duration_ms", "explicit", "popularity",
+                      "release_date", "track_number")
+
+
+# -------------------------------------------------------------- catalogue
+from ..sources import catalog as C  # noqa: E402
+from ..session import scratch_dir  # noqa: E402
+
+
+def _catalog_csv(spark, d):
+    path = scratch_dir(spark, "catalog-csv")
+    X.catalog_with_gaps(X.table(spark, d, "part")).write.option("header", True).csv(path)
+    return C.read_catalog_csv(spark, path)
+
+
+@register("scan_csv_catalog")
+def _q(spark, d):
+    return _catalog_csv(spark, d)
+
+
+@register("drop_incomplete_rows")
+def _q(spark, d):
+    return C.drop_incomplete(_catalog_csv(spark, d), CATALOG_REQUIRED)
+
+
+# ---------------------------------------------------------------- payload
+from ..sources import payload as P  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+
+def _payloads(spark, d):
+    path = scratch_dir(spark, "payload-json")
+    X.payload_documents(X.table(spark, d, "lineitem"), X.table(spark, d, "part"),
+                        X.table(spark, d, "supplier")).write.json(path)
+    return P.read_payloads(spark, path, T.StructType([T.StructField("payload_id", T.LongType())]))
+
+
+@register("flatten_nested_payload")
+def _q(spark, d):
+    return P.flatten_payload(_payloads(spark, d), id_cols=("payload_id",))
+
+
+@register("payload_counts")
+def _q(spark, d):
+    return P.payload_counts(_payloads(spark, d), id_cols=("payload_id",))
+
+
+# ---------------------------------------------------------------- digest
+from ..functions import digest as G  # noqa: E402
+
+
+def _digest(spark, d):
+    s, a = _star_asof(spark, d)
+    return G.digest(R.weekly_stats(s, a, n=5))
+
+
+@register("digest_prompt")
+def _q(spark, d):
+    return _digest(spark, d).select("prompt")
+
+
+@register("digest_html")
+def _q(spark, d):
+    return _digest(spark, d).select("html")
+
+
+@register("preview_text")
+def _q(spark, d):
+    return _digest(spark, d).select("preview")
+
+
+@register("newline_to_break")
+def _q(spark, d):
+    return _digest(spark, d).select(S.newline_to_break("prompt").alias("text_html"))
+
+
+# -------------------------------------------------------------- filters
+@register("filter_last_7_days")
+def _q(spark, d):
+    s, a = _star_asof(spark, d)
+    return R.recent(s.fact, a, 7)
+
+
+@register("filter_last_30_days")
+def _q(spark, d):
+    s, a = _star_asof(spark, d)
+    return R.recent(s.fact, a, 30)
+
+
+@register("scan_star_tables")
+def _q(spark, d):
+    return X.star(spark, d).fact
+
+
+@register("join_fact_song")
+def _q(spark, d):
+    s = X.star(spark, d)
+    return s.fact.join(s.song.select("song_id", "song_name"), "song_id")
+
+
+@register("join_fact_artist")
+def _q(spark, d):
+    s = X.star(spark, d)
+    return s.fact.join(s.artist.select("artist_id", "artist_name"), "artist_id")
+
+
+@register("sample_with_replacement")
+def _q(spark, d):
+    from ..sources.sampling import sample_with_replacement
+    return sample_with_replacement(X.catalog_from_part(X.table(spark, d, "part")), n=200)
