@@ -98,8 +98,11 @@ def topic_records(wide: DataFrame, topic: str, as_json: bool = True) -> DataFram
                        (F.to_json(rec) if as_json else rec).alias("value"))
 
 
-def fanout(wide: DataFrame, topics=tuple(RECORDS)) -> DataFrame:
-    """All record kinds in one pass: ``topic, key, value`` (value = JSON text)."""
+def fanout(wide: DataFrame, topics=tuple(RECORDS), keep=()) -> DataFrame:
+    """All record kinds in one pass: ``topic, key, value`` (value = JSON text).
+
+    ``keep`` passes columns of the wide event through (e.g. its event time).
+    """
     wide = with_defaults(wide)
     entries = []
     for t in topics:
@@ -107,7 +110,7 @@ def fanout(wide: DataFrame, topics=tuple(RECORDS)) -> DataFrame:
         rec = build(wide)
         entries.append(F.struct(F.lit(t).alias("topic"), rec[key_field].alias("key"),
                                 F.to_json(rec).alias("value")))
-    return wide.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
+    return wide.select(*keep, F.explode(F.array(*entries)).alias("r")).select(*keep, "r.*")
 
 
 def encode_records(rows: DataFrame) -> DataFrame:

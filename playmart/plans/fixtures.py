@@ -101,7 +101,8 @@ def wide_plays_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame:
 def wide_plays_from_events(events: DataFrame, part: DataFrame) -> DataFrame:
     """Wide play events from the ``events`` stream table.
 
-    song = part ``props.k``; artist name from the user; album name = event type.
+    song = part ``props.k``; artist name from the user; album name = event type;
+    the play lasts the track's duration (as the producer sends it).
     """
     ev = events.select(
         F.col("event_id"),
@@ -109,10 +110,10 @@ def wide_plays_from_events(events: DataFrame, part: DataFrame) -> DataFrame:
         F.get_json_object("props", "$.k").alias("track_id"),
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("artists"),
         F.col("event_type").alias("album_name"),
-        F.round(F.col("value") * 1000).cast("int").alias("duration_ms"),
     )
     tracks = part.select(F.col("p_partkey").cast("string").alias("track_id"),
                          F.col("p_name").alias("track_name"),
+                         (F.col("p_size") * 10000).alias("duration_ms"),
                          (F.col("p_size") > 25).alias("explicit"),
                          (F.col("p_size") * 2).alias("popularity"))
     return ev.join(tracks, "track_id", "inner")

@@ -230,6 +230,97 @@ PREVIEW = DIGEST_BASE + "SELECT substr(prompt, 1, 200) || '...' AS preview FROM
 NL_BREAK = DIGEST_BASE + "SELECT replace(prompt, chr(10), '<br>') AS text_html FROM p"
 
 
+# ------------------------------------------------------------ stream fixtures
+EW = """ew AS (SELECT e.ts AS played_ts, json_extract_string(e.props, '$.k') AS track_id,
+  'user_' || CAST(e.user_id AS VARCHAR) AS artists, e.event_type AS album_name,
+  p.p_name AS track_name, p.p_size * 10000 AS duration_ms, p.p_size > 25 AS explicit,
+  p.p_size * 2 AS popularity,
+  'album_' || substr(md5(e.event_type), 1, 16) AS album_id,
+  'artist_' || substr(md5('user_' || CAST(e.user_id AS VARCHAR)), 1, 16) AS artist_id
+  FROM events e JOIN part p ON CAST(p.p_partkey AS VARCHAR) = json_extract_string(e.props, '$.k'))"""
+
+EV_SONG = """SELECT DISTINCT track_id AS song_id, track_name AS song_name, duration_ms AS duration,
+  CASE WHEN explicit THEN 'True' ELSE 'False' END AS explicit, popularity FROM ew"""
+EV_ALBUM = """SELECT DISTINCT album_id, album_name, 'album' AS album_type,
+  '2023-01-01' AS release_date, 10 AS total_tracks FROM ew"""
+EV_ARTIST = f"""SELECT DISTINCT artist_id, trim(artists, '[]''') AS artist_name,
+  '{ARTIST_URL}' || artist_id AS external_url FROM ew"""
+EV_PLAY_KEYS = "SELECT DISTINCT date_trunc('second', played_ts) AS played_at, track_id AS song_id FROM ew"
+EV_FACT = """SELECT date_trunc('second', played_ts) AS played_at, track_id AS song_id, album_id,
+  artist_id, duration_ms FROM ew
+QUALIFY row_number() OVER (PARTITION BY date_trunc('second', played_ts), track_id
+  ORDER BY album_id, artist_id, duration_ms) = 1"""
+
+EV_COUNTS = _with(EW) + """SELECT 'dim_song' AS table_name, COUNT(DISTINCT track_id) AS rows FROM ew
+UNION ALL SELECT 'dim_album', COUNT(DISTINCT album_id) FROM ew
+UNION ALL SELECT 'dim_artist', COUNT(DISTINCT artist_id) FROM ew
+UNION ALL SELECT 'fact_history', COUNT(*) FROM (SELECT DISTINCT date_trunc('second', played_ts),
+  track_id FROM ew)"""
+
+EV_ITEM_JSON = f"""SELECT 'item_topic' AS topic, track_id AS key,
+  CAST(json_object('played_at', strftime(played_ts, {ISO_SEC}), 'song_id', track_id,
+  'album_id', album_id, 'artist_id', artist_id, 'duration_ms', duration_ms) AS VARCHAR) AS value
+FROM ew"""
+
+EV_SONG_ALL = """SELECT track_id AS song_id, track_name AS song_name, duration_ms AS duration,
+  CASE WHEN explicit THEN 'True' ELSE 'False' END AS explicit, popularity FROM ew"""
+
+DAY = "CAST(date_trunc('day', played_ts) AS TIMESTAMP)"
+
+
+def _roll_sql(group: str | None, cols: str) -> str:
+    g = f", {group}" if group else ""
+    return (_with(EW) + f"SELECT {DAY} AS window_start{g}, {cols} FROM ew GROUP BY {DAY}{g}")
+
+
+ROLL_SONG = _roll_sql("track_id AS song_id", "COUNT(*) AS plays").replace(
+    "GROUP BY " + DAY + ", track_id AS song_id", "GROUP BY " + DAY + ", track_id")
+ROLL_TIME = _roll_sql(None, "COUNT(*) AS plays, CAST(SUM(duration_ms) AS BIGINT) AS listening_ms")
+ROLL_ARTIST = _roll_sql("artist_id", "COUNT(*) AS plays, CAST(SUM(duration_ms) AS BIGINT) AS listening_ms")
+ROLL_DISTINCT = _with(EW) + f"""SELECT {DAY} AS window_start, COUNT(DISTINCT track_id) AS distinct_items
+FROM ew GROUP BY 1"""
+
+
+def _roll_top(item_expr: str, item: str) -> str:
+    return (_with(EW) + f"""SELECT window_start, rank, {item}, plays FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY window_start
+    ORDER BY plays DESC, {item} ASC NULLS LAST) AS INTEGER) AS rank
+  FROM (SELECT {DAY} AS window_start, {item_expr} AS {item}, COUNT(*) AS plays
+        FROM ew GROUP BY 1, 2)) WHERE rank <= 5""")
+
+
+ROLL_TOP_SONGS = _roll_top("track_id", "song_id")
+ROLL_TOP_ALBUMS = _roll_top("album_id", "album_id")
+
+
+def stream_oracles() -> dict[str, str]:
+    return {
+        "four_streams_load_star": EV_COUNTS,
+        "resume_from_checkpoint": EV_COUNTS,
+        "replay_is_idempotent": EV_COUNTS,
+        "batch_row_metrics": EV_COUNTS,
+        "foreach_batch_load": _with(EW) + EV_FACT,
+        "dim_song_upsert": _with(EW) + EV_SONG,
+        "dim_album_upsert": _with(EW) + EV_ALBUM,
+        "dim_artist_upsert": _with(EW) + EV_ARTIST,
+        "stream_topic_source": _with(EW) + EV_ITEM_JSON + "\nUNION ALL\n" + EV_ITEM_JSON,
+        "stream_song_append": _with(EW) + EV_SONG_ALL + "\nUNION ALL\n" + EV_SONG_ALL,
+        "stream_dedup_album": _with(EW) + EV_ALBUM,
+        "stream_dedup_artist": _with(EW) + EV_ARTIST,
+        "stream_dedup_play": _with(EW) + EV_PLAY_KEYS,
+        "stream_dedup_within_watermark": _with(EW) + EV_PLAY_KEYS,
+        "empty_batch_guard": _with(EW) + """SELECT 'fact_history' AS table_name,
+  COUNT(*) AS loaded_rows, CAST(0 AS BIGINT) AS zero_row_batches
+FROM (SELECT DISTINCT date_trunc('second', played_ts), track_id FROM ew)""",
+        "rolling_song_plays": ROLL_SONG,
+        "rolling_listening_time": ROLL_TIME,
+        "rolling_artist_metrics": ROLL_ARTIST,
+        "rolling_distinct_items": ROLL_DISTINCT,
+        "rolling_top_songs": ROLL_TOP_SONGS,
+        "rolling_top_albums": ROLL_TOP_ALBUMS,
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "top_songs_week": top(SONG, "song", "song_id", "song_name", 5),
@@ -275,4 +366,5 @@ def oracle_sql() -> dict[str, str]:
         "scan_star_tables": _with(FACT) + "SELECT * FROM fact",
         "join_fact_song": _with(FACT, SONG) + "SELECT * FROM fact JOIN song USING (song_id)",
         "join_fact_artist": _with(FACT, ARTIST) + "SELECT * FROM fact JOIN artist USING (artist_id)",
+        **stream_oracles(),
     }

@@ -332,3 +332,134 @@ def _q(spark, d):
 def _q(spark, d):
     from ..sources.sampling import sample_with_replacement
     return sample_with_replacement(X.catalog_from_part(X.table(spark, d, "part")), n=200)
+
+
+# ---------------------------------------------------------------- streams
+from . import streams as ST  # noqa: E402
+from ..sinks import loader as L  # noqa: E402
+from ..streaming import rolling as RL  # noqa: E402
+
+DIM_COLS = {
+    "dim_song": ["song_id", "song_name", "duration", "explicit", "popularity"],
+    "dim_album": ["album_id", "album_name", "album_type", "release_date", "total_tracks"],
+    "dim_artist": ["artist_id", "artist_name", "external_url"],
+}
+FACT_COLS = ["played_at", "song_id", "album_id", "artist_id", "duration_ms"]
+
+
+def _ntz(col="played_at"):
+    return F.col(col).cast("timestamp_ntz").alias(col)
+
+
+def _fact_rows(wh):
+    f = wh.read("fact_history")
+    return f.select(_ntz(), *FACT_COLS[1:])
+
+
+@register("four_streams_load_star")
+def _q(spark, d):
+    return ST._counts(ST.star_run(spark, d)["wh"])
+
+
+@register("resume_from_checkpoint")
+def _q(spark, d):
+    return spark.read.parquet(ST.star_run(spark, d)["resumed"])
+
+
+@register("replay_is_idempotent")
+def _q(spark, d):
+    return ST._counts(ST.star_run(spark, d)["wh"])
+
+
+@register("batch_row_metrics")
+def _q(spark, d):
+    return L.loaded_rows(ST.star_run(spark, d)["wh"])
+
+
+@register("foreach_batch_load")
+def _q(spark, d):
+    return _fact_rows(ST.star_run(spark, d)["wh"])
+
+
+for _t in ("dim_song", "dim_album", "dim_artist"):
+    register(f"{_t}_upsert")(
+        lambda spark, d, _t=_t: ST.star_run(spark, d)["wh"].read(_t).select(*DIM_COLS[_t]))
+
+
+@register("stream_topic_source")
+def _q(spark, d):
+    return spark.read.parquet(ST.state_run(spark, d)["item_raw"]).select("topic", "key", "value")
+
+
+@register("stream_song_append")
+def _q(spark, d):
+    return spark.read.parquet(ST.state_run(spark, d)["song_append"])
+
+
+@register("stream_dedup_album")
+def _q(spark, d):
+    return spark.read.parquet(ST.state_run(spark, d)["album"])
+
+
+@register("stream_dedup_artist")
+def _q(spark, d):
+    return spark.read.parquet(ST.state_run(spark, d)["artist"])
+
+
+@register("stream_dedup_play")
+def _q(spark, d):
+    return spark.read.parquet(ST.state_run(spark, d)["play"]).select(_ntz(), "song_id")
+
+
+@register("stream_dedup_within_watermark")
+def _q(spark, d):
+    return ST.state_run(spark, d)["wh"].read("fact_history").select(_ntz(), "song_id")
+
+
+@register("empty_batch_guard")
+def _q(spark, d):
+    m = ST.state_run(spark, d)["wh"].metrics()
+    return m.groupBy("table_name").agg(
+        F.sum("rows_new").cast("long").alias("loaded_rows"),
+        F.count_if(F.col("rows_in") == 0).alias("zero_row_batches"))
+
+
+def _roll(spark, d, k, keys):
+    r = RL.read_latest(spark, ST.state_run(spark, d)[f"roll_{k}"], keys)
+    return r.withColumn("window_start", _ntz("window_start")).drop("window_end")
+
+
+@register("rolling_song_plays")
+def _q(spark, d):
+    return _roll(spark, d, "song", ["window_start", "song_id"]).select(
+        "window_start", "song_id", "plays")
+
+
+@register("rolling_listening_time")
+def _q(spark, d):
+    return _roll(spark, d, "total", ["window_start"]).select(
+        "window_start", "plays", "listening_ms")
+
+
+@register("rolling_top_songs")
+def _q(spark, d):
+    c = _roll(spark, d, "song", ["window_start", "song_id"])
+    return RL.top_per_window(c, "song_id", 5).select("window_start", "rank", "song_id", "plays")
+
+
+@register("rolling_top_albums")
+def _q(spark, d):
+    c = _roll(spark, d, "album", ["window_start", "album_id"])
+    return RL.top_per_window(c, "album_id", 5).select("window_start", "rank", "album_id", "plays")
+
+
+@register("rolling_artist_metrics")
+def _q(spark, d):
+    return _roll(spark, d, "artist", ["window_start", "artist_id"]).select(
+        "window_start", "artist_id", "plays", "listening_ms")
+
+
+@register("rolling_distinct_items")
+def _q(spark, d):
+    r = RL.read_latest(spark, ST.state_run(spark, d)["distinct"], ["window_start"])
+    return r.select(_ntz("window_start"), "distinct_items")

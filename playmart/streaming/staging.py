@@ -1,0 +1,37 @@
+"""Landing data arriving over time: write a table's rows in time slices.
+
+Each slice is an ordinary parallel write into the landing folder; between
+slices the caller runs its ``availableNow`` queries, so every slice is a new
+micro-batch after a restart from the checkpoint (state and offsets carried
+across).  Slices are cut on whole seconds of the event time, so rows that
+share a second (and hence a played_at key) land in the same slice.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..sinks.topics import write_landing
+
+
+def slice_column(df: DataFrame, ts_col: str, n: int) -> Column:
+    sec = F.unix_seconds(F.col(ts_col).cast("timestamp"))
+    lo, hi = df.agg(F.min(sec), F.max(sec)).first()
+    if lo is None:
+        return F.lit(0)
+    width = (hi - lo + 1) / n
+    return F.least(F.floor((sec - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(n - 1))
+
+
+def stage_and_run(records: DataFrame, landing_root: str, ts_col: str, n: int,
+                  run: Callable[[int], None], replay: bool = False) -> None:
+    """Write slice k then call ``run(k)``; with ``replay`` send all slices again."""
+    s = slice_column(records, ts_col, n)
+    tagged = records.withColumn("_slice", s)
+    rounds = list(range(n)) + (list(range(n)) if replay else [])
+    for i, k in enumerate(rounds):
+        write_landing(tagged.filter(F.col("_slice") == k).drop("_slice", ts_col), landing_root)
+        run(i)
