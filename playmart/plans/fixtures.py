@@ -172,3 +172,27 @@ def payload_documents(lineitem: DataFrame, part: DataFrame, supplier: DataFrame)
         F.sort_array(F.collect_list(item)).alias("_items"))
     return docs.select("payload_id", F.transform("_items", lambda x: F.struct(
         x["played_at"].alias("played_at"), x["track"].alias("track"))).alias("items"))
+
+
+def damaged_fact(lineitem: DataFrame) -> DataFrame:
+    """The mapped fact with injected faults (every row kept).
+
+    ``l_orderkey % 10``: 0 -> song key shifted out of the catalogue,
+    1 -> artist key shifted, 2 -> album key shifted, 3 -> NULL song key,
+    4 -> NULL play time.
+    """
+    shift = F.lit(1000000000)
+    base = lineitem.select(
+        (F.col("l_orderkey") % 10).alias("_b"),
+        F.col("l_shipdate").alias("played_at"),
+        F.col("l_partkey").alias("song_id"),
+        F.col("l_orderkey").alias("album_id"),
+        F.col("l_suppkey").alias("artist_id"),
+        (F.col("l_quantity") * 10000).cast("int").alias("duration_ms"))
+    return base.select(
+        F.when(F.col("_b") == 4, F.lit(None)).otherwise(F.col("played_at")).alias("played_at"),
+        F.when(F.col("_b") == 0, F.col("song_id") + shift)
+         .when(F.col("_b") == 3, F.lit(None)).otherwise(F.col("song_id")).alias("song_id"),
+        F.when(F.col("_b") == 2, F.col("album_id") + shift).otherwise(F.col("album_id")).alias("album_id"),
+        F.when(F.col("_b") == 1, F.col("artist_id") + shift).otherwise(F.col("artist_id")).alias("artist_id"),
+        "duration_ms")

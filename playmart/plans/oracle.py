@@ -321,6 +321,76 @@ FROM (SELECT DISTINCT date_trunc('second', played_ts), track_id FROM ew)""",
     }
 
 
+# ------------------------------------------------ batch dedup, load, checks
+DEDUP_PLAY = _with(FACT) + """SELECT * FROM fact QUALIFY row_number() OVER (
+  PARTITION BY played_at, song_id ORDER BY album_id, artist_id, duration_ms) = 1"""
+
+NEW_ROWS = _with(FACT) + """SELECT * FROM fact f WHERE NOT EXISTS (
+  SELECT 1 FROM lineitem l WHERE l.l_returnflag = 'R'
+    AND l.l_shipdate = f.played_at AND l.l_partkey = f.song_id)"""
+
+DAMAGED = """dfact AS (SELECT
+  CASE WHEN l_orderkey % 10 = 4 THEN NULL ELSE l_shipdate END AS played_at,
+  CASE WHEN l_orderkey % 10 = 0 THEN l_partkey + 1000000000
+       WHEN l_orderkey % 10 = 3 THEN NULL ELSE l_partkey END AS song_id,
+  CASE WHEN l_orderkey % 10 = 2 THEN l_orderkey + 1000000000 ELSE l_orderkey END AS album_id,
+  CASE WHEN l_orderkey % 10 = 1 THEN l_suppkey + 1000000000 ELSE l_suppkey END AS artist_id,
+  CAST(l_quantity * 10000 AS INTEGER) AS duration_ms FROM lineitem)"""
+
+UNMATCHED = _with(DAMAGED, SONG, ARTIST, ALBUM) + """SELECT 'dim_song' AS dimension,
+  COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM song s WHERE s.song_id = f.song_id)) AS unmatched
+FROM dfact f
+UNION ALL SELECT 'dim_artist', COUNT(*) FILTER (WHERE NOT EXISTS (
+  SELECT 1 FROM artist a WHERE a.artist_id = f.artist_id)) FROM dfact f
+UNION ALL SELECT 'dim_album', COUNT(*) FILTER (WHERE NOT EXISTS (
+  SELECT 1 FROM album a WHERE a.album_id = f.album_id)) FROM dfact f"""
+
+SONG_FULL = """song AS (SELECT p_partkey AS song_id, p_name AS song_name,
+  CASE WHEN p_size > 25 THEN 'True' ELSE 'False' END AS explicit FROM part)"""
+
+
+def _contract_sql(table: str, src: str, not_null, max_len: dict, keys) -> str:
+    parts = []
+    for c in not_null:
+        parts.append(f"SELECT '{table}' AS table_name, 'not_null:{c}' AS check_name,"
+                     f" COUNT(*) FILTER (WHERE {c} IS NULL) AS violations FROM {src}")
+    for c, n in max_len.items():
+        parts.append(f"SELECT '{table}', 'max_len:{c}',"
+                     f" COUNT(*) FILTER (WHERE length(CAST({c} AS VARCHAR)) > {n}) FROM {src}")
+    k = ", ".join(keys)
+    nn = " AND ".join(f"{x} IS NOT NULL" for x in keys)
+    parts.append(f"SELECT '{table}', 'unique:{','.join(keys)}',"
+                 f" CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) FROM (SELECT COUNT(*) AS n FROM {src}"
+                 f" WHERE {nn} GROUP BY {k})")
+    return "\nUNION ALL\n".join(parts)
+
+
+CONTRACTS_SQL = _with(DAMAGED, SONG_FULL, ARTIST, ALBUM) + "\nUNION ALL\n".join([
+    _contract_sql("fact_history", "dfact", ["played_at"],
+                  {"song_id": 100, "album_id": 100, "artist_id": 100}, ["played_at", "song_id"]),
+    _contract_sql("dim_song", "song", ["song_id"],
+                  {"song_id": 100, "song_name": 300, "explicit": 10}, ["song_id"]),
+    _contract_sql("dim_album", "album", ["album_id"],
+                  {"album_id": 100, "album_name": 300}, ["album_id"]),
+    _contract_sql("dim_artist", "artist", ["artist_id"],
+                  {"artist_id": 100, "artist_name": 300}, ["artist_id"]),
+])
+
+SURROGATE = """SELECT COUNT(*) AS ids, CAST(1 AS BIGINT) AS min_id, COUNT(*) AS max_id,
+  COUNT(*) AS distinct_ids FROM part"""
+
+
+def batch_oracles() -> dict[str, str]:
+    return {
+        "dedup_play_batch": DEDUP_PLAY,
+        "fact_insert_if_absent": DEDUP_PLAY,
+        "new_rows_only": NEW_ROWS,
+        "unmatched_fact_rows": UNMATCHED,
+        "contract_violations": CONTRACTS_SQL,
+        "surrogate_ids": SURROGATE,
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "top_songs_week": top(SONG, "song", "song_id", "song_name", 5),
@@ -367,4 +437,5 @@ def oracle_sql() -> dict[str, str]:
         "join_fact_song": _with(FACT, SONG) + "SELECT * FROM fact JOIN song USING (song_id)",
         "join_fact_artist": _with(FACT, ARTIST) + "SELECT * FROM fact JOIN artist USING (artist_id)",
         **stream_oracles(),
+        **batch_oracles(),
     }

@@ -463,3 +463,89 @@ def _q(spark, d):
 def _q(spark, d):
     r = RL.read_latest(spark, ST.state_run(spark, d)["distinct"], ["window_start"])
     return r.select(_ntz("window_start"), "distinct_items")
+
+
+# --------------------------------------------- batch dedup, load, contracts
+from ..operators.dedup import dedup_batch  # noqa: E402
+from ..operators.joins import new_rows_only, unmatched_fact_rows  # noqa: E402
+from ..operators.contracts import check_star  # noqa: E402
+from ..schemas import CONTRACTS, DIM_SONG, FACT_HISTORY  # noqa: E402
+
+PLAY_KEYS = ("played_at", "song_id")
+PLAY_ORDER = ("album_id", "artist_id", "duration_ms")
+
+
+@register("dedup_play_batch")
+def _q(spark, d):
+    return dedup_batch(X.star(spark, d).fact, PLAY_KEYS, PLAY_ORDER)
+
+
+def _cut(spark, d):
+    return R.as_of_column(X.star(spark, d).fact, X.fact_as_of(spark, d)) - F.expr("INTERVAL 365 DAYS")
+
+
+@register("fact_insert_if_absent")
+def _q(spark, d):
+    """Load the older plays, then all plays: the second load adds only absent keys."""
+    wh = L.Warehouse(spark, scratch_dir(spark, "fact-load"))
+    fact = X.star(spark, d).fact
+    L.load_table(fact.filter(F.col("played_at") < _cut(spark, d)), FACT_HISTORY, wh, "first",
+                 PLAY_ORDER)
+    L.load_table(fact, FACT_HISTORY, wh, "second", PLAY_ORDER)
+    return wh.read("fact_history").select(*FACT_COLS)
+
+
+@register("new_rows_only")
+def _q(spark, d):
+    li = X.table(spark, d, "lineitem")
+    loaded = X.fact_from_lineitem(li.filter(F.col("l_returnflag") == "R"))
+    return new_rows_only(X.fact_from_lineitem(li), loaded, PLAY_KEYS)
+
+
+@register("unmatched_fact_rows")
+def _q(spark, d):
+    s = X.star(spark, d)
+    return unmatched_fact_rows(X.damaged_fact(X.table(spark, d, "lineitem")), s.song, s.artist,
+                               s.album)
+
+
+@register("contract_violations")
+def _q(spark, d):
+    s = X.star(spark, d)
+    tables = {"fact_history": X.damaged_fact(X.table(spark, d, "lineitem")),
+              "dim_song": s.song, "dim_artist": s.artist, "dim_album": s.album}
+    return check_star(tables, CONTRACTS)
+
+
+@register("surrogate_ids")
+def _q(spark, d):
+    """Dense ids: a first load of the songs played before the cut, then all songs."""
+    wh = L.Warehouse(spark, scratch_dir(spark, "id-load"))
+    s = X.star(spark, d)
+    early = s.fact.filter(F.col("played_at") < _cut(spark, d)).select("song_id")
+    L.load_table(s.song.join(early, "song_id", "left_semi"), DIM_SONG, wh, "first")
+    L.load_table(s.song, DIM_SONG, wh, "second")
+    return wh.read("dim_song").agg(
+        F.count(F.lit(1)).alias("ids"), F.min("id").alias("min_id"), F.max("id").alias("max_id"),
+        F.count_distinct("id").alias("distinct_ids"))
+
+
+@register("report_refresh")
+def _q(spark, d):
+    from ..sources.tables import Star
+    from ..sources.topics import landing_topic_stream
+    from ..streaming import refresh as RF
+    from ..streaming.consumers import run_to_end
+    run = ST.star_run(spark, d)
+    wh = run["wh"]
+    out = scratch_dir(spark, "reports")
+
+    def star():
+        return Star(fact=wh.read("fact_history"), song=wh.read("dim_song"),
+                    artist=wh.read("dim_artist"), album=wh.read("dim_album"))
+
+    as_of = wh.read("fact_history").agg(F.max("played_at")).first()[0]
+    q = RF.start_report_refresh(landing_topic_stream(spark, run["landing"], "item_topic"), star,
+                                out, f"{out}-checkpoint", as_of=as_of, available_now=True)
+    run_to_end([q])
+    return spark.read.parquet(f"{out}/top_songs")

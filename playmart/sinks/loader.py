@@ -132,6 +132,9 @@ def load_table(batch: DataFrame, contract: TableContract, wh: Warehouse, batch_i
         if with_ids:
             agg.append(F.max("id").alias("max_id"))
         new = new.observe(obs, *agg)
+        if is_fact:
+            # one shuffle by day: few files per day folder; AQE splits a hot day
+            new = new.hint("rebalance", "play_date")
         writer = new.write.mode("append")
         if is_fact:
             writer = writer.partitionBy("play_date")
