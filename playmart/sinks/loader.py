@@ -12,8 +12,10 @@ Per batch:
    ``played_at`` range (Parquet row-group pruning), so the anti-join never
    rescans the whole history;
 5. dimensions get dense surrogate ids after the table's high-water mark;
-6. append, then record ``rows_in / rows_new / max_id`` for the batch in a
-   metrics table (overwrite of that batch's own folder: replay-safe).
+6. append (the fact partitioned by ``play_date`` after a ``rebalance`` on it:
+   few files per day, a hot day split by AQE), then record ``rows_in /
+   rows_new / max_id`` for the batch in a metrics table (overwrite of that
+   batch's own folder: replay-safe).
 
 One writer per table is part of the contract: two loaders anti-joining the
 same target concurrently could both insert a key.
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -127,24 +129,24 @@ def load_table(batch: DataFrame, contract: TableContract, wh: Warehouse, batch_i
         if with_ids:
             base = wh.id_high_water(contract.name)
             new = with_row_index(new, keys, start=base + 1, col="id")
-        obs = Observation(f"load_{contract.name}")
-        agg = [F.count(F.lit(1)).alias("rows")]
-        if with_ids:
-            agg.append(F.max("id").alias("max_id"))
-        new = new.observe(obs, *agg)
         if is_fact:
             # one shuffle by day: few files per day folder; AQE splits a hot day
             new = new.hint("rebalance", "play_date")
-        writer = new.write.mode("append")
-        if is_fact:
-            writer = writer.partitionBy("play_date")
-        writer.parquet(wh.path(contract.name))
-        got = obs.get
-        rows_new = int(got.get("rows", 0) or 0)
-        if with_ids:
-            max_id = got.get("max_id")
-            if max_id is None:
-                max_id = wh.id_high_water(contract.name)
+        # the new rows are few next to the batch: keep them for the count and the write
+        new = new.persist()
+        try:
+            stats = new.agg(F.count(F.lit(1)).alias("rows"),
+                            *([F.max("id").alias("max_id")] if with_ids else [])).first()
+            rows_new = int(stats["rows"])
+            if with_ids:
+                max_id = stats["max_id"] if stats["max_id"] is not None else \
+                    wh.id_high_water(contract.name)
+            writer = new.write.mode("append")
+            if is_fact:
+                writer = writer.partitionBy("play_date")
+            writer.parquet(wh.path(contract.name))
+        finally:
+            new.unpersist()
         wh.record(contract.name, batch_id, rows_in, rows_new, max_id)
         return rows_new
     finally:
