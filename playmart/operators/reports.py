@@ -123,31 +123,43 @@ def listening_hours_by_day(fact: DataFrame, as_of=None, days: int = 30,
 RECENT_ORDER = ("played_at", "song_id", "album_id", "artist_id", "duration_ms")
 
 
-def _recent_join(facts: DataFrame, star) -> DataFrame:
-    return (facts
-            .join(star.song.select("song_id", "song_name"), "song_id")
-            .join(star.artist.select("artist_id", "artist_name"), "artist_id")
-            .join(star.album.select("album_id", "album_name"), "album_id"))
+DIMS = (("song", "song_id", "song_name"), ("artist", "artist_id", "artist_name"),
+        ("album", "album_id", "album_name"))
 
 
-def recent_plays(star, n: int = 20) -> DataFrame:
+def _recent_join(facts: DataFrame, star, small: bool = False) -> DataFrame:
+    """Attach the three names; ``small``: ``facts`` is a proven-small side."""
+    out = facts
+    for dim, key, name in DIMS:
+        d = getattr(star, dim).select(key, name)
+        out = (F.broadcast(out).join(d, key) if small else out.join(d, key))
+    return out
+
+
+def recent_plays(star, n: int = 20, widen: int = 8, max_candidates: int = 1 << 20) -> DataFrame:
     """Latest ``n`` plays that have all three dimension rows (4-way inner join).
 
-    Plan: take the fact's own top-``n`` first (per-partition top-N, no
-    shuffle of the fact), checkpoint those ``n`` rows, and join them - a side
-    proven to hold ``n`` rows is broadcast.  If all ``n`` match, that is
-    exactly the answer.  Only when some of them lack a dimension row do we
-    fall back to joining the whole fact before the top-N, so the result is
-    exact in every case.
+    Plan: take the fact's own top-k (per-partition top-k, no shuffle of the
+    fact), checkpoint those k rows and attach the names with the candidates
+    as the broadcast side (dimension keys are unique by contract, so the side
+    stays at most k rows; the dimensions are only streamed, never shuffled).
+    If at least ``n`` candidates matched, the answer lies among them (any
+    play outside the top-k is later in the order).  Otherwise k grows
+    ``widen``-fold; beyond ``max_candidates`` the whole fact is joined before
+    the top-N.  The result is exact in every case.
     """
     order = [F.col("played_at").desc_nulls_last()] + [F.col(c).asc_nulls_last()
                                                       for c in RECENT_ORDER[1:]]
     cols = ["played_at", "song_name", "artist_name", "album_name"]
     fact = star.fact.select(*RECENT_ORDER)
-    top = fact.orderBy(*order).limit(n).checkpoint(eager=True)
-    joined = _recent_join(F.broadcast(top), star)
-    if joined.count() == top.count():
-        return joined.orderBy(*order).select(*cols)
+    k = n
+    while k <= max_candidates:
+        cands = fact.orderBy(*order).limit(k).checkpoint(eager=True)
+        named = _recent_join(cands, star, small=True).persist()
+        if named.count() >= n or cands.count() < k:
+            return named.orderBy(*order).limit(n).select(*cols)
+        named.unpersist()
+        k *= widen
     return _recent_join(fact, star).orderBy(*order).limit(n).select(*cols)
 
 
