@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 
 from ..operators import fanout as FO
 from ..operators.dedup import dedup_stream
-from ..schemas import TOPICS
 from ..session import scratch_dir
 from ..sinks.loader import Warehouse
-from ..sources.topics import landing_topic_batch, landing_topic_stream
+from ..sources.topics import landing_topic_stream
 from ..streaming import consumers as SC
 from ..streaming import rolling as RL
 from ..streaming.staging import stage_and_run
@@ -31,6 +30,25 @@ N_SLICES = 5
 _RUNS: dict = {}
 
 
+class _stateful_width:
+    """Pin ``spark.sql.shuffle.partitions`` while stateful queries first start.
+
+    A stateful query freezes its shuffle width into its checkpoint, so it is
+    chosen here on purpose (the cluster's parallelism) rather than inherited.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.width = str(max(1, spark.sparkContext.defaultParallelism))
+
+    def __enter__(self):
+        self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.width)
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+
+
 def event_topic_records(spark: SparkSession, d: str) -> DataFrame:
     wide = X.wide_plays_from_events(X.table(spark, d, "events"), X.table(spark, d, "part"))
     return FO.fanout(wide, keep=("played_ts",))
@@ -58,13 +76,15 @@ def star_run(spark: SparkSession, d: str) -> dict:
         SC.run_to_end(SC.start_star_load(
             spark, lambda t: landing_topic_stream(spark, landing, t), wh, ck))
 
-    stage_and_run(event_topic_records(spark, d), landing, "played_ts", N_SLICES, run, replay=True)
-    resumed = f"{root}/counts_after_resume"
-    _counts(wh).write.parquet(resumed)
-    # full replay of everything retained, under new checkpoints
-    SC.run_to_end(SC.start_star_load(
-        spark, lambda t: landing_topic_stream(spark, landing, t), wh, f"{root}/checkpoints-replay",
-        prefix="replay"))
+    with _stateful_width(spark):
+        stage_and_run(event_topic_records(spark, d), landing, "played_ts", N_SLICES, run,
+                      replay=True)
+        resumed = f"{root}/counts_after_resume"
+        _counts(wh).write.parquet(resumed)
+        # full replay of everything retained, under new checkpoints
+        SC.run_to_end(SC.start_star_load(
+            spark, lambda t: landing_topic_stream(spark, landing, t), wh,
+            f"{root}/checkpoints-replay", prefix="replay"))
     out = {"wh": wh, "root": root, "landing": landing, "resumed": resumed}
     _RUNS[key] = out
     return out
@@ -116,16 +136,10 @@ def state_run(spark: SparkSession, d: str) -> dict:
                                           out[f"roll_{k}"], f"{ck}/roll_{k}", f"roll_{k}"))
         SC.run_to_end(qs)
 
-    stage_and_run(event_topic_records(spark, d), landing, "played_ts", N_SLICES, run, replay=True)
+    with _stateful_width(spark):
+        stage_and_run(event_topic_records(spark, d), landing, "played_ts", N_SLICES, run,
+                      replay=True)
     res = {"wh": wh, "root": root, "landing": landing, **out}
     _RUNS[key] = res
     return res
 
-
-def replay_batch(spark: SparkSession, landing: str) -> DataFrame:
-    """Everything retained in the landing folder, read as one batch."""
-    u = None
-    for t in TOPICS:
-        b = landing_topic_batch(spark, landing, t)
-        u = b if u is None else u.unionByName(b)
-    return u
