@@ -15,7 +15,12 @@ from pyspark.sql import functions as F
 from ..operators.ids import with_row_index
 
 
+# Above this many draws the draw table is joined by shuffle instead of broadcast.
+BROADCAST_DRAWS = 1_000_000
+
+
 def sample_with_replacement(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
+    """Exactly ``min(n, rows)`` rows drawn uniformly with replacement."""
     indexed = with_row_index(df, start=0, col="_row")
     total = indexed.count()
     k = min(n, total)
@@ -24,6 +29,10 @@ def sample_with_replacement(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     spark = df.sparkSession
     draws = spark.range(k).select(
         F.floor(F.rand(seed) * F.lit(total)).cast("long").alias("_row"))
+    # the draw table has a proven size (k rows): broadcast it while it is small,
+    # so the indexed table is only streamed past it
+    if k <= BROADCAST_DRAWS:
+        draws = F.broadcast(draws)
     return indexed.join(draws, "_row").drop("_row")
 
 

@@ -2,7 +2,8 @@
 
 A ``processingTime`` query (60 s by default) on the play stream triggers the
 recomputation from the star tables in ``foreachBatch``; each report is a
-small table written with ``overwrite``.  Empty micro-batches skip the work.
+small table written with ``overwrite``.  Empty micro-batches skip the work,
+and so does a trigger that finds a star table not yet loaded.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 
 from ..operators import reports as R
 from ..sources.tables import Star
@@ -33,7 +35,11 @@ def start_report_refresh(trigger_stream: DataFrame, star_reader: Callable[[], St
     def refresh(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        for name, df in report_tables(star_reader(), as_of).items():
+        try:
+            star = star_reader()
+        except AnalysisException:
+            return          # a star table is not loaded yet: the next trigger refreshes
+        for name, df in report_tables(star, as_of).items():
             df.write.mode("overwrite").parquet(f"{out_root.rstrip('/')}/{name}")
 
     w = (trigger_stream.writeStream.queryName(query_name)

@@ -59,3 +59,30 @@ def test_state_dedup_survives_restart(spark, tmp_path):
     run()
     assert spark.read.parquet(out).count() == 6
     assert spark.read.parquet(out).select("played_at", "song_id").distinct().count() == 6
+
+
+def test_job_from_config_loads_star_and_refreshes_reports(spark, tmp_path):
+    from playmart.streaming.jobs import start
+    from playmart.streaming.consumers import run_to_end
+    from playmart.operators.fanout import fanout
+    landing = str(tmp_path / "landing")
+    wide = spark.createDataFrame(
+        [("t1", "One", "['A']", "Al", 1000, True, 50, dt.datetime(2024, 1, 1, 10)),
+         ("t2", "Two", "['B']", "Al", 2000, False, 40, dt.datetime(2024, 1, 1, 11)),
+         ("t1", "One", "['A']", "Al", 1000, True, 50, dt.datetime(2024, 1, 1, 12))],
+        "track_id string, track_name string, artists string, album_name string, "
+        "duration_ms int, explicit boolean, popularity int, played_ts timestamp")
+    write_landing(fanout(wide), landing)
+    cfg = {"source": {"kind": "landing", "root": landing},
+           "warehouse": str(tmp_path / "star"), "checkpoints": str(tmp_path / "ck"),
+           "trigger": {"available_now": True}}
+    run_to_end(start(spark, cfg))
+    # a second start resumes the loaders (nothing new) and adds the report refresh
+    cfg["report_refresh"] = {"out": str(tmp_path / "reports")}
+    run_to_end(start(spark, cfg))
+    star = str(tmp_path / "star")
+    assert spark.read.parquet(f"{star}/fact_history").count() == 3
+    assert spark.read.parquet(f"{star}/dim_song").count() == 2
+    assert spark.read.parquet(f"{star}/dim_album").count() == 1
+    assert spark.read.parquet(f"{star}/dim_artist").count() == 2
+    assert spark.read.parquet(str(tmp_path / "reports" / "totals")).count() == 1
