@@ -50,6 +50,13 @@ def plays_by_name(fact: DataFrame, dim: DataFrame, key: str, name_col: str,
     g = list(group_cols)
     f = recent(fact, as_of, days) if days is not None else fact
     per_key = f.groupBy(*g, key).agg(F.count(F.lit(1)).alias("plays"))
+    return name_counts(per_key, dim, key, name_col, g, broadcast_max_rows)
+
+
+def name_counts(per_key: DataFrame, dim: DataFrame, key: str, name_col: str,
+                group_cols: Sequence[str] = (), broadcast_max_rows: int | None = None) -> DataFrame:
+    """Attach names to per-key ``plays`` and add them up per name."""
+    g = list(group_cols)
     named = join_dim(per_key, dim.select(key, name_col), key, "inner", broadcast_max_rows)
     return named.groupBy(*g, name_col).agg(F.sum("plays").alias("plays"))
 
@@ -183,15 +190,28 @@ def _ranked_list(top: DataFrame, name_col: str, group_cols: Sequence[str], alias
 def weekly_stats(star, as_of=None, n: int = 5, days: int = 7, group_cols=()) -> DataFrame:
     """One row per group: top_songs, top_artists (array<struct<name, plays>>), total_minutes.
 
-    Each list holds at most ``n`` entries per group, so the packing aggregate
-    is bounded no matter how many plays a group has.  Groups with no play in
-    the window get an empty list and 0 minutes when ``group_cols`` is empty.
+    The window is read once: plays and milliseconds are aggregated per
+    (song, artist), that small result is checkpointed (a reliable copy in the
+    shared folder, so lost executors do not re-read the fact), and the three
+    parts are derived from it.  Each list holds
+    at most ``n`` entries per group, so packing is bounded however many plays
+    a group has.  With no ``group_cols`` an empty window still yields one row:
+    empty lists and 0 minutes.
     """
     g = list(group_cols)
-    songs = _ranked_list(top_songs(star, as_of, n, days, g), "song_name", g, "top_songs")
-    artists = _ranked_list(top_artists(star, as_of, n, days, g), "artist_name", g,
-                           "top_artists")
-    minutes = listening_minutes(star.fact, as_of, days, g)
+    base = (recent(star.fact, as_of, days)
+            .groupBy(*g, "song_id", "artist_id")
+            .agg(F.count(F.lit(1)).alias("plays"), F.sum("duration_ms").alias("ms"))
+            .checkpoint(eager=True))
+    per_song = base.groupBy(*g, "song_id").agg(F.sum("plays").alias("plays"))
+    per_artist = base.groupBy(*g, "artist_id").agg(F.sum("plays").alias("plays"))
+    songs = _ranked_list(top_n(name_counts(per_song, star.song, "song_id", "song_name", g),
+                               "song_name", n, g), "song_name", g, "top_songs")
+    artists = _ranked_list(top_n(name_counts(per_artist, star.artist, "artist_id",
+                                             "artist_name", g), "artist_name", n, g),
+                           "artist_name", g, "top_artists")
+    minutes = base.groupBy(*g).agg(
+        F.coalesce(F.expr("sum(ms) div 60000"), F.lit(0).cast("long")).alias("mins"))
     empty = F.array().cast("array<struct<name:string,plays:bigint>>")
     if not g:
         # Single listener: every part is one row; join on a constant key.
@@ -199,11 +219,9 @@ def weekly_stats(star, as_of=None, n: int = 5, days: int = 7, group_cols=()) ->
         out = (minutes.select(*k, "mins")
                .join(songs.select(*k, "top_songs"), "_g", "left")
                .join(artists.select(*k, "top_artists"), "_g", "left"))
-        g_keys = []
     else:
         out = (minutes.join(songs, g, "left").join(artists, g, "left"))
-        g_keys = g
-    return out.select(*g_keys,
+    return out.select(*g,
                       F.coalesce("top_songs", empty).alias("top_songs"),
                       F.coalesce("top_artists", empty).alias("top_artists"),
                       F.col("mins").cast("long").alias("total_minutes"))
