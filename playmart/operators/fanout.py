@@ -38,13 +38,22 @@ def with_defaults(df: DataFrame, defaults: dict = CATALOG_DEFAULTS,
     return out
 
 
-def _keys(w: DataFrame) -> dict[str, Column]:
-    return {
-        "song_id": F.col("track_id").cast("string"),
+KEY_COLS = ("_song_id", "_album_id", "_artist_id")
+
+
+def with_keys(w: DataFrame) -> DataFrame:
+    """Add the record keys once per wide row (each is used by two record kinds)."""
+    return w.withColumns({
+        "_song_id": F.col("track_id").cast("string"),
         # keys come from the raw text, as the producer hashes the raw cell
-        "album_id": stable_key(ALBUM_PREFIX, F.col("album_name")),
-        "artist_id": stable_key(ARTIST_PREFIX, F.col("artists")),
-    }
+        "_album_id": stable_key(ALBUM_PREFIX, F.col("album_name")),
+        "_artist_id": stable_key(ARTIST_PREFIX, F.col("artists")),
+    })
+
+
+def _keys(w: DataFrame) -> dict[str, Column]:
+    return {"song_id": F.col("_song_id"), "album_id": F.col("_album_id"),
+            "artist_id": F.col("_artist_id")}
 
 
 def song_record(w: DataFrame) -> Column:
@@ -91,7 +100,7 @@ RECORDS = {
 
 def topic_records(wide: DataFrame, topic: str, as_json: bool = True) -> DataFrame:
     """``key, value`` rows of one topic (value as JSON text, or as a struct)."""
-    wide = with_defaults(wide)
+    wide = with_keys(with_defaults(wide))
     key_field, build = RECORDS[topic]
     rec = build(wide)
     return wide.select(rec[key_field].alias("key"),
@@ -103,7 +112,7 @@ def fanout(wide: DataFrame, topics=tuple(RECORDS), keep=()) -> DataFrame:
 
     ``keep`` passes columns of the wide event through (e.g. its event time).
     """
-    wide = with_defaults(wide)
+    wide = with_keys(with_defaults(wide))
     entries = []
     for t in topics:
         key_field, build = RECORDS[t]
