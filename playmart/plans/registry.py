@@ -461,8 +461,7 @@ def _q(spark, d):
 
 @register("rolling_distinct_items")
 def _q(spark, d):
-    r = RL.read_latest(spark, ST.state_run(spark, d)["distinct"], ["window_start"])
-    return r.select(_ntz("window_start"), "distinct_items")
+    return RL.distinct_per_window(_roll(spark, d, "song", ["window_start", "song_id"]))
 
 
 # --------------------------------------------- batch dedup, load, contracts

@@ -27,7 +27,7 @@ def test_rolling_late_file_dropped_and_replay_not_double_counted(spark, tmp_path
     def run():
         typed = SC.accepted(SC.parsed_records(
             landing_topic_stream(spark, landing, "item_topic"), "item_topic"), "item_topic")
-        q = RL.start_update_log(RL.rolling_metrics(typed, None), out, ck, "roll_test")
+        q = RL.start_update_log(RL.rolling_metrics(typed, None, dedup=True), out, ck, "roll_test")
         SC.run_to_end([q])
 
     for day in (1, 2, 3):                       # in order
