@@ -10,8 +10,10 @@ Per batch:
    replay of the same batch writes nothing.  For the fact table the target
    read is bounded to the batch's ``play_date`` range (partition pruning) and
    ``played_at`` range (Parquet row-group pruning), so the anti-join never
-   rescans the whole history;
-5. dimensions get dense surrogate ids after the table's high-water mark;
+   rescans the whole history; and when the batch's keys are few (a checked
+   bound) the target is narrowed by a semi-join against the broadcast batch
+   keys first, so a large table is scanned past them, never shuffled;
+5. dimensions get dense surrogate ids after the table's largest id;
 6. append (the fact partitioned by ``play_date`` after a ``rebalance`` on it:
    few files per day, a hot day split by AQE), then record ``rows_in /
    rows_new / max_id`` for the batch in a metrics table (overwrite of that
@@ -33,6 +35,7 @@ from pyspark.sql.utils import AnalysisException
 from ..functions.scalars import ts_literal
 from ..operators.dedup import dedup_batch
 from ..operators.ids import with_row_index
+from ..operators.joins import fits_in_rows
 from ..schemas import FACT_HISTORY, TableContract
 
 METRICS = "_load_metrics"
@@ -63,11 +66,11 @@ class Warehouse:
         return self.read(METRICS)
 
     def id_high_water(self, table: str) -> int:
-        m = self.metrics()
-        if m is None:
+        """Largest surrogate id in the table (0 when empty or absent)."""
+        t = self.read(table)
+        if t is None or "id" not in t.columns:
             return 0
-        v = m.filter(F.col("table_name") == table).agg(F.max("max_id")).first()[0]
-        return int(v or 0)
+        return int(t.agg(F.max("id")).first()[0] or 0)
 
     def record(self, table: str, batch_id: str, rows_in: int, rows_new: int,
                max_id: int | None) -> None:
@@ -76,13 +79,32 @@ class Warehouse:
             f"{self.root}/{METRICS}/table_name={table}/batch_id={batch_id}")
 
 
-def _null_safe_anti(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    ex = existing.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
+# A batch whose new keys number at most this many probes the target with
+# broadcast keys; above it the anti-join is a shuffle join.
+BROADCAST_BATCH_KEYS = 2_000_000
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    r = right.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
     cond = None
     for k in keys:
-        c = new[k].eqNullSafe(ex[f"_t_{k}"])
+        c = left[k].eqNullSafe(r[f"_t_{k}"])
         cond = c if cond is None else cond & c
-    return new.join(ex, cond, "left_anti")
+    return left.join(r, cond, how)
+
+
+def _null_safe_anti(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``new`` rows whose key is absent from ``existing`` (NULL matches NULL).
+
+    When the batch's keys are few (checked), the target is first narrowed to
+    the keys it shares with the batch by a semi-join against the broadcast
+    batch keys: the target is only scanned, never shuffled.
+    """
+    batch_keys = new.select(*keys)
+    if fits_in_rows(batch_keys, BROADCAST_BATCH_KEYS):
+        existing = _null_safe(existing.select(*keys), F.broadcast(batch_keys), keys,
+                              "left_semi")
+    return _null_safe(new, existing, keys, "left_anti")
 
 
 def _bounded_fact_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -106,6 +128,22 @@ def _bounded_fact_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str])
     return t.select(*keys)
 
 
+def insert_candidates(batch: DataFrame, contract: TableContract, wh: Warehouse,
+                      order: Sequence[str] = ()) -> DataFrame:
+    """The batch's rows to insert: one per key, absent from the target (lazy)."""
+    is_fact = contract.name == FACT_HISTORY.name
+    keys = list(contract.keys)
+    new = dedup_batch(batch, keys, order)
+    if is_fact:
+        new = new.withColumn("play_date", F.to_date("played_at"))
+    target = wh.read(contract.name)
+    if target is not None:
+        existing = (_bounded_fact_keys(target, batch, keys) if is_fact
+                    else target.select(*keys))
+        new = _null_safe_anti(new, existing, keys)
+    return new
+
+
 def load_table(batch: DataFrame, contract: TableContract, wh: Warehouse, batch_id: str,
                order: Sequence[str] = (), with_ids: bool | None = None) -> int:
     """Insert the batch's rows whose key is absent from the table; return rows written."""
@@ -117,14 +155,7 @@ def load_table(batch: DataFrame, contract: TableContract, wh: Warehouse, batch_i
     batch = batch.persist()
     try:
         rows_in = batch.count()
-        new = dedup_batch(batch, keys, order)
-        if is_fact:
-            new = new.withColumn("play_date", F.to_date("played_at"))
-        target = wh.read(contract.name)
-        if target is not None:
-            existing = (_bounded_fact_keys(target, batch, keys) if is_fact
-                        else target.select(*keys))
-            new = _null_safe_anti(new, existing, keys)
+        new = insert_candidates(batch, contract, wh, order)
         max_id = None
         if with_ids:
             base = wh.id_high_water(contract.name)

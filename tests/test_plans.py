@@ -35,3 +35,25 @@ def test_fanout_is_map_only(spark):
     assert "Generate explode" in plan
     # the only exchange is the catalogue join (broadcast); no shuffle of plays
     assert "Exchange hashpartitioning" not in plan
+
+
+def test_fact_load_reads_only_the_batch_range(spark, tmp_path):
+    import datetime as dt
+    from playmart.schemas import FACT_HISTORY
+    from playmart.sinks.loader import Warehouse, insert_candidates, load_table
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    schema = "played_at timestamp, song_id string, album_id string, artist_id string, " \
+             "duration_ms int"
+    days = [(dt.datetime(2024, 1, d, 10), f"s{d}", "a", "r", 1) for d in range(1, 11)]
+    load_table(spark.createDataFrame(days, schema), FACT_HISTORY, wh, "1")
+    batch = spark.createDataFrame([(dt.datetime(2024, 1, 5, 10), "s5", "a", "r", 1),
+                                   (dt.datetime(2024, 1, 5, 11), "new", "a", "r", 1)], schema)
+    cand = insert_candidates(batch, FACT_HISTORY, wh)
+    plan = _plan(cand)
+    # the target read is pruned to the batch's day and time range
+    assert "PartitionFilters: [isnotnull(play_date" in plan and "2024-01-05" in plan
+    assert "PushedFilters: [IsNotNull(played_at), GreaterThanOrEqual(played_at,2024-01-05 10:00" in plan
+    assert "LeftSemi" in plan
+    # batch keys are broadcast to narrow the target: the target is not shuffled
+    assert "BroadcastExchange" in plan
+    assert [r.song_id for r in cand.collect()] == ["new"]
