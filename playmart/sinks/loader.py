@@ -25,6 +25,7 @@ same target concurrently could both insert a key.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +36,6 @@ from pyspark.sql.utils import AnalysisException
 from ..functions.scalars import ts_literal
 from ..operators.dedup import dedup_batch
 from ..operators.ids import with_row_index
-from ..operators.joins import fits_in_rows
 from ..schemas import FACT_HISTORY, TableContract
 
 METRICS = "_load_metrics"
@@ -74,7 +74,10 @@ class Warehouse:
 
     def record(self, table: str, batch_id: str, rows_in: int, rows_new: int,
                max_id: int | None) -> None:
-        row = self.spark.createDataFrame([(rows_in, rows_new, max_id)], METRICS_SCHEMA)
+        row = self.spark.range(1).select(
+            F.lit(rows_in).cast("long").alias("rows_in"),
+            F.lit(rows_new).cast("long").alias("rows_new"),
+            F.lit(max_id).cast("long").alias("max_id"))
         row.write.mode("overwrite").parquet(
             f"{self.root}/{METRICS}/table_name={table}/batch_id={batch_id}")
 
@@ -93,54 +96,71 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     return left.join(r, cond, how)
 
 
-def _null_safe_anti(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``new`` rows whose key is absent from ``existing`` (NULL matches NULL).
-
-    When the batch's keys are few (checked), the target is first narrowed to
-    the keys it shares with the batch by a semi-join against the broadcast
-    batch keys: the target is only scanned, never shuffled.
-    """
-    batch_keys = new.select(*keys)
-    if fits_in_rows(batch_keys, BROADCAST_BATCH_KEYS):
-        existing = _null_safe(existing.select(*keys), F.broadcast(batch_keys), keys,
-                              "left_semi")
-    return _null_safe(new, existing, keys, "left_anti")
+# Batches spanning more days than this read the whole fact folder instead of
+# a glob of its day folders.
+MAX_DAY_GLOB = 62
 
 
-def _bounded_fact_keys(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target keys restricted to the batch's time range, as literal bounds.
+def _fact_target_keys(wh: Warehouse, batch: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """Keys already loaded in the batch's time range (None: nothing loaded there).
 
-    The bounds travel as text in the session zone, so they fold to constants
-    that reach the scan (partition pruning on ``play_date``, row-group
-    pruning on ``played_at``).  A NULL ``played_at`` in the batch disables
-    the bound (NULL-keyed rows must be compared against all of them).
+    Only the batch's ``play_date`` folders are listed and read (a glob under
+    ``basePath``), so a long history is never listed per micro-batch; inside
+    them the ``played_at`` range is a literal bound that prunes row groups.
+    A NULL ``played_at`` in the batch disables the bounds (NULL keys must be
+    compared against all rows).
     """
     fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
     lo, hi, nulls = batch.agg(F.date_format(F.min("played_at"), fmt),
                               F.date_format(F.max("played_at"), fmt),
                               F.count_if(F.col("played_at").isNull())).first()
-    t = target
-    if lo is not None and hi is not None and not nulls:
-        ts_type = target.schema["played_at"].dataType
-        t = t.filter((F.col("play_date") >= F.lit(lo[:10]).cast("date")) &
-                     (F.col("play_date") <= F.lit(hi[:10]).cast("date")))
-        t = t.filter(F.col("played_at").between(ts_literal(lo, ts_type), ts_literal(hi, ts_type)))
-    return t.select(*keys)
+    if lo is None or nulls:
+        target = wh.read(FACT_HISTORY.name)
+        return None if target is None else target.select(*keys)
+    d0, d1 = _dt.date.fromisoformat(lo[:10]), _dt.date.fromisoformat(hi[:10])
+    span = (d1 - d0).days + 1
+    if span > MAX_DAY_GLOB:
+        target = wh.read(FACT_HISTORY.name)
+    else:
+        days = ",".join(f"play_date={d0 + _dt.timedelta(days=i)}" for i in range(span))
+        path = wh.path(FACT_HISTORY.name)
+        try:
+            target = wh.spark.read.option("basePath", path).parquet(f"{path}/{{{days}}}")
+        except AnalysisException:
+            return None
+    if target is None:
+        return None
+    ts_type = target.schema["played_at"].dataType
+    return (target.filter(F.col("play_date").between(F.lit(str(d0)).cast("date"),
+                                                     F.lit(str(d1)).cast("date")))
+            .filter(F.col("played_at").between(ts_literal(lo, ts_type), ts_literal(hi, ts_type)))
+            .select(*keys))
 
 
 def insert_candidates(batch: DataFrame, contract: TableContract, wh: Warehouse,
-                      order: Sequence[str] = ()) -> DataFrame:
-    """The batch's rows to insert: one per key, absent from the target (lazy)."""
+                      order: Sequence[str] = (), batch_rows: int | None = None) -> DataFrame:
+    """The batch's rows to insert: one per key, absent from the target (lazy).
+
+    ``batch_rows`` (the batch's row count, when known) bounds the size of the
+    batch keys; within ``BROADCAST_BATCH_KEYS`` they are broadcast to narrow
+    the target before the anti-join.
+    """
     is_fact = contract.name == FACT_HISTORY.name
     keys = list(contract.keys)
     new = dedup_batch(batch, keys, order)
     if is_fact:
         new = new.withColumn("play_date", F.to_date("played_at"))
-    target = wh.read(contract.name)
-    if target is not None:
-        existing = (_bounded_fact_keys(target, batch, keys) if is_fact
-                    else target.select(*keys))
-        new = _null_safe_anti(new, existing, keys)
+    if is_fact:
+        existing = _fact_target_keys(wh, batch, keys)
+    else:
+        target = wh.read(contract.name)
+        existing = None if target is None else target.select(*keys)
+    if existing is not None:
+        if batch_rows is None:
+            batch_rows = batch.count()
+        if batch_rows <= BROADCAST_BATCH_KEYS:
+            existing = _null_safe(existing, F.broadcast(batch.select(*keys)), keys, "left_semi")
+        new = _null_safe(new, existing, keys, "left_anti")
     return new
 
 
@@ -155,27 +175,20 @@ def load_table(batch: DataFrame, contract: TableContract, wh: Warehouse, batch_i
     batch = batch.persist()
     try:
         rows_in = batch.count()
-        new = insert_candidates(batch, contract, wh, order)
-        max_id = None
-        if with_ids:
-            base = wh.id_high_water(contract.name)
-            new = with_row_index(new, keys, start=base + 1, col="id")
-        if is_fact:
-            # one shuffle by day: few files per day folder; AQE splits a hot day
-            new = new.hint("rebalance", "play_date")
-        # the new rows are few next to the batch: keep them for the count and the write
-        new = new.persist()
+        new = insert_candidates(batch, contract, wh, order, rows_in).persist()
         try:
-            stats = new.agg(F.count(F.lit(1)).alias("rows"),
-                            *([F.max("id").alias("max_id")] if with_ids else [])).first()
-            rows_new = int(stats["rows"])
-            if with_ids:
-                max_id = stats["max_id"] if stats["max_id"] is not None else \
-                    wh.id_high_water(contract.name)
-            writer = new.write.mode("append")
-            if is_fact:
-                writer = writer.partitionBy("play_date")
-            writer.parquet(wh.path(contract.name))
+            rows_new = new.count()
+            max_id = None
+            if rows_new:
+                if with_ids:
+                    base = wh.id_high_water(contract.name)
+                    new = with_row_index(new, keys, start=base + 1, col="id")
+                    max_id = base + rows_new
+                writer = (new.hint("rebalance", "play_date") if is_fact else new).write
+                if is_fact:
+                    # one shuffle by day: few files per day folder; AQE splits a hot day
+                    writer = writer.partitionBy("play_date")
+                writer.mode("append").parquet(wh.path(contract.name))
         finally:
             new.unpersist()
         wh.record(contract.name, batch_id, rows_in, rows_new, max_id)
