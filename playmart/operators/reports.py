@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ts_literal, weekday_name, weekday_number
-from .joins import checked_broadcast, join_dim
+from .joins import join_dim
 
 TS = "played_at"
 

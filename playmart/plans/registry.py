@@ -9,10 +9,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions import digest as G
+from ..functions import scalars as S
+from ..operators import decode as D
+from ..operators import fanout as FO
 from ..operators import reports as R
-from ..session import apply_job_conf
+from ..operators.contracts import check_star
+from ..operators.dedup import dedup_batch
+from ..operators.joins import new_rows_only, unmatched_fact_rows
+from ..schemas import CATALOG_REQUIRED, CONTRACTS, DIM_SONG, FACT_HISTORY, PLAY_RECORD
+from ..session import apply_job_conf, scratch_dir
+from ..sinks import loader as L
+from ..sources import catalog as C
+from ..sources import payload as P
+from ..streaming import rolling as RL
 from . import fixtures as X
+from . import streams as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -123,9 +138,6 @@ def _q(spark, d):
 
 
 # ------------------------------------------------- decode, quarantine, time
-from ..operators import decode as D  # noqa: E402
-from ..schemas import PLAY_RECORD, CATALOG_REQUIRED  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 
 def _items(spark, d):
@@ -154,7 +166,6 @@ def _q(spark, d):
 
 
 # ---------------------------------------------------------------- scalars
-from ..functions import scalars as S  # noqa: E402
 
 
 @register("format_played_at")
@@ -194,7 +205,6 @@ def _q(spark, d):
 
 
 # ---------------------------------------------------------------- fan-out
-from ..operators import fanout as FO  # noqa: E402
 
 
 def _wide(spark, d):
@@ -227,8 +237,6 @@ def _q(spark, d):
 
 
 # -------------------------------------------------------------- catalogue
-from ..sources import catalog as C  # noqa: E402
-from ..session import scratch_dir  # noqa: E402
 
 
 def _catalog_csv(spark, d):
@@ -248,8 +256,6 @@ def _q(spark, d):
 
 
 # ---------------------------------------------------------------- payload
-from ..sources import payload as P  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
 
 
 def _payloads(spark, d):
@@ -270,7 +276,6 @@ def _q(spark, d):
 
 
 # ---------------------------------------------------------------- digest
-from ..functions import digest as G  # noqa: E402
 
 
 def _digest(spark, d):
@@ -335,9 +340,6 @@ def _q(spark, d):
 
 
 # ---------------------------------------------------------------- streams
-from . import streams as ST  # noqa: E402
-from ..sinks import loader as L  # noqa: E402
-from ..streaming import rolling as RL  # noqa: E402
 
 DIM_COLS = {
     "dim_song": ["song_id", "song_name", "duration", "explicit", "popularity"],
@@ -465,10 +467,6 @@ def _q(spark, d):
 
 
 # --------------------------------------------- batch dedup, load, contracts
-from ..operators.dedup import dedup_batch  # noqa: E402
-from ..operators.joins import new_rows_only, unmatched_fact_rows  # noqa: E402
-from ..operators.contracts import check_star  # noqa: E402
-from ..schemas import CONTRACTS, DIM_SONG, FACT_HISTORY  # noqa: E402
 
 PLAY_KEYS = ("played_at", "song_id")
 PLAY_ORDER = ("album_id", "artist_id", "duration_ms")

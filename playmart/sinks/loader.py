@@ -30,7 +30,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.scalars import ts_literal
@@ -38,12 +37,9 @@ from ..operators.dedup import dedup_batch
 from ..operators.ids import with_row_index
 from ..schemas import FACT_HISTORY, TableContract
 
+# Per-batch load metrics: <root>/_load_metrics/table_name=<t>/batch_id=<id>/
+# with columns rows_in, rows_new, max_id (all bigint).
 METRICS = "_load_metrics"
-METRICS_SCHEMA = T.StructType([
-    T.StructField("rows_in", T.LongType()),
-    T.StructField("rows_new", T.LongType()),
-    T.StructField("max_id", T.LongType()),
-])
 
 
 class Warehouse:
