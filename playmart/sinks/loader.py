@@ -2,9 +2,9 @@
 
 Per batch:
 
-1. skip an empty batch (``isEmpty``: one row is enough to decide);
-2. persist the batch once, so the count, the survivor pick and the write do
+1. persist the batch once, so the count, the survivor pick and the write do
    not recompute it (the source may be a stream micro-batch);
+2. skip an empty batch (nothing written, no metrics row);
 3. one row per key inside the batch, deterministic survivor (``dedup_batch``);
 4. ``left_anti`` join with the keys already in the target - null-safe, so a
    replay of the same batch writes nothing.  For the fact table the target
@@ -163,14 +163,14 @@ def insert_candidates(batch: DataFrame, contract: TableContract, wh: Warehouse,
 def load_table(batch: DataFrame, contract: TableContract, wh: Warehouse, batch_id: str,
                order: Sequence[str] = (), with_ids: bool | None = None) -> int:
     """Insert the batch's rows whose key is absent from the table; return rows written."""
-    if batch.isEmpty():
-        return 0
     is_fact = contract.name == FACT_HISTORY.name
     with_ids = (not is_fact) if with_ids is None else with_ids
     keys = list(contract.keys)
     batch = batch.persist()
     try:
-        rows_in = batch.count()
+        rows_in = batch.count()      # reads the source once; later steps use the copy
+        if rows_in == 0:
+            return 0
         new = insert_candidates(batch, contract, wh, order, rows_in).persist()
         try:
             rows_new = new.count()

@@ -62,16 +62,16 @@ def topic_batch_handler(topic: str, wh: Warehouse, query_name: str, write_reject
     order = FACT_ORDER if topic == "item_topic" else ()
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         if already_accepted:
             load_table(batch, contract, wh, f"{query_name}-{batch_id}", order)
             return
         batch = batch.persist()
         try:
-            if write_rejects:
-                rej = batch.filter(F.col("_reject").isNotNull()).select(
-                    F.col("value").alias("raw_value"), F.col("_reject").alias("reason"))
+            if batch.count() == 0:      # one read of the source, then the copy
+                return
+            rej = batch.filter(F.col("_reject").isNotNull()).select(
+                F.col("value").alias("raw_value"), F.col("_reject").alias("reason"))
+            if write_rejects and not rej.isEmpty():
                 rej.write.mode("overwrite").parquet(
                     f"{wh.root}/_rejects/topic={topic}/batch_id={query_name}-{batch_id}")
             load_table(accepted(batch, topic), contract, wh, f"{query_name}-{batch_id}", order)
