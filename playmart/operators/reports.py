@@ -212,19 +212,24 @@ def weekly_stats(star, as_of=None, n: int = 5, days: int = 7, group_cols=()) ->
                            "artist_name", g, "top_artists")
     minutes = base.groupBy(*g).agg(
         F.coalesce(F.expr("sum(ms) div 60000"), F.lit(0).cast("long")).alias("mins"))
-    empty = F.array().cast("array<struct<name:string,plays:bigint>>")
-    if not g:
-        # Single listener: every part is one row; join on a constant key.
-        k = [F.lit(0).alias("_g")]
-        out = (minutes.select(*k, "mins")
-               .join(songs.select(*k, "top_songs"), "_g", "left")
-               .join(artists.select(*k, "top_artists"), "_g", "left"))
-    else:
-        out = (minutes.join(songs, g, "left").join(artists, g, "left"))
+    # Assemble one row per group without a join: union the three parts (each
+    # has one value per group) and take the single non-NULL value per column.
+    arr = "array<struct<name:string,plays:bigint>>"
+    parts = (songs.select(*g, "top_songs", F.lit(None).cast(arr).alias("top_artists"),
+                          F.lit(None).cast("long").alias("mins"))
+             .unionByName(artists.select(*g, F.lit(None).cast(arr).alias("top_songs"),
+                                         "top_artists", F.lit(None).cast("long").alias("mins")))
+             .unionByName(minutes.select(*g, F.lit(None).cast(arr).alias("top_songs"),
+                                         F.lit(None).cast(arr).alias("top_artists"),
+                                         F.col("mins").cast("long"))))
+    out = parts.groupBy(*g).agg(F.max("top_songs").alias("top_songs"),
+                                F.max("top_artists").alias("top_artists"),
+                                F.max("mins").alias("mins"))
+    empty = F.array().cast(arr)
     return out.select(*g,
                       F.coalesce("top_songs", empty).alias("top_songs"),
                       F.coalesce("top_artists", empty).alias("top_artists"),
-                      F.col("mins").cast("long").alias("total_minutes"))
+                      F.coalesce("mins", F.lit(0).cast("long")).alias("total_minutes"))
 
 
 def explode_stats(stats: DataFrame, group_cols=()) -> DataFrame:

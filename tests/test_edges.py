@@ -332,3 +332,22 @@ def test_scalar_properties(spark):
         assert r.s == r.t.strip("[]'")
         assert r.p == r.t[:5] + "..."
         assert html.unescape(r.h) == r.t and "<" not in r.h
+
+
+def test_per_group_reports(spark):
+    t = AS_OF - dt.timedelta(hours=1)
+    schema = "played_at timestamp, song_id string, album_id string, artist_id string, " \
+             "duration_ms int, user_id string"
+    f = spark.createDataFrame([(t, "a", "x", "r", 60000, "u1"), (t, "a", "x", "r", 60000, "u1"),
+                               (t, "b", "x", "r", 60000, "u1"), (t, "b", "x", "q", 120000, "u2")],
+                              schema)
+    star = _star(spark, f, [("a", "A"), ("b", "B")], artists=(("r", "R"), ("q", "Q")))
+    stats = {r.user_id: r for r in R.weekly_stats(star, AS_OF, n=1, group_cols=("user_id",))
+             .collect()}
+    assert [(x.name, x.plays) for x in stats["u1"].top_songs] == [("A", 2)]
+    assert [(x.name, x.plays) for x in stats["u2"].top_artists] == [("Q", 1)]
+    assert stats["u1"].total_minutes == 3 and stats["u2"].total_minutes == 2
+    tops = rows(R.top_songs(star, AS_OF, n=1, group_cols=("user_id",)))
+    assert tops == [("u1", "A", 2), ("u2", "B", 1)]
+    totals = {r.user_id: r.total_plays for r in R.totals(f, AS_OF, group_cols=("user_id",)).collect()}
+    assert totals == {"u1": 3, "u2": 1}
