@@ -17,12 +17,17 @@ from pyspark.sql import SparkSession
 # Settings chosen for the production shape of the jobs.  Shuffle width is left
 # to AQE (coalescing + skew-join split); the broadcast threshold is Spark's own
 # size check, applied statically from file stats and again at runtime by AQE.
+# Parquet sizes are compressed sizes; the compression factor scales them up so
+# the static check does not broadcast a table that is several times larger in
+# memory than on disk.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -45,6 +50,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(total_cores: int) -> dict:
+    """Settings for a cluster with ``total_cores`` executor cores.
+
+    The initial shuffle width is generous (three tasks per core) so each
+    partition of a large shuffle fits in memory; AQE then coalesces small
+    partitions towards the advisory size and splits skewed ones.  Stateful
+    streams freeze their width at first start, so they use the same number.
+    """
+    width = max(200, 3 * int(total_cores))
+    conf = dict(DEFAULT_CONF)
+    conf.update({
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    })
+    return conf
+
+
 def apply_job_conf(spark: SparkSession) -> None:
     """Pin the runtime SQL settings the library relies on (UTC, AQE)."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
