@@ -47,20 +47,32 @@ def unmatched_fact_rows(fact: DataFrame, song: DataFrame, artist: DataFrame,
                         album: DataFrame) -> DataFrame:
     """Plays that an inner star join would drop, counted per dimension.
 
-    One scan of the fact with three left joins against each dimension's key set
-    (marked with a flag), then one aggregate; the counts are unpivoted to rows
-    ``(dimension, unmatched)``.
+    One scan of the fact counts plays per song, per artist and per album at
+    once (grouping sets; partial aggregation, so a hot key is one row per
+    task before the shuffle).  The per-key counts, tagged with their grouping
+    id, are anti-joined once with the three dimensions' keys (tagged the same
+    way) - the raw plays are never shuffled or joined.  A NULL key never
+    matches, so its plays count as unmatched.  Rows ``(dimension, unmatched)``.
     """
-    def keys(dim, key):
-        return dim.select(key).distinct().withColumn(f"_{key}_hit", F.lit(True))
-
-    j = (fact.select("song_id", "artist_id", "album_id")
-         .join(keys(song, "song_id"), "song_id", "left")
-         .join(keys(artist, "artist_id"), "artist_id", "left")
-         .join(keys(album, "album_id"), "album_id", "left"))
-    agg = j.agg(*[F.count_if(F.col(f"_{k}_hit").isNull()).alias(d)
-                  for d, k in (("dim_song", "song_id"), ("dim_artist", "artist_id"),
-                               ("dim_album", "album_id"))])
+    keys = ("song_id", "artist_id", "album_id")
+    # grouping_id bits follow (song_id, artist_id, album_id): 0 for the grouped column
+    gid = {"song_id": 0b011, "artist_id": 0b101, "album_id": 0b110}
+    counts = (fact.select(*keys)
+              .groupingSets([[k] for k in keys], *keys)
+              .agg(F.count(F.lit(1)).alias("plays"), F.grouping_id().alias("_gid")))
+    key = F.when(F.col("_gid") == gid["song_id"], F.col("song_id").cast("string")) \
+           .when(F.col("_gid") == gid["artist_id"], F.col("artist_id").cast("string")) \
+           .otherwise(F.col("album_id").cast("string"))
+    tagged = counts.select(key.alias("_k"), "_gid", "plays")
+    dim_keys = None
+    for k, dim in (("song_id", song), ("artist_id", artist), ("album_id", album)):
+        part = dim.select(F.col(k).cast("string").alias("_k"),
+                          F.lit(gid[k]).cast(tagged.schema["_gid"].dataType).alias("_gid"))
+        dim_keys = part if dim_keys is None else dim_keys.unionByName(part)
+    missing = tagged.join(dim_keys, ["_k", "_gid"], "left_anti")
+    names = (("dim_song", "song_id"), ("dim_artist", "artist_id"), ("dim_album", "album_id"))
+    agg = missing.agg(*[F.coalesce(F.sum(F.when(F.col("_gid") == gid[k], F.col("plays"))),
+                                   F.lit(0)).cast("long").alias(d) for d, k in names])
     return agg.select(F.expr(
         "stack(3, 'dim_song', dim_song, 'dim_artist', dim_artist, 'dim_album', dim_album)"
         " AS (dimension, unmatched)"))

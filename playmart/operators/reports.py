@@ -20,11 +20,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ts_literal, weekday_name, weekday_number
 from .joins import join_dim
+from .topn import top_n_per_group
 
 TS = "played_at"
 
@@ -66,9 +67,8 @@ def top_n(counts: DataFrame, name_col: str, n: int, group_cols: Sequence[str] =
     order = [F.col("plays").desc(), F.col(name_col).asc_nulls_last()]
     if not group_cols:
         return counts.orderBy(*order).limit(n)
-    w = Window.partitionBy(*group_cols).orderBy(*order)
-    return (counts.withColumn("_rank", F.row_number().over(w))
-            .filter(F.col("_rank") <= n).drop("_rank"))
+    # per group: two-stage top-N, so one large group is not one task
+    return top_n_per_group(counts, group_cols, order, n, name_col)
 
 
 def top_songs(star, as_of=None, n: int = 5, days: int = 7, group_cols=(),

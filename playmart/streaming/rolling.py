@@ -19,10 +19,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.topn import top_n_per_group
 from .consumers import _trigger
 
 
@@ -97,8 +98,9 @@ def read_latest(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame
 
 def top_per_window(counts: DataFrame, item_col: str, n: int = 5,
                    window_col: str = "window_start") -> DataFrame:
-    """Top ``n`` items per window by plays, ties broken by the item id."""
-    w = Window.partitionBy(window_col).orderBy(F.col("plays").desc(),
-                                               F.col(item_col).asc_nulls_last())
-    return (counts.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= n))
+    """Top ``n`` items per window by plays, ties broken by the item id.
+
+    Two-stage (salted) top-N: a busy window is spread over many tasks.
+    """
+    order = [F.col("plays").desc(), F.col(item_col).asc_nulls_last()]
+    return top_n_per_group(counts, [window_col], order, n, item_col, rank_col="rank")

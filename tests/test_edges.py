@@ -351,3 +351,16 @@ def test_per_group_reports(spark):
     assert tops == [("u1", "A", 2), ("u2", "B", 1)]
     totals = {r.user_id: r.total_plays for r in R.totals(f, AS_OF, group_cols=("user_id",)).collect()}
     assert totals == {"u1": 3, "u2": 1}
+
+
+def test_top_n_per_group_matches_single_stage(spark):
+    from pyspark.sql import Window
+    from playmart.operators.topn import top_n_per_group
+    df = spark.range(0, 3000).select(
+        (F.col("id") % 3).alias("g"), (F.col("id") % 997).cast("string").alias("item"),
+        ((F.col("id") * 7919) % 50).alias("plays"))
+    order = [F.col("plays").desc(), F.col("item").asc_nulls_last()]
+    got = rows(top_n_per_group(df, ["g"], order, 5, "item", buckets=7, rank_col="rank"))
+    w = Window.partitionBy("g").orderBy(*order)
+    want = rows(df.withColumn("rank", F.row_number().over(w)).filter("rank <= 5"))
+    assert got == want
