@@ -1,8 +1,9 @@
 """Table contracts as checks (plain files enforce no UNIQUE, NOT NULL or VARCHAR).
 
-For each table: one aggregate pass for the NOT NULL and length checks, and
-one grouped count on the unique key (partial aggregation, so a hot key is
-counted map-side).  Result rows: ``table_name, check_name, violations``.
+For each table, one scan: a grouped count on the unique key that also counts
+the NOT NULL and length failures per key (partial aggregation, so a hot key
+is counted map-side), then one tiny sum over the keys.  Result rows:
+``table_name, check_name, violations``.
 
 Uniqueness follows SQL UNIQUE: rows with a NULL key part never conflict.
 """
@@ -16,29 +17,28 @@ from ..schemas import TableContract
 
 
 def check_contract(df: DataFrame, contract: TableContract) -> DataFrame:
+    """One scan: a per-key partial aggregate carries every check, then one tiny sum."""
+    keys = list(contract.keys)
     checks = []
     for c in contract.not_null:
-        checks.append((f"not_null:{c}", F.count_if(F.col(c).isNull())))
+        checks.append((f"not_null:{c}", F.col(c).isNull()))
     for c, n in contract.max_len.items():
         if c in df.columns:
-            checks.append((f"max_len:{c}",
-                           F.count_if(F.length(F.col(c).cast("string")) > F.lit(n))))
-    names = [n for n, _ in checks]
-    row = df.agg(*[e.alias(f"_c{i}") for i, (_, e) in enumerate(checks)])
-    stack = ", ".join(f"'{n}', _c{i}" for i, n in enumerate(names))
-    per_col = row.select(F.lit(contract.name).alias("table_name"),
-                         F.expr(f"stack({len(names)}, {stack}) AS (check_name, violations)"))
-
-    keys = list(contract.keys)
+            checks.append((f"max_len:{c}", F.length(F.col(c).cast("string")) > F.lit(n)))
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(cond).alias(f"_c{i}") for i, (_, cond) in enumerate(checks)])
     key_ok = F.lit(True)
     for k in keys:
         key_ok = key_ok & F.col(k).isNotNull()
-    dup = (df.filter(key_ok).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("violations"))
-           .select(F.lit(contract.name).alias("table_name"),
-                   F.lit("unique:" + ",".join(keys)).alias("check_name"), "violations"))
-    return per_col.select("table_name", "check_name",
-                          F.col("violations").cast("long")).unionByName(dup)
+    dup = F.sum(F.when(key_ok, F.col("_n") - 1).otherwise(F.lit(0)))
+    totals = per_key.agg(*[F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(checks))],
+                         dup.alias("_dup"))
+    names = [n for n, _ in checks] + ["unique:" + ",".join(keys)]
+    cols = [f"_c{i}" for i in range(len(checks))] + ["_dup"]
+    stack = ", ".join(f"'{n}', CAST(COALESCE({c}, 0) AS BIGINT)" for n, c in zip(names, cols))
+    return totals.select(F.lit(contract.name).alias("table_name"),
+                         F.expr(f"stack({len(names)}, {stack}) AS (check_name, violations)"))
 
 
 def check_star(tables: dict[str, DataFrame], contracts: dict[str, TableContract]) -> DataFrame:
