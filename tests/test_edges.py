@@ -364,3 +364,22 @@ def test_top_n_per_group_matches_single_stage(spark):
     w = Window.partitionBy("g").orderBy(*order)
     want = rows(df.withColumn("rank", F.row_number().over(w)).filter("rank <= 5"))
     assert got == want
+
+
+def test_default_clock_is_now(spark):
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    f = _fact(spark, [(now - dt.timedelta(hours=1), "recent", "a", "r", 1),
+                      (now - dt.timedelta(days=8), "old", "a", "r", 1)])
+    assert [r.song_id for r in R.recent(f, None, 7).collect()] == ["recent"]
+
+
+def test_connector_options(monkeypatch):
+    from playmart.sinks.jdbc import jdbc_properties
+    from playmart.sources.topics import kafka_options
+    monkeypatch.setenv("PLAYMART_JDBC_USER", "u")
+    monkeypatch.setenv("PLAYMART_JDBC_PASSWORD", "p")
+    monkeypatch.setenv("PLAYMART_JDBC_DRIVER", "org.example.Driver")
+    assert jdbc_properties() == {"user": "u", "password": "p", "driver": "org.example.Driver"}
+    opts = kafka_options("b:9092", "item_topic", "earliest", {"maxOffsetsPerTrigger": "1000"})
+    assert opts["subscribe"] == "item_topic" and opts["startingOffsets"] == "earliest"
+    assert opts["kafka.bootstrap.servers"] == "b:9092" and opts["maxOffsetsPerTrigger"] == "1000"
