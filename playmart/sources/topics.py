@@ -34,6 +34,19 @@ def kafka_topic_stream(spark: SparkSession, servers: str, topic: str,
                                 F.col("value").cast("string").alias("value"))
 
 
+def kafka_topic_batch(spark: SparkSession, servers: str, topic: str,
+                      starting_offsets: str = "earliest", ending_offsets: str = "latest",
+                      extra: dict | None = None) -> DataFrame:
+    """Replay what the topic retains as a batch (``topic, key, value`` text rows)."""
+    reader = spark.read.format("kafka")
+    opts = kafka_options(servers, topic, starting_offsets, extra)
+    opts["endingOffsets"] = ending_offsets
+    for k, v in opts.items():
+        reader = reader.option(k, v)
+    return reader.load().select("topic", F.col("key").cast("string").alias("key"),
+                                F.col("value").cast("string").alias("value"))
+
+
 def landing_path(root: str, topic: str) -> str:
     return f"{root.rstrip('/')}/topic={topic}"
 

@@ -383,3 +383,13 @@ def test_connector_options(monkeypatch):
     opts = kafka_options("b:9092", "item_topic", "earliest", {"maxOffsetsPerTrigger": "1000"})
     assert opts["subscribe"] == "item_topic" and opts["startingOffsets"] == "earliest"
     assert opts["kafka.bootstrap.servers"] == "b:9092" and opts["maxOffsetsPerTrigger"] == "1000"
+
+
+def test_plays_by_song_sums_to_joined_plays(spark):
+    from conftest import SF_SMALL
+    from playmart.plans import fixtures as X
+    star = X.star(spark, SF_SMALL)
+    as_of = X.fact_as_of(spark, SF_SMALL)
+    by_name = R.plays_by_name(star.fact, star.song, "song_id", "song_name", as_of, 30)
+    joined = R.recent(star.fact, as_of, 30).join(star.song, "song_id").count()
+    assert by_name.agg(F.sum("plays")).first()[0] == joined > 0
