@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators import fanout as FO
 from ..operators.dedup import dedup_stream
-from ..session import scratch_dir
+from ..session import DEFAULT_CONF, scratch_dir
 from ..sinks.loader import Warehouse
 from ..sources.topics import landing_topic_stream
 from ..streaming import consumers as SC
@@ -30,11 +30,16 @@ N_SLICES = 5
 _RUNS: dict = {}
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
 class _stateful_width:
-    """Pin ``spark.sql.shuffle.partitions`` while stateful queries first start.
+    """Pin the state settings while the staged stateful queries first start.
 
-    A stateful query freezes its shuffle width into its checkpoint, so it is
-    chosen here on purpose (the cluster's parallelism) rather than inherited.
+    A stateful query freezes its shuffle width (and state store) into its
+    checkpoint, so both are chosen here on purpose - the cluster's
+    parallelism and RocksDB unless the session names a provider - rather than
+    inherited from whatever the caller's session holds.
     """
 
     def __init__(self, spark: SparkSession):
@@ -44,6 +49,8 @@ class _stateful_width:
     def __enter__(self):
         self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
         self.spark.conf.set("spark.sql.shuffle.partitions", self.width)
+        if self.spark.conf.get(STATE_STORE, None) in (None, ""):
+            self.spark.conf.set(STATE_STORE, DEFAULT_CONF[STATE_STORE])
 
     def __exit__(self, *exc):
         self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
