@@ -426,44 +426,44 @@ def _q(spark, d):
         F.count_if(F.col("rows_in") == 0).alias("zero_row_batches"))
 
 
-def _roll(spark, d, k, keys):
-    r = RL.read_latest(spark, ST.state_run(spark, d)[f"roll_{k}"], keys)
+def _roll(spark, d, grouping, key_name=None):
+    log = RL.read_latest(spark, ST.state_run(spark, d)["rolling"],
+                         ["window_start", "grouping", "key"])
+    r = RL.kpi(log, grouping, key_name)
     return r.withColumn("window_start", _ntz("window_start")).drop("window_end")
 
 
 @register("rolling_song_plays")
 def _q(spark, d):
-    return _roll(spark, d, "song", ["window_start", "song_id"]).select(
-        "window_start", "song_id", "plays")
+    return _roll(spark, d, "song_id", "song_id").select("window_start", "song_id", "plays")
 
 
 @register("rolling_listening_time")
 def _q(spark, d):
-    return _roll(spark, d, "total", ["window_start"]).select(
-        "window_start", "plays", "listening_ms")
+    return _roll(spark, d, "total").select("window_start", "plays", "listening_ms")
 
 
 @register("rolling_top_songs")
 def _q(spark, d):
-    c = _roll(spark, d, "song", ["window_start", "song_id"])
+    c = _roll(spark, d, "song_id", "song_id")
     return RL.top_per_window(c, "song_id", 5).select("window_start", "rank", "song_id", "plays")
 
 
 @register("rolling_top_albums")
 def _q(spark, d):
-    c = _roll(spark, d, "album", ["window_start", "album_id"])
+    c = _roll(spark, d, "album_id", "album_id")
     return RL.top_per_window(c, "album_id", 5).select("window_start", "rank", "album_id", "plays")
 
 
 @register("rolling_artist_metrics")
 def _q(spark, d):
-    return _roll(spark, d, "artist", ["window_start", "artist_id"]).select(
+    return _roll(spark, d, "artist_id", "artist_id").select(
         "window_start", "artist_id", "plays", "listening_ms")
 
 
 @register("rolling_distinct_items")
 def _q(spark, d):
-    return RL.distinct_per_window(_roll(spark, d, "song", ["window_start", "song_id"]))
+    return RL.distinct_per_window(_roll(spark, d, "song_id", "song_id"))
 
 
 # --------------------------------------------- batch dedup, load, contracts

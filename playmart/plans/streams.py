@@ -97,12 +97,6 @@ def star_run(spark: SparkSession, d: str) -> dict:
     return out
 
 
-ROLLING = {
-    "song": "song_id",
-    "album": "album_id",
-    "artist": "artist_id",
-    "total": None,
-}
 
 
 def state_run(spark: SparkSession, d: str) -> dict:
@@ -119,7 +113,7 @@ def state_run(spark: SparkSession, d: str) -> dict:
     wh = Warehouse(spark, f"{root}/wm_star")
     out = {n: f"{root}/out/{n}" for n in
            ("album", "artist", "play", "song_append", "item_raw")}
-    out.update({f"roll_{k}": f"{root}/out/roll_{k}" for k in ROLLING})
+    out["rolling"] = f"{root}/out/rolling"
 
     def src(topic):
         return landing_topic_stream(spark, landing, topic)
@@ -141,11 +135,11 @@ def state_run(spark: SparkSession, d: str) -> dict:
             SC.start_append(src("item_topic"), out["item_raw"], f"{ck}/item_raw", "item_raw"),
         ]
         SC.run_to_end(qs)
-        # rolling KPIs consume the loaded (de-duplicated) fact as a stream
+        # rolling KPIs consume the loaded (de-duplicated) fact as a stream:
+        # every breakdown in one query
         plays = RL.fact_stream(spark, wh.path("fact_history"))
-        SC.run_to_end([RL.start_update_log(RL.rolling_metrics(plays, g), out[f"roll_{k}"],
-                                           f"{ck}/roll_{k}", f"roll_{k}")
-                       for k, g in ROLLING.items()])
+        SC.run_to_end([RL.start_update_log(RL.rolling_kpis(plays), out["rolling"],
+                                           f"{ck}/rolling", "rolling_kpis")])
 
     with _stateful_width(spark):
         stage_and_run(event_topic_records(spark, d), landing, "played_ts", N_SLICES, run,

@@ -66,6 +66,45 @@ def rolling_metrics(plays: DataFrame, group_col: str | None, size: str = "1 day"
                     *([group_col] if group_col else []), "plays", "listening_ms"))
 
 
+def rolling_kpis(plays: DataFrame, group_cols=("song_id", "album_id", "artist_id"),
+                 size: str = "1 day", slide: str | None = None, delay: str = "1 hour",
+                 dedup: bool = False) -> DataFrame:
+    """All rolling breakdowns in one streaming aggregation (grouping sets).
+
+    Per window: plays and listening_ms per song, per album, per artist and in
+    total - one read of the stream and one state store instead of one query
+    per breakdown.  Rows: ``window_start, window_end, grouping, key, plays,
+    listening_ms`` where ``grouping`` names the grouped column (``total`` for
+    the window total) and ``key`` is its value as text.
+    """
+    g = list(group_cols)
+    w = windowed(plays, size, slide)
+    src = unique_plays(plays, delay) if dedup else plays.withWatermark("played_at", delay)
+    sets = [[w, c] for c in g] + [[w]]
+    agg = (src.groupingSets(sets, w, *g)
+           .agg(F.count(F.lit(1)).alias("plays"),
+                F.sum("duration_ms").cast("long").alias("listening_ms"),
+                F.grouping_id().alias("_gid")))
+    # grouping_id bits follow (window, *group_cols); a grouped column's bit is 0
+    full = (1 << len(g)) - 1
+    name = F.lit("total")
+    key = F.lit(None).cast("string")
+    for i, c in enumerate(g):
+        bit = 1 << (len(g) - 1 - i)
+        name = F.when(F.col("_gid") == (full ^ bit), F.lit(c)).otherwise(name)
+        key = F.when(F.col("_gid") == (full ^ bit), F.col(c).cast("string")).otherwise(key)
+    first = agg.columns[0]
+    return agg.select(F.col(f"{first}.start").alias("window_start"),
+                      F.col(f"{first}.end").alias("window_end"),
+                      name.alias("grouping"), key.alias("key"), "plays", "listening_ms")
+
+
+def kpi(log: DataFrame, grouping: str, key_name: str | None = None) -> DataFrame:
+    """One breakdown out of the current ``rolling_kpis`` values."""
+    out = log.filter(F.col("grouping") == grouping).drop("grouping")
+    return out.drop("key") if key_name is None else out.withColumnRenamed("key", key_name)
+
+
 def distinct_per_window(item_counts: DataFrame, window_col: str = "window_start") -> DataFrame:
     """Exact distinct items per window, from the per-(window, item) counts.
 
