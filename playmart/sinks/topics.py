@@ -14,7 +14,7 @@ def write_kafka(records: DataFrame, servers: str, extra: dict | None = None) ->
     w.save()
 
 
-def write_landing(records: DataFrame, root: str) -> None:
-    """Append ``topic, key, value`` rows as JSON lines, one folder per topic."""
+def write_landing(records: DataFrame, root: str, fmt: str = "json") -> None:
+    """Append ``topic, key, value`` rows (JSON lines or Parquet), one folder per topic."""
     records.select("topic", "key", "value").write.mode("append") \
-        .partitionBy("topic").json(root)
+        .partitionBy("topic").format(fmt).save(root)

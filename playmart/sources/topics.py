@@ -52,16 +52,19 @@ def landing_path(root: str, topic: str) -> str:
 
 
 def landing_topic_stream(spark: SparkSession, root: str, topic: str,
-                         max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming ``topic, key, value`` rows from a landing folder."""
-    reader = spark.readStream.schema("key STRING, value STRING")
+                         max_files_per_trigger: int | None = None,
+                         fmt: str = "json") -> DataFrame:
+    """Streaming ``topic, key, value`` rows from a landing folder (JSON lines or Parquet)."""
+    reader = spark.readStream.schema("key STRING, value STRING").format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return (reader.json(landing_path(root, topic))
+    return (reader.load(landing_path(root, topic))
             .select(F.lit(topic).alias("topic"), "key", "value"))
 
 
-def landing_topic_batch(spark: SparkSession, root: str, topic: str) -> DataFrame:
+def landing_topic_batch(spark: SparkSession, root: str, topic: str,
+                        fmt: str = "json") -> DataFrame:
     """The same rows as a batch (a replay of everything retained)."""
-    return (spark.read.schema("key STRING, value STRING").json(landing_path(root, topic))
+    return (spark.read.schema("key STRING, value STRING").format(fmt)
+            .load(landing_path(root, topic))
             .select(F.lit(topic).alias("topic"), "key", "value"))

@@ -86,3 +86,14 @@ def test_job_from_config_loads_star_and_refreshes_reports(spark, tmp_path):
     assert spark.read.parquet(f"{star}/dim_album").count() == 1
     assert spark.read.parquet(f"{star}/dim_artist").count() == 2
     assert spark.read.parquet(str(tmp_path / "reports" / "totals")).count() == 1
+
+
+def test_parquet_landing_round_trip(spark, tmp_path):
+    from playmart.sources.topics import landing_topic_batch
+    landing, out, ck = (str(tmp_path / x) for x in ("landing", "out", "ck"))
+    write_landing(_plays(spark, 1, 3), landing, fmt="parquet")
+    q = SC.start_append(landing_topic_stream(spark, landing, "item_topic", fmt="parquet"),
+                        out, ck, "pq_landing")
+    SC.run_to_end([q])
+    assert spark.read.parquet(out).count() == 3
+    assert landing_topic_batch(spark, landing, "item_topic", fmt="parquet").count() == 3
