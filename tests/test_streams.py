@@ -97,3 +97,32 @@ def test_parquet_landing_round_trip(spark, tmp_path):
     SC.run_to_end([q])
     assert spark.read.parquet(out).count() == 3
     assert landing_topic_batch(spark, landing, "item_topic", fmt="parquet").count() == 3
+
+
+def test_reports_on_a_loaded_warehouse(spark, tmp_path):
+    from playmart.operators import reports as R
+    from playmart.functions.digest import digest
+    from playmart.operators.fanout import fanout
+    from playmart.sources.tables import read_parquet_star
+    from playmart.streaming.jobs import start
+    from playmart.streaming.consumers import run_to_end
+    landing = str(tmp_path / "landing")
+    wide = spark.createDataFrame(
+        [("t1", "One", "['A']", "Al", 60000, True, 50, dt.datetime(2024, 1, 1, 10)),
+         ("t1", "One", "['A']", "Al", 60000, True, 50, dt.datetime(2024, 1, 2, 10)),
+         ("t2", "Two", "['B']", "Bl", 120000, False, 40, dt.datetime(2024, 1, 2, 11))],
+        "track_id string, track_name string, artists string, album_name string, "
+        "duration_ms int, explicit boolean, popularity int, played_ts timestamp")
+    write_landing(fanout(wide), landing)
+    wh = str(tmp_path / "star")
+    run_to_end(start(spark, {"source": {"kind": "landing", "root": landing}, "warehouse": wh,
+                             "checkpoints": str(tmp_path / "ck"),
+                             "trigger": {"available_now": True}}))
+    star = read_parquet_star(spark, wh)
+    as_of = "2024-01-03 00:00:00"
+    assert [(r.song_name, r.plays) for r in R.top_songs(star, as_of, n=10).collect()] == \
+        [("One", 2), ("Two", 1)]
+    assert R.listening_minutes(star.fact, as_of).first().mins == 4
+    assert [r.artist_name for r in R.recent_plays(star, n=2).collect()] == ["B", "A"]
+    d = digest(R.weekly_stats(star, as_of)).first()
+    assert "One (2 plays), Two (1 plays)" in d.prompt
