@@ -178,10 +178,13 @@ def latest_events(fact: DataFrame) -> DataFrame:
 
 
 def _ranked_list(top: DataFrame, name_col: str, group_cols: Sequence[str], alias: str):
-    """Pack a top list into ``array<struct<name, plays>>`` in rank order."""
+    """Pack a top list into ``array<struct<name, plays>>`` in rank order.
+
+    Sort key: plays descending, then name with NULL last (as ``top_n`` ranks).
+    """
     packed = F.sort_array(F.collect_list(F.struct(
-        (-F.col("plays")).alias("_k"), F.col(name_col).alias("name"),
-        F.col("plays").alias("plays"))))
+        (-F.col("plays")).alias("_k"), F.col(name_col).isNull().alias("_null"),
+        F.col(name_col).alias("name"), F.col("plays").alias("plays"))))
     return top.groupBy(*group_cols).agg(
         F.transform(packed, lambda x: F.struct(x["name"].alias("name"),
                                                x["plays"].alias("plays"))).alias(alias))
@@ -193,10 +196,10 @@ def weekly_stats(star, as_of=None, n: int = 5, days: int = 7, group_cols=()) ->
     The window is read once: plays and milliseconds are aggregated per
     (song, artist), that small result is checkpointed (a reliable copy in the
     shared folder, so lost executors do not re-read the fact), and the three
-    parts are derived from it.  Each list holds
-    at most ``n`` entries per group, so packing is bounded however many plays
-    a group has.  With no ``group_cols`` an empty window still yields one row:
-    empty lists and 0 minutes.
+    parts are derived from it.  Each list holds at most ``n`` entries per
+    group, so packing is bounded however many plays a group has.  With no
+    ``group_cols`` an empty window still yields one row: empty lists and 0
+    minutes.
     """
     g = list(group_cols)
     base = (recent(star.fact, as_of, days)

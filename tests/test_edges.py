@@ -393,3 +393,12 @@ def test_plays_by_song_sums_to_joined_plays(spark):
     by_name = R.plays_by_name(star.fact, star.song, "song_id", "song_name", as_of, 30)
     joined = R.recent(star.fact, as_of, 30).join(star.song, "song_id").count()
     assert by_name.agg(F.sum("plays")).first()[0] == joined > 0
+
+
+def test_stats_list_order_puts_null_names_last(spark):
+    t = AS_OF - dt.timedelta(hours=1)
+    f = _fact(spark, [(t, "n", "a", "r", 1), (t, "b", "a", "r", 1), (t, "b", "a", "r", 1),
+                      (t, "c", "a", "r", 1)])
+    star = _star(spark, f, [("n", None), ("b", "B"), ("c", "C")])
+    s = R.weekly_stats(star, AS_OF, n=5).first()
+    assert [(x.name, x.plays) for x in s.top_songs] == [("B", 2), ("C", 1), (None, 1)]
