@@ -17,7 +17,8 @@ Per batch:
 6. append (the fact partitioned by ``play_date`` after a ``rebalance`` on it:
    few files per day, a hot day split by AQE), then record ``rows_in /
    rows_new / max_id`` for the batch in a metrics table (overwrite of that
-   batch's own folder: replay-safe).
+   batch's own folder: replay-safe; a re-run batch records what that run
+   wrote, i.e. nothing new).
 
 One writer per table is part of the contract: two loaders anti-joining the
 same target concurrently could both insert a key.
@@ -78,8 +79,8 @@ class Warehouse:
             f"{self.root}/{METRICS}/table_name={table}/batch_id={batch_id}")
 
 
-# A batch whose new keys number at most this many probes the target with
-# broadcast keys; above it the anti-join is a shuffle join.
+# A batch of at most this many rows probes the target with its broadcast keys
+# (the row count bounds the key count); above it the anti-join is a shuffle join.
 BROADCAST_BATCH_KEYS = 2_000_000
 
 
