@@ -38,10 +38,22 @@ def as_of_column(fact: DataFrame, as_of=None, ts_col: str = TS) -> Column:
     return ts_literal(as_of, fact.schema[ts_col].dataType)
 
 
-def recent(fact: DataFrame, as_of=None, days: int = 7, ts_col: str = TS) -> DataFrame:
-    """Plays with ``ts >= as_of - days`` (closed lower bound, no upper bound)."""
+def recent(fact: DataFrame, as_of=None, days: int = 7, ts_col: str = TS,
+           date_col: str = "play_date") -> DataFrame:
+    """Plays with ``ts >= as_of - days`` (closed lower bound, no upper bound).
+
+    When the fact carries its partition column ``play_date`` (as the loader
+    writes it), the implied ``play_date >= to_date(bound)`` is added too:
+    Spark does not derive partition filters from a timestamp predicate, and
+    this one prunes every older day folder.  It cannot drop a matching row
+    (a later time never has an earlier date, in the session zone the loader
+    used).
+    """
     lower = as_of_column(fact, as_of, ts_col) - F.expr(f"INTERVAL {int(days)} DAYS")
-    return fact.filter(F.col(ts_col) >= lower)
+    out = fact.filter(F.col(ts_col) >= lower)
+    if date_col in fact.columns:
+        out = out.filter(F.col(date_col) >= F.to_date(lower))
+    return out
 
 
 def plays_by_name(fact: DataFrame, dim: DataFrame, key: str, name_col: str,

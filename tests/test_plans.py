@@ -57,3 +57,20 @@ def test_fact_load_reads_only_the_batch_range(spark, tmp_path):
     # batch keys are broadcast to narrow the target: the target is not shuffled
     assert "BroadcastExchange" in plan
     assert [r.song_id for r in cand.collect()] == ["new"]
+
+
+def test_reports_prune_day_partitions_of_the_loaded_fact(spark, tmp_path):
+    import datetime as dt
+    from playmart.operators import reports as R
+    from playmart.schemas import FACT_HISTORY
+    from playmart.sinks.loader import Warehouse, load_table
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    schema = "played_at timestamp, song_id string, album_id string, artist_id string, " \
+             "duration_ms int"
+    plays = [(dt.datetime(2024, 1, d, 10), f"s{d}", "a", "r", 60000) for d in range(1, 21)]
+    load_table(spark.createDataFrame(plays, schema), FACT_HISTORY, wh, "1")
+    fact = wh.read("fact_history")
+    q = R.totals(fact, "2024-01-20 12:00:00", 7)
+    plan = _plan(q)
+    assert "PartitionFilters: [isnotnull(play_date" in plan and "2024-01-13" in plan
+    assert q.first().total_plays == 7          # days 14..20 (13th 10:00 < bound 13th 12:00)
