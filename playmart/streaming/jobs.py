@@ -12,6 +12,7 @@ cfg = {
     "state_partitions": 64,          # frozen into each stateful query's checkpoint
     "rejects": True,                 # dead-letter folder per topic (table mode: same query)
     "report_refresh": {"out": "/shared/reports", "every": "60 seconds"},
+    "topics": ["song_topic", "album_topic", "artist_topic", "item_topic"],   # default: all
 }
 queries = start(spark, cfg); spark.streams.awaitAnyTermination()
 ```
@@ -55,7 +56,7 @@ def start(spark: SparkSession, cfg: dict) -> list[StreamingQuery]:
     if cfg.get("state_partitions"):
         spark.conf.set("spark.sql.shuffle.partitions", str(cfg["state_partitions"]))
     queries = []
-    for topic in TOPICS:
+    for topic in cfg.get("topics", list(TOPICS)):
         mode = dedup.get("fact" if topic == "item_topic" else "dims", "table")
         name = f"load_{topic}"
         queries.append(SC.start_topic_load(

@@ -126,3 +126,23 @@ def test_reports_on_a_loaded_warehouse(spark, tmp_path):
     assert [r.artist_name for r in R.recent_plays(star, n=2).collect()] == ["B", "A"]
     d = digest(R.weekly_stats(star, as_of)).first()
     assert "One (2 plays), Two (1 plays)" in d.prompt
+
+
+def test_job_state_modes_with_dead_letters(spark, tmp_path):
+    from playmart.streaming.jobs import start
+    from playmart.streaming.consumers import run_to_end
+    landing = str(tmp_path / "landing")
+    good = _plays(spark, 1, 3)
+    bad = spark.createDataFrame([("item_topic", "s", "not json"),
+                                 ("item_topic", "s", '{"played_at":"bad","song_id":"x"}')],
+                                "topic string, key string, value string")
+    write_landing(good.unionByName(bad).unionByName(_plays(spark, 1, 3)), landing)
+    cfg = {"source": {"kind": "landing", "root": landing},
+           "warehouse": str(tmp_path / "star"), "checkpoints": str(tmp_path / "ck"),
+           "dedup": {"dims": "state", "fact": "watermark"}, "watermark": "1 hour",
+           "rejects": True, "trigger": {"available_now": True}, "topics": ["item_topic"]}
+    run_to_end(start(spark, cfg))
+    star = str(tmp_path / "star")
+    assert spark.read.parquet(f"{star}/fact_history").count() == 3      # copies removed
+    rej = spark.read.parquet(f"{star}/_rejects/topic=item_topic").collect()
+    assert sorted(r.reason for r in rej) == ["malformed", "null_key"]   # bad time -> NULL key
