@@ -32,6 +32,9 @@ DEFAULT_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
+    # reports checkpoint small intermediates into the shared folder; remove
+    # those files once nothing refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -81,7 +81,7 @@ class Warehouse:
 
 # A batch of at most this many rows probes the target with its broadcast keys
 # (the row count bounds the key count); above it the anti-join is a shuffle join.
-BROADCAST_BATCH_KEYS = 2_000_000
+BROADCAST_BATCH_KEYS = 1_000_000
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
