@@ -25,7 +25,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
@@ -67,6 +66,8 @@ def cluster_conf(total_cores: int) -> dict:
         "spark.sql.shuffle.partitions": str(width),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
         "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        # larger AQE target partitions: fewer, bigger output files at scale
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     })
     return conf
 
