@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import (bool_label, format_played_at, stable_key, strip_chars,
-                                 to_int, url_from_id)
+from ..functions.scalars import (bool_label, encode_utf8, format_played_at, stable_key,
+                                 strip_chars, to_int, url_from_id)
 from ..schemas import CATALOG, CATALOG_DEFAULTS
 
 # The literal album type the producer sends and the id prefixes.
@@ -38,9 +38,6 @@ def with_defaults(df: DataFrame, defaults: dict = CATALOG_DEFAULTS,
     return out
 
 
-KEY_COLS = ("_song_id", "_album_id", "_artist_id")
-
-
 def with_keys(w: DataFrame) -> DataFrame:
     """Add the record keys once per wide row (each is used by two record kinds)."""
     return w.withColumns({
@@ -124,5 +121,5 @@ def fanout(wide: DataFrame, topics=tuple(RECORDS), keep=()) -> DataFrame:
 
 def encode_records(rows: DataFrame) -> DataFrame:
     """Text key/value -> UTF-8 bytes, as the producer's serializers send them."""
-    return rows.select("topic", F.encode("key", "UTF-8").alias("key"),
-                       F.encode("value", "UTF-8").alias("value"))
+    return rows.select("topic", encode_utf8("key").alias("key"),
+                       encode_utf8("value").alias("value"))

@@ -115,12 +115,6 @@ TOPICS = {
     "artist_topic": ARTIST_RECORD,
     "item_topic": PLAY_RECORD,
 }
-TOPIC_KEYS = {
-    "song_topic": "song_id",
-    "album_topic": "album_id",
-    "artist_topic": "artist_id",
-    "item_topic": "song_id",
-}
 TOPIC_TABLE = {
     "song_topic": DIM_SONG,
     "album_topic": DIM_ALBUM,

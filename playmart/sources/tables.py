@@ -21,9 +21,6 @@ class Star:
     album: DataFrame       # album_id, album_name, ...
 
 
-STAR_TABLES = ("dim_song", "dim_album", "dim_artist", "fact_history")
-
-
 def read_parquet_star(spark: SparkSession, root: str) -> Star:
     """Read the four star tables written by ``sinks.loader`` under ``root``."""
     r = root.rstrip("/")

@@ -11,10 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import TOPIC_ROW
-
-LANDING_VALUE = TOPIC_ROW.fieldNames()
-
 
 def kafka_options(servers: str, topic: str, starting_offsets: str = "latest",
                   extra: dict | None = None) -> dict:
