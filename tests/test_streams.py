@@ -3,8 +3,10 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from conftest import rows
 from playmart.sinks.topics import write_landing
 from playmart.sources.topics import landing_topic_stream
 from playmart.streaming import consumers as SC
@@ -146,3 +148,34 @@ def test_job_state_modes_with_dead_letters(spark, tmp_path):
     assert spark.read.parquet(f"{star}/fact_history").count() == 3      # copies removed
     rej = spark.read.parquet(f"{star}/_rejects/topic=item_topic").collect()
     assert sorted(r.reason for r in rej) == ["malformed", "null_key"]   # bad time -> NULL key
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 0, 1)])
+def test_table_mode_stream_equals_batch_dedup(spark, tmp_path, order):
+    import random
+    from playmart.operators.dedup import dedup_batch
+    from playmart.sinks.loader import Warehouse
+    rnd = random.Random(7)
+    plays = []
+    for i in range(60):
+        t = dt.datetime(2024, 1, 1 + i % 3, 10, rnd.randint(0, 5), 0)
+        plays.append((t.strftime("%Y-%m-%dT%H:%M:%S.000Z"), f"s{rnd.randint(0, 4)}",
+                      f"a{rnd.randint(0, 2)}", "r", 1000 * rnd.randint(1, 3), 1 + i % 3))
+    rows_df = spark.createDataFrame(plays, "played_at string, song_id string, album_id string, "
+                                           "artist_id string, duration_ms int, day int")
+    landing = str(tmp_path / "landing")
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    for day in [d + 1 for d in order]:        # each slice is one day's plays
+        part = rows_df.filter(F.col("day") == day).select(
+            F.lit("item_topic").alias("topic"), F.col("song_id").alias("key"),
+            F.to_json(F.struct("played_at", "song_id", "album_id", "artist_id",
+                               "duration_ms")).alias("value"))
+        write_landing(part, landing)
+        SC.run_to_end([SC.start_topic_load(landing_topic_stream(spark, landing, "item_topic"),
+                                           "item_topic", wh, str(tmp_path / "ck"), "t")])
+    got = rows(wh.read("fact_history").select(
+        F.date_format("played_at", "yyyy-MM-dd'T'HH:mm:ss.000'Z'"), "song_id", "album_id",
+        "artist_id", "duration_ms"))
+    batch = dedup_batch(rows_df.drop("day"), ("played_at", "song_id"),
+                        ("album_id", "artist_id", "duration_ms"))
+    assert got == rows(batch)
