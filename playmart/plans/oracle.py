@@ -293,6 +293,14 @@ ROLL_TOP_SONGS = _roll_top("track_id", "song_id")
 ROLL_TOP_ALBUMS = _roll_top("album_id", "album_id")
 
 
+REFRESH_TOP = _with(EW, """plays AS (SELECT DISTINCT date_trunc('second', played_ts) AS played_at,
+  track_id FROM ew)""", """named AS (SELECT p.played_at, pt.p_name AS song_name FROM plays p
+  JOIN part pt ON CAST(pt.p_partkey AS VARCHAR) = p.track_id)""") + """SELECT song_name,
+  COUNT(*) AS plays FROM named
+WHERE played_at >= (SELECT max(played_at) FROM plays) - INTERVAL 7 DAY
+GROUP BY song_name ORDER BY plays DESC, song_name ASC NULLS LAST LIMIT 10"""
+
+
 def stream_oracles() -> dict[str, str]:
     return {
         "four_streams_load_star": EV_COUNTS,
@@ -318,6 +326,7 @@ FROM (SELECT DISTINCT date_trunc('second', played_ts), track_id FROM ew)""",
         "rolling_distinct_items": ROLL_DISTINCT,
         "rolling_top_songs": ROLL_TOP_SONGS,
         "rolling_top_albums": ROLL_TOP_ALBUMS,
+        "report_refresh": REFRESH_TOP,
     }
 
 

@@ -541,7 +541,9 @@ def _q(spark, d):
         return Star(fact=wh.read("fact_history"), song=wh.read("dim_song"),
                     artist=wh.read("dim_artist"), album=wh.read("dim_album"))
 
-    as_of = wh.read("fact_history").agg(F.max("played_at")).first()[0]
+    # the clock travels as text in the session zone (no Python time zone involved)
+    as_of = wh.read("fact_history").agg(
+        F.date_format(F.max("played_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
     q = RF.start_report_refresh(landing_topic_stream(spark, run["landing"], "item_topic"), star,
                                 out, f"{out}-checkpoint", as_of=as_of, available_now=True)
     run_to_end([q])
