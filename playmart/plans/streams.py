@@ -72,7 +72,7 @@ def _counts(wh: Warehouse) -> DataFrame:
 
 def star_run(spark: SparkSession, d: str) -> dict:
     """Run A: four consumers (table-based dedup) load the star, slice by slice."""
-    key = ("star", d)
+    key = ("star", d.rstrip("/"))
     if key in _RUNS:
         return _RUNS[key]
     root = scratch_dir(spark, "star-run")
@@ -105,7 +105,7 @@ def state_run(spark: SparkSession, d: str) -> dict:
     Per slice: the topic queries first, then the rolling KPIs over the fact
     the watermark consumer loaded (read as a stream of new files).
     """
-    key = ("state", d)
+    key = ("state", d.rstrip("/"))
     if key in _RUNS:
         return _RUNS[key]
     root = scratch_dir(spark, "state-run")
