@@ -13,6 +13,8 @@ its result tables are reused by every key that reads them in the same session
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,7 @@ from . import fixtures as X
 
 N_SLICES = 5
 _RUNS: dict = {}
+_LOCK = threading.RLock()      # one staged run per dataset even if keys run concurrently
 
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -72,6 +75,11 @@ def _counts(wh: Warehouse) -> DataFrame:
 
 def star_run(spark: SparkSession, d: str) -> dict:
     """Run A: four consumers (table-based dedup) load the star, slice by slice."""
+    with _LOCK:
+        return _star_run(spark, d)
+
+
+def _star_run(spark: SparkSession, d: str) -> dict:
     key = ("star", d.rstrip("/"))
     if key in _RUNS:
         return _RUNS[key]
@@ -100,7 +108,13 @@ def star_run(spark: SparkSession, d: str) -> dict:
 
 
 def state_run(spark: SparkSession, d: str) -> dict:
-    """Run B: state-based dedup, watermark dedup + load, stateless append, rolling KPIs.
+    """Run B: state-based dedup, watermark dedup + load, stateless append, rolling KPIs."""
+    with _LOCK:
+        return _state_run(spark, d)
+
+
+def _state_run(spark: SparkSession, d: str) -> dict:
+    """Run B (see ``state_run``).
 
     Per slice: the topic queries first, then the rolling KPIs over the fact
     the watermark consumer loaded (read as a stream of new files).
