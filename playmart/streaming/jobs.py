@@ -76,3 +76,30 @@ def start(spark: SparkSession, cfg: dict) -> list[StreamingQuery]:
             f"{ck}/report_refresh", processing_time=rr.get("every", "60 seconds"),
             available_now=trig.get("available_now", False)))
     return queries
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m playmart.streaming.jobs config.json``: start and block.
+
+    The session comes from ``spark-submit``/the environment (cluster settings
+    from ``session.cluster_conf`` can be passed as ``--conf``); the process
+    ends when any query stops, so the scheduler can restart it from the
+    checkpoints.
+    """
+    import json
+    import sys
+
+    from ..session import apply_job_conf, ensure_checkpoint_dir
+
+    args = sys.argv[1:] if argv is None else argv
+    with open(args[0]) as f:
+        cfg = json.load(f)
+    spark = SparkSession.builder.appName(cfg.get("app_name", "playmart-stream")).getOrCreate()
+    apply_job_conf(spark)
+    ensure_checkpoint_dir(spark)
+    start(spark, cfg)
+    spark.streams.awaitAnyTermination()
+
+
+if __name__ == "__main__":
+    main()
