@@ -97,8 +97,11 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(cfg.get("app_name", "playmart-stream")).getOrCreate()
     apply_job_conf(spark)
     ensure_checkpoint_dir(spark)
-    start(spark, cfg)
-    spark.streams.awaitAnyTermination()
+    queries = start(spark, cfg)
+    if cfg.get("trigger", {}).get("available_now"):
+        SC.run_to_end(queries)            # a catch-up run: every query drains its input
+    else:
+        spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

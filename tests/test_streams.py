@@ -179,3 +179,21 @@ def test_table_mode_stream_equals_batch_dedup(spark, tmp_path, order):
     batch = dedup_batch(rows_df.drop("day"), ("played_at", "song_id"),
                         ("album_id", "artist_id", "duration_ms"))
     assert got == rows(batch)
+
+
+def test_job_entry_point_catch_up(spark, tmp_path):
+    from playmart.operators.fanout import fanout
+    from playmart.streaming.jobs import main
+    landing = str(tmp_path / "landing")
+    wide = spark.createDataFrame(
+        [("t1", "One", "['A']", "Al", 60000, True, 50, dt.datetime(2024, 1, 1, 10))],
+        "track_id string, track_name string, artists string, album_name string, "
+        "duration_ms int, explicit boolean, popularity int, played_ts timestamp")
+    write_landing(fanout(wide), landing)
+    cfg = tmp_path / "cfg.json"
+    cfg.write_text(json.dumps({"source": {"kind": "landing", "root": landing},
+                               "warehouse": str(tmp_path / "star"),
+                               "checkpoints": str(tmp_path / "ck"),
+                               "trigger": {"available_now": True}}))
+    main([str(cfg)])
+    assert spark.read.parquet(str(tmp_path / "star" / "fact_history")).count() == 1
