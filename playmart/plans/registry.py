@@ -21,7 +21,7 @@ from ..operators.contracts import check_star
 from ..operators.dedup import dedup_batch
 from ..operators.joins import new_rows_only, unmatched_fact_rows
 from ..schemas import CATALOG_REQUIRED, CONTRACTS, DIM_SONG, FACT_HISTORY, PLAY_RECORD
-from ..session import apply_job_conf, scratch_dir
+from ..session import apply_job_conf, ensure_checkpoint_dir, scratch_dir
 from ..sinks import loader as L
 from ..sources import catalog as C
 from ..sources import payload as P
@@ -36,6 +36,7 @@ def register(name: str):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             apply_job_conf(spark)
+            ensure_checkpoint_dir(spark)     # the session's, or a test-only one if unset
             return fn(spark, sf_dir)
         run.__name__ = name
         run.__doc__ = fn.__doc__
