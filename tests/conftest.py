@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,15 +13,16 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    from playmart.session import DEFAULT_CONF
-    ckpt = tempfile.mkdtemp(prefix="playmart-test-ckpt-")
+    from playmart.session import DEFAULT_CONF, ensure_checkpoint_dir
     b = (SparkSession.builder.master("local[*]").appName("playmart-tests")
-         .config("spark.sql.shuffle.partitions", "8")
-         .config("spark.checkpoint.dir", ckpt))
+         .config("spark.sql.shuffle.partitions", "8"))
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
+    # the session's spark.checkpoint.dir when the environment names one;
+    # a temporary folder only when it is unset
+    ensure_checkpoint_dir(s)
     yield s
     s.stop()
 
