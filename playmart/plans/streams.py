@@ -52,11 +52,14 @@ class _stateful_width:
     def __enter__(self):
         self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
         self.spark.conf.set("spark.sql.shuffle.partitions", self.width)
-        if self.spark.conf.get(STATE_STORE, None) in (None, ""):
+        self.set_store = self.spark.conf.get(STATE_STORE, None) in (None, "")
+        if self.set_store:
             self.spark.conf.set(STATE_STORE, DEFAULT_CONF[STATE_STORE])
 
     def __exit__(self, *exc):
         self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+        if self.set_store:
+            self.spark.conf.unset(STATE_STORE)
 
 
 def event_topic_records(spark: SparkSession, d: str) -> DataFrame:
