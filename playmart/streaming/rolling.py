@@ -118,9 +118,15 @@ def start_update_log(agg: DataFrame, out: str, checkpoint: str, query_name: str,
                      available_now: bool = True,
                      processing_time: str | None = None) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        batch.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
+        # computed once (the batch comes out of a stateful aggregation), then
+        # checked and written from the copy
+        batch = batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            batch.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     w = (agg.writeStream.queryName(query_name).outputMode("update")
          .option("checkpointLocation", checkpoint).foreachBatch(write))
