@@ -112,7 +112,12 @@ def start_reject_sink(raw_stream: DataFrame, topic: str, out: str, checkpoint: s
 
 def start_append(frame: DataFrame, out: str, checkpoint: str, query_name: str,
                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Stateless append to a Parquet folder (file sink: exactly-once via its log)."""
+    """Stateless append to a Parquet folder (file sink: exactly-once via its log).
+
+    Rows written per micro-batch are observed (``observe``) and arrive with
+    each progress event as the ``rows_written`` metric.
+    """
+    frame = frame.observe(f"{query_name}_out", F.count(F.lit(1)).alias("rows_written"))
     w = (frame.writeStream.queryName(query_name).format("parquet").outputMode("append")
          .option("path", out).option("checkpointLocation", checkpoint))
     return _trigger(w, available_now, processing_time).start()

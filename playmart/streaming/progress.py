@@ -20,6 +20,7 @@ class ProgressLog(StreamingQueryListener):
         self.rows = defaultdict(int)
         self.batches = defaultdict(int)
         self.batch_ms = defaultdict(int)
+        self.observed = defaultdict(lambda: defaultdict(int))
 
     def onQueryStarted(self, event):
         pass
@@ -31,6 +32,10 @@ class ProgressLog(StreamingQueryListener):
             self.rows[name] += int(p.numInputRows or 0)
             self.batches[name] += 1
             self.batch_ms[name] += int((p.durationMs or {}).get("triggerExecution", 0))
+            for row in (p.observedMetrics or {}).values():
+                for k, v in row.asDict().items():
+                    if isinstance(v, int):
+                        self.observed[name][k] += v
 
     def onQueryIdle(self, event):
         pass
@@ -47,4 +52,6 @@ class ProgressLog(StreamingQueryListener):
                 out[name] = {"rows": self.rows[name], "batches": self.batches[name],
                              "batch_sec": round(sec, 3),
                              "rows_per_sec": round(self.rows[name] / sec, 1) if sec else None}
+                if self.observed.get(name):
+                    out[name]["observed"] = dict(self.observed[name])
             return out

@@ -197,3 +197,19 @@ def test_job_entry_point_catch_up(spark, tmp_path):
                                "trigger": {"available_now": True}}))
     main([str(cfg)])
     assert spark.read.parquet(str(tmp_path / "star" / "fact_history")).count() == 1
+
+
+def test_append_rows_are_observed(spark, tmp_path):
+    import time
+    from playmart.streaming.progress import ProgressLog
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        landing, out, ck = (str(tmp_path / x) for x in ("landing", "out", "ck"))
+        write_landing(_plays(spark, 1, 4), landing)
+        SC.run_to_end([SC.start_append(landing_topic_stream(spark, landing, "item_topic"),
+                                       out, ck, "observed_append")])
+        time.sleep(1)
+    finally:
+        spark.streams.removeListener(log)
+    assert log.summary()["observed_append"]["observed"]["rows_written"] == 4
