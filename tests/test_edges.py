@@ -402,3 +402,51 @@ def test_stats_list_order_puts_null_names_last(spark):
     star = _star(spark, f, [("n", None), ("b", "B"), ("c", "C")])
     s = R.weekly_stats(star, AS_OF, n=5).first()
     assert [(x.name, x.plays) for x in s.top_songs] == [("B", 2), ("C", 1), (None, 1)]
+
+
+def test_cluster_conf_sizes_shuffles_by_cores():
+    from playmart.session import DEFAULT_CONF, cluster_conf
+    c = cluster_conf(4000)
+    assert c["spark.sql.shuffle.partitions"] == "12000"
+    assert c["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "12000"
+    assert cluster_conf(8)["spark.sql.shuffle.partitions"] == "200"
+    assert c["spark.sql.streaming.stateStore.providerClass"] == \
+        DEFAULT_CONF["spark.sql.streaming.stateStore.providerClass"]
+
+
+def test_quarantine_matches_a_plain_python_reading(spark):
+    import json as _json
+    from hypothesis import given, settings, strategies as st
+    values = []
+    field = st.one_of(st.none(), st.integers(-5, 5), st.text("ab", max_size=2),
+                      st.floats(allow_nan=False, allow_infinity=False, width=16))
+    record = st.fixed_dictionaries({}, optional={"song_id": field, "duration_ms": field})
+    junk = st.sampled_from(["", "x", "[]", "[1]", "{", "null", "1"])
+
+    @settings(max_examples=150, database=None)
+    @given(st.one_of(record.map(_json.dumps), junk))
+    def collect(v):
+        values.append(v)
+
+    collect()
+
+    def expected(v):
+        try:
+            obj = _json.loads(v)
+        except ValueError:
+            return "malformed" if v.strip() else "null_key"
+        if not isinstance(obj, dict):
+            return "malformed"
+        sid, dur = obj.get("song_id"), obj.get("duration_ms")
+        # a string field takes any JSON scalar as its text; an int field only a JSON integer
+        bad_type = dur is not None and (isinstance(dur, (bool, str, float)))
+        if bad_type:
+            return "malformed"
+        return "null_key" if sid is None else None
+
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], TOPIC_ROWS)
+    got = dict(rows(D.classify(D.parse_values(df, PLAY_RECORD, keep=("id",)), PLAY_RECORD,
+                               ("song_id",)).select("id", "_reject")))
+    mismatches = [(values[i], got[i], expected(values[i])) for i in got
+                  if got[i] != expected(values[i])]
+    assert not mismatches, mismatches[:5]
