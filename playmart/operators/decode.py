@@ -11,7 +11,9 @@ column, and split rows into accepted and rejected with a reason:
 
 With ``strict=False`` a type mismatch in a non-key field keeps the row with
 that field NULL (the permissive reading); only structurally bad text and NULL
-keys are rejected.  All of it is one projection, no shuffle.
+keys are rejected.  A JSON number where a text field is expected is read as
+its text (Spark's JSON reader), so only integer fields can mismatch here.
+All of it is one projection, no shuffle.
 """
 
 from __future__ import annotations
