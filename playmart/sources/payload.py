@@ -19,12 +19,18 @@ from ..schemas import PAYLOAD
 PAGE_LIMIT = 50
 
 
-def read_payloads(spark: SparkSession, path: str, extra: T.StructType | None = None) -> DataFrame:
-    """Read landed payload documents (JSON lines) with the nested schema."""
+def read_payloads(spark: SparkSession, path: str, extra: T.StructType | None = None,
+                  multiline: bool = False) -> DataFrame:
+    """Read landed payload documents with the nested schema.
+
+    JSON lines by default (splittable); ``multiline=True`` reads one
+    (possibly pretty-printed) document per file, as an API response is often
+    saved - each file is then one task.
+    """
     schema = PAYLOAD
     if extra is not None:
         schema = T.StructType(list(extra.fields) + list(PAYLOAD.fields))
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 
 def _items(limit: int):

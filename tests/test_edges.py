@@ -450,3 +450,16 @@ def test_quarantine_matches_a_plain_python_reading(spark):
     mismatches = [(values[i], got[i], expected(values[i])) for i in got
                   if got[i] != expected(values[i])]
     assert not mismatches, mismatches[:5]
+
+
+def test_payload_pretty_printed_documents(spark, tmp_path):
+    import json
+    from playmart.sources.payload import flatten_payload, read_payloads
+    p = tmp_path / "docs"
+    p.mkdir()
+    for i in range(2):
+        doc = {"items": [{"played_at": f"t{i}", "track": {"name": f"s{i}",
+                                                          "artists": [{"name": "A"}]}}]}
+        (p / f"resp-{i}.json").write_text(json.dumps(doc, indent=2))
+    flat = flatten_payload(read_payloads(spark, str(p), multiline=True))
+    assert sorted(r.name for r in flat.collect()) == ["s0", "s1"]
