@@ -242,7 +242,8 @@ def _q(spark, d):
 
 def _catalog_csv(spark, d):
     path = scratch_dir(spark, "catalog-csv")
-    X.catalog_with_gaps(X.table(spark, d, "part")).write.option("header", True).csv(path)
+    X.catalog_with_gaps(X.table(spark, d, "part")).write.option("header", True) \
+        .option("escape", '"').csv(path)
     return C.read_catalog_csv(spark, path)
 
 

@@ -17,7 +17,9 @@ from ..schemas import CATALOG, CATALOG_REQUIRED
 
 def read_catalog_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """Catalogue rows typed to the contract (no inference pass over the data)."""
+    # RFC 4180 quoting: a quote inside a quoted cell is doubled ("")
     raw = (spark.read.option("header", True).option("sep", sep)
+           .option("quote", '"').option("escape", '"')
            .option("multiLine", False).option("mode", "PERMISSIVE").csv(path))
     return conform_catalog(raw)
 

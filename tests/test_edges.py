@@ -463,3 +463,14 @@ def test_payload_pretty_printed_documents(spark, tmp_path):
         (p / f"resp-{i}.json").write_text(json.dumps(doc, indent=2))
     flat = flatten_payload(read_payloads(spark, str(p), multiline=True))
     assert sorted(r.name for r in flat.collect()) == ["s0", "s1"]
+
+
+def test_catalog_csv_quoting(spark, tmp_path):
+    from playmart.sources.catalog import read_catalog_csv
+    p = tmp_path / "cat"
+    p.mkdir()
+    (p / "c.csv").write_text(
+        'track_id,track_name,artists,album_name\n'
+        't1,"Say ""Hi""","[\'A\', \'B\']","Al, Vol. 1"\n')
+    r = read_catalog_csv(spark, str(p)).first()
+    assert (r.track_name, r.artists, r.album_name) == ('Say "Hi"', "['A', 'B']", "Al, Vol. 1")
