@@ -474,3 +474,15 @@ def test_catalog_csv_quoting(spark, tmp_path):
         't1,"Say ""Hi""","[\'A\', \'B\']","Al, Vol. 1"\n')
     r = read_catalog_csv(spark, str(p)).first()
     assert (r.track_name, r.artists, r.album_name) == ('Say "Hi"', "['A', 'B']", "Al, Vol. 1")
+
+
+def test_totals_approximate_distinct_is_close(spark):
+    from conftest import SF_SMALL
+    from playmart.plans import fixtures as X
+    star = X.star(spark, SF_SMALL)
+    as_of = X.fact_as_of(spark, SF_SMALL)
+    exact = R.totals(star.fact, as_of, 365).first()
+    approx = R.totals(star.fact, as_of, 365, approximate=True).first()
+    assert approx.total_plays == exact.total_plays
+    for c in ("unique_songs", "unique_artists"):
+        assert abs(approx[c] - exact[c]) <= max(2, 0.05 * exact[c])
