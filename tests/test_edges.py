@@ -486,3 +486,29 @@ def test_totals_approximate_distinct_is_close(spark):
     assert approx.total_plays == exact.total_plays
     for c in ("unique_songs", "unique_artists"):
         assert abs(approx[c] - exact[c]) <= max(2, 0.05 * exact[c])
+
+
+def test_compaction_keeps_rows_and_cuts_files(spark, tmp_path):
+    import glob
+    from playmart.schemas import DIM_SONG, FACT_HISTORY
+    from playmart.sinks.compact import compact_fact_days, compact_table
+    from playmart.sinks.loader import Warehouse, load_table
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    base = dt.datetime(2024, 1, 1, 10)
+    for b in range(4):                       # four small batches on two days
+        plays = [(base + dt.timedelta(days=i % 2, minutes=b * 10 + i), f"s{b}{i}", "a", "r", 1)
+                 for i in range(4)]
+        load_table(_fact(spark, plays), FACT_HISTORY, wh, f"f{b}")
+        load_table(spark.createDataFrame([(f"s{b}", f"S{b}")], "song_id string, song_name string"),
+                   DIM_SONG, wh, f"d{b}")
+    root = str(tmp_path / "wh")
+    files = lambda p: len(glob.glob(f"{root}/{p}/*.parquet"))
+    before = wh.read("fact_history").orderBy("played_at", "song_id").collect()
+    assert files("fact_history/play_date=2024-01-01") > 1
+    assert compact_fact_days(wh, ["2024-01-01"]) == 8
+    assert files("fact_history/play_date=2024-01-01") == 1
+    assert files("fact_history/play_date=2024-01-02") > 1       # other days untouched
+    assert wh.read("fact_history").orderBy("played_at", "song_id").collect() == before
+    ids = rows(wh.read("dim_song").select("song_id", "id"))
+    assert compact_table(wh, "dim_song") == 4 and files("dim_song") == 1
+    assert rows(wh.read("dim_song").select("song_id", "id")) == ids
