@@ -10,6 +10,10 @@ replaces, and a lost executor recomputes from the copy), then:
 * dimension: rewrite the whole table with fewer files (ids and rows kept).
 
 Run a compaction when no loader writes the same table (one writer per table).
+Compact only *closed* fact days - windows already behind the rolling KPIs'
+watermark: the rolling query reads the fact folder as a file stream, sees
+rewritten files as new input, and drops rows that old as late data; a day
+still inside the watermark would be counted twice.
 """
 
 from __future__ import annotations
