@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..schemas import FACT_HISTORY
 from .loader import Warehouse
@@ -35,7 +36,11 @@ def compact_fact_days(wh: Warehouse, days: Sequence[str], files_per_day: int = 1
     spark = wh.spark
     path = wh.path(FACT_HISTORY.name)
     glob = "{" + ",".join(f"play_date={d}" for d in days) + "}"
-    part = spark.read.option("basePath", path).parquet(f"{path}/{glob}").checkpoint(eager=True)
+    try:
+        part = spark.read.option("basePath", path).parquet(f"{path}/{glob}")
+    except AnalysisException:
+        return 0                                   # none of those days holds plays
+    part = part.checkpoint(eager=True)
     rows = part.count()
     old = spark.conf.get(OVERWRITE_MODE)
     spark.conf.set(OVERWRITE_MODE, "dynamic")

@@ -512,3 +512,9 @@ def test_compaction_keeps_rows_and_cuts_files(spark, tmp_path):
     ids = rows(wh.read("dim_song").select("song_id", "id"))
     assert compact_table(wh, "dim_song") == 4 and files("dim_song") == 1
     assert rows(wh.read("dim_song").select("song_id", "id")) == ids
+
+
+def test_compaction_of_missing_days_is_a_no_op(spark, tmp_path):
+    from playmart.sinks.compact import compact_fact_days
+    from playmart.sinks.loader import Warehouse
+    assert compact_fact_days(Warehouse(spark, str(tmp_path / "none")), ["2024-01-01"]) == 0
