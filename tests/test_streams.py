@@ -213,3 +213,36 @@ def test_append_rows_are_observed(spark, tmp_path):
     finally:
         spark.streams.removeListener(log)
     assert log.summary()["observed_append"]["observed"]["rows_written"] == 4
+
+
+def test_compacting_a_closed_day_does_not_recount_rolling_kpis(spark, tmp_path):
+    from playmart.schemas import FACT_HISTORY
+    from playmart.sinks.compact import compact_fact_days
+    from playmart.sinks.loader import Warehouse, load_table
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    schema = "played_at timestamp, song_id string, album_id string, artist_id string, " \
+             "duration_ms int"
+    out, ck = str(tmp_path / "kpi"), str(tmp_path / "ck")
+
+    def load(day, n, tag):
+        plays = [(dt.datetime(2024, 1, day, 10, i), f"s{i}", "a", "r", 1000) for i in range(n)]
+        load_table(spark.createDataFrame(plays, schema), FACT_HISTORY, wh, tag)
+
+    def roll():
+        plays = RL.fact_stream(spark, wh.path("fact_history"))
+        SC.run_to_end([RL.start_update_log(RL.rolling_kpis(plays), out, ck, "kpi_test")])
+
+    def day1_total():
+        log = RL.read_latest(spark, out, ["window_start", "grouping", "key"])
+        r = RL.kpi(log, "total").filter(F.dayofmonth("window_start") == 1).collect()
+        return r[0].plays
+
+    for tag in ("a", "b"):                 # two small batches on day 1
+        load(1, 3, tag)
+        roll()
+    load(10, 1, "c")                        # moves the watermark far past day 1
+    roll()
+    assert day1_total() == 3
+    compact_fact_days(wh, ["2024-01-01"])   # day 1 rewritten as a new file
+    roll()
+    assert day1_total() == 3
