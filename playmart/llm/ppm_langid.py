@@ -41,13 +41,20 @@ MODEL = "lang string, counted long, ctx binary, n int, logp binary"
 
 def sample(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG,
            chars_per_doc: int = CHARS_PER_DOC) -> DataFrame:
-    """The bounded training sample: lang, text."""
-    w = Window.partitionBy("lang").orderBy("h", "text")
-    return (docs.filter((id_crc_mod(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull()
+    """The bounded training sample: lang, text.
+
+    Rows are ranked by a hash.  One narrow count per language gives the share of hashes among which
+    four times the sample is expected, so only those rows reach the ranking.
+    """
+    rows = (docs.filter((id_crc_mod(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull()
                         & F.col("text").isNotNull())
             .select("lang", F.substring("text", 1, chars_per_doc).alias("text"),
-                    F.xxhash64("doc_id", "text").alias("h"))
-            .withColumn("rn", F.row_number().over(w))
+                    F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 33).alias("h")))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    few = (rows.join(counts, "lang")
+           .filter(F.col("h") * F.col("n") <= F.lit(4 * docs_per_lang) * F.lit(1 << 31)))
+    w = Window.partitionBy("lang").orderBy("h", "text")
+    return (few.withColumn("rn", F.row_number().over(w))
             .filter(F.col("rn") <= docs_per_lang)
             .select("lang", "text"))
 
