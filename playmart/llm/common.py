@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,20 @@ LOWER = {c: chr(c + 32) for c in range(ord("A"), ord("Z") + 1)}
 LOWER_SPACES = {**SPACES, **LOWER}
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that share this machine's file system import the package from where it lies.
+
+    On a cluster without that, ship it with --py-files.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

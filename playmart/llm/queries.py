@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import merkle, packing, ppm_langid, quality_rules, sharding, trie_bpe
+from . import line_dedup, merkle, packing, parity_join, ppm_langid, quality_rules, sharding, trie_bpe
 from .common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -17,6 +17,10 @@ def op1_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read_table(spark, sf_dir, "documents"))
 
 
+def op3_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.join(read_table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -33,12 +37,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(read_table(spark, sf_dir, "documents"))
+
+
 def op10_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_extendible_sharding, op4_best_fit_packing, op5_trie_bpe,
-                              op7_ppm_langid, op8_quality_rules, op10_merkle)
+    f.__name__: f for f in (op1_extendible_sharding, op3_parity_sketch_join, op4_best_fit_packing, op5_trie_bpe,
+                              op7_ppm_langid, op8_quality_rules, op9_line_dedup, op10_merkle)
 }
 ORACLE: dict[str, str] = {}
