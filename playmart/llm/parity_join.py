@@ -100,7 +100,7 @@ def set_key(found: np.ndarray) -> int:
 
 
 def sketches(docs: DataFrame, k: int, share: int) -> DataFrame:
-    """doc_id, n_shingles, rep (null for an empty set), s0..s3, keys of every row.
+    """doc_id, th (hash of the text), n_shingles, rep (null for an empty set), s0..s3, keys of every row.
 
     Within a batch only the first row of equal sets carries keys.
     """
@@ -123,13 +123,13 @@ def sketches(docs: DataFrame, k: int, share: int) -> DataFrame:
                 seen.add(rep[-1])
             sig = np.array(sig, np.int64).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(n, pa.int64()), pa.array(rep, pa.int64()),
+                [batch["doc_id"], batch["th"], pa.array(n, pa.int64()), pa.array(rep, pa.int64()),
                  *[pa.array(sig[:, i]) for i in range(4)], pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "rep", *SIGNATURE, "keys"])
+                ["doc_id", "th", "n_shingles", "rep", *SIGNATURE, "keys"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {type_of(docs, 'doc_id')}, n_shingles long, rep long, s0 long, s1 long, s2 long, s3 long, "
-             "keys array<long>")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(
+        run, f"doc_id {type_of(docs, 'doc_id')}, th long, n_shingles long, rep long, s0 long, s1 long, s2 long, "
+             "s3 long, keys array<long>")
 
 
 def shared_postings(sketched: DataFrame) -> DataFrame:
@@ -174,8 +174,8 @@ def sets_of(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
     return materialise(wide.groupBy("rep").agg(F.first("elements").alias("elements")), "sets")
 
 
-def join(docs: DataFrame, k: int = 4, share: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row; links are sets with 100 * intersection >= share * union."""
+def labelled(docs: DataFrame, k: int, share: int) -> DataFrame:
+    """doc_id, th, n_shingles, root (the component's set number, null for an empty set) of every row."""
     src = docs.select("doc_id", "text")
     sketched = materialise(sketches(src, k, share), "sketches")
     postings = materialise(shared_postings(sketched), "postings")
@@ -193,29 +193,36 @@ def join(docs: DataFrame, k: int = 4, share: int = 85) -> DataFrame:
             reps = rest.select(F.col("later").alias("rep")).union(rest.select("earlier"))
             links = links.unionByName(verify(rest, sets_of(src, reps, k), share))
             roots = components(links)
-    rows = sketched.select("doc_id", "n_shingles", "rep").join(roots, "rep", "left")
-    rows = rows.withColumn("root", F.coalesce("root", "rep"))
-    least = (rows.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least")))
+    return (sketched.select("doc_id", "th", "n_shingles", "rep").join(roots, "rep", "left")
+            .select("doc_id", "th", "n_shingles", F.coalesce("root", "rep").alias("root")))
+
+
+def join(docs: DataFrame, k: int = 4, share: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row; links are sets with 100 * intersection >= share * union."""
+    rows = labelled(docs, k, share)
+    least = rows.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least"))
     return (rows.join(least, "root", "left")
             .select("doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id"))
                     .otherwise(F.col("least")).alias("component_id")))
 
 
 def keep_one(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
-    """The documents without near copies of an earlier one: of each component the row with the smallest id stays.
+    """The documents without near copies: of each component the row with the smallest id stays, ties by text hash.
 
-    Rows that repeat that id in full or with another text of the same component are reduced to one, the least text.
+    Documents without a word all stay.  Rows that repeat the kept id and text are reduced to one, the least row.
     """
-    joined = join(docs, k, share).filter("n_shingles > 0")
-    extra = materialise(joined.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"), "copies")
-    twice = joined.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    kept = docs.join(extra.distinct(), docs["doc_id"].eqNullSafe(extra["doc_id"]), "left_anti")
-    if twice.isEmpty():
-        return kept
-    held = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    again = twice.withColumnRenamed("doc_id", "_id")
-    single = kept.join(again, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
-    merged = (kept.join(again, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-              .groupBy("doc_id", F.when(F.coalesce(F.trim("text"), F.lit("")) == "", F.rand(1)).alias("_keep"))
-              .agg(F.min(held).alias("_row")).select("_row.*"))
-    return single.unionByName(merged)
+    rows = materialise(labelled(docs, k, share).filter("root IS NOT NULL")
+                       .withColumn("me", F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "th")), "rows")
+    first = rows.groupBy("root").agg(F.min("me").alias("first"))
+    gone = (rows.join(first, "root").filter(F.col("me") != F.col("first"))
+            .select(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th")).distinct())
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.xxhash64("text").alias("th"))
+    kept = held.join(gone, F.col("doc.doc_id").eqNullSafe(F.col("g_id")) & (F.col("th") == F.col("g_th")), "left_anti")
+    twice = (rows.groupBy("doc_id", "th").agg(F.count("*").alias("n")).filter("n > 1")
+             .select(F.col("doc_id").alias("t_id"), F.col("th").alias("t_th")))
+    if not twice.isEmpty():
+        same = F.col("doc.doc_id").eqNullSafe(F.col("t_id")) & (F.col("th") == F.col("t_th"))
+        single = kept.join(twice, same, "left_anti").select("doc")
+        kept = single.unionByName(kept.join(twice, same, "left_semi").groupBy("doc.doc_id", "th")
+                                  .agg(F.min("doc").alias("doc")).select("doc"))
+    return kept.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])

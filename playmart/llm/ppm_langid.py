@@ -203,6 +203,30 @@ def predict(docs: DataFrame, models: DataFrame) -> DataFrame:
                                  "lang_pred string, score double, bits_per_byte double")
 
 
+def keep_known(docs: DataFrame, least: float = 0.5) -> DataFrame:
+    """The documents whose language is known: not und, with a score of ``least`` or more.  All columns stay."""
+    models = train(docs.select("doc_id", "text", "lang"))
+    rows = [(r["lang"], bytes(r["ctx"]), r["n"], bytes(r["logp"])) for r in models.collect()]
+    shared = docs.sparkSession.sparkContext.broadcast(rows)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value) if shared.value else None
+        for batch in batches:
+            known = batch["letters"].to_numpy(zero_copy_only=False).copy()
+            at = np.flatnonzero(known)
+            if scorer is None:
+                known[:] = False
+            elif len(at):
+                bits = scorer.code_lengths([t.encode() for t in batch["text"].take(pa.array(at)).to_pylist()])
+                known[at] = 1 / np.exp2(np.maximum(bits.min(1)[:, None] - bits, -1000)).sum(1) >= least
+            yield batch.select(["doc"]).filter(pa.array(known, pa.bool_()))
+
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "text",
+                       F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
+    out = held.mapInArrow(keep, f"doc {held.schema['doc'].dataType.simpleString()}")
+    return out.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
+
+
 def identify(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG,
              chars_per_doc: int = CHARS_PER_DOC) -> DataFrame:
     return predict(docs, train(docs.select("doc_id", "text", "lang"), docs_per_lang, chars_per_doc))

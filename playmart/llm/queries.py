@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, merkle, packing, parity_join, ppm_langid, quality_rules, sharding, trie_bpe
+from . import (ctw, line_dedup, merkle, packing, parity_join, ppm_langid, quality_rules, sharding, span_dedup,
+               trie_bpe)
 from .common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -17,6 +18,10 @@ def op1_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read_table(spark, sf_dir, "documents"))
 
 
+def op2_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_dedup.report(read_table(spark, sf_dir, "documents"))
+
+
 def op3_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.join(read_table(spark, sf_dir, "documents"))
 
@@ -29,6 +34,10 @@ def op5_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_bpe.encode_decode(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op6_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(read_table(spark, sf_dir, "documents"))
+
+
 def op7_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_langid.identify(read_table(spark, sf_dir, "documents"))
 
@@ -46,7 +55,7 @@ def op10_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_extendible_sharding, op3_parity_sketch_join, op4_best_fit_packing, op5_trie_bpe,
-                              op7_ppm_langid, op8_quality_rules, op9_line_dedup, op10_merkle)
+    f.__name__: f for f in (op1_extendible_sharding, op2_sentence_spans, op3_parity_sketch_join, op4_best_fit_packing,
+                              op5_trie_bpe, op6_context_tree_weighting, op7_ppm_langid, op8_quality_rules, op9_line_dedup, op10_merkle)
 }
 ORACLE: dict[str, str] = {}
