@@ -16,6 +16,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from playmart.llm import line_dedup, packing, parity_join, ppm_langid, span_dedup
 from playmart.llm.common import importable, materialise, read_table
@@ -23,6 +24,11 @@ from playmart.llm.common import importable, materialise, read_table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def recount(docs: DataFrame) -> DataFrame:
+    """The column n_chars after the texts have changed."""
+    return docs.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
     return ppm_langid.keep_known(docs)
@@ -30,7 +36,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
-    return line_dedup.remove(docs)
+    return recount(line_dedup.remove(docs))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +46,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
-    return span_dedup.remove(docs)
+    return recount(span_dedup.remove(docs))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
