@@ -40,7 +40,7 @@ LEAST = 12
 LONGEST = 16
 _CAPITALS = "".join(chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Lu")
 #: What lies between sentences.
-BREAK = re.compile(rf"(?<=[.!?…])[ \t\r\v\f]+|\s*\n\s*|[ \t]+(?=[{_CAPITALS}])")
+BREAK = re.compile(rf"[ \t\n\r\v\f]+(?:(?=[{_CAPITALS}])|(?<=\n)|(?<=[.!?…][ \t]))")
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -49,12 +49,12 @@ def sentences(text: str) -> list[tuple[int, int]]:
     out, at = [], 0
     for m in [*BREAK.finditer(text), None]:
         end = m.start() if m else len(text)
-        if text[at:end].count(" ") < LONGEST:
-            if text[at:end].strip(" \t\n\v\f\r"):
+        if end > at and (not text[at].isspace() or WORDS.search(text, at, end)):
+            if text.count(" ", at, end) < LONGEST:
                 out.append((at, end))
-        else:
-            ws = [w.span() for w in WORDS.finditer(text, at, end)]
-            out += [(ws[i][0], ws[min(len(ws), i + LONGEST) - 1][1]) for i in range(0, len(ws), LONGEST)]
+            else:
+                ws = [w.span() for w in WORDS.finditer(text, at, end)]
+                out += [(ws[i][0], ws[min(len(ws), i + LONGEST) - 1][1]) for i in range(0, len(ws), LONGEST)]
         at = m.end() if m else len(text)
     return out
 
@@ -65,8 +65,8 @@ def runs(text: str, run: int = RUN, least: int = LEAST) -> tuple[np.ndarray, np.
     names, sizes = [], []
     for a, b in sentences(text):
         s = low[a:b]
-        if "  " in s or s[:1] == " " or s[-1:] == " ":
-            s = " ".join(s.split(" ")).strip() if "  " not in s else " ".join(w for w in s.split(" ") if w)
+        if "  " in s or s[0] == " " or s[-1] == " ":
+            s = " ".join([w for w in s.split(" ") if w])
         names.append(xxhash.xxh3_64_intdigest(s))
         sizes.append(s.count(" ") + 1)
     n = len(names) - run + 1
@@ -129,13 +129,16 @@ def covered(docs: DataFrame, run: int = RUN, least: int = LEAST) -> DataFrame:
 
 
 def strip(text: str, places: list[int], run: int = RUN) -> tuple[str, int, int]:
-    """The text without the sentences that the runs at these places cover; how many there were and went."""
+    """The text without the sentences that the runs at these places cover; how many went and stay.
+
+    Texts that lose nothing aren't cut again; 0 and 0 then.
+    """
+    if not places:
+        return text, 0, 0
     spans = sentences(text)
     gone = np.zeros(len(spans), bool)
     for p in places:
         gone[p:p + run] = True
-    if not gone.any():
-        return text, len(spans), 0
     out, kept_break = [], True
     for i, (a, b) in enumerate(spans):
         after = text[b:spans[i + 1][0] if i + 1 < len(spans) else len(text)]
@@ -145,11 +148,11 @@ def strip(text: str, places: list[int], run: int = RUN) -> tuple[str, int, int]:
         elif "\n" in after and not kept_break:
             out[-1] = out[-1].rstrip(" ") + "\n"
             kept_break = True
-    return "".join(out).strip(" \n") if out else "", len(spans), int(gone.sum())
+    return "".join(out).strip(" \n"), int(gone.sum()), int((~gone).sum())
 
 
 def dedup(docs: DataFrame, run: int = RUN, least: int = LEAST) -> DataFrame:
-    """All columns of the documents with the text stripped, and _sentences, _removed."""
+    """All columns of the documents with the text stripped, and _removed, _left (sentences)."""
     places = covered(docs.select("doc_id", "text"), run, least).select(
         F.col("doc_id").alias("p_id"), F.col("th").alias("p_th"), "places")
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("doc"),
@@ -163,23 +166,20 @@ def dedup(docs: DataFrame, run: int = RUN, least: int = LEAST) -> DataFrame:
             text = [None if t is None else d[0] for t, d in zip(batch["text"].to_pylist(), done, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc"], pa.array(text, pa.string()), pa.array([d[1] for d in done], pa.int64()),
-                 pa.array([d[2] for d in done], pa.int64())], ["doc", "text", "_sentences", "_removed"])
+                 pa.array([d[2] for d in done], pa.int64())], ["doc", "text", "_removed", "_left"])
 
     kind = joined.schema["doc"].dataType.simpleString()
     out = joined.select("doc", "text", "places").mapInArrow(
-        apply, f"doc {kind}, text string, _sentences long, _removed long")
+        apply, f"doc {kind}, text string, _removed long, _left long")
     return out.select(*[F.col("text") if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns],
-                      "_sentences", "_removed")
+                      "_removed", "_left")
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_sentences, n_removed, text (stripped) of every row."""
-    return dedup(docs.select("doc_id", "text")).select(
-        "doc_id", F.col("_sentences").alias("n_sentences"), F.col("_removed").alias("n_removed"), "text")
+    """doc_id, n_removed (sentences), text (stripped) of every row."""
+    return dedup(docs.select("doc_id", "text")).select("doc_id", F.col("_removed").alias("n_removed"), "text")
 
 
 def remove(docs: DataFrame) -> DataFrame:
     """The documents with their texts stripped; one that lost all its sentences is dropped."""
-    done = dedup(docs)
-    return done.filter((F.col("_removed") == 0) | (F.col("_removed") < F.col("_sentences"))).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    return dedup(docs).filter("_removed = 0 OR _left > 0").select(*[F.col(f"`{c}`") for c in docs.columns])
