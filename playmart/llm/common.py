@@ -2,25 +2,16 @@
 
 from __future__ import annotations
 
-import hashlib
 import os
 from collections.abc import Iterator
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmart.session import scratch_dir
 
-#: A word of the corpus contracts: a run of characters that are not ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
-#: ASCII white space as one translate table: every separator becomes a blank.
-SPACES = {c: " " for c in range(0x09, 0x0E)}
-#: A-Z to a-z, other characters untouched.
-LOWER = {c: chr(c + 32) for c in range(ord("A"), ord("Z") + 1)}
-LOWER_SPACES = {**SPACES, **LOWER}
-
-
 def importable(spark: SparkSession) -> None:
     """Let Python workers that share this machine's file system import the package from where it lies.
 
@@ -57,18 +48,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def words(text: str | None) -> list[str]:
-    """Words of a text, as WORD takes them."""
-    return [w for w in text.translate(SPACES).split(" ") if w] if text else []
-
+def lower_words(text: str | None) -> list[bytes]:
+    """Words [^\\x20\\x09-\\x0D]+ of a text with A-Z lower-cased, in UTF-8.
 
-def lower_words(text: str | None) -> list[str]:
-    return [w for w in text.translate(LOWER_SPACES).split(" ") if w] if text else []
-
-
-def hash64(data: bytes) -> int:
-    """A signed 64-bit hash, the same in every process."""
-    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+    On bytes, lower() changes A-Z alone and split() cuts at exactly those six characters.
+    """
+    return text.encode().lower().split() if text else []
 
 
 class WordHashes(dict):
@@ -78,12 +63,11 @@ class WordHashes(dict):
         super().__init__()
         self.limit = limit
 
-    def __missing__(self, word: str) -> int:
-        h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
-        self[word] = h
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
-    def array(self, ws: list[str]) -> np.ndarray:
+    def array(self, ws: list[bytes]) -> np.ndarray:
         if len(self) > self.limit:
             self.clear()
         return np.fromiter(map(self.__getitem__, ws), np.uint64, len(ws))

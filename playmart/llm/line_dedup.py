@@ -32,14 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_SPACES, WordHashes, materialise, mix64, slices, type_of
+from .common import WordHashes, materialise, mix64, slices, type_of
 from .near import Bits, candidate_pairs, parity, verify
 
 SHARE = 80
 COUNTERS = 1 << 20
 HOT = 200_000
 SLICE_CHARS = 3_000_000
-LINE_TABLE = {c: x for c, x in LOWER_SPACES.items() if c != 10}
 LINES = "known boolean, {id}, th long, line int, rep long, n int, s0 long, s1 long, prefix array<long>"
 POSTING = "key long, rep long, n int, place int, s0 long, s1 long, o1 long, o2 long"
 
@@ -50,11 +49,10 @@ class Tokens:
     def __init__(self, texts: list[str], hashes: WordHashes):
         words, self.row, self.line, self.count, self.n_lines = [], [], [], [], []
         for i, text in enumerate(texts):
-            lines = text.translate(LINE_TABLE).split("\n")
+            lines = text.encode().lower().split(b"\n")
             self.n_lines.append(len(lines))
             for k, line in enumerate(lines):
-                ws = [w for w in line.split(" ") if w]
-                if ws:
+                if ws := line.split():
                     words += ws
                     self.row.append(i)
                     self.line.append(k)

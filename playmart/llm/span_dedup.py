@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_SPACES, materialise, mix64, type_of
+from .common import lower_words, materialise, mix64, type_of
 from .near import Bits
 
 RUN = 3
@@ -61,14 +61,11 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 def runs(text: str, run: int = RUN, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Place (number of the first sentence) and two hashes of every run."""
-    low = text.translate(LOWER_SPACES)
     names, sizes = [], []
     for a, b in sentences(text):
-        s = low[a:b]
-        if "  " in s or s[0] == " " or s[-1] == " ":
-            s = " ".join([w for w in s.split(" ") if w])
-        names.append(xxhash.xxh3_64_intdigest(s))
-        sizes.append(s.count(" ") + 1)
+        ws = lower_words(text[a:b])
+        names.append(xxhash.xxh3_64_intdigest(b" ".join(ws)))
+        sizes.append(len(ws))
     n = len(names) - run + 1
     if n <= 0:
         none = np.zeros(0, np.uint64)
