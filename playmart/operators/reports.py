@@ -176,7 +176,9 @@ def recent_plays(star, n: int = 20, widen: int = 8, max_candidates: int = 1 << 2
         cands = fact.orderBy(*order).limit(k).checkpoint(eager=True)
         named = _recent_join(cands, star, small=True).persist()
         if named.count() >= n or cands.count() < k:
-            return named.orderBy(*order).limit(n).select(*cols)
+            out = named.orderBy(*order).limit(n).select(*cols).checkpoint(eager=True)
+            named.unpersist()
+            return out
         named.unpersist()
         k *= widen
     return _recent_join(fact, star).orderBy(*order).limit(n).select(*cols)

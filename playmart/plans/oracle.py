@@ -182,10 +182,9 @@ PAYLOAD_ROWS = f"""SELECT l_orderkey AS payload_id,
   CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber,
     l_partkey, l_suppkey, l_quantity) AS INTEGER) AS pos,
   p_name AS name, s_name AS artist, strftime(l_shipdate, {ISO_SEC}) AS played_at
-FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
-QUALIFY pos <= 50"""
+FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey"""
 
-PAYLOAD_COUNTS = """SELECT l_orderkey AS payload_id, CAST(LEAST(COUNT(*), 50) AS INTEGER) AS count
+PAYLOAD_COUNTS = """SELECT l_orderkey AS payload_id, CAST(COUNT(*) AS INTEGER) AS count
 FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
 GROUP BY 1"""
 

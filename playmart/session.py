@@ -87,7 +87,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
-    # Unset: only the case in tests and local runs.
+    # Unset: only tests and local runs may use a folder of this machine.
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="playmart-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()

@@ -56,7 +56,9 @@ class Warehouse:
     def read(self, table: str) -> DataFrame | None:
         try:
             return self.spark.read.parquet(self.path(table))
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     def metrics(self) -> DataFrame | None:
@@ -123,7 +125,9 @@ def _fact_target_keys(wh: Warehouse, batch: DataFrame, keys: Sequence[str]) -> D
         path = wh.path(FACT_HISTORY.name)
         try:
             target = wh.spark.read.option("basePath", path).parquet(f"{path}/{{{days}}}")
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
     if target is None:
         return None

@@ -15,10 +15,6 @@ from pyspark.sql import types as T
 
 from ..schemas import PAYLOAD
 
-# Fixed value: the page size the API is asked for.
-PAGE_LIMIT = 50
-
-
 def read_payloads(spark: SparkSession, path: str, extra: T.StructType | None = None,
                   multiline: bool = False) -> DataFrame:
     """Read landed payload documents with the nested schema.
@@ -33,12 +29,13 @@ def read_payloads(spark: SparkSession, path: str, extra: T.StructType | None = N
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
 
-def _items(limit: int):
-    # a missing ``items`` reads as an empty list; at most ``limit`` items
-    return F.slice(F.coalesce(F.col("items"), F.array()), 1, limit)
+def _items(limit: int | None):
+    # a missing ``items`` reads as an empty list; all items unless a limit is asked for
+    items = F.coalesce(F.col("items"), F.array())
+    return items if limit is None else F.slice(items, 1, limit)
 
 
-def flatten_payload(payloads: DataFrame, limit: int = PAGE_LIMIT,
+def flatten_payload(payloads: DataFrame, limit: int | None = None,
                     id_cols: Sequence[str] = ()) -> DataFrame:
     """``pos, name, artist, played_at`` per item; ``artist`` is the first artist."""
     exploded = payloads.select(*id_cols, F.posexplode(_items(limit)).alias("_p", "_i"))
@@ -51,7 +48,7 @@ def flatten_payload(payloads: DataFrame, limit: int = PAGE_LIMIT,
         F.col("_i.played_at").alias("played_at"))
 
 
-def payload_counts(payloads: DataFrame, limit: int = PAGE_LIMIT,
+def payload_counts(payloads: DataFrame, limit: int | None = None,
                    id_cols: Sequence[str] = ()) -> DataFrame:
     """Number of items each payload yields (after the page limit)."""
     return payloads.select(*id_cols, F.size(_items(limit)).alias("count"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 def kafka_options(servers: str, topic: str, starting_offsets: str = "latest",
                   extra: dict | None = None) -> dict:
     opts = {"kafka.bootstrap.servers": servers, "subscribe": topic,
-            "startingOffsets": starting_offsets, "failOnDataLoss": "false"}
+            "startingOffsets": starting_offsets}
     opts.update(extra or {})
     return opts
 

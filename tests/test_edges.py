@@ -209,13 +209,13 @@ def test_payload_flatten(spark, tmp_path):
     pl = read_payloads(spark, str(p), extra)
     flat = flatten_payload(pl, id_cols=("id",))
     counts = dict(rows(payload_counts(pl, id_cols=("id",))))
-    assert counts == {1: 0, 2: 1, 3: 50}
+    assert counts == {1: 0, 2: 1, 3: 51}
     by_id = {}
     for r in flat.collect():
         by_id.setdefault(r.id, []).append(r)
     assert 1 not in by_id
     assert by_id[2][0].artist is None
-    assert len(by_id[3]) == 50 and max(r.pos for r in by_id[3]) == 50
+    assert len(by_id[3]) == 51 and max(r.pos for r in by_id[3]) == 51
 
 
 # ------------------------------------------------------------- catalog_csv
