@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from playmart.session import scratch_dir
 
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers that share this machine's file system import the package from where it lies.
 
@@ -73,6 +75,50 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, ws), np.uint64, len(ws))
 
 
+GAP = re.compile(rb"[\x20\x09-\x0D]")
+#: White space between words, and one random number per byte value for the word hashes.
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_BYTE = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C17
+CHUNK = 1 << 21
+_powers: list[np.ndarray] = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base modulo 2 ** 64, and of its inverse."""
+    if len(_powers[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(max(n, CHUNK + 4096), base, np.uint64)
+            steps[0] = 1
+            _powers[i] = np.cumprod(steps)
+    return _powers[0][:n], _powers[1][:n]
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word [^\\x20\\x09-\\x0D]+ of UTF-8 data with A-Z lower-cased, and where it starts.
+
+    A polynomial of the word's bytes, read from running sums, so no word becomes a Python object.
+    Data is taken in chunks that end at white space; memory is that of a chunk or of the longest word.
+    """
+    hashes, places, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    while at < len(data):
+        end = at + CHUNK
+        gap = GAP.search(data, end) if end < len(data) else None
+        end = gap.start() if gap else len(data)
+        part = np.frombuffer(data[at:end].lower(), np.uint8)
+        space = SPACE[part]
+        edge = np.flatnonzero(np.diff(space, prepend=True, append=True))
+        start, stop = edge[::2], edge[1::2]
+        power, inverse = powers(len(part))
+        run = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE[part] * power, out=run[1:])
+        h = (run[stop] - run[start]) * inverse[start]
+        hashes.append(mix64(h + (stop - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+        places.append(start + at)
+        at = end
+    return np.concatenate(hashes), np.concatenate(places)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser over an array of uint64 (wraps around)."""
     x = x ^ (x >> np.uint64(30))

@@ -39,6 +39,29 @@ def parity(hashes: np.ndarray, starts: np.ndarray, words: int = 4) -> np.ndarray
     return out
 
 
+def set_keys(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A 64-bit name of each set, whatever the order of its elements; no set is empty."""
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    total = np.add.reduceat(mix64(h), starts) ^ np.bitwise_xor.reduceat(mix64(h + np.uint64(1)), starts)
+    return mix64(total).view(np.int64)
+
+
+def wide_sketch(found: np.ndarray) -> bytes:
+    """A parity sketch with at least as many bits as the set has elements; their number is a power of two."""
+    size = 1 << max(8, (len(found) - 1).bit_length())
+    bit = (mix64(found ^ np.uint64(0xA24BAED4963EE407)) & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(bit, minlength=size) & 1).astype(np.uint8)).tobytes()
+
+
+def sketch_distance(a: bytes, b: bytes) -> int:
+    """Bits in which two wide sketches differ; the longer one is folded to the length of the other."""
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def most_difference(a, b, share: int):
     """The largest symmetric difference of sets of sizes a and b with 100 * Jaccard >= share."""
     return (100 - share) * (a + b) // (100 + share)
@@ -204,6 +227,25 @@ def verify(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
             .mapInArrow(run, "later long, earlier long"))
 
 
+def screen(pairs: DataFrame, wide: DataFrame, share: int) -> DataFrame:
+    """The pairs (later, earlier) that their wide sketches don't rule out.  wide: rep, n, wide.
+
+    The sketches take about a bit per element, so few pairs beside the similar ones need their whole sets.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c = [batch[k].to_pylist() for k in ("an", "aw", "bn", "bw")]
+            keep = [sketch_distance(x, y) <= most_difference(a, b, share) for a, x, b, y in zip(*c, strict=True)]
+            yield batch.select(["later", "earlier"]).filter(pa.array(keep, pa.bool_()))
+
+    def side(name: str, short: str) -> DataFrame:
+        return wide.select(F.col("rep").alias(name), F.col("n").alias(f"{short}n"), F.col("wide").alias(f"{short}w"))
+
+    return (pairs.select("later", "earlier").join(side("later", "a"), "later").join(side("earlier", "b"), "earlier")
+            .select("later", "earlier", "an", "aw", "bn", "bw").mapInArrow(run, "later long, earlier long"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """rep, root: the smallest set number reachable over links (later, earlier), for the sets in them.
 

@@ -12,7 +12,8 @@ one below, with the number of blocks of that band.
 Empty blocks would match too often.  Each band has ``SPARE`` per cent more
 blocks than the bound needs, so a document may leave out as many empty ones:
 what remains still must agree somewhere.  Candidates under a common block are
-then held against a second, 256-bit sketch and finally verified on the sets.
+then held against a second, 256-bit sketch, pairs against a third one of about a
+bit per shingle, and what remains is verified on the sets.
 
 First each set is compared to its closest earlier candidate per block, which
 links whole groups of copies without writing all their pairs; then candidates
@@ -37,24 +38,45 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, lower_words, materialise, mix64, type_of
-from .near import SIGNATURE, Bits, candidate_pairs, components, most_difference, parity, verify
+from .common import materialise, mix64, slices, type_of, word_hashes
+from .near import (SIGNATURE, Bits, candidate_pairs, components, most_difference, parity, screen, set_keys, verify,
+                   wide_sketch)
 
 SPARE = 4
+SLICE_CHARS = 2_000_000
 POSTING = "key long, rep long, n int, s0 long, s1 long, s2 long, s3 long, o1 long, o2 long"
 
 
-def shingles(text: str | None, k: int, hashes: WordHashes) -> np.ndarray:
-    """The distinct shingles of k words as sorted 64-bit hashes."""
-    ws = lower_words(text)
-    if not ws:
-        return np.zeros(0, np.uint64)
-    h = hashes.array(ws)
-    width = min(k, len(h))
-    out = np.full(len(h) - width + 1, width, np.uint64)
-    for i in range(width):
-        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + h[i:len(h) - width + 1 + i])
-    return np.unique(out)
+def shingle_sets(texts: list[str | None], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles of k words of all texts, sorted within each, and where those of each text begin.
+
+    A list of n texts has n + 1 beginnings, the last being the end.
+    """
+    data = [(t or "").encode() for t in texts]
+    h, at = word_hashes(b"\n".join(data))
+    first = np.searchsorted(at, np.cumsum([0, *(len(d) + 1 for d in data)]))
+    rolled = np.full(max(0, len(h) - k + 1), k, np.uint64)
+    for i in range(k):
+        rolled = mix64(rolled * np.uint64(0x9E3779B97F4A7C15) + h[i:i + len(rolled)])
+    out = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        if b - a >= k:
+            out.append(np.unique(rolled[a:b - k + 1]))
+        elif b > a:
+            whole = np.full(1, b - a, np.uint64)
+            for i in range(a, b):
+                whole = mix64(whole * np.uint64(0x9E3779B97F4A7C15) + h[i:i + 1])
+            out.append(whole)
+        else:
+            out.append(np.zeros(0, np.uint64))
+    ends = np.cumsum([0, *map(len, out)])
+    return (np.concatenate(out) if out else np.zeros(0, np.uint64)), ends
+
+
+def shingled(texts: list[str | None], k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Number of the first text, shingles and their beginnings, for bounded portions of texts."""
+    for a, b in slices([len(t or "") for t in texts], SLICE_CHARS):
+        yield a, *shingle_sets(texts[a:b], k)
 
 
 @lru_cache(maxsize=4)
@@ -93,43 +115,37 @@ def block_keys(found: np.ndarray, share: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def set_key(found: np.ndarray) -> int:
-    """A 64-bit name of a set, from all its elements and their number."""
-    total = np.add.reduce(mix64(found)) ^ np.bitwise_xor.reduce(mix64(found + np.uint64(1)))
-    return int(mix64(np.array([total + np.uint64(len(found))], np.uint64)).view(np.int64)[0])
-
-
 def sketches(docs: DataFrame, k: int, share: int) -> DataFrame:
-    """doc_id, th (hash of the text), n_shingles, rep (null for an empty set), s0..s3, keys of every row.
+    """doc_id, th (hash of the text), n_shingles, rep (null for an empty set), s0..s3, wide, keys of every row.
 
-    Within a batch only the first row of equal sets carries keys.
+    Within a batch only the first row of equal sets carries the wide sketch and keys.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            n, rep, sig, keys, seen = [], [], [], [], set()
-            for text in batch["text"].to_pylist():
-                found = shingles(text, k, hashes)
-                n.append(len(found))
-                if not len(found):
-                    rep.append(None)
-                    sig.append([0, 0, 0, 0])
-                    keys.append(None)
-                    continue
-                rep.append(set_key(found))
-                sig.append(parity(found, np.array([0])).view(np.int64)[0].tolist())
-                keys.append(None if rep[-1] in seen else block_keys(found, share).view(np.int64))
-                seen.add(rep[-1])
-            sig = np.array(sig, np.int64).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["th"], pa.array(n, pa.int64()), pa.array(rep, pa.int64()),
-                 *[pa.array(sig[:, i]) for i in range(4)], pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "th", "n_shingles", "rep", *SIGNATURE, "keys"])
+            seen, texts = set(), batch["text"].to_pylist()
+            for start, found, ends in shingled(texts, k):
+                n = np.diff(ends)
+                some = np.flatnonzero(n)
+                rep, sig = np.zeros(len(n), np.int64), np.zeros((len(n), 4), np.int64)
+                rep[some] = set_keys(found, ends[some])
+                sig[some] = parity(found, ends[some]).view(np.int64)
+                wide, keys = [None] * len(n), [None] * len(n)
+                for i in some.tolist():
+                    if (r := int(rep[i])) not in seen:
+                        seen.add(r)
+                        own = found[ends[i]:ends[i + 1]]
+                        wide[i], keys[i] = wide_sketch(own), block_keys(own, share).view(np.int64)
+                part = batch.slice(start, len(n))
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], part["th"], pa.array(n.astype(np.int64)), pa.array(rep, mask=n == 0),
+                     *[pa.array(np.ascontiguousarray(sig[:, i])) for i in range(4)], pa.array(wide, pa.binary()),
+                     pa.array(keys, pa.list_(pa.int64()))],
+                    ["doc_id", "th", "n_shingles", "rep", *SIGNATURE, "wide", "keys"])
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(
         run, f"doc_id {type_of(docs, 'doc_id')}, th long, n_shingles long, rep long, s0 long, s1 long, s2 long, "
-             "s3 long, keys array<long>")
+             "s3 long, wide binary, keys array<long>")
 
 
 def shared_postings(sketched: DataFrame) -> DataFrame:
@@ -160,15 +176,14 @@ def sets_of(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
     filled = docs.sparkSession.sparkContext.broadcast(Bits.of(reps).words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, hashes = Bits(filled.value), WordHashes()
+        held = Bits(filled.value)
         for batch in batches:
-            found = {}
-            for text in batch["text"].to_pylist():
-                s = shingles(text, k, hashes)
-                if len(s) and held.holds(np.array([key := set_key(s)], np.int64))[0]:
-                    found[key] = s.tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())],
-                                             ["rep", "elements"])
+            for _, found, ends in shingled(batch["text"].to_pylist(), k):
+                starts = ends[:-1][np.diff(ends) > 0]
+                rep, stop = set_keys(found, starts), np.append(starts, len(found))
+                sets = {int(rep[i]): found[stop[i]:stop[i + 1]].tobytes() for i in np.flatnonzero(held.holds(rep)).tolist()}
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(sets), pa.int64()), pa.array(list(sets.values()), pa.binary())], ["rep", "elements"])
 
     wide = docs.select("text").mapInArrow(run, "rep long, elements binary")
     return materialise(wide.groupBy("rep").agg(F.first("elements").alias("elements")), "sets")
@@ -178,11 +193,18 @@ def labelled(docs: DataFrame, k: int, share: int) -> DataFrame:
     """doc_id, th, n_shingles, root (the component's set number, null for an empty set) of every row."""
     src = docs.select("doc_id", "text")
     sketched = materialise(sketches(src, k, share), "sketches")
+    wide = (sketched.filter("wide IS NOT NULL").groupBy("rep")
+            .agg(F.first("n_shingles").alias("n"), F.first("wide").alias("wide")))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        close = materialise(screen(pairs, wide, share), "close")
+        reps = close.select(F.col("later").alias("rep")).union(close.select("earlier"))
+        return materialise(verify(close, sets_of(src, reps, k), share), "links")
+
     postings = materialise(shared_postings(sketched), "postings")
     tried = materialise(candidate_pairs(postings, share).groupBy("later", "earlier")
                         .agg(F.max("more").alias("more")), "pairs")
-    reps = tried.select(F.col("later").alias("rep")).union(tried.select("earlier"))
-    links = materialise(verify(tried, sets_of(src, reps, k), share), "links")
+    links = linked(tried)
     roots = components(links)
     if not tried.filter("more").isEmpty():
         # candidates in different components that weren't the closest of any block
@@ -190,8 +212,7 @@ def labelled(docs: DataFrame, k: int, share: int) -> DataFrame:
         rest = materialise(candidate_pairs(grouped, share, every=True).select("later", "earlier").distinct()
                            .join(tried, ["later", "earlier"], "left_anti"), "pairs")
         if not rest.isEmpty():
-            reps = rest.select(F.col("later").alias("rep")).union(rest.select("earlier"))
-            links = links.unionByName(verify(rest, sets_of(src, reps, k), share))
+            links = links.unionByName(linked(rest))
             roots = components(links)
     return (sketched.select("doc_id", "th", "n_shingles", "rep").join(roots, "rep", "left")
             .select("doc_id", "th", "n_shingles", F.coalesce("root", "rep").alias("root")))
