@@ -1,8 +1,8 @@
 """Shared parts of the similarity joins: candidate pairs from postings, set filters, components.
 
 A posting is one row (key, rep, n, s0.., o1, o2): a set ``rep`` of n elements is
-filed under ``key``; s0.. are the words of a parity sketch of it; o1, o2 its
-place in the corpus order.  Two sets whose sketches differ in more bits than
+filed under ``key``; s0.. are the words of a parity sketch of it; o1, o2,
+if there, its place in the corpus order.  Two sets whose sketches differ in more bits than
 their symmetric difference may hold can't be similar, so that pair is dropped
 at once.  Postings are sorted by Spark (which spills) and read as a stream.
 """
@@ -74,7 +74,7 @@ class Run:
         first = np.ones(len(cols["key"]), bool)
         first[1:] = (cols["key"][1:] != cols["key"][:-1]) | (cols["rep"][1:] != cols["rep"][:-1])
         cols = {k: v[first] for k, v in cols.items()}
-        order = np.lexsort((cols["rep"], cols["o2"], cols["o1"], cols["key"]))
+        order = np.lexsort([cols[k] for k in ("rep", "o2", "o1", "key") if k in cols])
         self.c = {k: v[order] for k, v in cols.items()}
         key = self.c["key"]
         new = np.ones(len(key), bool)
@@ -177,14 +177,15 @@ def candidate_pairs(postings: DataFrame, share: int, every: bool = False) -> Dat
         if held is not None:
             yield from out(held)
 
-    return (postings.repartition("key").sortWithinPartitions("key", "rep", "o1", "o2")
+    return (postings.repartition("key").sortWithinPartitions(*[k for k in ("key", "rep", "o1", "o2") if k in names])
             .mapInArrow(run, "later long, earlier long, more boolean"))
 
 
 class Bits:
     """A set filter of fixed size over 64-bit keys: it may hold more than was put in, never less.
 
-    It is built by an aggregation over at most 2 ** (BITS - 6) words, so what reaches the driver is bounded.
+    A key sets three bits of one word (a blocked Bloom filter).  It is built by an aggregation over at most
+    2 ** (BITS - 6) words, so what reaches the driver is bounded.
     """
 
     BITS = 27
@@ -195,8 +196,8 @@ class Bits:
     @classmethod
     def of(cls, keys: DataFrame) -> Bits:
         c = keys.columns[0]
-        place = F.pmod(F.col(c), F.lit(1 << cls.BITS))
-        found = (keys.select(F.shiftright(place, 6).alias("w"), F.expr(f"shiftleft(1L, CAST(pmod({c}, 64) AS INT))").alias("b"))
+        three = " | ".join(f"shiftleft(1L, CAST(shiftrightunsigned({c}, {at}) & 63 AS INT))" for at in (0, cls.BITS, cls.BITS + 6))
+        found = (keys.select(F.shiftright(F.pmod(F.col(c), F.lit(1 << cls.BITS)), 6).alias("w"), F.expr(three).alias("b"))
                  .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
         words = np.zeros(1 << (cls.BITS - 6), np.int64)
         words[found["w"].to_numpy()] = found["b"].to_numpy()
@@ -204,8 +205,10 @@ class Bits:
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
         keys = keys.view(np.uint64)
-        place = keys & np.uint64((1 << self.BITS) - 1)
-        return (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
+        word = self.words[((keys & np.uint64((1 << self.BITS) - 1)) >> np.uint64(6)).astype(np.int64)]
+        for at in (0, self.BITS, self.BITS + 6):
+            word = word & ~(((word >> ((keys >> np.uint64(at)) & np.uint64(63))) & np.uint64(1)) - np.uint64(1))
+        return word > 0
 
 
 def verify(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:

@@ -44,7 +44,7 @@ from .near import (SIGNATURE, Bits, candidate_pairs, components, most_difference
 
 SPARE = 4
 SLICE_CHARS = 2_000_000
-POSTING = "key long, rep long, n int, s0 long, s1 long, s2 long, s3 long, o1 long, o2 long"
+POSTING = "key long, rep long, n int, s0 long, s1 long, s2 long, s3 long"
 
 
 def shingle_sets(texts: list[str | None], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -162,11 +162,10 @@ def shared_postings(sketched: DataFrame) -> DataFrame:
             key = lists.flatten().to_numpy()
             keep = held.holds(key)
             key, row = key[keep], pa.array(row[keep])
-            zero = pa.array(np.zeros(len(key), np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key), batch["rep"].take(row), batch["n_shingles"].take(row).cast(pa.int32()),
-                 *[batch[s].take(row) for s in SIGNATURE], zero, zero],
-                ["key", "rep", "n", *SIGNATURE, "o1", "o2"])
+                 *[batch[s].take(row) for s in SIGNATURE]],
+                ["key", "rep", "n", *SIGNATURE])
 
     return sketched.filter("keys IS NOT NULL").mapInArrow(run, POSTING)
 
