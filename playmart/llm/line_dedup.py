@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, materialise, mix64, slices, type_of
-from .near import Bits, candidate_pairs, parity, verify
+from .common import materialise, mix64, slices, type_of, word_hashes
+from .near import Bits, candidate_pairs, parity, set_keys, verify
 
 SHARE = 80
 COUNTERS = 1 << 20
@@ -44,20 +44,17 @@ POSTING = "key long, rep long, n int, place int, s0 long, s1 long, o1 long, o2 l
 
 
 class Tokens:
-    """The words of a slice of texts: hashes, with the line each belongs to."""
-
-    def __init__(self, texts: list[str], hashes: WordHashes):
-        words, self.row, self.line, self.count, self.n_lines = [], [], [], [], []
-        for i, text in enumerate(texts):
-            lines = text.encode().lower().split(b"\n")
-            self.n_lines.append(len(lines))
-            for k, line in enumerate(lines):
-                if ws := line.split():
-                    words += ws
-                    self.row.append(i)
-                    self.line.append(k)
-                    self.count.append(len(ws))
-        self.hashes = hashes.array(words)
+    """The words of a slice of texts: hashes, and of each line with a word its text, place and number of words."""
+
+    def __init__(self, texts: list[str]):
+        data = [t.encode() for t in texts]
+        joined = b"\n".join(data)
+        self.hashes, at = word_hashes(joined)
+        line = np.searchsorted(np.flatnonzero(np.frombuffer(joined, np.uint8) == 10), at)
+        begins = np.cumsum([0, *(d.count(b"\n") + 1 for d in data)])
+        found, self.count = np.unique(line, return_counts=True)
+        self.row = np.searchsorted(begins, found, "right") - 1
+        self.line = found - begins[self.row]
         self.of = np.repeat(np.arange(len(self.count)), self.count)
 
     def sets(self, counters: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -71,14 +68,6 @@ class Tokens:
         return h, of, np.searchsorted(of, np.arange(len(self.count)))
 
 
-def set_keys(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """A 64-bit name of each set, whatever the order of its elements."""
-    if not len(starts):
-        return np.zeros(0, np.int64)
-    total = np.add.reduceat(mix64(h), starts) ^ np.bitwise_xor.reduceat(mix64(h + np.uint64(1)), starts)
-    return mix64(total).view(np.int64)
-
-
 def prefix_length(n: np.ndarray, share: int) -> np.ndarray:
     return n - (share * n + 99) // 100 + 1
 
@@ -87,11 +76,11 @@ def count_tokens(docs: DataFrame) -> np.ndarray:
     """Occurrences of the words of all documents, in COUNTERS counters by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, hashes = np.zeros(COUNTERS, np.int64), WordHashes()
+        total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             texts = [t for t in batch["text"].to_pylist() if t]
             for a, b in slices([len(t) for t in texts], SLICE_CHARS):
-                found = Tokens(texts[a:b], hashes).hashes
+                found = Tokens(texts[a:b]).hashes
                 total += np.bincount((found % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["counter", "n"])
@@ -108,27 +97,29 @@ def lines_of(docs: DataFrame, counters: np.ndarray, share: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(counters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            texts, seen = [t or "" for t in batch["text"].to_pylist()], set()
+            texts, seen = [t or "" for t in batch["text"].to_pylist()], np.zeros(0, np.int64)
             for a, b in slices([len(t) for t in texts], SLICE_CHARS):
-                t = Tokens(texts[a:b], hashes)
-                h, of, starts = t.sets(shared.value)
+                t = Tokens(texts[a:b])
+                h, _, starts = t.sets(shared.value)
                 rep = set_keys(h, starts)
                 n = np.diff(np.append(starts, len(h)))
                 sig = parity(h, starts, 2).view(np.int64)
-                ends = starts + prefix_length(n, share)
-                mixed = mix64(h).view(np.int64)
-                prefix = []
-                for r, size, x, y in zip(rep.tolist(), n.tolist(), starts.tolist(), ends.tolist(), strict=True):
-                    # smaller sets are similar to equal ones only
-                    prefix.append(None if r in seen or 100 * size < share * (size + 1) else mixed[x:y])
-                    seen.add(r)
-                row = pa.array(np.array(t.row, np.int64) + a)
+                fresh = np.zeros(len(rep), bool)
+                fresh[np.unique(rep, return_index=True)[1]] = True
+                # smaller sets are similar to equal ones only
+                fresh &= ~np.isin(rep, seen) & (100 * n >= share * (n + 1))
+                seen = np.union1d(seen, rep)
+                size = np.where(fresh, prefix_length(n, share), 0)
+                ends = np.cumsum(size)
+                taken = np.repeat(starts - (ends - size), size) + np.arange(int(size.sum()))
+                prefix = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)),
+                                                  pa.array(mix64(h[taken]).view(np.int64)), mask=pa.array(~fresh))
+                row = pa.array(t.row + a)
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"].take(row).is_valid(), batch["doc_id"].take(row), batch["th"].take(row),
-                     pa.array(t.line, pa.int32()), pa.array(rep), pa.array(n.astype(np.int32)), pa.array(sig[:, 0]),
-                     pa.array(sig[:, 1]), pa.array(prefix, pa.list_(pa.int64()))],
+                     pa.array(t.line.astype(np.int32)), pa.array(rep), pa.array(n.astype(np.int32)),
+                     pa.array(np.ascontiguousarray(sig[:, 0])), pa.array(np.ascontiguousarray(sig[:, 1])), prefix],
                     ["known", "doc_id", "th", "line", "rep", "n", "s0", "s1", "prefix"])
 
     return (docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
@@ -184,11 +175,11 @@ def sets_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
     filled = docs.sparkSession.sparkContext.broadcast(Bits.of(reps).words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, hashes = Bits(filled.value), WordHashes()
+        held = Bits(filled.value)
         for batch in batches:
             texts, found = [t for t in batch["text"].to_pylist() if t], {}
             for a, b in slices([len(t) for t in texts], SLICE_CHARS):
-                h, _, starts = Tokens(texts[a:b], hashes).sets(None)
+                h, _, starts = Tokens(texts[a:b]).sets(None)
                 rep, ends = set_keys(h, starts), np.append(starts, len(h))
                 for i in np.flatnonzero(held.holds(rep)).tolist():
                     found[int(rep[i])] = h[ends[i]:ends[i + 1]].tobytes()
