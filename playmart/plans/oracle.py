@@ -175,7 +175,7 @@ def topic_sql(topic: str, with_topic: bool) -> str:
 ALL_TOPICS = "\nUNION ALL\n".join(topic_sql(t, True) for t in RECORD_SQL)
 FANOUT_ALL = _with(CAT, WIDE) + ALL_TOPICS
 ENCODE = (_with(CAT, WIDE, f"r AS ({ALL_TOPICS})") + """SELECT topic, hex(encode(key)) AS key_hex,
-  CAST(octet_length(encode(value)) AS INTEGER) AS value_bytes FROM r""")
+  md5(value) AS value_md5 FROM r""")
 
 # ----------------------------------------------------------------- payload
 PAYLOAD_ROWS = f"""SELECT l_orderkey AS payload_id,
@@ -267,25 +267,31 @@ EV_SONG_ALL = """SELECT track_id AS song_id, track_name AS song_name, duration_m
 DAY = "CAST(date_trunc('day', played_ts) AS TIMESTAMP)"
 
 
+# one row per play: the loader keeps one of the copies of a (second, song)
+PLAYS = """plays AS (SELECT * FROM ew
+QUALIFY row_number() OVER (PARTITION BY date_trunc('second', played_ts), track_id
+  ORDER BY album_id, artist_id, duration_ms) = 1)"""
+
+
 def _roll_sql(group: str | None, cols: str) -> str:
     g = f", {group}" if group else ""
-    return (_with(EW) + f"SELECT {DAY} AS window_start{g}, {cols} FROM ew GROUP BY {DAY}{g}")
+    return (_with(EW, PLAYS) + f"SELECT {DAY} AS window_start{g}, {cols} FROM plays GROUP BY {DAY}{g}")
 
 
 ROLL_SONG = _roll_sql("track_id AS song_id", "COUNT(*) AS plays").replace(
     "GROUP BY " + DAY + ", track_id AS song_id", "GROUP BY " + DAY + ", track_id")
 ROLL_TIME = _roll_sql(None, "COUNT(*) AS plays, CAST(SUM(duration_ms) AS BIGINT) AS listening_ms")
 ROLL_ARTIST = _roll_sql("artist_id", "COUNT(*) AS plays, CAST(SUM(duration_ms) AS BIGINT) AS listening_ms")
-ROLL_DISTINCT = _with(EW) + f"""SELECT {DAY} AS window_start, COUNT(DISTINCT track_id) AS distinct_items
-FROM ew GROUP BY 1"""
+ROLL_DISTINCT = _with(EW, PLAYS) + f"""SELECT {DAY} AS window_start, COUNT(DISTINCT track_id) AS distinct_items
+FROM plays GROUP BY 1"""
 
 
 def _roll_top(item_expr: str, item: str) -> str:
-    return (_with(EW) + f"""SELECT window_start, rank, {item}, plays FROM (
+    return (_with(EW, PLAYS) + f"""SELECT window_start, rank, {item}, plays FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY window_start
     ORDER BY plays DESC, {item} ASC NULLS LAST) AS INTEGER) AS rank
   FROM (SELECT {DAY} AS window_start, {item_expr} AS {item}, COUNT(*) AS plays
-        FROM ew GROUP BY 1, 2)) WHERE rank <= 5""")
+        FROM plays GROUP BY 1, 2)) WHERE rank <= 5""")
 
 
 ROLL_TOP_SONGS = _roll_top("track_id", "song_id")

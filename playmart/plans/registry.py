@@ -227,7 +227,7 @@ for _topic, _key in (("song_topic", "fanout_song_records"), ("album_topic", "fan
 def _q(spark, d):
     enc = FO.encode_records(FO.fanout(_wide(spark, d)))
     return enc.select("topic", F.hex("key").alias("key_hex"),
-                      F.octet_length("value").alias("value_bytes"))
+                      F.md5("value").alias("value_md5"))
 
 
 @register("default_missing_columns")

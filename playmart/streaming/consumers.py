@@ -31,10 +31,14 @@ from ..sinks.loader import Warehouse, load_table
 FACT_ORDER = ("album_id", "artist_id", "duration_ms")
 
 
-def parsed_records(raw: DataFrame, topic: str, strict: bool = True) -> DataFrame:
-    """Typed record columns plus ``_reject`` (NULL when accepted) and raw ``value``."""
+def parsed_records(raw: DataFrame, topic: str, strict: bool = False) -> DataFrame:
+    """Typed record columns plus ``_reject`` (NULL when accepted) and raw ``value``.
+
+    Only a column that the table declares NOT NULL can reject a record; a field
+    of the wrong type is NULL, unless ``strict`` rejects it too.
+    """
     schema = TOPICS[topic]
-    keys = TOPIC_TABLE[topic].keys
+    keys = TOPIC_TABLE[topic].not_null
     parsed = parse_values(raw, schema, "value", keep=("value",))
     if topic == "item_topic":
         # parse the text time before the key check: bad text is a NULL key part
@@ -83,11 +87,12 @@ def topic_batch_handler(topic: str, wh: Warehouse, query_name: str, write_reject
 def start_topic_load(raw_stream: DataFrame, topic: str, wh: Warehouse, checkpoint: str,
                      query_name: str, dedup: str = "table", delay: str = "1 hour",
                      available_now: bool = True, processing_time: str | None = None,
-                     shuffle_partitions: int | None = None) -> StreamingQuery:
+                     shuffle_partitions: int | None = None, strict: bool = False,
+                     write_rejects: bool = True) -> StreamingQuery:
     """Start the consumer of one topic into its star table."""
-    parsed = parsed_records(raw_stream, topic)
+    parsed = parsed_records(raw_stream, topic, strict)
     if dedup == "table":
-        frame, handler = parsed, topic_batch_handler(topic, wh, query_name)
+        frame, handler = parsed, topic_batch_handler(topic, wh, query_name, write_rejects)
     else:
         frame = _with_dedup(accepted(parsed, topic), topic, dedup, delay)
         handler = topic_batch_handler(topic, wh, query_name, already_accepted=True)
@@ -101,13 +106,14 @@ def start_topic_load(raw_stream: DataFrame, topic: str, wh: Warehouse, checkpoin
 
 
 def start_reject_sink(raw_stream: DataFrame, topic: str, out: str, checkpoint: str,
-                      query_name: str, available_now: bool = True) -> StreamingQuery:
+                      query_name: str, available_now: bool = True, strict: bool = False,
+                      processing_time: str | None = None) -> StreamingQuery:
     """Stateless dead-letter query: rejected raw values with their reason."""
-    rej = (parsed_records(raw_stream, topic).filter(F.col("_reject").isNotNull())
+    rej = (parsed_records(raw_stream, topic, strict).filter(F.col("_reject").isNotNull())
            .select(F.col("value").alias("raw_value"), F.col("_reject").alias("reason")))
     w = (rej.writeStream.queryName(query_name).format("parquet").option("path", out)
          .option("checkpointLocation", checkpoint))
-    return _trigger(w, available_now, None).start()
+    return _trigger(w, available_now, processing_time).start()
 
 
 def start_append(frame: DataFrame, out: str, checkpoint: str, query_name: str,
@@ -141,9 +147,13 @@ def run_to_end(queries: list[StreamingQuery]) -> None:
 
 def start_star_load(spark: SparkSession, source, wh: Warehouse, checkpoint_root: str,
                     prefix: str = "load", dedup_dims: str = "table",
-                    dedup_fact: str = "table") -> list[StreamingQuery]:
+                    dedup_fact: str = "table", available_now: bool = True,
+                    processing_time: str | None = None) -> list[StreamingQuery]:
     """Four consumers (song, album, artist, play) into the star; one checkpoint each.
 
+    With ``available_now=False`` they go on running, batch after batch or every
+    ``processing_time``.
+
     ``source(topic) -> streaming DataFrame`` supplies ``topic, key, value`` rows
     (Kafka or a landing folder).
     """
@@ -152,5 +162,6 @@ def start_star_load(spark: SparkSession, source, wh: Warehouse, checkpoint_root:
         mode = dedup_fact if topic == "item_topic" else dedup_dims
         name = f"{prefix}_{topic}"
         out.append(start_topic_load(source(topic), topic, wh,
-                                    f"{checkpoint_root.rstrip('/')}/{name}", name, dedup=mode))
+                                    f"{checkpoint_root.rstrip('/')}/{name}", name, dedup=mode,
+                                    available_now=available_now, processing_time=processing_time))
     return out

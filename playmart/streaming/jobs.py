@@ -10,7 +10,8 @@ cfg = {
     "watermark": "1 hour",
     "trigger": {"processing_time": None, "available_now": False},
     "state_partitions": 64,          # frozen into each stateful query's checkpoint
-    "rejects": True,                 # dead-letter folder per topic (table mode: same query)
+    "rejects": True,                 # dead letters of every mode (default); a folder per mode and topic
+    "strict": False,                 # also reject a field of the wrong type (else it is NULL)
     "report_refresh": {"out": "/shared/reports", "every": "60 seconds"},
     "topics": ["song_topic", "album_topic", "artist_topic", "item_topic"],   # default: all
 }
@@ -55,6 +56,7 @@ def start(spark: SparkSession, cfg: dict) -> list[StreamingQuery]:
     dedup = cfg.get("dedup", {})
     if cfg.get("state_partitions"):
         spark.conf.set("spark.sql.shuffle.partitions", str(cfg["state_partitions"]))
+    strict, rejects = cfg.get("strict", False), cfg.get("rejects", True)
     queries = []
     for topic in cfg.get("topics", list(TOPICS)):
         mode = dedup.get("fact" if topic == "item_topic" else "dims", "table")
@@ -63,12 +65,14 @@ def start(spark: SparkSession, cfg: dict) -> list[StreamingQuery]:
             source(topic), topic, wh, f"{ck}/{name}", name, dedup=mode,
             delay=cfg.get("watermark", "1 hour"),
             available_now=trig.get("available_now", False),
-            processing_time=trig.get("processing_time")))
-        if mode != "table" and cfg.get("rejects"):
+            processing_time=trig.get("processing_time"), strict=strict, write_rejects=rejects))
+        if mode != "table" and rejects:
+            # a folder of its own: the file sink's log would hide what table mode wrote
             queries.append(SC.start_reject_sink(
-                source(topic), topic, f"{wh.root}/_rejects/topic={topic}",
+                source(topic), topic, f"{wh.root}/_rejects_stream/topic={topic}",
                 f"{ck}/rejects_{topic}", f"rejects_{topic}",
-                available_now=trig.get("available_now", False)))
+                available_now=trig.get("available_now", False), strict=strict,
+                processing_time=trig.get("processing_time")))
     rr = cfg.get("report_refresh")
     if rr:
         queries.append(start_report_refresh(

@@ -518,3 +518,19 @@ def test_compaction_of_missing_days_is_a_no_op(spark, tmp_path):
     from playmart.sinks.compact import compact_fact_days
     from playmart.sinks.loader import Warehouse
     assert compact_fact_days(Warehouse(spark, str(tmp_path / "none")), ["2024-01-01"]) == 0
+
+
+def test_catalog_csv_line_breaks_and_decimal_numbers(spark, tmp_path):
+    from playmart.sources.catalog import drop_incomplete, read_catalog_csv
+    p = tmp_path / "cat"
+    p.mkdir()
+    (p / "c.csv").write_text(
+        'track_id,track_name,artists,album_name,duration_ms\n'
+        't1,"Two\nlines",A,Al,215000.0\n'
+        't2,Short,A,Al\n'
+        't3,Plain,A,Al,1000\n')
+    got = {r.track_id: r for r in drop_incomplete(read_catalog_csv(spark, str(p))).collect()}
+    assert set(got) == {"t1", "t2", "t3"}
+    assert got["t1"].track_name == "Two\nlines" and got["t1"].duration_ms == 215000
+    bad = read_catalog_csv(spark, str(p), reject_col="bad").filter("bad IS NOT NULL").collect()
+    assert [(r.track_id, r.bad) for r in bad] == [("t2", "t2,Short,A,Al")]

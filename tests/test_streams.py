@@ -246,3 +246,29 @@ def test_compacting_a_closed_day_does_not_recount_rolling_kpis(spark, tmp_path):
     compact_fact_days(wh, ["2024-01-01"])   # day 1 rewritten as a new file
     roll()
     assert day1_total() == 3
+
+
+def _four_plays():
+    """One good play, one without a song, one whose duration is text, and one without a time."""
+    values = ['{"played_at": "2024-01-01T10:00:00.000Z", "song_id": "s1", "duration_ms": 12}',
+              '{"played_at": "2024-01-01T10:01:00.000Z", "duration_ms": 12}',
+              '{"played_at": "2024-01-01T10:02:00.000Z", "song_id": "s2", "duration_ms": "12"}',
+              '{"song_id": "s3", "duration_ms": 12}']
+    return [("item_topic", "k", v) for v in values]
+
+
+@pytest.mark.parametrize("mode", ["table", "state", "watermark"])
+def test_nullable_song_and_text_duration_load_and_rejects_are_kept(spark, tmp_path, mode):
+    from playmart.streaming.jobs import start
+    landing = str(tmp_path / "landing")
+    write_landing(spark.createDataFrame(_four_plays(), "topic string, key string, value string"),
+                  landing)
+    root = str(tmp_path / "star")
+    SC.run_to_end(start(spark, {"source": {"kind": "landing", "root": landing}, "warehouse": root,
+                                "checkpoints": str(tmp_path / "ck"), "topics": ["item_topic"],
+                                "dedup": {"fact": mode}, "trigger": {"available_now": True}}))
+    got = spark.read.parquet(f"{root}/fact_history").select("song_id", "duration_ms")
+    assert rows(got) == rows(spark.createDataFrame([("s1", 12), (None, 12), ("s2", None)],
+                                                   "song_id string, duration_ms int"))
+    folder = "_rejects" if mode == "table" else "_rejects_stream"
+    assert [r.reason for r in spark.read.parquet(f"{root}/{folder}").collect()] == ["null_key"]
