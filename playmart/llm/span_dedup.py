@@ -28,17 +28,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_words, materialise, mix64, type_of
+from .common import SPACE, materialise, mix64, slices, type_of, word_hashes
 from .near import Bits
 
 RUN = 3
 LEAST = 12
 LONGEST = 16
-_CAPITALS = "".join(chr(c) for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Lu")
+SLICE_CHARS = 2_000_000
+_IS_CAPITAL = np.array([unicodedata.category(chr(c)) == "Lu" for c in range(sys.maxunicode + 1)])
+_CAPITALS = "".join(map(chr, np.flatnonzero(_IS_CAPITAL).tolist()))
 #: What lies between sentences.
 BREAK = re.compile(rf"[ \t\n\r\v\f]+(?:(?=[{_CAPITALS}])|(?<=\n)|(?<=[.!?…][ \t]))")
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -50,7 +51,7 @@ def sentences(text: str) -> list[tuple[int, int]]:
     for m in [*BREAK.finditer(text), None]:
         end = m.start() if m else len(text)
         if end > at and (not text[at].isspace() or WORDS.search(text, at, end)):
-            if text.count(" ", at, end) < LONGEST:
+            if sum(text.count(c, at, end) for c in " \t\n\r\v\f") < LONGEST:
                 out.append((at, end))
             else:
                 ws = [w.span() for w in WORDS.finditer(text, at, end)]
@@ -59,25 +60,57 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def runs(text: str, run: int = RUN, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place (number of the first sentence) and two hashes of every run."""
-    names, sizes = [], []
-    for a, b in sentences(text):
-        ws = lower_words(text[a:b])
-        names.append(xxhash.xxh3_64_intdigest(b" ".join(ws)))
-        sizes.append(len(ws))
-    n = len(names) - run + 1
+def capitals(code: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the characters that begin at these bytes of UTF-8 are upper-case letters."""
+    b = np.append(code, np.zeros(3, np.uint8))[at[:, None] + np.arange(4)].astype(np.int64)
+    rest = b & 63
+    point = np.where(b[:, 0] < 0x80, b[:, 0], (b[:, 0] & 31) << 6 | rest[:, 1])
+    point = np.where(b[:, 0] >= 0xE0, (b[:, 0] & 15) << 12 | rest[:, 1] << 6 | rest[:, 2], point)
+    point = np.where(b[:, 0] >= 0xF0, (b[:, 0] & 7) << 18 | rest[:, 1] << 12 | rest[:, 2] << 6 | rest[:, 3], point)
+    return _IS_CAPITAL[point]
+
+
+def sentence_starts(data: bytes, at: np.ndarray) -> np.ndarray:
+    """Which of the words that start at these bytes begin a sentence, as in ``sentences``.
+
+    Texts joined by line breaks are cut like each of them alone.
+    """
+    code = np.frombuffer(data, np.uint8)
+    space = SPACE[code]
+    last = np.flatnonzero(~space & np.append(space[1:], True))[:-1]
+    mark = np.isin(code[last], np.frombuffer(b".!?", np.uint8))
+    dots = np.flatnonzero(code[last] == 0xA6)
+    mark[dots] = (code[last[dots] - 1] == 0x80) & (code[last[dots] - 2] == 0xE2)
+    line = np.searchsorted(np.flatnonzero(code == 10), at)
+    new = capitals(code, at)
+    new[1:] |= (line[1:] != line[:-1]) | (mark & np.isin(code[last + 1], np.frombuffer(b" \t", np.uint8)))
+    new[0] = True
+    first = np.flatnonzero(new)
+    return new | ((np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))) % LONGEST == 0)
+
+
+def runs(texts: list[str], run: int = RUN, least: int = LEAST) -> tuple[np.ndarray, ...]:
+    """Of every run in the texts: the text's number, its place (number of its first sentence there) and two hashes."""
+    data = [t.encode() for t in texts]
+    joined = b"\n".join(data)
+    h, at = word_hashes(joined)
+    start = np.flatnonzero(sentence_starts(joined, at)) if len(at) else at
+    n = len(start) - run + 1
     if n <= 0:
         none = np.zeros(0, np.uint64)
-        return np.zeros(0, np.int64), none, none
-    h = np.array(names, np.uint64)
-    total = np.concatenate([[0], np.cumsum(sizes)])
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), none, none
+    size = np.diff(np.append(start, len(at)))
+    nth = (np.arange(len(at)) - np.repeat(start, size) + 1).astype(np.uint64)
+    name = mix64(np.add.reduceat(mix64(h + nth * np.uint64(0x9E3779B97F4A7C15)), start) + size.astype(np.uint64))
+    row = np.searchsorted(np.cumsum([0, *(len(d) + 1 for d in data)]), at[start], "right") - 1
+    place = np.arange(len(start)) - np.searchsorted(row, row)
+    total = np.concatenate([[0], np.cumsum(size)])
     one, two = np.full(n, 1, np.uint64), np.full(n, 2, np.uint64)
     for i in range(run):
-        one = mix64(one * np.uint64(0x9E3779B97F4A7C15) + h[i:i + n])
-        two = mix64((two ^ h[i:i + n]) * np.uint64(0xD6E8FEB86659FD93))
-    at = np.flatnonzero(total[run:] - total[:-run] >= least)
-    return at, one[at], two[at]
+        one = mix64(one * np.uint64(0x9E3779B97F4A7C15) + name[i:i + n])
+        two = mix64((two ^ name[i:i + n]) * np.uint64(0xD6E8FEB86659FD93))
+    ok = np.flatnonzero((row[:n] == row[run - 1:]) & (total[run:] - total[:-run] >= least))
+    return row[ok], place[ok], one[ok], two[ok]
 
 
 def repeated(docs: DataFrame, run: int, least: int) -> Bits:
@@ -85,10 +118,11 @@ def repeated(docs: DataFrame, run: int, least: int) -> Bits:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [runs(t, run, least)[1] for t in batch["text"].to_pylist() if t]
-            h, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int64))],
-                                             ["h", "n"])
+            texts = [t for t in batch["text"].to_pylist() if t]
+            for a, b in slices([len(t) for t in texts], SLICE_CHARS):
+                h, n = np.unique(runs(texts[a:b], run, least)[2], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int64))], ["h", "n"])
 
     counted = docs.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     return Bits.of(counted.filter("n > 1").select("h"))
@@ -101,19 +135,15 @@ def covered(docs: DataFrame, run: int = RUN, least: int = LEAST) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Bits(filled.value)
         for batch in batches:
-            row, place, one, two = [], [], [], []
-            for i, text in enumerate(batch["text"].to_pylist()):
-                at, a, b = runs(text or "", run, least)
-                keep = held.holds(a)
-                row.append(np.full(int(keep.sum()), i))
-                place.append(at[keep])
-                one.append(a[keep])
-                two.append(b[keep])
-            row = pa.array(np.concatenate(row).astype(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(one).view(np.int64)), pa.array(np.concatenate(two).view(np.int64)),
-                 batch["doc_id"].take(row).is_valid(), batch["doc_id"].take(row), batch["th"].take(row),
-                 pa.array(np.concatenate(place).astype(np.int32))], ["h", "h2", "known", "doc_id", "th", "place"])
+            texts = [t or "" for t in batch["text"].to_pylist()]
+            for a, b in slices([len(t) for t in texts], SLICE_CHARS):
+                row, place, one, two = runs(texts[a:b], run, least)
+                keep = held.holds(one)
+                row = pa.array(row[keep] + a)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(one[keep].view(np.int64)), pa.array(two[keep].view(np.int64)),
+                     batch["doc_id"].take(row).is_valid(), batch["doc_id"].take(row), batch["th"].take(row),
+                     pa.array(place[keep].astype(np.int32))], ["h", "h2", "known", "doc_id", "th", "place"])
 
     src = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
     spans = materialise(src.mapInArrow(find, f"h long, h2 long, known boolean, doc_id {type_of(docs, 'doc_id')}, "
@@ -125,6 +155,20 @@ def covered(docs: DataFrame, run: int = RUN, least: int = LEAST) -> DataFrame:
             .groupBy("doc_id", "th").agg(F.collect_list("place").alias("places")))
 
 
+def spans_of(data: bytes) -> list[tuple[int, int]]:
+    """Start and end of each sentence of a text in UTF-8; the indentation of a line belongs to its sentence."""
+    at = word_hashes(data)[1]
+    first = at[sentence_starts(data, at)].tolist() if len(at) else []
+    out, before = [], 0
+    for a, after in zip(first, [*first[1:], len(data)], strict=True):
+        line = data.rfind(b"\n", before, a)
+        while SPACE[data[after - 1]]:
+            after -= 1
+        out.append((line + 1 if line >= 0 or not before else a, after))
+        before = after
+    return out
+
+
 def strip(text: str, places: list[int], run: int = RUN) -> tuple[str, int, int]:
     """The text without the sentences that the runs at these places cover; how many went and stay.
 
@@ -132,20 +176,21 @@ def strip(text: str, places: list[int], run: int = RUN) -> tuple[str, int, int]:
     """
     if not places:
         return text, 0, 0
-    spans = sentences(text)
+    data = text.encode()
+    spans = spans_of(data)
     gone = np.zeros(len(spans), bool)
     for p in places:
         gone[p:p + run] = True
     out, kept_break = [], True
     for i, (a, b) in enumerate(spans):
-        after = text[b:spans[i + 1][0] if i + 1 < len(spans) else len(text)]
+        after = data[b:spans[i + 1][0] if i + 1 < len(spans) else len(data)]
         if not gone[i]:
-            out.append(text[a:b] + after)
-            kept_break = "\n" in after
-        elif "\n" in after and not kept_break:
-            out[-1] = out[-1].rstrip(" ") + "\n"
+            out.append(data[a:b] + after)
+            kept_break = b"\n" in after
+        elif b"\n" in after and not kept_break:
+            out[-1] = out[-1].rstrip(b" ") + b"\n"
             kept_break = True
-    return "".join(out).strip(" \n"), int(gone.sum()), int((~gone).sum())
+    return b"".join(out).strip(b" \n").decode(), int(gone.sum()), int((~gone).sum())
 
 
 def dedup(docs: DataFrame, run: int = RUN, least: int = LEAST) -> DataFrame:
