@@ -80,7 +80,7 @@ GAP = re.compile(rb"[\x20\x09-\x0D]")
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BYTE = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C17
-CHUNK = 1 << 21
+CHUNK = 1 << 18
 _powers: list[np.ndarray] = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
 
 
@@ -88,7 +88,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the base modulo 2 ** 64, and of its inverse."""
     if len(_powers[0]) < n:
         for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(max(n, CHUNK + 4096), base, np.uint64)
+            steps = np.full(max(n, CHUNK + (1 << 12)), base, np.uint64)
             steps[0] = 1
             _powers[i] = np.cumprod(steps)
     return _powers[0][:n], _powers[1][:n]

@@ -38,7 +38,7 @@ from .near import Bits, candidate_pairs, parity, set_keys, verify
 SHARE = 80
 COUNTERS = 1 << 20
 HOT = 200_000
-SLICE_CHARS = 3_000_000
+SLICE_CHARS = 1_000_000
 LINES = "known boolean, {id}, th long, line int, rep long, n int, s0 long, s1 long, prefix array<long>"
 POSTING = "key long, rep long, n int, place int, s0 long, s1 long, o1 long, o2 long"
 

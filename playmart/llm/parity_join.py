@@ -43,7 +43,7 @@ from .near import (SIGNATURE, Bits, candidate_pairs, components, most_difference
                    wide_sketch)
 
 SPARE = 4
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 POSTING = "key long, rep long, n int, s0 long, s1 long, s2 long, s3 long"
 
 

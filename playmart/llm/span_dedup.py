@@ -37,7 +37,7 @@ from .near import Bits
 RUN = 3
 LEAST = 12
 LONGEST = 16
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 _IS_CAPITAL = np.array([unicodedata.category(chr(c)) == "Lu" for c in range(sys.maxunicode + 1)])
 _CAPITALS = "".join(map(chr, np.flatnonzero(_IS_CAPITAL).tolist()))
 #: What lies between sentences.
