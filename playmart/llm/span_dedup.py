@@ -3,10 +3,10 @@
 A text is cut into sentences: after an end mark and white space, at a line break,
 and before a capitalised word, since pasted passages start in mid-sentence; a
 sentence of more than ``LONGEST`` words is cut again every so many words from its
-start, so that the same passage is cut alike wherever it stands.  Every run of
-``RUN`` consecutive sentences with at least ``LEAST`` words is hashed, the
-hashes are joined over the whole corpus, and a sentence goes if any run over it
-is not the first of its kind, by (doc_id, place).
+start, so that the same passage is cut alike wherever it stands.  From every
+sentence on, the run of ``RUN`` sentences, or of as many more as it takes to have
+``LEAST`` words, is hashed, the hashes are joined over the whole corpus, and a
+sentence goes if any run over it is not the first of its kind, by (doc_id, place).
 
 One narrow count of hashes tells which runs come twice; only those are written
 with their places (the set is kept as a filter of fixed size, which may let
@@ -90,27 +90,43 @@ def sentence_starts(data: bytes, at: np.ndarray) -> np.ndarray:
 
 
 def runs(texts: list[str], run: int = RUN, least: int = LEAST) -> tuple[np.ndarray, ...]:
-    """Of every run in the texts: the text's number, its place (number of its first sentence there) and two hashes."""
+    """Of every run in the texts: the text's number, its place and two hashes.
+
+    A place holds the numbers, in the text, of the run's first sentence (upper 32 bits) and of the one after its last.
+    """
     data = [t.encode() for t in texts]
     joined = b"\n".join(data)
     h, at = word_hashes(joined)
-    start = np.flatnonzero(sentence_starts(joined, at)) if len(at) else at
-    n = len(start) - run + 1
-    if n <= 0:
+    if not len(at):
         none = np.zeros(0, np.uint64)
         return np.zeros(0, np.int64), np.zeros(0, np.int64), none, none
+    start = np.flatnonzero(sentence_starts(joined, at))
     size = np.diff(np.append(start, len(at)))
     nth = (np.arange(len(at)) - np.repeat(start, size) + 1).astype(np.uint64)
     name = mix64(np.add.reduceat(mix64(h + nth * np.uint64(0x9E3779B97F4A7C15)), start) + size.astype(np.uint64))
     row = np.searchsorted(np.cumsum([0, *(len(d) + 1 for d in data)]), at[start], "right") - 1
-    place = np.arange(len(start)) - np.searchsorted(row, row)
-    total = np.concatenate([[0], np.cumsum(size)])
-    one, two = np.full(n, 1, np.uint64), np.full(n, 2, np.uint64)
-    for i in range(run):
-        one = mix64(one * np.uint64(0x9E3779B97F4A7C15) + name[i:i + n])
-        two = mix64((two ^ name[i:i + n]) * np.uint64(0xD6E8FEB86659FD93))
-    ok = np.flatnonzero((row[:n] == row[run - 1:]) & (total[run:] - total[:-run] >= least))
-    return row[ok], place[ok], one[ok], two[ok]
+    total = np.append(start, len(at))
+    then = np.arange(len(start)) + 1
+    end = run_ends(total, then, size, run, least)
+    ok = end <= len(start)
+    ok[ok] = row[end[ok] - 1] == row[ok]
+    lead, first, then, end, own = name[ok], then[ok] - 1, then[ok], end[ok], row[ok]
+    one = mix64(np.uint64(0x9E3779B97F4A7C15) + lead)
+    two = mix64((np.uint64(1) ^ lead) * np.uint64(0xD6E8FEB86659FD93))
+    on = np.flatnonzero(then < end)
+    while len(on):
+        more = name[then[on]]
+        one[on] = mix64(one[on] * np.uint64(0x9E3779B97F4A7C15) + more)
+        two[on] = mix64((two[on] ^ more) * np.uint64(0xD6E8FEB86659FD93))
+        then[on] += 1
+        on = on[then[on] < end[on]]
+    begin = np.searchsorted(row, own)
+    return own, (first - begin) << 32 | (end - begin), one, two
+
+
+def run_ends(total: np.ndarray, then: np.ndarray, words: np.ndarray, run: int, least: int) -> np.ndarray:
+    """Where runs end that go on with sentence ``then`` after a first piece of so many words; maybe past the last one."""
+    return np.maximum(then + run - 1, np.searchsorted(total, total[then] - words + least))
 
 
 def repeated(docs: DataFrame, run: int, least: int) -> Bits:
@@ -143,11 +159,11 @@ def covered(docs: DataFrame, run: int = RUN, least: int = LEAST) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(one[keep].view(np.int64)), pa.array(two[keep].view(np.int64)),
                      batch["doc_id"].take(row).is_valid(), batch["doc_id"].take(row), batch["th"].take(row),
-                     pa.array(place[keep].astype(np.int32))], ["h", "h2", "known", "doc_id", "th", "place"])
+                     pa.array(place[keep])], ["h", "h2", "known", "doc_id", "th", "place"])
 
     src = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
     spans = materialise(src.mapInArrow(find, f"h long, h2 long, known boolean, doc_id {type_of(docs, 'doc_id')}, "
-                                             "th long, place int"), "spans")
+                                             "th long, place long"), "spans")
     at = F.struct("known", "doc_id", "th", "place")
     # equal rows give equal places, so a run is repeated only if its places differ
     first = (spans.groupBy("h", "h2").agg(F.min(at).alias("first"), F.max(at).alias("last")).filter("first <> last"))
@@ -169,7 +185,7 @@ def spans_of(data: bytes) -> list[tuple[int, int]]:
     return out
 
 
-def strip(text: str, places: list[int], run: int = RUN) -> tuple[str, int, int]:
+def strip(text: str, places: list[int]) -> tuple[str, int, int]:
     """The text without the sentences that the runs at these places cover; how many went and stay.
 
     Texts that lose nothing aren't cut again; 0 and 0 then.
@@ -180,7 +196,7 @@ def strip(text: str, places: list[int], run: int = RUN) -> tuple[str, int, int]:
     spans = spans_of(data)
     gone = np.zeros(len(spans), bool)
     for p in places:
-        gone[p:p + run] = True
+        gone[p >> 32:p & 0xFFFFFFFF] = True
     out, kept_break = [], True
     for i, (a, b) in enumerate(spans):
         after = data[b:spans[i + 1][0] if i + 1 < len(spans) else len(data)]
@@ -203,7 +219,7 @@ def dedup(docs: DataFrame, run: int = RUN, least: int = LEAST) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = [strip(t or "", p or [], run) for t, p in zip(batch["text"].to_pylist(), batch["places"].to_pylist(),
+            done = [strip(t or "", p or []) for t, p in zip(batch["text"].to_pylist(), batch["places"].to_pylist(),
                                                                   strict=True)]
             text = [None if t is None else d[0] for t, d in zip(batch["text"].to_pylist(), done, strict=True)]
             yield pa.RecordBatch.from_arrays(
