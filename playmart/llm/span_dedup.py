@@ -1,12 +1,17 @@
 """Substring dedup by sliding sentence spans.
 
 A text is cut into sentences: after an end mark and white space, at a line break,
-and before a capitalised word, since pasted passages start in mid-sentence; a
-sentence of more than ``LONGEST`` words is cut again every so many words from its
-start, so that the same passage is cut alike wherever it stands.  From every
-sentence on, the run of ``RUN`` sentences, or of as many more as it takes to have
-``LEAST`` words, is hashed, the hashes are joined over the whole corpus, and a
-sentence goes if any run over it is not the first of its kind, by (doc_id, place).
+and before a capitalised word, since pasted passages start in mid-sentence.  A
+sentence of more than ``LONGEST`` words is cut again after so many, and from there
+on, of every ``WINDOW`` consecutive words the last one with the least hash begins
+a piece.  A cut depends on at most LONGEST + WINDOW - 1 words before it and WINDOW
+words after it, so a passage is cut alike wherever it stands.  Its first sentence
+may have begun in the host; so a run is also hashed from the last LONGEST words of
+every longer sentence on, taken as one piece, and from the last 2 * LONGEST on, taken
+as two.  From every sentence on, the run of
+``RUN`` sentences, or of as many more as it takes to have ``LEAST`` words, is
+hashed, the hashes are joined over the whole corpus, and a sentence goes if any run
+over it is not the first of its kind, by (doc_id, place).
 
 One narrow count of hashes tells which runs come twice; only those are written
 with their places (the set is kept as a filter of fixed size, which may let
@@ -36,7 +41,11 @@ from .near import Bits
 
 RUN = 3
 LEAST = 12
-LONGEST = 16
+#: With x the first sentence start in a passage of 50 words, a whole run lies in it: from x if x <= 13, from x - LONGEST
+#: if x <= 25, from x - 2 * LONGEST if x <= 37, else (or without an x) from the first window's cut, at 18 to 23; pieces
+#: right after a sentence's start have at most LONGEST words, the others at most WINDOW.
+LONGEST = 12
+WINDOW = 6
 SLICE_CHARS = 1_000_000
 _IS_CAPITAL = np.array([unicodedata.category(chr(c)) == "Lu" for c in range(sys.maxunicode + 1)])
 _CAPITALS = "".join(map(chr, np.flatnonzero(_IS_CAPITAL).tolist()))
@@ -55,7 +64,12 @@ def sentences(text: str) -> list[tuple[int, int]]:
                 out.append((at, end))
             else:
                 ws = [w.span() for w in WORDS.finditer(text, at, end)]
-                out += [(ws[i][0], ws[min(len(ws), i + LONGEST) - 1][1]) for i in range(0, len(ws), LONGEST)]
+                h = word_hashes(text[at:end].encode())[0].tolist()
+                cuts = {0} | {i for i in (LONGEST,) if i < len(ws)}
+                for i in range(LONGEST + 1, len(ws) - WINDOW + 1):
+                    cuts.add(min(range(i, i + WINDOW), key=lambda p: (h[p], -p)))
+                cuts = sorted(cuts)
+                out += [(ws[i][0], ws[j - 1][1]) for i, j in zip(cuts, [*cuts[1:], len(ws)], strict=True)]
         at = m.end() if m else len(text)
     return out
 
@@ -70,8 +84,8 @@ def capitals(code: np.ndarray, at: np.ndarray) -> np.ndarray:
     return _IS_CAPITAL[point]
 
 
-def sentence_starts(data: bytes, at: np.ndarray) -> np.ndarray:
-    """Which of the words that start at these bytes begin a sentence, as in ``sentences``.
+def sentence_starts(data: bytes, h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which of the words (hashes, first bytes) begin a piece, as in ``sentences``; where sentences over LONGEST end; their sizes.
 
     Texts joined by line breaks are cut like each of them alone.
     """
@@ -86,7 +100,18 @@ def sentence_starts(data: bytes, at: np.ndarray) -> np.ndarray:
     new[1:] |= (line[1:] != line[:-1]) | (mark & np.isin(code[last + 1], np.frombuffer(b" \t", np.uint8)))
     new[0] = True
     first = np.flatnonzero(new)
-    return new | ((np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))) % LONGEST == 0)
+    after = np.append(first[1:], len(at))
+    long = after - first > LONGEST
+    begun = np.concatenate([[0], np.cumsum(new)])
+    new[first[long] + LONGEST] = True
+    n = len(at) - WINDOW + 1 - LONGEST  # windows from word LONGEST on
+    if n > 0:
+        inside = np.flatnonzero(begun[LONGEST + WINDOW:] == begun[:n]) + LONGEST
+        best = inside.copy()
+        for k in range(1, WINDOW):
+            best = np.where(h[inside + k] <= h[best], inside + k, best)
+        new[best] = True
+    return new, after[long], (after - first)[long]
 
 
 def runs(texts: list[str], run: int = RUN, least: int = LEAST) -> tuple[np.ndarray, ...]:
@@ -100,19 +125,34 @@ def runs(texts: list[str], run: int = RUN, least: int = LEAST) -> tuple[np.ndarr
     if not len(at):
         none = np.zeros(0, np.uint64)
         return np.zeros(0, np.int64), np.zeros(0, np.int64), none, none
-    start = np.flatnonzero(sentence_starts(joined, at))
+    new, ends, longs = sentence_starts(joined, h, at)
+    start = np.flatnonzero(new)
     size = np.diff(np.append(start, len(at)))
     nth = (np.arange(len(at)) - np.repeat(start, size) + 1).astype(np.uint64)
     name = mix64(np.add.reduceat(mix64(h + nth * np.uint64(0x9E3779B97F4A7C15)), start) + size.astype(np.uint64))
     row = np.searchsorted(np.cumsum([0, *(len(d) + 1 for d in data)]), at[start], "right") - 1
     total = np.append(start, len(at))
-    then = np.arange(len(start)) + 1
-    end = run_ends(total, then, size, run, least)
+    # runs from every sentence on, then those from the last words of long sentences on, in one piece or two
+    nth = np.arange(1, LONGEST + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    piece = lambda x: mix64(mix64(h[x[:, None] + np.arange(LONGEST)] + nth).sum(1, dtype=np.uint64) + np.uint64(LONGEST))
+    twice = ends[longs > 2 * LONGEST]
+    lead = [name, piece(ends - LONGEST), piece(twice - 2 * LONGEST)]
+    kind = np.repeat(np.arange(3), [len(x) for x in lead])
+    lead = np.concatenate(lead)
+    then = np.concatenate([np.arange(len(start)) + 1, np.searchsorted(start, ends), np.searchsorted(start, twice)])
+    first = np.concatenate([np.arange(len(start)), np.searchsorted(start, ends - LONGEST),
+                            np.searchsorted(start, twice - 2 * LONGEST)])
+    words = np.concatenate([size, np.full(len(ends), LONGEST), np.full(len(twice), 2 * LONGEST)])
+    end = run_ends(total, then, words, run - (kind == 2), least)
+    own = row[then - 1]
     ok = end <= len(start)
-    ok[ok] = row[end[ok] - 1] == row[ok]
-    lead, first, then, end, own = name[ok], then[ok] - 1, then[ok], end[ok], row[ok]
+    ok[ok] = row[end[ok] - 1] == own[ok]
     one = mix64(np.uint64(0x9E3779B97F4A7C15) + lead)
     two = mix64((np.uint64(1) ^ lead) * np.uint64(0xD6E8FEB86659FD93))
+    second, both = piece(twice - LONGEST), kind == 2
+    one[both] = mix64(one[both] * np.uint64(0x9E3779B97F4A7C15) + second)
+    two[both] = mix64((two[both] ^ second) * np.uint64(0xD6E8FEB86659FD93))
+    one, two, first, then, end, own = one[ok], two[ok], first[ok], then[ok], end[ok], own[ok]
     on = np.flatnonzero(then < end)
     while len(on):
         more = name[then[on]]
@@ -124,8 +164,8 @@ def runs(texts: list[str], run: int = RUN, least: int = LEAST) -> tuple[np.ndarr
     return own, (first - begin) << 32 | (end - begin), one, two
 
 
-def run_ends(total: np.ndarray, then: np.ndarray, words: np.ndarray, run: int, least: int) -> np.ndarray:
-    """Where runs end that go on with sentence ``then`` after a first piece of so many words; maybe past the last one."""
+def run_ends(total: np.ndarray, then: np.ndarray, words: np.ndarray, run: int | np.ndarray, least: int) -> np.ndarray:
+    """Where runs end that go on with sentence ``then`` after so many words in a first piece; maybe past the last one."""
     return np.maximum(then + run - 1, np.searchsorted(total, total[then] - words + least))
 
 
@@ -157,24 +197,25 @@ def covered(docs: DataFrame, run: int = RUN, least: int = LEAST) -> DataFrame:
                 keep = held.holds(one)
                 row = pa.array(row[keep] + a)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(one[keep].view(np.int64)), pa.array(two[keep].view(np.int64)),
+                    [pa.array(one[keep].view(np.int64)), pa.array(two[keep].astype(np.uint32).view(np.int32)),
                      batch["doc_id"].take(row).is_valid(), batch["doc_id"].take(row), batch["th"].take(row),
                      pa.array(place[keep])], ["h", "h2", "known", "doc_id", "th", "place"])
 
     src = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
-    spans = materialise(src.mapInArrow(find, f"h long, h2 long, known boolean, doc_id {type_of(docs, 'doc_id')}, "
+    spans = materialise(src.mapInArrow(find, f"h long, h2 int, known boolean, doc_id {type_of(docs, 'doc_id')}, "
                                              "th long, place long"), "spans")
     at = F.struct("known", "doc_id", "th", "place")
-    # equal rows give equal places, so a run is repeated only if its places differ
-    first = (spans.groupBy("h", "h2").agg(F.min(at).alias("first"), F.max(at).alias("last")).filter("first <> last"))
-    return (spans.join(first, ["h", "h2"]).filter(F.col("first") != at).select("doc_id", "th", "place").distinct()
+    # equal rows give equal places, which are not later than the first
+    first = spans.groupBy("h", "h2").agg(F.min(at).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    return (spans.join(first, ["h", "h2"]).filter(F.col("first") != at).select("doc_id", "th", "place")
+            .repartition("doc_id", "th").distinct()  # one exchange for both groupings
             .groupBy("doc_id", "th").agg(F.collect_list("place").alias("places")))
 
 
 def spans_of(data: bytes) -> list[tuple[int, int]]:
     """Start and end of each sentence of a text in UTF-8; the indentation of a line belongs to its sentence."""
-    at = word_hashes(data)[1]
-    first = at[sentence_starts(data, at)].tolist() if len(at) else []
+    h, at = word_hashes(data)
+    first = at[sentence_starts(data, h, at)[0]].tolist() if len(at) else []
     out, before = [], 0
     for a, after in zip(first, [*first[1:], len(data)], strict=True):
         line = data.rfind(b"\n", before, a)

@@ -51,3 +51,36 @@ def test_title_case_passage_goes_from_the_later_host(spark):
     got = {r.doc_id: r for r in span_dedup.report(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")).collect()}
     assert got[1].n_removed == 0 and got[1].text == a
     assert got[2].n_removed >= 45 and " ".join(passage.split()[1:-15]) not in got[2].text
+
+
+@pytest.mark.parametrize("style", ["plain", "prose", "mixed", "same", "title", "short"])
+@pytest.mark.parametrize("n", [50, 51, 80])
+def test_passages_pasted_in_mid_sentence_share_a_run(style, n):
+    rng = random.Random(n)
+    for _ in range(400):
+        _, a, b = hosts(rng, n, style)
+        assert shared(a, b)
+
+
+def test_cuts_of_bytes_are_those_of_sentences():
+    rng = random.Random(6)
+    for style in ["plain", "prose", "mixed", "same", "lines"]:
+        for _ in range(60):
+            text = hosts(rng, rng.randint(1, 90), style)[1]
+            assert span_dedup.spans_of(text.encode()) == span_dedup.sentences(text)
+
+
+def test_every_run_against_brute_force():
+    """The runs of a text are those of its sentences and, from the last words of long natural sentences on, one more."""
+    rng = random.Random(7)
+    for style in ["plain", "prose", "mixed", "short"]:
+        for _ in range(60):
+            text = hosts(rng, 60, style)[1]
+            spans = span_dedup.sentences(text)
+            size = [len(text[a:b].split()) for a, b in spans]
+            want = set()
+            for i in range(len(spans)):
+                j = next((j for j in range(i + 3, len(spans) + 1) if sum(size[i:j]) >= span_dedup.LEAST), None)
+                want |= {(i, j)} - {(i, None)}
+            got = {(p >> 32, p & 0xFFFFFFFF) for p in span_dedup.runs([text])[1].tolist()}
+            assert want <= got and all(j <= len(spans) for _, j in got)
