@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,6 +99,10 @@ def lines_of(docs: DataFrame, counters: np.ndarray, share: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            # by doc_id, as the row that files a set also gives its place
+            rank = pc.rank(batch["doc_id"], null_placement="at_start", tiebreaker="dense").to_numpy()
+            order = np.argsort(rank, kind="stable")
+            batch, rank = batch.take(pa.array(order)), rank[order]
             texts, seen = [t or "" for t in batch["text"].to_pylist()], np.zeros(0, np.int64)
             for a, b in slices([len(t) for t in texts], SLICE_CHARS):
                 t = Tokens(texts[a:b])
@@ -106,10 +111,14 @@ def lines_of(docs: DataFrame, counters: np.ndarray, share: int) -> DataFrame:
                 n = np.diff(np.append(starts, len(h)))
                 sig = parity(h, starts, 2).view(np.int64)
                 fresh = np.zeros(len(rep), bool)
-                fresh[np.unique(rep, return_index=True)[1]] = True
+                at = rank[t.row + a]
+                by = np.lexsort((t.line, at, rep))
+                first = by[np.unique(rep[by], return_index=True)[1]]
+                fresh[first] = True
                 # smaller sets are similar to equal ones only
                 fresh &= ~np.isin(rep, seen) & (100 * n >= share * (n + 1))
-                seen = np.union1d(seen, rep)
+                # another text of the last id may hold a set at an earlier line
+                seen = np.union1d(seen, rep[first[at[first] < rank[b - 1]]])
                 size = np.where(fresh, prefix_length(n, share), 0)
                 ends = np.cumsum(size)
                 taken = np.repeat(starts - (ends - size), size) + np.arange(int(size.sum()))
