@@ -7,9 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (ctw, line_dedup, merkle, packing, parity_join, ppm_langid, quality_rules, sharding, span_dedup,
+from . import (ctw, line_dedup, manifest, merkle, packing, parity_join, ppm_langid, quality_rules, sharding, span_dedup,
                trie_bpe)
 from .common import read_table
+from .oracle import MERKLE_MANIFEST
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -54,8 +55,13 @@ def op10_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.audit(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_extendible_sharding, op2_sentence_spans, op3_parity_sketch_join, op4_best_fit_packing,
-                              op5_trie_bpe, op6_context_tree_weighting, op7_ppm_langid, op8_quality_rules, op9_line_dedup, op10_merkle)
+                              op5_trie_bpe, op6_context_tree_weighting, op7_ppm_langid, op8_quality_rules, op9_line_dedup, op10_merkle,
+                              op11_merkle_manifest)
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_merkle_manifest": MERKLE_MANIFEST}
