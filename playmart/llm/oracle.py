@@ -61,3 +61,18 @@ subroots AS (SELECT tree, h FROM low WHERE n = 1),
 SELECT d.doc_id, d.leaf, s.h AS subroot, r.h AS root, sha256(o.proof) AS proof_sha256,
        o.h AS folded_root, o.h = r.h AS verified
 FROM numbered d JOIN subroots s USING (tree) JOIN outer__top o USING (id) CROSS JOIN (SELECT h FROM high WHERE n = 1) r"""
+
+EMBEDDING_NEAR_DEDUP = """WITH RECURSIVE
+usable AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.vec_id <> b.vec_id AND CASE WHEN len(a.v) = len(b.v) THEN list_cosine_similarity(a.v, b.v) >= 0.95 END),
+reach(a, b) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+roots AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, r.component_id, e.vec_id = r.component_id AS kept
+FROM embeddings e JOIN roots r ON r.a = e.vec_id LEFT JOIN counts c ON c.a = e.vec_id"""

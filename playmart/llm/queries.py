@@ -7,10 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (ctw, line_dedup, manifest, merkle, packing, parity_join, ppm_langid, quality_rules, sharding, span_dedup,
+from . import (ctw, embedding_dedup, line_dedup, manifest, merkle, packing, parity_join, ppm_langid, quality_rules, sharding, span_dedup,
                trie_bpe)
 from .common import read_table
-from .oracle import MERKLE_MANIFEST
+from .oracle import EMBEDDING_NEAR_DEDUP, MERKLE_MANIFEST
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -59,9 +59,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.audit(read_table(spark, sf_dir, "documents"))
 
 
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_extendible_sharding, op2_sentence_spans, op3_parity_sketch_join, op4_best_fit_packing,
                               op5_trie_bpe, op6_context_tree_weighting, op7_ppm_langid, op8_quality_rules, op9_line_dedup, op10_merkle,
-                              op11_merkle_manifest)
+                              op11_merkle_manifest, op13_embedding_near_dedup)
 }
-ORACLE: dict[str, str] = {"op11_merkle_manifest": MERKLE_MANIFEST}
+ORACLE: dict[str, str] = {"op11_merkle_manifest": MERKLE_MANIFEST, "op13_embedding_near_dedup": EMBEDDING_NEAR_DEDUP}
