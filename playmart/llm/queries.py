@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (ctw, embedding_dedup, line_dedup, manifest, merkle, packing, parity_join, ppm_langid, quality_rules, sharding, span_dedup,
-               trie_bpe)
+from . import (ctw, embedding_dedup, line_dedup, manifest, merkle, packing, parity_join, ppm_langid, quality_rules,
+               sharding, span_dedup, token_alignment, trie_bpe)
 from .common import read_table
 from .oracle import EMBEDDING_NEAR_DEDUP, MERKLE_MANIFEST
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +60,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.audit(read_table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.compare(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER),
+                                   public_tokenizers.path(PIECES))
+
+
 def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
 
@@ -66,6 +72,6 @@ def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_extendible_sharding, op2_sentence_spans, op3_parity_sketch_join, op4_best_fit_packing,
                               op5_trie_bpe, op6_context_tree_weighting, op7_ppm_langid, op8_quality_rules, op9_line_dedup, op10_merkle,
-                              op11_merkle_manifest, op13_embedding_near_dedup)
+                              op11_merkle_manifest, op12_token_alignment, op13_embedding_near_dedup)
 }
 ORACLE: dict[str, str] = {"op11_merkle_manifest": MERKLE_MANIFEST, "op13_embedding_near_dedup": EMBEDDING_NEAR_DEDUP}
