@@ -15,9 +15,11 @@ a slice is one row for each of its pairs, so a pair that every document holds we
 no more than the number of slices.  The largest count of each B id is broadcast: at
 most as many rows as B's vocabulary.
 
-Texts longer than ``PART`` characters are encoded in parts, cut at a blank
-between two ASCII letters or digits.  Neither tokenizer has a token across such a
-place (B's vocabulary is searched for one when it is loaded; if it has one, texts go whole).
+Texts are encoded in pieces cut at blanks, each different piece once in a while: neither
+tokenizer has a token across a blank that stands between other characters
+(``UNSAFE``: blanks in a row, at an end, or inside white space).  A text with such
+blanks is cut only where ASCII letters or digits are on both sides.  B's vocabulary
+is searched for a piece across blanks when it is loaded; if it has one, texts go whole.
 
 Defined cases: a null or empty text has no tokens: zeros, '' as digest.  So has a text whose
 tokens don't give back a blank and the text in both tokenizers.  Special
@@ -44,57 +46,59 @@ from .common import importable, materialise, slices, type_of
 
 #: Links in a slice, about; a slice holds whole documents, at least one.
 SLICE = 1 << 21
-#: Characters of a part, at least, and of the texts that are encoded in one call.
+#: Characters that are aligned together, about, and of the texts that are encoded in one call.
 PART = 100_000
 CALL = 1_000_000
-#: A blank at which both tokenizers begin anew.
+#: Pieces remembered by a worker; it starts anew when there are more, which changes no result.
+REMEMBERED = 300_000
+#: A blank inside white space: at least one tokenizer may not begin anew there, nor at blanks in a row or at an end.
+INSIDE = re.compile(r"[^\S ] [^\S ]")
+#: A blank at which both do, whatever is around.
 CUT = re.compile(r"(?<=[0-9A-Za-z]) (?=[0-9A-Za-z])")
 
 
-def diagonal(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[int], list[int], list[int], list[int]]:
+def diagonal(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Groups (ends in A's and in B's tokens, exclusive) and links (places in A and in B) of two ascending arrays
-    of byte offsets with the same last one."""
+    of byte offsets with the same last one.
+
+    The walk notes only the links at whose end one side goes on alone; at all others both do.
+    """
     a, b = ends_a.tolist(), ends_b.tolist()
     wide_a, wide_b = ends_a.astype("<i4").tobytes(), ends_b.astype("<i4").tobytes()
-    groups_a: list[int] = []
-    groups_b: list[int] = []
-    links_a: list[int] = []
-    links_b: list[int] = []
-    i = j = 0
-    while i < len(a):
-        most, run, step = min(len(a) - i, len(b) - j), 0, 1
-        x, y = 4 * i, 4 * j
-        while run + step <= most and wide_a[x + 4 * run:x + 4 * (run + step)] == wide_b[y + 4 * run:y + 4 * (run + step)]:
-            run += step
-            step *= 2
-        while step > 1:
-            step //= 2
-            if run + step <= most and wide_a[x + 4 * run:x + 4 * (run + step)] == wide_b[y + 4 * run:y + 4 * (run + step)]:
-                run += step
-        if run:
-            links_a.extend(range(i, i + run))
-            links_b.extend(range(j, j + run))
-            i, j = i + run, j + run
-            groups_a.extend(range(i - run + 1, i + 1))
-            groups_b.extend(range(j - run + 1, j + 1))
-            if i == len(a):
-                break
+    alone_a: list[int] = []
+    alone_b: list[int] = []
+    i = j = link = 0
+    n_a, n_b = len(a), len(b)
+    while i < n_a:
         end_a, end_b = a[i], b[j]
-        while True:
-            links_a.append(i)
-            links_b.append(j)
-            if end_a == end_b:
-                break
+        if end_a == end_b:                    # a one-to-one stretch: probe 1, 2, 4, ... ends further on
+            x, y, left, step = 4 * i + 4, 4 * j + 4, 4 * min(n_a - i, n_b - j) - 4, 4
+            begin = x - 4
+            while step <= left and wide_a[x:x + step] == wide_b[y:y + step]:
+                x, y, left, step = x + step, y + step, left - step, 2 * step
+            while step > 4:
+                step >>= 1
+                if step <= left and wide_a[x:x + step] == wide_b[y:y + step]:
+                    x, y, left = x + step, y + step, left - step
+            run = (x - begin) >> 2
+            i, j, link = i + run, j + run, link + run
+            continue
+        while end_a != end_b:                 # an irregular group: one end at a time
             if end_a < end_b:
+                alone_a.append(link)
                 i += 1
                 end_a = a[i]
             else:
+                alone_b.append(link)
                 j += 1
                 end_b = b[j]
-        i, j = i + 1, j + 1
-        groups_a.append(i)
-        groups_b.append(j)
-    return groups_a, groups_b, links_a, links_b
+            link += 1
+        i, j, link = i + 1, j + 1, link + 1
+    goes_a, goes_b = np.ones(link, bool), np.ones(link, bool)
+    goes_a[alone_b], goes_b[alone_a] = False, False
+    links_a, links_b = np.cumsum(goes_a) - goes_a, np.cumsum(goes_b) - goes_b
+    both = goes_a & goes_b
+    return links_a[both] + 1, links_b[both] + 1, links_a, links_b
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -143,33 +147,73 @@ class Aligner:
         text = lambda n, mark: np.array([f"{i}{mark}" for i in range(n)], object)
         self.text_a, self.last_a = text(self.n_a, ","), text(self.n_a, "|")
         self.text_b, self.last_b = text(self.n_b, ","), text(self.n_b, ";")
+        #: piece -> ids of A and of B as little-endian 32-bit numbers; the second is None if a tokenizer loses a byte
+        self.known: tuple[dict[str, bytes], dict[str, bytes | None]] = ({}, {})
 
-    def parts(self, text: str, least: int = PART) -> list[str]:
+    def pieces(self, text: str) -> list[str]:
         """The text cut at blanks, which are left out."""
-        out, at = [], 0
-        while self.parted and len(text) - at > least and (cut := CUT.search(text, at + least)):
-            out.append(text[at:cut.start()])
-            at = cut.end()
-        return [*out, text[at:]]
-
-    def _aligned(self, part: str, a: list[int], b: list[int]) -> Alignment | None:
-        whole = (" " + part).encode()
+        if not self.parted:
+            return [text]
+        if "  " in text or text[0] == " " or text[-1] == " " or INSIDE.search(text):
+            return CUT.split(text)
+        return text.split(" ")
+
+    def remember(self, pieces: list[str]) -> None:
+        """Encode pieces not met before with both tokenizers; each comes after a blank.
+
+        Those without white space at an end are joined by blanks for that, as a text is.
+        """
+        plain, rows = [], []
+        for p in pieces:
+            if self.parted and not p[0].isspace() and not p[-1].isspace():
+                plain.append(p)
+            else:
+                rows.append([p])
+        rows += [plain[s:e] for s, e in slices([len(p) for p in plain], CALL // 10)]
+        for s, e in slices([sum(map(len, r)) for r in rows], CALL):
+            texts = [" ".join(r) for r in rows[s:e]]
+            for r, t, x, y in zip(rows[s:e], texts, self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False),
+                                  self.b.encode(texts, num_threads=1), strict=True):
+                self._note(r, (" " + t).encode(), x.ids, y)
+
+    def _note(self, pieces: list[str], whole: bytes, a: list[int], b: list[int]) -> None:
+        """Deal the ids of pieces joined by blanks to them, by the bytes that the tokens take."""
+        known_a, known_b = self.known
         if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
-            return None
-        x, y = np.array(a, np.int64), np.array(b, np.int64)
-        found = diagonal(np.cumsum(self.length_a[x]), np.cumsum(self.length_b[y]))
-        return Alignment(x, y, *[np.array(f, np.int64) for f in found])
+            if len(pieces) > 1:               # look for those that a tokenizer changes
+                self.remember(pieces[:len(pieces) // 2])
+                self.remember(pieces[len(pieces) // 2:])
+            else:
+                known_a[pieces[0]], known_b[pieces[0]] = b"", None
+            return
+        ends = np.cumsum([len(p.encode()) + 1 for p in pieces])
+        for ids, length, known in ((a, self.length_a, known_a), (b, self.length_b, known_b)):
+            ids = np.array(ids, "<i4")
+            raw, start = ids.tobytes(), 0
+            for p, end in zip(pieces, (4 * np.searchsorted(np.cumsum(length[ids]), ends) + 4).tolist(), strict=True):
+                known[p] = raw[start:end]
+                start = end
 
     def align(self, texts: list[str], least: int = PART) -> Iterator[list[Alignment]]:
-        """The alignments of each text's parts; none for a text that is empty or not given back."""
+        """The alignments of each text's parts, in order; none for a text that is empty or not given back."""
         for s, e in slices([len(t) for t in texts], CALL):
-            cut = [self.parts(t, least) if t else [] for t in texts[s:e]]
-            flat = [p for parts in cut for p in parts]
-            a = iter([x.ids for x in self.a.encode_batch([" " + p for p in flat], add_special_tokens=False)])
-            b = iter(self.b.encode(flat, num_threads=1)) if flat else iter(())
-            for parts in cut:
-                found = [self._aligned(p, next(a), next(b)) for p in parts]
-                yield found if all(found) else []
+            cut = [self.pieces(t) if t else [] for t in texts[s:e]]
+            if len(self.known[0]) > REMEMBERED:
+                self.known = ({}, {})
+            self.remember(list({p for parts in cut for p in parts if p not in self.known[0]}))
+            ids_a, ids_b = self.known
+            for pieces in cut:
+                b = [ids_b[p] for p in pieces]
+                if None in b:
+                    yield []
+                    continue
+                a = [ids_a[p] for p in pieces]
+                yield [self._aligned(a[u:v], b[u:v]) for u, v in slices([len(p) for p in pieces], least)]
+
+    def _aligned(self, a: list[bytes], b: list[bytes]) -> Alignment:
+        x, y = np.frombuffer(b"".join(a), "<i4").astype(np.int64), np.frombuffer(b"".join(b), "<i4").astype(np.int64)
+        found = diagonal(np.cumsum(self.length_a[x]), np.cumsum(self.length_b[y]))
+        return Alignment(x, y, *[np.array(f, np.int64) for f in found])
 
     def groups_text(self, x: Alignment) -> str:
         """``a1,a2|b1;a3|b2,b3;`` in decimal ids."""
@@ -216,8 +260,8 @@ def alignments(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", t
         tool = aligner(path_a, path_b)
         current, held = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            texts = batch["_text"].to_pylist()
-            for s, e in slices([len(t or "") for t in texts], CALL):
+            texts = [t or "" for t in batch["_text"].to_pylist()]
+            for s, e in slices([len(t) for t in texts], CALL):
                 made = list(rows(tool.align(texts[s:e])))
                 numbers = []
                 for row in made:
