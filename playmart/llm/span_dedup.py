@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import SPACE, materialise, mix64, slices, type_of, word_hashes
 from .near import Bits
@@ -251,7 +252,7 @@ def strip(text: str, places: list[int]) -> tuple[str, int, int]:
 
 
 def dedup(docs: DataFrame, run: int = RUN, least: int = LEAST) -> DataFrame:
-    """All columns of the documents with the text stripped, and _removed, _left (sentences)."""
+    """doc (a struct of all columns but the text), text (stripped), removed and left (sentences)."""
     places = covered(docs.select("doc_id", "text"), run, least).select(
         F.col("doc_id").alias("p_id"), F.col("th").alias("p_th"), "places")
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("doc"),
@@ -265,20 +266,19 @@ def dedup(docs: DataFrame, run: int = RUN, least: int = LEAST) -> DataFrame:
             text = [None if t is None else d[0] for t, d in zip(batch["text"].to_pylist(), done, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc"], pa.array(text, pa.string()), pa.array([d[1] for d in done], pa.int64()),
-                 pa.array([d[2] for d in done], pa.int64())], ["doc", "text", "_removed", "_left"])
+                 pa.array([d[2] for d in done], pa.int64())], ["doc", "text", "removed", "left"])
 
-    kind = joined.schema["doc"].dataType.simpleString()
-    out = joined.select("doc", "text", "places").mapInArrow(
-        apply, f"doc {kind}, text string, _removed long, _left long")
-    return out.select(*[F.col("text") if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns],
-                      "_removed", "_left")
+    kind = T.StructType([joined.schema["doc"], T.StructField("text", T.StringType()),
+                         T.StructField("removed", T.LongType()), T.StructField("left", T.LongType())])
+    return joined.select("doc", "text", "places").mapInArrow(apply, kind)
 
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_removed (sentences), text (stripped) of every row."""
-    return dedup(docs.select("doc_id", "text")).select("doc_id", F.col("_removed").alias("n_removed"), "text")
+    return dedup(docs.select("doc_id", "text")).select("doc.doc_id", F.col("removed").alias("n_removed"), "text")
 
 
 def remove(docs: DataFrame) -> DataFrame:
     """The documents with their texts stripped; one that lost all its sentences is dropped."""
-    return dedup(docs).filter("_removed = 0 OR _left > 0").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return dedup(docs).filter("removed = 0 OR left > 0").select(
+        *[(F.col("text") if c == "text" else F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
