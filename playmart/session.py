@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -95,6 +97,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+@contextmanager
+def shuffle_width(spark: SparkSession, partitions: int | None) -> Iterator[None]:
+    """The shuffle width that queries started inside take with them; the session's own stays as it is.
+
+    Stateful operators freeze their partition count in the checkpoint, and a streaming query copies the
+    session's settings when it starts.
+    """
+    if not partitions:
+        yield
+        return
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder beneath the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)

@@ -1,13 +1,14 @@
 """Small-file compaction for the star folders written batch by batch.
 
 Every micro-batch appends a few small files; a long-running load needs them
-rewritten into fewer, larger ones.  Both jobs first take a reliable
-checkpoint of what they rewrite (so the write never reads the files it
-replaces, and a lost executor recomputes from the copy), then:
+rewritten into fewer, larger ones.
 
-* fact: rewrite only the given (closed) ``play_date`` folders, with dynamic
-  partition overwrite - every other day is untouched;
-* dimension: rewrite the whole table with fewer files (ids and rows kept).
+* fact: take a reliable checkpoint (so the write never reads the files it
+  replaces, and a lost executor recomputes from the copy), then rewrite only the given
+  (closed) ``play_date`` folders, with dynamic partition overwrite - every
+  other day is untouched;
+* dimension: rewrite the whole table with fewer files (ids and rows kept) in a
+  folder beside it, then switch.
 
 Run a compaction when no loader writes the same table (one writer per table).
 Compact only *closed* fact days - windows already behind the rolling KPIs'
@@ -18,6 +19,7 @@ still inside the watermark would be counted twice.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import functions as F
@@ -25,6 +27,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..schemas import FACT_HISTORY
 from .loader import Warehouse
+from .versions import Files
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -54,11 +57,22 @@ def compact_fact_days(wh: Warehouse, days: Sequence[str], files_per_day: int = 1
 
 
 def compact_table(wh: Warehouse, table: str, files: int = 1) -> int:
-    """Rewrite a (dimension) table into ``files`` files; returns rows rewritten."""
+    """Rewrite a (dimension) table into ``files`` files; returns rows rewritten.
+
+    The new files are written beside the table, whole, before the folders change
+    names; ``Warehouse.read`` completes a switch that was cut short between the two renames.
+    """
     df = wh.read(table)
     if df is None:
         return 0
-    copy = df.checkpoint(eager=True)
-    rows = copy.count()
-    copy.repartition(max(1, files)).write.mode("overwrite").parquet(wh.path(table))
+    new = wh.beside(table)
+    fs = Files(wh.spark, wh.root)
+    if fs.exists(new):
+        fs.delete(new)                      # left by a rewrite that didn't end
+    df.repartition(max(1, files)).write.parquet(new)
+    rows = wh.spark.read.parquet(new).count()
+    old = f"{wh.root}/_replaced_{table}-{uuid.uuid4().hex[:8]}"
+    fs.move(wh.path(table), old)
+    wh.finish_switch(table)
+    fs.delete(old)
     return rows
