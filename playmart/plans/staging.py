@@ -9,7 +9,7 @@ share a second (and hence a played_at key) land in the same slice.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,11 +27,16 @@ def slice_column(df: DataFrame, ts_col: str, n: int) -> Column:
 
 
 def stage_and_run(records: DataFrame, landing_root: str, ts_col: str, n: int,
-                  run: Callable[[int], None], replay: bool = False) -> None:
-    """Write slice k then call ``run(k)``; with ``replay`` send all slices again."""
+                  run: Callable[[int], None], replay: bool = False,
+                  order: Sequence[int] | None = None) -> None:
+    """Write slice k then call ``run``; with ``replay`` send all slices again.
+
+    ``order``: in which the slices arrive (default: by time); one that comes after a later one is late.
+    """
     s = slice_column(records, ts_col, n)
     tagged = records.withColumn("_slice", s)
-    rounds = list(range(n)) + (list(range(n)) if replay else [])
+    once = list(range(n) if order is None else order)
+    rounds = once + (once if replay else [])
     for i, k in enumerate(rounds):
         write_landing(tagged.filter(F.col("_slice") == k).drop("_slice", ts_col), landing_root)
         run(i)
