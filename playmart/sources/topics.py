@@ -47,11 +47,27 @@ def landing_path(root: str, topic: str) -> str:
     return f"{root.rstrip('/')}/topic={topic}"
 
 
+def archived_path(archive: str, root: str, topic: str) -> str:
+    """Where the files of a topic lie once they are archived: their whole path below the archive."""
+    path = landing_path(root, topic)
+    if "://" in path:
+        path = "/" + path.split("://", 1)[1].split("/", 1)[1]
+    elif path.startswith("file:"):
+        path = path[5:]
+    return archive.rstrip("/") + path
+
+
 def landing_topic_stream(spark: SparkSession, root: str, topic: str,
                          max_files_per_trigger: int | None = None,
-                         fmt: str = "json") -> DataFrame:
-    """Streaming ``topic, key, value`` rows from a landing folder (JSON lines or Parquet)."""
+                         fmt: str = "json", archive: str | None = None) -> DataFrame:
+    """Streaming ``topic, key, value`` rows from a landing folder (JSON lines or Parquet).
+
+    ``archive``: files that a committed batch has read are moved below this folder, so the
+    landing folder stays short to list and nothing is lost to a replay.
+    """
     reader = spark.readStream.schema("key STRING, value STRING").format(fmt)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return (reader.load(landing_path(root, topic))

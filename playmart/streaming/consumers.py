@@ -25,10 +25,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.decode import classify, parse_values
 from ..operators.dedup import dedup_stream, dedup_within_watermark
 from ..schemas import TOPIC_TABLE, TOPICS
+from ..session import shuffle_width
 from ..sinks.loader import Warehouse, load_table
 
 # Survivor tie-break for duplicate plays (fixed so replays pick the same row).
 FACT_ORDER = ("album_id", "artist_id", "duration_ms")
+# Dead letters below a warehouse's root: of table mode, and of the state modes.
+REJECTS, STREAM_REJECTS = "_rejects", "_rejects_stream"
 
 
 def parsed_records(raw: DataFrame, topic: str, strict: bool = False) -> DataFrame:
@@ -71,19 +74,36 @@ def topic_batch_handler(topic: str, wh: Warehouse, query_name: str, write_reject
             return
         batch = batch.persist()
         try:
-            if batch.count() == 0:      # one read of the source, then the copy
-                return
-            rej = batch.filter(F.col("_reject").isNotNull()).select(
-                F.col("value").alias("raw_value"), F.col("_reject").alias("reason"))
-            if write_rejects and not rej.isEmpty():
-                rej.write.mode("overwrite").parquet(
-                    f"{wh.root}/_rejects/topic={topic}/batch_id={query_name}-{batch_id}")
-            load_table(accepted(batch, topic), contract, wh, f"{query_name}-{batch_id}", order)
+            # one read of the source, then the copy
+            rows, bad = batch.agg(F.count(F.lit(1)), F.count("_reject")).first()
+            if write_rejects and bad:
+                (batch.filter(F.col("_reject").isNotNull())
+                 .select(F.col("value").alias("raw_value"), F.col("_reject").alias("reason"))
+                 .write.mode("overwrite").parquet(
+                     f"{wh.root}/{REJECTS}/topic={topic}/batch_id={query_name}-{batch_id}"))
+            load_table(accepted(batch, topic), contract, wh, f"{query_name}-{batch_id}", order,
+                       rows_in=rows - bad)
         finally:
             batch.unpersist()
     return handle
 
 
+def read_rejects(spark: SparkSession, root: str, topic: str | None = None) -> DataFrame:
+    """topic, raw_value, reason: the dead letters of a warehouse, whichever mode wrote them.
+
+    Table mode writes a folder per batch, the state modes a file sink whose log would hide
+    other files, hence two folders.
+    """
+    wh = Warehouse(spark, root)
+    out = spark.createDataFrame([], "topic string, raw_value string, reason string")
+    for folder in (REJECTS, STREAM_REJECTS):
+        for t in TOPICS if topic is None else [topic]:
+            found = wh.read(f"{folder}/topic={t}")
+            if found is not None:
+                out = out.unionByName(found.select(F.lit(t).alias("topic"), "raw_value", "reason"))
+    return out
+
+
 def start_topic_load(raw_stream: DataFrame, topic: str, wh: Warehouse, checkpoint: str,
                      query_name: str, dedup: str = "table", delay: str = "1 hour",
                      available_now: bool = True, processing_time: str | None = None,
@@ -99,10 +119,8 @@ def start_topic_load(raw_stream: DataFrame, topic: str, wh: Warehouse, checkpoin
     w = (frame.writeStream.queryName(query_name).outputMode("append")
          .option("checkpointLocation", checkpoint).foreachBatch(handler))
     w = _trigger(w, available_now, processing_time)
-    if shuffle_partitions:
-        # stateful operators freeze their partition count in the checkpoint
-        frame.sparkSession.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    return w.start()
+    with shuffle_width(frame.sparkSession, shuffle_partitions):
+        return w.start()
 
 
 def start_reject_sink(raw_stream: DataFrame, topic: str, out: str, checkpoint: str,
