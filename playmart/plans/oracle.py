@@ -306,6 +306,51 @@ WHERE played_at >= (SELECT max(played_at) FROM plays) - INTERVAL 7 DAY
 GROUP BY song_name ORDER BY plays DESC, song_name ASC NULLS LAST LIMIT 10"""
 
 
+# a window of a day starts every six hours; a play is in the four that hold it
+ROLL_SLIDING = _with(EW, PLAYS) + """SELECT window_start, artist_id, COUNT(*) AS plays,
+  CAST(SUM(duration_ms) AS BIGINT) AS listening_ms
+FROM (SELECT artist_id, duration_ms, unnest([time_bucket(INTERVAL 6 HOUR, date_trunc('second', played_ts),
+        TIMESTAMP '1970-01-01') - k * INTERVAL 6 HOUR for k in range(4)]) AS window_start FROM plays)
+GROUP BY window_start, artist_id"""
+
+
+def _refresh_sql(select: str, days_back: int) -> str:
+    return (_with(EW, PLAYS, "facts AS (SELECT date_trunc('second', played_ts) AS played_at, track_id,"
+                  " artist_id, duration_ms FROM plays)",
+                  f"live AS (SELECT * FROM facts WHERE played_at >= (SELECT max(played_at) FROM facts)"
+                  f" - INTERVAL {days_back} DAY)") + select)
+
+
+TOTALS_SELECT = """SELECT COUNT(*) AS total_plays, COUNT(DISTINCT track_id) AS unique_songs,
+  COUNT(DISTINCT artist_id) AS unique_artists,
+  CAST(COALESCE(SUM(duration_ms), 0) // 60000 AS BIGINT) AS total_minutes FROM live"""
+WEEKDAY_SELECT = """SELECT strftime(played_at, '%A') AS day_name,
+  CAST(date_part('dow', played_at) AS INTEGER) AS day_num, COUNT(*) AS plays FROM live GROUP BY ALL"""
+
+
+def _sliced(n: int) -> str:
+    """The plays as sent (whole seconds), with the slice in which they arrive."""
+    return f"""sent AS (SELECT date_trunc('second', played_ts) AS played_at, track_id AS song_id, album_id, artist_id,
+  duration_ms, epoch_ms(date_trunc('second', played_ts)) // 1000 AS sec FROM ew),
+sliced AS (SELECT *, least(CAST(floor((sec - (SELECT min(sec) FROM sent))
+  / ((SELECT max(sec) - min(sec) + 1 FROM sent) / {n})) AS INTEGER), {n - 1}) AS slice FROM sent),
+behind AS (SELECT *, slice = 1 AND sec <= (SELECT max(sec) FROM sliced WHERE slice <> 1) - 3600 AS late FROM sliced)"""
+
+
+LATE_COUNTS = _with(EW, _sliced(3)) + """SELECT COUNT(*) AS read, CAST(0 AS BIGINT) AS rejected,
+  COUNT(*) FILTER (WHERE late) AS late,
+  COUNT(DISTINCT (played_at, song_id)) FILTER (WHERE NOT late) AS loaded,
+  COUNT(*) FILTER (WHERE NOT late) - COUNT(DISTINCT (played_at, song_id)) FILTER (WHERE NOT late) AS copies
+FROM behind"""
+LATE_LETTERS = _with(EW, _sliced(3)) + f"""SELECT 'item_topic' AS topic,
+  CAST(json_object('played_at', strftime(played_at, {ISO_SEC}), 'song_id', song_id, 'album_id', album_id,
+  'artist_id', artist_id, 'duration_ms', duration_ms) AS VARCHAR) AS raw_value, 'late' AS reason
+FROM behind WHERE late"""
+REPLAYED = _with(EW, _sliced(5)) + """SELECT played_at, song_id, album_id, artist_id, duration_ms FROM sliced
+WHERE slice BETWEEN 1 AND 3
+QUALIFY row_number() OVER (PARTITION BY played_at, song_id ORDER BY album_id, artist_id, duration_ms) = 1"""
+
+
 def stream_oracles() -> dict[str, str]:
     return {
         "four_streams_load_star": EV_COUNTS,
@@ -331,7 +376,15 @@ FROM (SELECT DISTINCT date_trunc('second', played_ts), track_id FROM ew)""",
         "rolling_distinct_items": ROLL_DISTINCT,
         "rolling_top_songs": ROLL_TOP_SONGS,
         "rolling_top_albums": ROLL_TOP_ALBUMS,
+        "rolling_sliding_plays": ROLL_SLIDING,
+        "rolling_top_songs_sketched": ROLL_TOP_SONGS,
+        "late_rows_accounted": LATE_COUNTS,
+        "late_dead_letters": LATE_LETTERS,
+        "replay_range": REPLAYED,
         "report_refresh": REFRESH_TOP,
+        "report_refresh_totals": _refresh_sql(TOTALS_SELECT, 7),
+        "report_refresh_aged": _refresh_sql(TOTALS_SELECT, 4),
+        "report_refresh_weekdays": _refresh_sql(WEEKDAY_SELECT, 27),
     }
 
 
@@ -394,6 +447,12 @@ SURROGATE = """SELECT COUNT(*) AS ids, CAST(1 AS BIGINT) AS min_id, COUNT(*) AS
   COUNT(*) AS distinct_ids FROM part"""
 
 
+FACT_IDS = _with(FACT) + """SELECT COUNT(*) AS ids, CAST(1 AS BIGINT) AS min_id, COUNT(*) AS max_id,
+  COUNT(*) AS distinct_ids, COUNT(*) FILTER (WHERE played_at < (SELECT max(played_at) FROM fact)
+    - INTERVAL 365 DAY) AS first_block_max
+FROM (SELECT DISTINCT played_at, song_id FROM fact)"""
+
+
 def batch_oracles() -> dict[str, str]:
     return {
         "dedup_play_batch": DEDUP_PLAY,
@@ -402,9 +461,19 @@ def batch_oracles() -> dict[str, str]:
         "unmatched_fact_rows": UNMATCHED,
         "contract_violations": CONTRACTS_SQL,
         "surrogate_ids": SURROGATE,
+        "fact_surrogate_ids": FACT_IDS,
     }
 
 
+# 200 draws at positions given by digests of seed and counter, in the order of the key's digest
+SAMPLE = _with(CAT) + """, ranked AS (SELECT *, row_number() OVER (ORDER BY md5(track_id), track_id) - 1 AS pos,
+  COUNT(*) OVER () AS n FROM cat),
+draws AS (SELECT (CAST(CAST('0x' || substr(md5('42:' || i), 1, 13) AS UBIGINT) AS HUGEINT)
+  * (SELECT COUNT(*) FROM cat)) // 4503599627370496 AS pos FROM range(200) AS r(i)
+  WHERE i < (SELECT COUNT(*) FROM cat))
+SELECT r.* EXCLUDE (pos, n, p_partkey) FROM ranked r JOIN draws d USING (pos)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "top_songs_week": top(SONG, "song", "song_id", "song_name", 5),
@@ -449,6 +518,7 @@ def oracle_sql() -> dict[str, str]:
         "filter_last_30_days": _with(FACT) + f"SELECT * FROM fact WHERE {window(30)}",
         "scan_star_tables": _with(FACT) + "SELECT * FROM fact",
         "join_fact_song": _with(FACT, SONG) + "SELECT * FROM fact JOIN song USING (song_id)",
+        "sample_with_replacement": SAMPLE,
         "join_fact_artist": _with(FACT, ARTIST) + "SELECT * FROM fact JOIN artist USING (artist_id)",
         **stream_oracles(),
         **batch_oracles(),

@@ -25,7 +25,13 @@ from ..session import apply_job_conf, ensure_checkpoint_dir, scratch_dir
 from ..sinks import loader as L
 from ..sources import catalog as C
 from ..sources import payload as P
+from ..streaming import consumers as SC
+from ..streaming import late as LT
+from ..streaming import panes as PN
+from ..streaming import partials as PT
+from ..streaming import refresh as RF
 from ..streaming import rolling as RL
+from ..streaming import topk as TK
 from . import fixtures as X
 from . import streams as ST
 
@@ -338,7 +344,7 @@ def _q(spark, d):
 @register("sample_with_replacement")
 def _q(spark, d):
     from ..sources.sampling import sample_with_replacement
-    return sample_with_replacement(X.catalog_from_part(X.table(spark, d, "part")), n=200)
+    return sample_with_replacement(X.catalog_from_part(X.table(spark, d, "part")), n=200, keys=["track_id"])
 
 
 # ---------------------------------------------------------------- streams
@@ -390,6 +396,23 @@ for _t in ("dim_song", "dim_album", "dim_artist"):
         lambda spark, d, _t=_t: ST.star_run(spark, d)["wh"].read(_t).select(*DIM_COLS[_t]))
 
 
+@register("late_rows_accounted")
+def _q(spark, d):
+    return LT.accounting(ST.late_run(spark, d)["wh"])
+
+
+@register("late_dead_letters")
+def _q(spark, d):
+    run = ST.late_run(spark, d)
+    return SC.read_rejects(spark, run["wh"].root, "item_topic")
+
+
+@register("replay_range")
+def _q(spark, d):
+    """The plays that arrived in slices 1 to 3 of 5, replayed from landed and archived files."""
+    return _fact_rows(ST.replay_run(spark, d)["wh"])
+
+
 @register("stream_topic_source")
 def _q(spark, d):
     return spark.read.parquet(ST.state_run(spark, d)["item_raw"]).select("topic", "key", "value")
@@ -428,13 +451,18 @@ def _q(spark, d):
         F.count_if(F.col("rows_in") == 0).alias("zero_row_batches"))
 
 
-def _roll(spark, d, grouping, key_name=None):
-    log = RL.read_latest(spark, ST.state_run(spark, d)["rolling"],
-                         ["window_start", "grouping", "key"])
-    r = RL.kpi(log, grouping, key_name)
+def _roll(spark, d, grouping, key_name=None, slide=None):
+    held = PN.windows(ST.star_run(spark, d)["panes"].read(), ST.DAILY, slide)
+    r = RL.kpi(held, grouping, key_name)
     return r.withColumn("window_start", _ntz("window_start")).drop("window_end")
 
 
+@register("rolling_sliding_plays")
+def _q(spark, d):
+    return _roll(spark, d, "artist_id", "artist_id", ST.SLIDE).select(
+        "window_start", "artist_id", "plays", "listening_ms")
+
+
 @register("rolling_song_plays")
 def _q(spark, d):
     return _roll(spark, d, "song_id", "song_id").select("window_start", "song_id", "plays")
@@ -451,6 +479,12 @@ def _q(spark, d):
     return RL.top_per_window(c, "song_id", 5).select("window_start", "rank", "song_id", "plays")
 
 
+@register("rolling_top_songs_sketched")
+def _q(spark, d):
+    top = TK.top_per_window(ST.star_run(spark, d)["top_songs"], ST.DAILY, 5)
+    return top.select(_ntz("window_start"), "rank", F.col("item").alias("song_id"), "plays")
+
+
 @register("rolling_top_albums")
 def _q(spark, d):
     c = _roll(spark, d, "album_id", "album_id")
@@ -486,7 +520,7 @@ def _cut(spark, d):
 @register("fact_insert_if_absent")
 def _q(spark, d):
     """Load the older plays, then all plays: the second load adds only absent keys."""
-    wh = L.Warehouse(spark, scratch_dir(spark, "fact-load"))
+    wh = L.Warehouse(spark, scratch_dir(spark, "fact-load"), key_buckets=spark.sparkContext.defaultParallelism)
     fact = X.star(spark, d).fact
     L.load_table(fact.filter(F.col("played_at") < _cut(spark, d)), FACT_HISTORY, wh, "first",
                  PLAY_ORDER)
@@ -529,24 +563,48 @@ def _q(spark, d):
         F.count_distinct("id").alias("distinct_ids"))
 
 
-@register("report_refresh")
+@register("fact_surrogate_ids")
 def _q(spark, d):
-    from ..sources.tables import Star
-    from ..sources.topics import landing_topic_stream
-    from ..streaming import refresh as RF
-    from ..streaming.consumers import run_to_end
+    """Ids of the fact: the plays before the cut, then all plays, then the second batch once more."""
+    wh = L.Warehouse(spark, scratch_dir(spark, "fact-ids"))
+    fact, cut = X.star(spark, d).fact, _cut(spark, d)
+    L.load_table(fact.filter(F.col("played_at") < cut), FACT_HISTORY, wh, "first", PLAY_ORDER)
+    for batch in ("second", "second"):
+        L.load_table(fact, FACT_HISTORY, wh, batch, PLAY_ORDER)
+    early = F.when(F.col("played_at") < cut, F.col("id"))
+    return wh.read("fact_history").agg(
+        F.count(F.lit(1)).alias("ids"), F.min("id").alias("min_id"), F.max("id").alias("max_id"),
+        F.count_distinct("id").alias("distinct_ids"), F.max(early).alias("first_block_max"))
+
+
+def _refreshed(spark, d, ticks: int) -> str:
+    """Reports after so many ticks of a clock that starts at the last play and moves three days a tick, without new plays."""
     run = ST.star_run(spark, d)
-    wh = run["wh"]
     out = scratch_dir(spark, "reports")
+    last = run["wh"].read("fact_history").agg(F.unix_millis(F.max(F.col("played_at").cast("timestamp")))).first()[0]
+    for _ in range(ticks):
+        SC.run_to_end([RF.start_report_refresh(
+            RF.staged_clock(spark, last, 3 * 86_400_000), lambda at: PT.report_tables(run["panes"], run["sets"], at),
+            out, f"{out}-checkpoint", available_now=True)])
+    return out
+
+
+@register("report_refresh")
+def _q(spark, d):
+    return RF.read_report(spark, _refreshed(spark, d, 1), "top_songs")
 
-    def star():
-        return Star(fact=wh.read("fact_history"), song=wh.read("dim_song"),
-                    artist=wh.read("dim_artist"), album=wh.read("dim_album"))
-
-    # the clock travels as text in the session zone (no Python time zone involved)
-    as_of = wh.read("fact_history").agg(
-        F.date_format(F.max("played_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
-    q = RF.start_report_refresh(landing_topic_stream(spark, run["landing"], "item_topic"), star,
-                                out, f"{out}-checkpoint", as_of=as_of, available_now=True)
-    run_to_end([q])
-    return spark.read.parquet(f"{out}/top_songs")
+
+@register("report_refresh_totals")
+def _q(spark, d):
+    return RF.read_report(spark, _refreshed(spark, d, 1), "totals")
+
+
+@register("report_refresh_aged")
+def _q(spark, d):
+    """The totals three days after the last play: nothing arrived, and the window has moved on."""
+    return RF.read_report(spark, _refreshed(spark, d, 2), "totals")
+
+
+@register("report_refresh_weekdays")
+def _q(spark, d):
+    return RF.read_report(spark, _refreshed(spark, d, 2), "plays_by_weekday")

@@ -22,13 +22,22 @@ from ..operators import fanout as FO
 from ..operators.dedup import dedup_stream
 from ..session import DEFAULT_CONF, scratch_dir
 from ..sinks.loader import Warehouse
-from ..sources.topics import landing_topic_stream
+from ..sinks.versions import Files
+from ..sources.topics import landing_path, landing_topic_stream
 from ..streaming import consumers as SC
-from ..streaming import rolling as RL
-from ..streaming.staging import stage_and_run
+from ..streaming import late as LT
+from ..streaming.panes import PaneTable, pane_width, start_pane_refresh
+from ..streaming.partials import DistinctTable
+from ..streaming.replay import replay_range
+from ..streaming.topk import SketchTable
 from . import fixtures as X
+from .staging import stage_and_run
 
 N_SLICES = 5
+# The second slice arrives after the third: its plays are days late when they are loaded.
+ARRIVAL = (0, 2, 1, 3, 4)
+# One pane table serves daily windows and daily windows that slide by six hours.
+DAILY, SLIDE = "1 day", "6 hours"
 _RUNS: dict = {}
 _LOCK = threading.RLock()      # one staged run per dataset even if keys run concurrently
 
@@ -77,7 +86,10 @@ def _counts(wh: Warehouse) -> DataFrame:
 
 
 def star_run(spark: SparkSession, d: str) -> dict:
-    """Run A: four consumers (table-based dedup) load the star, slice by slice."""
+    """Run A: four consumers (table-based dedup) load the star, slice by slice, one slice late.
+
+    After each slice the pane table and the daily sets follow the days that the load touched.
+    """
     with _LOCK:
         return _star_run(spark, d)
 
@@ -88,22 +100,27 @@ def _star_run(spark: SparkSession, d: str) -> dict:
         return _RUNS[key]
     root = scratch_dir(spark, "star-run")
     landing, ck = f"{root}/landing", f"{root}/checkpoints"
-    wh = Warehouse(spark, f"{root}/star")
+    wh = Warehouse(spark, f"{root}/star", track_days=True)
+    panes = PaneTable(wh, f"{root}/panes", pane_width(DAILY, SLIDE))
+    sets = DistinctTable(panes, f"{root}/sets")
+    top_songs = SketchTable(wh, f"{root}/top_songs")
 
     def run(i: int) -> None:
         SC.run_to_end(SC.start_star_load(
             spark, lambda t: landing_topic_stream(spark, landing, t), wh, ck))
+        SC.run_to_end([start_pane_refresh([panes, sets, top_songs], f"{ck}/panes")])
 
     with _stateful_width(spark):
         stage_and_run(event_topic_records(spark, d), landing, "played_ts", N_SLICES, run,
-                      replay=True)
+                      replay=True, order=ARRIVAL)
         resumed = f"{root}/counts_after_resume"
         _counts(wh).write.parquet(resumed)
         # full replay of everything retained, under new checkpoints
         SC.run_to_end(SC.start_star_load(
             spark, lambda t: landing_topic_stream(spark, landing, t), wh,
             f"{root}/checkpoints-replay", prefix="replay"))
-    out = {"wh": wh, "root": root, "landing": landing, "resumed": resumed}
+    out = {"wh": wh, "root": root, "landing": landing, "resumed": resumed, "panes": panes, "sets": sets,
+           "top_songs": top_songs}
     _RUNS[key] = out
     return out
 
@@ -111,17 +128,13 @@ def _star_run(spark: SparkSession, d: str) -> dict:
 
 
 def state_run(spark: SparkSession, d: str) -> dict:
-    """Run B: state-based dedup, watermark dedup + load, stateless append, rolling KPIs."""
+    """Run B: state-based dedup, watermark dedup + load, stateless append."""
     with _LOCK:
         return _state_run(spark, d)
 
 
 def _state_run(spark: SparkSession, d: str) -> dict:
-    """Run B (see ``state_run``).
-
-    Per slice: the topic queries first, then the rolling KPIs over the fact
-    the watermark consumer loaded (read as a stream of new files).
-    """
+    """Run B (see ``state_run``); its slices come in time order, as a watermark wants."""
     key = ("state", d.rstrip("/"))
     if key in _RUNS:
         return _RUNS[key]
@@ -130,7 +143,6 @@ def _state_run(spark: SparkSession, d: str) -> dict:
     wh = Warehouse(spark, f"{root}/wm_star")
     out = {n: f"{root}/out/{n}" for n in
            ("album", "artist", "play", "song_append", "item_raw")}
-    out["rolling"] = f"{root}/out/rolling"
 
     def src(topic):
         return landing_topic_stream(spark, landing, topic)
@@ -152,11 +164,6 @@ def _state_run(spark: SparkSession, d: str) -> dict:
             SC.start_append(src("item_topic"), out["item_raw"], f"{ck}/item_raw", "item_raw"),
         ]
         SC.run_to_end(qs)
-        # rolling KPIs consume the loaded (de-duplicated) fact as a stream:
-        # every breakdown in one query
-        plays = RL.fact_stream(spark, wh.path("fact_history"))
-        SC.run_to_end([RL.start_update_log(RL.rolling_kpis(plays), out["rolling"],
-                                           f"{ck}/rolling", "rolling_kpis")])
 
     with _stateful_width(spark):
         stage_and_run(event_topic_records(spark, d), landing, "played_ts", N_SLICES, run,
@@ -165,3 +172,65 @@ def _state_run(spark: SparkSession, d: str) -> dict:
     _RUNS[key] = res
     return res
 
+
+def late_run(spark: SparkSession, d: str) -> dict:
+    """Run C: plays in three slices, the second one last, through the router and the watermark load."""
+    with _LOCK:
+        key = ("late", d.rstrip("/"))
+        if key not in _RUNS:
+            _RUNS[key] = _late_run(spark, d)
+        return _RUNS[key]
+
+
+def _late_run(spark: SparkSession, d: str) -> dict:
+    root = scratch_dir(spark, "late-run")
+    landing, ck = f"{root}/landing", f"{root}/checkpoints"
+    wh = Warehouse(spark, f"{root}/star")
+
+    def run(i: int) -> None:
+        SC.run_to_end([LT.start_router(landing_topic_stream(spark, landing, "item_topic"), wh, f"{ck}/route")])
+        SC.run_to_end([LT.start_routed_load(spark, wh, f"{ck}/load")])
+
+    with _stateful_width(spark):
+        plays = event_topic_records(spark, d).filter(F.col("topic") == "item_topic")
+        stage_and_run(plays, landing, "played_ts", 3, run, order=(0, 2, 1))
+    return {"wh": wh, "root": root}
+
+
+# When the slices of the replay run arrive: one every hour from here on.
+FIRST_ARRIVAL_MS = 1_704_067_200_000         # 2024-01-01 00:00 UTC
+
+
+def replay_run(spark: SparkSession, d: str) -> dict:
+    """Run D: five slices land an hour apart; two are read and archived; hours 1 to 3 are replayed into an empty star."""
+    with _LOCK:
+        key = ("replay", d.rstrip("/"))
+        if key not in _RUNS:
+            _RUNS[key] = _replay_run(spark, d)
+        return _RUNS[key]
+
+
+def _replay_run(spark: SparkSession, d: str) -> dict:
+    root = scratch_dir(spark, "replay-run")
+    landing, archive, ck = f"{root}/landing", f"{root}/archive", f"{root}/checkpoints"
+    path = landing_path(landing, "item_topic")
+    files, seen = Files(spark, path), set()
+    first = Warehouse(spark, f"{root}/first")
+
+    def run(i: int) -> None:
+        landed = {p for p, _ in files.modified(path)}
+        for p in landed - seen:
+            files.stamp(p, FIRST_ARRIVAL_MS + 3_600_000 * i)
+        seen.update(landed)
+        if i < 3:            # files of a batch are archived with the next one
+            SC.run_to_end([SC.start_topic_load(landing_topic_stream(spark, landing, "item_topic", archive=archive),
+                                               "item_topic", first, f"{ck}/first", "first")])
+
+    plays = event_topic_records(spark, d).filter(F.col("topic") == "item_topic")
+    stage_and_run(plays, landing, "played_ts", N_SLICES, run)
+    wh = Warehouse(spark, f"{root}/star")
+    hour = spark.range(1).select(*[F.date_format(F.timestamp_millis(F.lit(FIRST_ARRIVAL_MS + 3_600_000 * k)),
+                                                 "yyyy-MM-dd HH:mm:ss") for k in (1, 4)]).first()
+    for _ in range(2):       # the second replay adds nothing
+        replay_range(spark, wh, landing, "item_topic", hour[0], hour[1], archive)
+    return {"wh": wh, "root": root, "archive": archive}

@@ -67,6 +67,7 @@ def test_job_from_config_loads_star_and_refreshes_reports(spark, tmp_path):
     from playmart.streaming.jobs import start
     from playmart.streaming.consumers import run_to_end
     from playmart.operators.fanout import fanout
+    from playmart.streaming.refresh import read_report
     landing = str(tmp_path / "landing")
     wide = spark.createDataFrame(
         [("t1", "One", "['A']", "Al", 1000, True, 50, dt.datetime(2024, 1, 1, 10)),
@@ -79,7 +80,7 @@ def test_job_from_config_loads_star_and_refreshes_reports(spark, tmp_path):
            "warehouse": str(tmp_path / "star"), "checkpoints": str(tmp_path / "ck"),
            "trigger": {"available_now": True}}
     run_to_end(start(spark, cfg))
-    # a second start resumes the loaders (nothing new) and adds the report refresh
+    # a second start resumes the loaders (nothing new) and adds the report refresh, once
     cfg["report_refresh"] = {"out": str(tmp_path / "reports")}
     run_to_end(start(spark, cfg))
     star = str(tmp_path / "star")
@@ -87,7 +88,7 @@ def test_job_from_config_loads_star_and_refreshes_reports(spark, tmp_path):
     assert spark.read.parquet(f"{star}/dim_song").count() == 2
     assert spark.read.parquet(f"{star}/dim_album").count() == 1
     assert spark.read.parquet(f"{star}/dim_artist").count() == 2
-    assert spark.read.parquet(str(tmp_path / "reports" / "totals")).count() == 1
+    assert read_report(spark, str(tmp_path / "reports"), "totals").count() == 1
 
 
 def test_parquet_landing_round_trip(spark, tmp_path):
@@ -146,7 +147,7 @@ def test_job_state_modes_with_dead_letters(spark, tmp_path):
     run_to_end(start(spark, cfg))
     star = str(tmp_path / "star")
     assert spark.read.parquet(f"{star}/fact_history").count() == 3      # copies removed
-    rej = spark.read.parquet(f"{star}/_rejects/topic=item_topic").collect()
+    rej = SC.read_rejects(spark, star, "item_topic").collect()
     assert sorted(r.reason for r in rej) == ["malformed", "null_key"]   # bad time -> NULL key
 
 
@@ -270,5 +271,29 @@ def test_nullable_song_and_text_duration_load_and_rejects_are_kept(spark, tmp_pa
     got = spark.read.parquet(f"{root}/fact_history").select("song_id", "duration_ms")
     assert rows(got) == rows(spark.createDataFrame([("s1", 12), (None, 12), ("s2", None)],
                                                    "song_id string, duration_ms int"))
-    folder = "_rejects" if mode == "table" else "_rejects_stream"
-    assert [r.reason for r in spark.read.parquet(f"{root}/{folder}").collect()] == ["null_key"]
+    assert [(r.topic, r.reason) for r in SC.read_rejects(spark, root).collect()] == [("item_topic", "null_key")]
+
+
+def test_job_with_panes_reports_from_partials(spark, tmp_path):
+    from playmart.streaming.jobs import main
+    from playmart.streaming.refresh import read_report
+    landing, out = str(tmp_path / "landing"), str(tmp_path / "kpis")
+    write_landing(_plays(spark, 1, 3), landing)
+    from playmart.operators.fanout import fanout
+    wide = spark.createDataFrame([("t1", "One", "['A']", "Al", 1000, True, 50, dt.datetime(2024, 1, 1, 9))],
+                                 "track_id string, track_name string, artists string, album_name string, "
+                                 "duration_ms int, explicit boolean, popularity int, played_ts timestamp")
+    write_landing(fanout(wide), landing)
+    cfg = tmp_path / "cfg.json"
+    cfg.write_text(json.dumps({"source": {"kind": "landing", "root": landing}, "warehouse": str(tmp_path / "star"),
+                               "checkpoints": str(tmp_path / "ck"), "trigger": {"available_now": True},
+                               "panes": {"out": out, "intervals": ["1 day", "6 hours"]},
+                               "report_refresh": {"out": str(tmp_path / "reports")}}))
+    main([str(cfg)])
+    main([str(cfg)])        # the second run finds all tables loaded and the days announced
+    totals = read_report(spark, str(tmp_path / "reports"), "totals").first()
+    assert totals.total_plays == 0                      # the plays are older than a week
+    from playmart.sinks.loader import Warehouse
+    from playmart.streaming.panes import PaneTable
+    held = PaneTable(Warehouse(spark, str(tmp_path / "star")), f"{out}/panes", 21_600).read()
+    assert held.filter("grouping = 'total'").agg(F.sum("plays")).first()[0] == 4
