@@ -22,7 +22,7 @@ UNSAFE_BLANK = re.compile(r"\s (?:\s|\Z)")
 #: Texts are worked on in slices of about so many characters, to bound memory.
 SLICE_CHARS = 6_000_000
 #: Pieces remembered by a worker; those unused for long are encoded again, so the bound changes no result.
-CACHE = 800_000
+CACHE = 300_000
 
 
 class Pieces(dict):

@@ -38,7 +38,9 @@ MOST_LANGS = 10_000
 UND = "und"
 PAD = b"\n" * ORDER
 WINDOW = 1 << 20
-MODEL = "lang string, counted long, ctx binary, n int, logp binary"
+#: Bytes that are scored together, and of the texts that are handed to it at once.
+SCORED = 1 << 18
+MODEL = "lang string, counted long, ctx binary, n int, seen binary, logp binary"
 
 
 def sample(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> DataFrame:
@@ -127,8 +129,19 @@ def fit_texts(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.nd
 def _fit_group(pdf: pd.DataFrame) -> pd.DataFrame:
     texts = [t.encode() for t in sorted(pdf["text"])]
     ids, bits = fit_texts(texts)
-    return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "counted": [sum(map(len, texts))],
-                         "ctx": [ids.tobytes()], "n": [len(ids)], "logp": [bits.tobytes()]})
+    seen, packed = compact(ids, bits)
+    return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "counted": [sum(map(len, texts))], "ctx": [ids.tobytes()],
+                         "n": [len(ids)], "seen": [seen], "logp": [packed.tobytes()]})
+
+
+def compact(ids: np.ndarray, bits: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The byte values that are contexts of one byte, and the table's columns of these and of one other value.
+
+    All other values have equal columns, but for one that ends a text and is found nowhere else.
+    """
+    seen = np.sort(ids[(ids >= 256) & (ids < 512)] - 256)
+    other = np.setdiff1d(np.arange(256), seen)[:1]
+    return seen.astype(np.uint8).tobytes(), np.ascontiguousarray(bits[:, np.concatenate([seen, other]).astype(int)])
 
 
 def train(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> DataFrame:
@@ -145,22 +158,21 @@ class Scorer:
     the contexts that there are, not all triples of symbols.
     """
 
-    def __init__(self, models: list[tuple[str, bytes, int, bytes]]):
+    def __init__(self, models: list[tuple[str, bytes, int, bytes, bytes]]):
+        """models: language, contexts, their number, seen byte values, table (see ``compact``)."""
         models = sorted(models)
         self.langs = [m[0] for m in models]
-        contexts = [np.frombuffer(m[1], np.int64) for m in models]
-        known = np.zeros(256, bool)
-        for ids in contexts:
-            known[ids[(ids >= 256) & (ids < 512)] - 256] = True
-        self.n = int(known.sum()) + 1
+        known = np.unique(np.frombuffer(b"".join(m[3] for m in models), np.uint8))
+        self.n = len(known) + 1
         self.symbol = np.full(256, self.n - 1, np.int32)
         self.symbol[known] = np.arange(self.n - 1)
-        stand_in = int(np.flatnonzero(~known)[0]) if not known.all() else 0
-        byte_of = np.append(np.flatnonzero(known), stand_in)
         self.tables = []
-        for ids, (_, _, rows, raw) in zip(contexts, models, strict=True):
-            bits = np.ascontiguousarray(np.frombuffer(raw, np.float32).reshape(rows, 256)[:, byte_of]).ravel()
-            self.tables.append((*self._states(ids), bits))
+        for _, ctx, rows, seen, raw in models:
+            own = np.frombuffer(seen, np.uint8)
+            packed = np.frombuffer(raw, np.float32).reshape(rows, -1)
+            column = np.full(self.n, min(len(own), packed.shape[1] - 1))      # a value that the language hasn't seen
+            column[self.symbol[own]] = np.arange(len(own))
+            self.tables.append((*self._states(np.frombuffer(ctx, np.int64)), np.ascontiguousarray(packed[:, column]).ravel()))
 
     def _states(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Block of each pair of symbols (0: none), row of a context by block and symbol (-1: none), row by pair."""
@@ -191,8 +203,8 @@ class Scorer:
         starts = ends - sizes
         stream = np.frombuffer(PAD.join([b"", *texts]), np.uint8)
         n = self.n
-        for a in range(ORDER, len(stream), WINDOW):
-            b = min(a + WINDOW, len(stream))
+        for a in range(ORDER, len(stream), SCORED):
+            b = min(a + SCORED, len(stream))
             s = self.symbol[stream[a - ORDER:b]]
             lead, near, last_one, now = s[:-3] * n + s[1:-2], s[1:-2] * n + s[2:-1], s[2:-1], s[3:]
             first = int(np.searchsorted(ends, a, "right"))
@@ -210,9 +222,9 @@ class Scorer:
 
 
 def _shared(docs: DataFrame, models: DataFrame):
-    """The models, one row a language, as a broadcast."""
-    rows = [(r["lang"], bytes(r["ctx"]), r["n"], bytes(r["logp"])) for r in models.collect()]
-    return docs.sparkSession.sparkContext.broadcast(rows)
+    """The look-up tables of all languages as a broadcast, None without a language; their size is bounded by the sample."""
+    rows = [(r["lang"], bytes(r["ctx"]), r["n"], bytes(r["seen"]), bytes(r["logp"])) for r in models.collect()]
+    return docs.sparkSession.sparkContext.broadcast(Scorer(rows) if rows else None)
 
 
 def _letters(text: str = "text"):
@@ -224,7 +236,7 @@ def predict(docs: DataFrame, models: DataFrame) -> DataFrame:
     shared = _shared(docs, models)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value) if shared.value else None
+        scorer = shared.value
         for batch in batches:
             n = batch.num_rows
             lang, best, per_byte = np.full(n, UND, object), np.zeros(n), np.zeros(n)
@@ -248,7 +260,7 @@ def predict(docs: DataFrame, models: DataFrame) -> DataFrame:
                                  "lang_pred string, score double, bits_per_byte double")
 
 
-def portions(text: pa.Array, at: np.ndarray, most: int = 4 * WINDOW) -> Iterator[np.ndarray]:
+def portions(text: pa.Array, at: np.ndarray, most: int = 4 * SCORED) -> Iterator[np.ndarray]:
     """The rows ``at`` in portions of about ``most`` bytes of text."""
     if len(at):
         sizes = pc.binary_length(text).take(pa.array(at)).to_pylist()
@@ -265,7 +277,7 @@ def keep_known(docs: DataFrame, least: float = 0.5) -> DataFrame:
 
     @F.arrow_udf("double")
     def sure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scorer = Scorer(shared.value) if shared.value else None
+        scorer = shared.value
         for text in batches:
             best = np.zeros(len(text))
             for part in portions(text, np.flatnonzero(text.is_valid().to_numpy(zero_copy_only=False)) if scorer else []):

@@ -42,7 +42,8 @@ def test_code_lengths_equal_a_naive_coder():
     models = []
     for lang, texts in zip("abc", corpora, strict=True):
         ids, bits = ppm_langid.fit_texts(texts)
-        models.append((lang, ids.tobytes(), len(ids), bits.tobytes()))
+        seen, packed = ppm_langid.compact(ids, bits)
+        models.append((lang, ids.tobytes(), len(ids), seen, packed.tobytes()))
     scorer = ppm_langid.Scorer(models)
     tries = [b"the hat", b"xyz \xff\xfe", "das ä".encode(), b"", b"zzzzzz", bytes(rng.choices(b"the cadshi\n", k=60))]
     got = scorer.code_lengths(tries)
