@@ -32,9 +32,10 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -147,8 +148,9 @@ class Aligner:
         text = lambda n, mark: np.array([f"{i}{mark}" for i in range(n)], object)
         self.text_a, self.last_a = text(self.n_a, ","), text(self.n_a, "|")
         self.text_b, self.last_b = text(self.n_b, ","), text(self.n_b, ";")
-        #: piece -> ids of A and of B as little-endian 32-bit numbers; the second is None if a tokenizer loses a byte
-        self.known: tuple[dict[str, bytes], dict[str, bytes | None]] = ({}, {})
+        #: piece -> ids of A and of B as little-endian 32-bit numbers; pieces of which a tokenizer loses a byte
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.lossy: set[str] = set()
 
     def pieces(self, text: str) -> list[str]:
         """The text cut at blanks, which are left out."""
@@ -165,10 +167,10 @@ class Aligner:
         """
         plain, rows = [], []
         for p in pieces:
-            if self.parted and not p[0].isspace() and not p[-1].isspace():
-                plain.append(p)
-            else:
+            if not self.parted or p[0].isspace() or p[-1].isspace():
                 rows.append([p])
+            else:
+                plain.append(p)
         rows += [plain[s:e] for s, e in slices([len(p) for p in plain], CALL // 10)]
         for s, e in slices([sum(map(len, r)) for r in rows], CALL):
             texts = [" ".join(r) for r in rows[s:e]]
@@ -178,39 +180,40 @@ class Aligner:
 
     def _note(self, pieces: list[str], whole: bytes, a: list[int], b: list[int]) -> None:
         """Deal the ids of pieces joined by blanks to them, by the bytes that the tokens take."""
-        known_a, known_b = self.known
         if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
             if len(pieces) > 1:               # look for those that a tokenizer changes
                 self.remember(pieces[:len(pieces) // 2])
                 self.remember(pieces[len(pieces) // 2:])
             else:
-                known_a[pieces[0]], known_b[pieces[0]] = b"", None
+                self.known[pieces[0]] = b"", b""
+                self.lossy.add(pieces[0])
             return
-        ends = np.cumsum([len(p.encode()) + 1 for p in pieces])
-        for ids, length, known in ((a, self.length_a, known_a), (b, self.length_b, known_b)):
+        ends, cut = np.cumsum([len(p.encode()) + 1 for p in pieces]), []
+        for ids, length in ((a, self.length_a), (b, self.length_b)):
             ids = np.array(ids, "<i4")
-            raw, start = ids.tobytes(), 0
-            for p, end in zip(pieces, (4 * np.searchsorted(np.cumsum(length[ids]), ends) + 4).tolist(), strict=True):
-                known[p] = raw[start:end]
-                start = end
+            raw, stop = ids.tobytes(), (4 * np.searchsorted(np.cumsum(length[ids]), ends) + 4).tolist()
+            cut.append([raw[u:v] for u, v in zip([0, *stop], stop, strict=False)])
+        self.known.update(zip(pieces, zip(*cut, strict=True), strict=True))
 
     def align(self, texts: list[str], least: int = PART) -> Iterator[list[Alignment]]:
         """The alignments of each text's parts, in order; none for a text that is empty or not given back."""
         for s, e in slices([len(t) for t in texts], CALL):
             cut = [self.pieces(t) if t else [] for t in texts[s:e]]
-            if len(self.known[0]) > REMEMBERED:
-                self.known = ({}, {})
-            self.remember(list({p for parts in cut for p in parts if p not in self.known[0]}))
-            ids_a, ids_b = self.known
-            for pieces in cut:
-                b = [ids_b[p] for p in pieces]
-                if None in b:
+            if len(self.known) > REMEMBERED:
+                self.known, self.lossy = {}, set()
+            self.remember(list(set(chain.from_iterable(cut)).difference(self.known)))
+            known = self.known
+            for text, pieces in zip(texts[s:e], cut, strict=True):
+                if not pieces or self.lossy and not self.lossy.isdisjoint(pieces):
                     yield []
                     continue
-                a = [ids_a[p] for p in pieces]
-                yield [self._aligned(a[u:v], b[u:v]) for u, v in slices([len(p) for p in pieces], least)]
+                a, b = zip(*[known[p] for p in pieces], strict=True)
+                if len(text) <= least:
+                    yield [self._aligned(a, b)]
+                else:
+                    yield [self._aligned(a[u:v], b[u:v]) for u, v in slices([len(p) for p in pieces], least)]
 
-    def _aligned(self, a: list[bytes], b: list[bytes]) -> Alignment:
+    def _aligned(self, a: Sequence[bytes], b: Sequence[bytes]) -> Alignment:
         x, y = np.frombuffer(b"".join(a), "<i4").astype(np.int64), np.frombuffer(b"".join(b), "<i4").astype(np.int64)
         found = diagonal(np.cumsum(self.length_a[x]), np.cumsum(self.length_b[y]))
         return Alignment(x, y, *[np.array(f, np.int64) for f in found])
