@@ -1,14 +1,17 @@
 """Quality rules with risk-controlled cutoffs (DataFrame functions only).
 
-A fixed base rule rejects short and repetitive texts.  On top, each measured
-share gets a cutoff per stratum (language), chosen on labelled documents that
-pass the base rule: for every cutoff of a fixed grid, an exact binomial test
-asks whether the share of good documents it rejects is at most ``risk`` /
-number of measures.  All tests of all strata, measures and cutoffs share
-``error`` by Bonferroni's correction, so with probability 1 - error *no*
-selected cutoff rejects more than its share of good documents.  Among cutoffs
-that pass, the one wins whose rejected bad share exceeds ten times its rejected
-good share the most (ties: the mildest); with none, the measure isn't used there.
+A fixed base rule rejects short and repetitive texts.  On top, each stratum
+(language) gets cutoffs on four measured shares, chosen on labelled documents that
+pass the base rule.  The settings tried are a fixed sequence of ``LEVELS`` from mild
+to strict, each a cutoff for every measure, stated beforehand.  Level by level
+an exact binomial test asks whether the share of good documents that the setting
+rejects - by any of its measures - is at most ``risk``; the sequence ends with the
+first level that fails.  Tests in a fixed order need no division by their number,
+so only the strata share ``error`` (Bonferroni): with probability 1 - error *no*
+stratum's setting rejects more than its share of good documents.  Among the levels
+that pass, the one wins whose rejected bad share exceeds ten times its rejected good
+share the most (ties: the mildest); with none, the base rule alone decides there,
+and ``verdict`` says so for every document of the stratum.
 
 Defined cases: a null text has no words and fails the base rule.  A null
 language is a stratum of its own.  Several labels of one id count as good only
@@ -26,13 +29,14 @@ from .common import materialise
 
 RISK = 0.04
 ERROR = 0.05
-#: Cutoffs tried for each measure; fixed beforehand, so they owe nothing to the labels.
+#: Cutoffs of each measure from mild to strict, one per level; fixed beforehand, so they owe nothing to the labels.
 GRID = {
-    "symbol_share": (0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.5, 1.0),
-    "dup_line_share": (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.8),
-    "repeat_share": (0.02, 0.05, 0.1, 0.15, 0.18),
-    "word_length": (7.0, 7.5, 8.0, 8.5, 9.0, 10.0, 12.0, 15.0),
+    "symbol_share": (1.0, 0.5, 0.3, 0.2, 0.15, 0.1, 0.05, 0.02),
+    "dup_line_share": (0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.1),
+    "repeat_share": (0.18, 0.15, 0.12, 0.1, 0.08, 0.05, 0.03, 0.02),
+    "word_length": (15.0, 12.0, 10.0, 9.0, 8.5, 8.0, 7.5, 7.0),
 }
+LEVELS = 8
 MEASURES = tuple(GRID)
 WINDOW = 5
 SPACE = r"[\x20\x09-\x0D]+"
@@ -90,36 +94,39 @@ def binomial_tail(k: str, n: str, p: float) -> str:
 
 
 def tests(measured: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row per stratum, measure and cutoff: good and bad documents, rejected ones, the test's p value."""
+    """One row per stratum and level: good and bad documents, rejected ones, the test's p value."""
     good = (labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
             .groupBy("doc_id").agg(F.min("quality").alias("quality")))
-    grid = F.array(*[F.struct(F.lit(m).alias("measure"), F.lit(c).alias("cutoff"), (F.col(m) > c).alias("out"))
-                     for m, cs in GRID.items() for c in cs])
+    over = lambda k: F.greatest(*[F.col(m) > GRID[m][k] for m in MEASURES])
+    levels = F.array(*[F.struct(F.lit(k).alias("level"), over(k).alias("out")) for k in range(LEVELS)])
     is_good, out = F.col("quality") == 1, F.col("t.out")
     return (measured.filter(~F.col("base_failed")).join(good, "doc_id")
-            .select("stratum", "quality", F.explode(grid).alias("t"))
-            .groupBy("stratum", "t.measure", "t.cutoff")
+            .select("stratum", "quality", F.explode(levels).alias("t"))
+            .groupBy("stratum", "t.level")
             .agg(F.count_if(is_good).alias("n_good"), F.count_if(is_good & out).alias("k_good"),
                  F.count_if(~is_good).alias("n_bad"), F.count_if(~is_good & out).alias("k_bad"))
-            .withColumn("p_value", F.expr(binomial_tail("k_good", "n_good", RISK / len(MEASURES)))))
+            .withColumn("p_value", F.expr(binomial_tail("k_good", "n_good", RISK))))
 
 
-def select_cutoffs(tested: DataFrame, error: float = ERROR) -> DataFrame:
-    """stratum and a map from measure to its cutoff."""
-    m = max(1, tested.count())  # strata times grid
+def select_levels(tested: DataFrame, error: float = ERROR) -> DataFrame:
+    """stratum, level: the chosen setting of each stratum that has one."""
+    m = max(1, tested.select("stratum").distinct().count())
+    fails = F.min(F.when((F.col("p_value") > error / m) | (F.col("n_good") == 0), F.col("level")))
     gain = F.col("k_bad") / F.greatest("n_bad", F.lit(1)) - 10 * F.col("k_good") / F.greatest("n_good", F.lit(1))
-    return (tested.filter((F.col("p_value") <= error / m) & (F.col("n_good") > 0)).withColumn("gain", gain)
-            .filter("gain > 0").groupBy("stratum", "measure")
-            .agg(F.max_by("cutoff", F.struct("gain", "cutoff")).alias("cutoff"))
-            .groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("measure", "cutoff"))).alias("cutoffs")))
+    ends = tested.groupBy("stratum").agg(F.coalesce(fails, F.lit(LEVELS)).alias("end"))
+    return (tested.join(ends, "stratum").filter("level < end").withColumn("gain", gain).filter("gain > 0")
+            .groupBy("stratum").agg(F.max_by("level", F.struct("gain", -F.col("level"))).alias("level")))
 
 
 def judge(docs: DataFrame, labels: DataFrame, error: float = ERROR) -> DataFrame:
-    """The counts of every document, base_failed, kept, and the first measure over its cutoff."""
+    """The counts of every document, base_failed, kept, the first measure over its cutoff, and the stratum's verdict."""
     measured = materialise(measures(docs), "measures")
     tested = materialise(tests(measured, labels.select("doc_id", "quality")), "tests")
-    cutoffs = materialise(select_cutoffs(tested, error), "cutoffs")
-    over = F.coalesce(*[F.when(F.col(m) > F.col("cutoffs")[m], F.lit(m)) for m in MEASURES])
-    return (measured.join(cutoffs, "stratum", "left")
+    levels = materialise(select_levels(tested, error), "levels")
+    cutoff = lambda m: F.get(F.array(*[F.lit(c) for c in GRID[m]]), F.col("level"))
+    over = F.coalesce(*[F.when(F.col(m) > cutoff(m), F.lit(m)) for m in MEASURES])
+    verdict = F.when(F.col("level").isNull(), F.lit("base rule")).otherwise(F.concat(F.lit("level "), F.col("level")))
+    return (measured.join(levels, "stratum", "left")
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                    (~F.col("base_failed") & over.isNull()).alias("kept"), over.alias("rejected_by")))
+                    (~F.col("base_failed") & over.isNull()).alias("kept"), over.alias("rejected_by"),
+                    verdict.alias("verdict")))
