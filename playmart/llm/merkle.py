@@ -6,7 +6,8 @@ paragraph whose hash is a multiple of eight, so an edit moves no later border.
 Each node hashes its children's hashes; the root is a SHA-256.  Equal roots mean
 equal texts.  Where roots differ, ``edits`` walks down and names the differing
 sections and paragraphs.  The likeness of two trees is Dice's coefficient of
-their distinct leaves.
+their distinct leaves, which the fingerprint holds as its last part
+(``likeness_of`` computes it from two fingerprints).
 
 The next document is found without a global sort in one task: the keys (narrow)
 are range-partitioned by Spark, the first key of every range becomes a border
@@ -52,9 +53,14 @@ def with_tree(df: DataFrame, text: str, name: str) -> DataFrame:
 
 
 def fingerprint(name: str) -> Column:
-    """The tree's upper levels as text: root, sections, paragraphs."""
-    return F.expr(f"concat_ws(':', {name}_root, array_join(transform({name}_sections, x -> hex(x)), '.'), "
-                  f"array_join(transform({name}_paragraphs, x -> hex(x)), '.'))")
+    """The tree as text: root, sections, paragraphs, distinct leaves (parts by colons, hashes by dots)."""
+    parts = ", ".join(f"array_join(transform({name}_{x}, x -> hex(x)), '.')" for x in ("sections", "paragraphs", "leaves"))
+    return F.expr(f"concat_ws(':', {name}_root, {parts})")
+
+
+def likeness_of(a: str, b: str) -> Column:
+    """The likeness of two columns of fingerprints."""
+    return likeness(f"split(split_part({a}, ':', 4), '[.]')", f"split(split_part({b}, ':', 4), '[.]')")
 
 
 def likeness(a: str, b: str) -> Column:
