@@ -135,7 +135,7 @@ class Run:
             better = far < best[i]
             best[i[better]], other[i[better]] = far[better], j[better]
         has = np.flatnonzero(count)
-        return self._batch(has, other[has], count[has] > 1)
+        return self._batch(has, other[has], count[has] > 1, best[has])
 
     def every(self, share: int) -> Iterator[pa.RecordBatch]:
         """All candidate pairs; with a column ``want``, those whose later set is wanted."""
@@ -143,17 +143,20 @@ class Run:
             if "want" in self.c:
                 wanted = self.c["want"][i] > 0
                 i, j = i[wanted], j[wanted]
-            ok, _ = self.near(i, j, share)
+            ok, far = self.near(i, j, share)
             if ok.any():
-                yield self._batch(i[ok], j[ok], np.zeros(int(ok.sum()), bool))
+                yield self._batch(i[ok], j[ok], np.zeros(int(ok.sum()), bool), far[ok])
 
-    def _batch(self, i: np.ndarray, j: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(self.c["rep"][i]), pa.array(self.c["rep"][j]), pa.array(more)],
-                                          ["later", "earlier", "more"])
+    def _batch(self, i: np.ndarray, j: np.ndarray, more: np.ndarray, far: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(self.c["rep"][i]), pa.array(self.c["rep"][j]), pa.array(more),
+                                           pa.array(far.astype(np.int32))], ["later", "earlier", "more", "far"])
 
 
 def candidate_pairs(postings: DataFrame, share: int, every: bool = False) -> DataFrame:
-    """later, earlier, more: pairs of sets under a common key that their sketches don't rule out."""
+    """later, earlier, more, far: pairs of sets under a common key that their sketches don't rule out.
+
+    ``more``: the later set has other candidates under that key; ``far``: bits in which the sketches differ.
+    """
     names = postings.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +181,7 @@ def candidate_pairs(postings: DataFrame, share: int, every: bool = False) -> Dat
             yield from out(held)
 
     return (postings.repartition("key").sortWithinPartitions(*[k for k in ("key", "rep", "o1", "o2") if k in names])
-            .mapInArrow(run, "later long, earlier long, more boolean"))
+            .mapInArrow(run, "later long, earlier long, more boolean, far int"))
 
 
 class Bits:

@@ -15,8 +15,8 @@ what remains still must agree somewhere.  Candidates under a common block are
 then held against a second, 256-bit sketch, pairs against a third one of about a
 bit per shingle, and what remains is verified on the sets.
 
-First each set is compared to its closest earlier candidate per block, which
-links whole groups of copies without writing all their pairs; then candidates
+First each set is compared to its closest earlier candidate of all blocks, which
+links whole groups of copies with one pair a set; then candidates
 that still lie in different components are all verified, so no link that joins
 two components is lost.
 
@@ -201,12 +201,15 @@ def labelled(docs: DataFrame, k: int, share: int) -> DataFrame:
         return materialise(verify(close, sets_of(src, reps, k), share), "links")
 
     postings = materialise(shared_postings(sketched), "postings")
-    tried = materialise(candidate_pairs(postings, share).groupBy("later", "earlier")
-                        .agg(F.max("more").alias("more")), "pairs")
-    links = linked(tried)
+    # of all blocks' candidates the closest one decides first: one pair for each set
+    tried = materialise(candidate_pairs(postings, share).groupBy("later")
+                        .agg(F.min(F.struct("far", "earlier")).alias("best"),
+                             (F.max("more") | (F.min("earlier") != F.max("earlier"))).alias("more"))
+                        .select("later", F.col("best.earlier").alias("earlier"), "more"), "pairs")
+    links = linked(tried.select("later", "earlier"))
     roots = components(links)
     if not tried.filter("more").isEmpty():
-        # candidates in different components that weren't the closest of any block
+        # all other candidates that are still in different components
         grouped = (postings.join(roots, "rep", "left").withColumn("grp", F.coalesce("root", "rep")).drop("root"))
         rest = materialise(candidate_pairs(grouped, share, every=True).select("later", "earlier").distinct()
                            .join(tried, ["later", "earlier"], "left_anti"), "pairs")
