@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,6 +131,16 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: a worker outlives its task, and what runs next needs the room."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     """(start, end) ranges of consecutive items of about ``most`` in total, each at least one item."""
     start, total = 0, 0

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, mix64, slices, type_of, word_hashes
+from .common import materialise, mix64, release_memory, slices, type_of, word_hashes
 from .near import Bits, candidate_pairs, parity, set_keys, verify
 
 SHARE = 80
@@ -130,6 +130,7 @@ def lines_of(docs: DataFrame, counters: np.ndarray, share: int) -> DataFrame:
                      pa.array(t.line.astype(np.int32)), pa.array(rep), pa.array(n.astype(np.int32)),
                      pa.array(np.ascontiguousarray(sig[:, 0])), pa.array(np.ascontiguousarray(sig[:, 1])), prefix],
                     ["known", "doc_id", "th", "line", "rep", "n", "s0", "s1", "prefix"])
+        release_memory()
 
     return (docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
             .mapInArrow(run, LINES.format(id=f"doc_id {type_of(docs, 'doc_id')}")))
@@ -194,6 +195,7 @@ def sets_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
                     found[int(rep[i])] = h[ends[i]:ends[i + 1]].tobytes()
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())],
                                              ["rep", "elements"])
+        release_memory()
 
     wide = docs.select("text").mapInArrow(run, "rep long, elements binary")
     return materialise(wide.groupBy("rep").agg(F.first("elements").alias("elements")), "sets")

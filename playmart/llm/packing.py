@@ -7,7 +7,10 @@ bins that any packing of the same lengths needs: a partition at its bound is
 certified and done.  While the bins of all partitions together exceed the bound
 of the whole, the partitions with a gap exchange the documents of their
 unfilled bins under a new hash, in fewer partitions, and rerun; the exchange is
-kept when it saves bins.
+kept when it saves bins.  When fewer than two partitions have a gap, or their exchange
+saves nothing, unfilled bins of certified partitions join in.  It ends at
+the bound, or when that saves nothing either: ``over_bound`` of every row says by
+how many sequences the whole may then exceed the fewest possible.
 
 Defined cases: a null text is empty, so it has the end token alone.  Repeated
 rows are packed once each.  An empty table gives an empty result.  Extra
@@ -29,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, type_of
+from .common import materialise, release_memory, type_of
 from .pieces import PRE_TOKENS, PieceEncoder
 from .trie_bpe import byte_letters
 
@@ -44,7 +47,8 @@ class RankEncoder(PieceEncoder):
     """tiktoken over the ranks of the tokenizers file, called once per distinct piece.
 
     In a byte-level file whose ids follow the order of the merges, an id is its token's rank, so both
-    libraries give the same ids (tests/llm compares them); tiktoken needs a third of the time.
+    libraries give the same ids (tests/llm compares them); tiktoken needs a third of the time.  A file
+    whose ids are in another order is left to the tokenizers library.
     """
 
     def __init__(self, path: str):
@@ -52,6 +56,12 @@ class RankEncoder(PieceEncoder):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         of = byte_letters()
+        self.library = None
+        if not ids_follow_merges(spec["model"]):
+            from tokenizers import Tokenizer
+            self.library = Tokenizer.from_file(path)
+            self.library.no_truncation()
+            self.library.no_padding()
         ranks = {bytes(of[c] for c in t): i for t, i in spec["model"]["vocab"].items()}
         self.ids = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         for t in self.ids:
@@ -62,11 +72,21 @@ class RankEncoder(PieceEncoder):
         super().__init__(list(self.ids))
 
     def encode_new(self, pieces: list[str]) -> Iterable[tuple[str, bytes]]:
+        if self.library is not None:
+            for p, x in zip(pieces, self.library.encode_batch(pieces, add_special_tokens=False), strict=True):
+                yield p, array("I", x.ids).tobytes()
+            return
         encode = self.core.encode_ordinary
         for p in pieces:
             yield p, array("I", [self.ids[p]] if p in self.ids else encode(p)).tobytes()
 
 
+def ids_follow_merges(model: dict) -> bool:
+    """Whether every token of several bytes is made by one merge, and later merges make larger ids."""
+    made = [model["vocab"].get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+    return None not in made and all(a < b for a, b in zip(made, made[1:], strict=False))
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> RankEncoder:
     return RankEncoder(path)
@@ -99,6 +119,8 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE) -> DataFrame:
                  pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                  pa.array(crc, pa.int64())], ["uid", "doc_id", "piece", "start", "length", "ids_crc32"])
             uid += len(row)
+        enc.forget()
+        release_memory()
 
     return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
             .mapInArrow(run, f"uid long, doc_id {type_of(docs, 'doc_id')}, piece int, start long, length long, "
@@ -179,19 +201,29 @@ def pack(items: DataFrame, size: int = SIZE, per_partition: int = PER_PARTITION)
     parts = max(1, -(-n // per_partition))
     packed = materialise(_deal(items, size, parts, 0), "pack").withColumn("turn", F.lit(0).cast("long"))
     certified = packed.filter("bins = bound").select("part").distinct().count()
-    bins, settled, turn = _count(packed), [], 0
-    report = {"bins": bins, "bound": bound, "exchanges": 0, "partitions": parts, "certified": certified}
-    while turn < ROUNDS and parts > 1 and report["bins"] > bound:
-        # filled bins can't be bettered; the documents of the others are exchanged
-        stay, move = packed.filter(F.col("fill") == size), packed.filter(F.col("fill") < size)
-        moved_bins, turn = _count(move), turn + 1
-        parts = max(1, min(-(-move.count() // per_partition), parts - 1))
-        again = materialise(_deal(move, size, parts, turn), "pack").withColumn("turn", F.lit(turn).cast("long"))
-        saved = moved_bins - _count(again)
+    settled, turn, all_in = [], 0, False
+    report = {"bins": _count(packed), "bound": bound, "exchanges": 0, "partitions": parts, "certified": certified}
+    while turn < ROUNDS and report["bins"] > bound:
+        # filled bins can't be bettered, and a certified partition is done until the others are
+        gap = F.lit(True) if all_in else F.col("bins") > F.col("bound")
+        move = packed.filter((F.col("fill") < size) & gap)
+        sources = move.select("turn", "part").distinct().count()
+        if sources < 2:
+            if all_in:
+                break
+            all_in = True
+            continue
+        turn += 1
+        fewer = max(1, min(-(-move.count() // per_partition), sources // 2))    # at most 2 ** ROUNDS times the first size
+        again = materialise(_deal(move, size, fewer, turn), "pack").withColumn("turn", F.lit(turn).cast("long"))
+        saved = _count(move) - _count(again)
         if saved <= 0:
-            break
-        settled.append(stay)
-        packed = again
+            if all_in:
+                break
+            all_in = True
+            continue
+        settled.append(packed.filter(F.col("fill") == size))
+        packed = again.unionByName(packed.filter((F.col("fill") < size) & ~gap))
         report["bins"] -= saved
         report["exchanges"] += 1
     for stay in settled:
@@ -201,11 +233,12 @@ def pack(items: DataFrame, size: int = SIZE, per_partition: int = PER_PARTITION)
 
 def pack_documents(docs: DataFrame, path: str, size: int = SIZE,
                    per_partition: int = PER_PARTITION) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, over_bound."""
     cut = materialise(pieces(docs, path, size), "pieces")
     whole = (cut.filter(F.col("length") == size)
              .withColumn("sequence_id", F.col("uid").bitwiseOR(F.lit(1 << 62))).withColumn("offset", F.lit(0).cast("long")))
     part = cut.filter(F.col("length") < size)
-    placed, _ = pack(part.select("uid", "length"), size, per_partition)
-    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    placed, report = pack(part.select("uid", "length"), size, per_partition)
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset",
+               F.lit(report["bins"] - report["bound"]).cast("long").alias("over_bound")]
     return whole.select(columns).unionByName(part.join(placed, "uid").select(columns))

@@ -55,6 +55,10 @@ class PieceEncoder:
         self.special_pattern = (re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
                                 if special else None)
 
+    def forget(self) -> None:
+        """Let go of the remembered pieces."""
+        self.pieces = Pieces(CACHE)
+
     def encode_new(self, pieces: list[str]) -> Iterable[tuple[str, bytes]]:
         raise NotImplementedError
 

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_crc_mod, materialise, slices, type_of
+from .common import id_crc_mod, materialise, release_memory, slices, type_of
 
 ORDER = 3
 DOCS_PER_LANG = 300
@@ -284,6 +284,7 @@ def keep_known(docs: DataFrame, least: float = 0.5) -> DataFrame:
                 bits = scorer.code_lengths([t.encode() for t in text.take(pa.array(part)).to_pylist()])
                 best[part] = 1 / np.exp2(np.maximum(bits.min(1)[:, None] - bits, -1000)).sum(1)
             yield pa.array(best)
+        release_memory()
 
     return docs.filter(sure(F.when(_letters(), F.col("text"))) >= least)
 
