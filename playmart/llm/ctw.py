@@ -8,10 +8,12 @@ product of its children's.  With the counts frozen, the mixture over all depths
 is one number per context and byte, so scoring is a look-up, and the code length
 of a text is the sum over its bytes and an end mark.
 
-Bounds: there are at most 2**16 contexts of two bytes.  A context of three bytes
-is split off only if it holds at least 1 / 2**16 of all training bytes, so there
-are at most 2**16 of those; the others below the same two bytes share one leaf.
-The model that is broadcast has at most 2**17 + 257 rows of 256 numbers.
+Every context of three bytes has counts of its own, however rare.  All sums over the tree are
+made on the executors, by pairs of bytes (the newest two of a context): a pair has at most 2**16
+counts.  Contexts that hold at least 1 / 2**16 of all training bytes (at most 2**16 of them) are broadcast
+as rows of 256 numbers and settled where they stand.  What follows the others is sent once per
+context, byte and slice of documents, like rare words below, and joined to its exact price.
+A context that training doesn't know counts as the longest one within it that it knows.
 
 The base score needs the exact count of every training word.  Words with at least
 1 / 2**20 of all tokens (at most 2**20 of them) are broadcast and settled where they
@@ -44,6 +46,7 @@ SHARE_CONTEXT = 1 << 16
 SHARE_WORD = 1 << 20
 SLICE_CHARS = 3_500_000
 WINDOW = 1 << 20
+PAIRS = 1 << 10
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -87,100 +90,139 @@ def code_lengths(one: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Rows of log10 probabilities and the row of every context of three bytes."""
-
-    def __init__(self, three: tuple[np.ndarray, np.ndarray], four: tuple[np.ndarray, np.ndarray]):
-        """Counts of byte triples and, for the contexts that are split off, of quadruples (codes in base 256)."""
-        by3, by4 = np.argsort(three[0] >> 8 & 255, kind="stable"), np.argsort(four[0] >> 8 & 255, kind="stable")
-        three, four = [x[by3] for x in three], [x[by4] for x in four]
-        rows, self.deep, self.pair = [], [], []
-        recent3, recent4 = three[0] >> 8 & 255, four[0] >> 8 & 255
-        first = []
-        for b in range(256):  # the newest byte of the context: a subtree
-            a, z = np.searchsorted(recent3, [b, b + 1])
-            c3, n3 = three[0][a:z], three[1][a:z]
-            a, z = np.searchsorted(recent4, [b, b + 1])
-            first.append(self._subtree(b, c3, n3, four[0][a:z], four[1][a:z]))
-        counts0 = np.array([f["counts"] if f else np.zeros(256) for f in first])
-        root = Decisions(counts0.sum(0)[None])
-        below = sum([f["weighted"] for f in first if f], np.zeros(255))
-        stay = self._stay(root.block[0], below)
-        base = root.one[0]
-        self.single = np.zeros(256, np.int64)
-        rows.append(code_lengths(base[None] if any(first) else np.full((1, 255), 0.5)))
-        n = 1
-        for b, f in enumerate(first):
-            if not f:
-                continue
-            mixed = stay * base + (1 - stay) * np.concatenate([f["one"][None], f["pairs"], f["deep"]])
-            rows.append(code_lengths(mixed))
-            self.single[b] = n
-            self.pair.append((f["pair_codes"], n + 1 + np.arange(len(f["pair_codes"]))))
-            self.deep.append((f["deep_codes"], n + 1 + len(f["pair_codes"]) + np.arange(len(f["deep_codes"]))))
-            n += len(mixed)
-        self.table = np.concatenate(rows)
-
-    @staticmethod
-    def _stay(own: np.ndarray, children: np.ndarray) -> np.ndarray:
-        """The weight of not splitting: own block probability against the children's product."""
-        return 1 / (1 + np.exp(np.clip(children - own, -700, 700)))
-
-    def _subtree(self, b: int, c3: np.ndarray, n3: np.ndarray, c4: np.ndarray, n4: np.ndarray) -> dict | None:
-        if not len(c3):
-            return None
-        pair_codes, at = np.unique(c3 >> 8, return_inverse=True)
-        counts = np.zeros((len(pair_codes), 256))
-        counts[at, c3 & 255] = n3
-        pairs = Decisions(counts)
-        deep_codes, at = np.unique(c4 >> 8, return_inverse=True)
-        deep_counts = np.zeros((len(deep_codes), 256))
-        deep_counts[at, c4 & 255] = n4
-        deep = Decisions(deep_counts)
-        parent = np.searchsorted(pair_codes, deep_codes & 0xFFFF)
-        rest_counts = counts.copy()
-        np.subtract.at(rest_counts, parent, deep_counts)
-        rest = Decisions(np.maximum(rest_counts, 0))
-        children = rest.block.copy()
-        np.add.at(children, parent, deep.block)
-        split = np.isin(np.arange(len(pair_codes)), parent)[:, None]
-        stay2 = np.where(split, self._stay(pairs.block, children), 1.0)
-        weighted2 = np.where(split, np.logaddexp(pairs.block, children) - np.log(2), pairs.block)
-        single = Decisions(counts.sum(0)[None])
-        children1 = weighted2.sum(0)
-        stay1 = self._stay(single.block[0], children1)
-        one = single.one[0]
-        at_pair = stay2 * pairs.one + (1 - stay2) * rest.one
-        at_deep = stay2[parent] * pairs.one[parent] + (1 - stay2[parent]) * deep.one
-        return {"counts": counts.sum(0), "weighted": np.logaddexp(single.block[0], children1) - np.log(2), "one": one,
-                "pair_codes": pair_codes, "pairs": stay1 * one + (1 - stay1) * at_pair,
-                "deep_codes": deep_codes, "deep": stay1 * one + (1 - stay1) * at_deep}
+    """Rows of log10 probabilities of the frequent contexts, and the prices of all that follows others (a frame)."""
+
+    def __init__(self, codes: np.ndarray, table: np.ndarray, rare: DataFrame | None = None):
+        self.codes, self.table, self.rare = codes, table, rare
+
+
+class Upper:
+    """The tree above the pairs, by decision: what the root, and every newest byte, estimates and weighs."""
+
+    def __init__(self, counts: np.ndarray, children: np.ndarray):
+        """counts (256 x 256) by newest byte and next byte, children (256 x 255): weighted blocks of the pairs, summed."""
+        single, root = Decisions(counts), Decisions(counts.sum(0)[None])
+        seen = counts.sum(1) > 0
+        weighted = np.logaddexp(single.block, children) - np.log(2)
+        self.stay0 = stay(root.block[0], weighted[seen].sum(0))
+        self.base = root.one[0]
+        self.stay1 = np.where(seen[:, None], stay(single.block, children), 0)
+        self.one1 = np.where(seen[:, None], single.one, self.base)
+
+    def mixed(self, newest: np.ndarray, node: np.ndarray, below: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """The probability of a one, from the pairs' mixture ``below`` where the pair is ``known``."""
+        one, s = self.one1[newest, node], self.stay1[newest, node]
+        inner = np.where(known, s * one + (1 - s) * below, one)
+        return self.stay0[node] * self.base[node] + (1 - self.stay0[node]) * inner
+
+
+def stay(own: np.ndarray, children: np.ndarray) -> np.ndarray:
+    """The weight of not splitting: own block probability against the children's product."""
+    return 1 / (1 + np.exp(np.clip(children - own, -700, 700)))
+
+
+class Pairs:
+    """Whole pairs of bytes with all contexts below them: sorted keys (newest byte first, then older ones, then the next byte)."""
+
+    def __init__(self, key: np.ndarray, n: np.ndarray):
+        self.key, self.n = key, n
+        self.code, at = np.unique(key >> 16, return_inverse=True)
+        self.at = at
+        self.newest = self.code >> 8
+        self.counts = np.zeros((len(self.code), 256))
+        np.add.at(self.counts, (at, key & 255), n)
+        self.own = Decisions(self.counts)
+        self.known = self.counts.sum(1) > 0
+        self.first = np.flatnonzero(np.concatenate([[True], key[1:] >> 8 != key[:-1] >> 8]))
+        self.held = np.add.reduceat(n, self.first)  # training bytes after each context
+        self.of = np.repeat(np.arange(len(self.first)), np.diff(np.append(self.first, len(key))))
+        children = np.zeros((len(self.code), 255))
+        self.deep = []
+        for level in range(8):  # counts that share a node lie side by side
+            head = key >> (8 - level)
+            begin = np.flatnonzero(np.concatenate([[True], head[1:] != head[:-1]]))
+            bit = key >> (7 - level) & 1
+            ones, every = np.add.reduceat(n * bit, begin), np.add.reduceat(n, begin)
+            node = (1 << level | (key & 255) >> (8 - level)) - 1
+            own = np.where(every > 0, block((every - ones).astype(float), ones.astype(float)), 0)
+            np.add.at(children, (at[begin], node[begin]), own)
+            one = np.repeat((ones + 0.5) / (every + 1), np.diff(np.append(begin, len(key))))
+            self.deep.append((node, bit, one))
+        self.stay = stay(self.own.block, children)
+        self.weighted = np.where(self.known[:, None], np.logaddexp(self.own.block, children) - np.log(2), 0)
+
+    def prices(self, upper: Upper) -> np.ndarray:
+        """log10 p of every key's next byte after its context."""
+        out = np.zeros(len(self.key))
+        seen = self.held[self.of] > 0
+        for node, bit, deep in self.deep:
+            s, own = self.stay[self.at, node], self.own.one[self.at, node]
+            one = upper.mixed(self.newest[self.at], node, np.where(seen, s * own + (1 - s) * deep, own), self.known[self.at])
+            out += np.log10(np.where(bit == 1, one, 1 - one))
+        return out
+
+    def rows(self, contexts: np.ndarray, upper: Upper) -> np.ndarray:
+        """log10 p of all 256 next bytes after some contexts (places in ``first``)."""
+        counts = np.zeros((len(contexts), 256))
+        place = np.full(len(self.first), -1)
+        place[contexts] = np.arange(len(contexts))
+        mine = place[self.of] >= 0
+        counts[place[self.of[mine]], self.key[mine] & 255] = self.n[mine]
+        at = self.at[self.first[contexts]]
+        s = self.stay[at]
+        below = s * self.own.one[at] + (1 - s) * Decisions(counts).one
+        return code_lengths(upper.mixed(self.newest[at][:, None], np.arange(255)[None], below, np.ones((len(at), 1), bool)))
+
+
+def pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Pairs]:
+    """Whole pairs, at most PAIRS at a time, from sorted rows (key, n)."""
+    key, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def cut(last: bool) -> Iterator[Pairs]:
+        nonlocal key, n
+        pair = key >> 16
+        starts = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if len(key) else np.zeros(0, int)
+        ends = np.append(starts, len(key)) if last else starts  # the last pair may go on
+        for i in range(0, len(ends) - 1, PAIRS):
+            a, b = ends[i], ends[min(i + PAIRS, len(ends) - 1)]
+            yield Pairs(key[a:b], n[a:b])
+        if len(ends):
+            key, n = key[ends[-1]:], n[ends[-1]:]
+
+    for batch in batches:
+        key = np.concatenate([key, batch["key"].to_numpy()])
+        n = np.concatenate([n, batch["n"].to_numpy()])
+        yield from cut(False)
+    yield from cut(True)
 
 
 class Scorer:
-    """log10 probabilities of texts, by look-up."""
+    """log10 probabilities of texts, by look-up; what follows rare contexts is listed."""
 
     def __init__(self, model: Model):
-        self.table = model.table.ravel()
-        self.row = np.repeat(model.single[None], 256, 0).ravel()  # by (older, newest)
-        for codes, rows in model.pair:
-            self.row[codes] = rows
-        self.row = np.tile(self.row.astype(np.int32), 256)  # 64 MB
-        for codes, rows in model.deep:
-            self.row[codes] = rows
-
-    def scores(self, texts: list[bytes]) -> np.ndarray:
-        out = np.zeros(len(texts))
+        self.table = np.append(model.table.ravel(), np.zeros(256, np.float32))
+        self.rare = len(model.table)  # their row adds nothing
+        self.row = np.full(1 << 24, self.rare, np.int32)  # 64 MB
+        self.row[model.codes] = np.arange(len(model.codes))
+
+    def scores(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sums over frequent contexts; the gram, and the number of its text, of every other byte."""
+        out, grams, of = np.zeros(len(texts)), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         stream, ends = stream_of(texts)
         starts = np.concatenate([[DEPTH], ends[:-1]]) if len(ends) else ends
         for a in range(DEPTH, len(stream), WINDOW):
             b = min(len(stream), a + WINDOW)
             s = stream[a - DEPTH:b].astype(np.int64)
             ctx = context(s)
-            sums = np.concatenate([[0.0], np.cumsum(self.table[self.row[ctx].astype(np.int64) * 256 + s[DEPTH:]],
+            row = self.row[ctx]
+            sums = np.concatenate([[0.0], np.cumsum(self.table[row.astype(np.int64) * 256 + s[DEPTH:]],
                                                     dtype=np.float64)])
             i, j = int(np.searchsorted(ends, a, "right")), int(np.searchsorted(starts, b, "left"))
             out[i:j] += sums[np.minimum(ends[i:j], b) - a] - sums[np.maximum(starts[i:j], a) - a]
-        return out
+            other = np.flatnonzero(row == self.rare)
+            grams.append(ctx[other] << 8 | s[DEPTH:][other])
+            of.append(np.searchsorted(ends, other + a, "right"))
+        return out, np.concatenate(grams), np.concatenate(of)
 
 
 def stream_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -199,30 +241,69 @@ def context(s: np.ndarray) -> np.ndarray:
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """gram (context and byte, base 256) and its count in the training texts."""
+    """gram (context and byte, base 256) of every text and its count in the training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch["text"].to_pylist()
+            texts, held = batch["text"].to_pylist(), batch["held_out"].to_pylist()
             for a, b in slices([len(t) for t in texts], SLICE_CHARS):
-                s = stream_of([t.encode() for t in texts[a:b]])[0].astype(np.int64)
-                gram, n = np.unique((context(s) << 8 | s[DEPTH:]).astype(np.uint32), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
+                for out in (False, True):
+                    s = stream_of([t.encode() for t, h in zip(texts[a:b], held[a:b], strict=True) if h == out])[0].astype(np.int64)
+                    gram, n = np.unique((context(s) << 8 | s[DEPTH:]).astype(np.uint32), return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(gram.astype(np.int64)), pa.array(n.astype(np.int64) * (not out))], ["gram", "n"])
 
-    train = docs.filter("NOT held_out").select("text")
-    return train.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return docs.select("text", "held_out").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def turned(gram: np.ndarray) -> np.ndarray:
+    """The gram's context read from its newest byte to its oldest, or back; the next byte stays last."""
+    return (gram >> 8 & 255) << 24 | (gram >> 16 & 255) << 16 | (gram >> 24 & 255) << 8 | gram & 255
 
 
 def learn(docs: DataFrame) -> Model:
-    """The model; what reaches the driver is at most 2**24 triples and 2**24 quadruples."""
+    """The model.  To the driver come 256 sums for each task, and at most 2**16 rows of frequent contexts."""
+    spark = docs.sparkSession
     grams = materialise(gram_counts(docs), "grams")
     total = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    three = grams.groupBy((F.col("gram").bitwiseAND(0xFFFFFF)).alias("gram")).agg(F.sum("n").alias("n")).toArrow()
-    ctx = F.shiftright("gram", 8)
-    often = (grams.groupBy(ctx.alias("ctx")).agg(F.sum("n").alias("m"))
-             .filter(F.col("m") * SHARE_CONTEXT >= max(1, total)).select("ctx"))
-    four = grams.withColumn("ctx", ctx).join(often, "ctx", "left_semi").select("gram", "n").toArrow()
-    return Model(*[(t["gram"].to_numpy().astype(np.int64), t["n"].to_numpy().astype(np.int64)) for t in (three, four)])
+    byte = lambda shift: F.shiftright("gram", shift).bitwiseAND(255)
+    keys = grams.select((byte(8) * (1 << 24) + byte(16) * (1 << 16) + byte(24) * (1 << 8) + byte(0)).alias("key"), "n")
+    pair = F.shiftright("key", 16)
+    by_pair = keys.repartitionByRange(spark.sparkContext.defaultParallelism, pair).sortWithinPartitions("key")
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for p in pairs_of(batches):
+            for b in np.unique(p.newest).tolist():
+                at = p.newest == b
+                found[b] = found.get(b, 0) + np.concatenate([p.counts[at].sum(0), p.weighted[at].sum(0)])
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()),
+                                          pa.array([x.tobytes() for x in found.values()], pa.binary())], ["newest", "sums"])
+
+    counts, children = np.zeros((256, 256)), np.zeros((256, 255))
+    for r in by_pair.mapInArrow(sums, "newest long, sums binary").collect():
+        x = np.frombuffer(r["sums"])
+        counts[r["newest"]] += x[:256]
+        children[r["newest"]] += x[256:]
+    upper = spark.sparkContext.broadcast(Upper(counts, children))
+
+    def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p in pairs_of(batches):
+            often = p.held * SHARE_CONTEXT >= max(1, total)
+            rare, places = ~often[p.of], np.flatnonzero(often)
+            gram, lp = turned(p.key[rare]), p.prices(upper.value)[rare]
+            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(lp), pa.nulls(len(gram), pa.binary())],
+                                             ["gram", "price", "row"])
+            for i in range(0, len(places), PAIRS):
+                part = places[i:i + PAIRS]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(turned(p.key[p.first[part]]) >> 8), pa.nulls(len(part), pa.float64()),
+                     pa.array([x.tobytes() for x in p.rows(part, upper.value)], pa.binary())], ["gram", "price", "row"])
+
+    priced = materialise(by_pair.mapInArrow(price, "gram long, price double, row binary"), "prices")
+    often = priced.filter("row IS NOT NULL").select("gram", "row").toArrow()
+    table = np.frombuffer(b"".join(often["row"].to_pylist()), np.float32).reshape(-1, 256)
+    return Model(often["gram"].to_numpy().astype(np.int64), table, priced.filter("row IS NULL").select("gram", "price"))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -244,17 +325,34 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 ROWS = ("{id}, part long, k int, held_out boolean, n_tokens long, n_known long, base double, score double, "
-        "h long, packed binary")
+        "kind int, h long, packed binary")
+#: Kinds of rows besides documents: a rare word, and a byte after a rare context.
+WORD, GRAM = 0, 1
+
+
+def packed(h: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Every different h, and for each the numbers of the documents that hold it with their counts."""
+    order = np.lexsort((of, h))
+    h, of = h[order], of[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
+    first = np.flatnonzero(new)
+    times = np.diff(np.append(first, len(h)))
+    data = np.stack([of[first], times], 1).astype("<u4").tobytes()
+    h = h[first]
+    begin = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, int)
+    cuts = np.append(begin, len(h)) * 8
+    return h[begin], [data[x:y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
 
 def rows_of(docs: DataFrame, model: Model, often: tuple[np.ndarray, np.ndarray], total: int, kinds: int,
             end_count: int) -> DataFrame:
-    """Two kinds of rows: a document (h null) with what its frequent words give, and a rare word of a slice.
+    """Rows of documents (h null) with what frequent words and contexts give, and of what is rare in a slice.
 
-    A slice is named by ``part``; ``packed`` holds the numbers k of its documents with the word, and counts.
+    A slice is named by ``part``; ``packed`` holds the numbers k of its documents with the word or gram, and counts.
     """
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((model, often))
+    shared = sc.broadcast((Model(model.codes, model.table), often))
     scale = np.log10(total + 0.1 * (kinds + 1))
     end_score = float(np.log10(end_count + 0.1) - scale)
 
@@ -274,21 +372,10 @@ def rows_of(docs: DataFrame, model: Model, often: tuple[np.ndarray, np.ndarray],
                 base = np.full(b - a, end_score)
                 base += np.bincount(of[known], np.log10(counts[at[known]] + 0.1) - scale, b - a)
                 n_known = np.bincount(of[known], minlength=b - a) + int(end_count > 0)
-                score = scorer.scores([t.encode() for t in texts[a:b]])
-                rare, rare_of = h[~known], of[~known]
-                order = np.lexsort((rare_of, rare))
-                rare, rare_of = rare[order], rare_of[order]
-                new = np.ones(len(rare), bool)
-                new[1:] = (rare[1:] != rare[:-1]) | (rare_of[1:] != rare_of[:-1])
-                first = np.flatnonzero(new)
-                times = np.diff(np.append(first, len(rare)))
-                pairs = np.stack([rare_of[first], times], 1).astype("<u4")
-                word = rare[first]
-                begin = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else np.zeros(0, int)
-                data = pairs.tobytes()
-                cuts = np.append(begin, len(word)) * 8
-                packed = [data[x:y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-                docs_n, words_n = b - a, len(begin)
+                score, *grams = scorer.scores([t.encode() for t in texts[a:b]])
+                word, word_docs = packed(h[~known].view(np.int64), of[~known])
+                gram, gram_docs = packed(*grams)
+                docs_n, words_n = b - a, len(word) + len(gram)
                 pad = lambda values, kind, after: pa.array([*values, *[None] * after], kind)
                 none = lambda kind, m: pa.nulls(m, kind)
                 yield pa.RecordBatch.from_arrays(
@@ -297,9 +384,10 @@ def rows_of(docs: DataFrame, model: Model, often: tuple[np.ndarray, np.ndarray],
                      pa.concat_arrays([batch["held_out"].slice(a, docs_n), none(pa.bool_(), words_n)]),
                      pad((n + 1).tolist(), pa.int64(), words_n), pad(n_known.tolist(), pa.int64(), words_n),
                      pad(base.tolist(), pa.float64(), words_n), pad(score.tolist(), pa.float64(), words_n),
-                     pa.concat_arrays([none(pa.int64(), docs_n), pa.array(word[begin].view(np.int64))]),
-                     pa.concat_arrays([none(pa.binary(), docs_n), pa.array(packed, pa.binary())])],
-                    ["doc_id", "part", "k", "held_out", "n_tokens", "n_known", "base", "score", "h", "packed"])
+                     pa.concat_arrays([none(pa.int32(), docs_n), pa.array(np.repeat([WORD, GRAM], [len(word), len(gram)]), pa.int32())]),
+                     pa.concat_arrays([none(pa.int64(), docs_n), pa.array(word), pa.array(gram)]),
+                     pa.concat_arrays([none(pa.binary(), docs_n), pa.array(word_docs + gram_docs, pa.binary())])],
+                    ["doc_id", "part", "k", "held_out", "n_tokens", "n_known", "base", "score", "kind", "h", "packed"])
                 part += 1
 
     return docs.select("doc_id", "text", "held_out").mapInArrow(run, ROWS.format(id=f"doc_id {type_of(docs, 'doc_id')}"))
@@ -324,17 +412,24 @@ def score(docs: DataFrame) -> DataFrame:
         pairs = [np.frombuffer(x, "<u4").reshape(-1, 2) for x in pdf["packed"]]
         per = np.array([len(p) for p in pairs])
         both = np.concatenate(pairs).astype(np.int64)
-        c = np.repeat(pdf["c"].to_numpy(np.float64), per)
-        base = np.bincount(both[:, 0], both[:, 1] * (np.log10(c + 0.1) - scale))
-        known = np.bincount(both[:, 0], both[:, 1] * (c > 0))
+        kind, price = np.repeat(pdf["kind"].to_numpy(), per), np.repeat(pdf["price"].to_numpy(np.float64), per)
+        known = np.repeat(pdf["known"].to_numpy(np.int64), per)
+        per_kind = [np.bincount(both[:, 0], both[:, 1] * price * (kind == x)) for x in (WORD, GRAM)]
         k = np.unique(both[:, 0])
-        return pd.DataFrame({"part": pdf["part"].iloc[0], "k": k.astype(np.int32), "more": base[k], "more_known": known[k].astype(np.int64)})
-
-    rare = (rows.filter("h IS NOT NULL").select("h", "part", "packed").join(counts, "h", "left")
-            .select("part", "packed", F.coalesce("c", F.lit(0)).alias("c")))
-    sums = rare.groupBy("part").applyInPandas(add, "part long, k int, more double, more_known long")
-    return (rows.filter("h IS NULL").drop("h", "packed").join(sums, ["part", "k"], "left")
+        return pd.DataFrame({"part": pdf["part"].iloc[0], "k": k.astype(np.int32), "more": per_kind[WORD][k],
+                             "more_known": np.bincount(both[:, 0], both[:, 1] * known)[k].astype(np.int64), "more_score": per_kind[GRAM][k]})
+
+    c = F.coalesce("c", F.lit(0))
+    words = (rows.filter(F.col("kind") == WORD).select("kind", "h", "part", "packed").join(counts, "h", "left")
+             .select("part", "kind", "packed", (F.log10(c + 0.1) - scale).alias("price"), (c > 0).cast("long").alias("known")))
+    grams = (rows.filter(F.col("kind") == GRAM).select("kind", "h", "part", "packed")
+             .join(model.rare.withColumnRenamed("gram", "h"), "h")
+             .select("part", "kind", "packed", "price", F.lit(0).cast("long").alias("known")))
+    sums = words.unionByName(grams).groupBy("part").applyInPandas(
+        add, "part long, k int, more double, more_known long, more_score double")
+    return (rows.filter("h IS NULL").drop("kind", "h", "packed").join(sums, ["part", "k"], "left")
             .select("doc_id", "held_out", "n_tokens",
                     (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
                     F.lit(total).cast("long").alias("train_tokens"),
-                    (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score"))
+                    (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
+                    (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score")))
