@@ -158,8 +158,9 @@ class Warehouse:
 
 
 # A batch of at most this many rows probes the target with its broadcast keys
-# (the row count bounds the key count); above it the anti-join is a shuffle join.
-BROADCAST_BATCH_KEYS = 1_000_000
+# (the row count bounds the key count); above it the anti-join is a shuffle join,
+# whatever the target's files suggest: keys pack well, and unpacked they pass through the driver.
+BROADCAST_BATCH_KEYS = 100_000
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -219,7 +220,7 @@ def insert_candidates(batch: DataFrame, contract: TableContract, wh: Warehouse,
 
     ``batch_rows`` (the batch's row count, when known) bounds the size of the
     batch keys; within ``BROADCAST_BATCH_KEYS`` they are broadcast to narrow
-    the target before the anti-join.
+    the target before the anti-join, above it both sides are shuffled.
     """
     is_fact = contract.name == FACT_HISTORY.name
     keys = list(contract.keys)
@@ -239,7 +240,9 @@ def insert_candidates(batch: DataFrame, contract: TableContract, wh: Warehouse,
         existing = None if target is None else target.select(*keys)
     if existing is not None:
         if batch_rows <= BROADCAST_BATCH_KEYS:
-            existing = _null_safe(existing, F.broadcast(batch.select(*keys)), keys, "left_semi")
+            existing = _null_safe(existing, F.broadcast(batch.select(*keys).distinct()), keys, "left_semi")
+        else:
+            existing = existing.hint("merge")
         new = _null_safe(new, existing, keys, "left_anti")
     return new
 
