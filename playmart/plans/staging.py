@@ -1,6 +1,7 @@
 """Landing data arriving over time: write a table's rows in time slices.
 
-Each slice is an ordinary parallel write into the landing folder; between
+The rows are derived once, into a folder per slice.  Each slice is an ordinary
+parallel write into the landing folder; between
 slices the caller runs its ``availableNow`` queries, so every slice is a new
 micro-batch after a restart from the checkpoint (state and offsets carried
 across).  Slices are cut on whole seconds of the event time, so rows that
@@ -14,8 +15,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import open_files, scratch_dir
 from ..sinks.topics import write_landing
 
+#: Bytes that one open Parquet file of the staged slices holds back before it writes.
+STAGED_BLOCK = 16 * 1024 * 1024
+
 
 def slice_column(df: DataFrame, ts_col: str, n: int) -> Column:
     sec = F.unix_seconds(F.col(ts_col).cast("timestamp"))
@@ -28,15 +33,20 @@ def slice_column(df: DataFrame, ts_col: str, n: int) -> Column:
 
 def stage_and_run(records: DataFrame, landing_root: str, ts_col: str, n: int,
                   run: Callable[[int], None], replay: bool = False,
-                  order: Sequence[int] | None = None) -> None:
+                  order: Sequence[int] | None = None, times: DataFrame | None = None) -> None:
     """Write slice k then call ``run``; with ``replay`` send all slices again.
 
     ``order``: in which the slices arrive (default: by time); one that comes after a later one is late.
+    ``times``: a frame that holds the records' times and is cheaper to read (e.g. the plays before the fan-out).
     """
-    s = slice_column(records, ts_col, n)
-    tagged = records.withColumn("_slice", s)
+    spark = records.sparkSession
+    staged = scratch_dir(spark, "slices")
+    rows = records.withColumn("_slice", slice_column(records if times is None else times, ts_col, n)).select("topic", "key", "value", "_slice")
+    with open_files(spark, n + 1):       # one per slice, and one for rows without a time
+        rows.write.partitionBy("_slice").option("parquet.block.size", STAGED_BLOCK).parquet(staged)
+    tagged = spark.read.schema(rows.schema).parquet(staged)
     once = list(range(n) if order is None else order)
     rounds = once + (once if replay else [])
     for i, k in enumerate(rounds):
-        write_landing(tagged.filter(F.col("_slice") == k).drop("_slice", ts_col), landing_root)
+        write_landing(tagged.filter(F.col("_slice") == k).drop("_slice"), landing_root)
         run(i)

@@ -71,9 +71,12 @@ class _stateful_width:
             self.spark.conf.unset(STATE_STORE)
 
 
-def event_topic_records(spark: SparkSession, d: str) -> DataFrame:
-    wide = X.wide_plays_from_events(X.table(spark, d, "events"), X.table(spark, d, "part"))
-    return FO.fanout(wide, keep=("played_ts",))
+def event_plays(spark: SparkSession, d: str) -> DataFrame:
+    return X.wide_plays_from_events(X.table(spark, d, "events"), X.table(spark, d, "part"))
+
+
+def event_topic_records(spark: SparkSession, d: str, topics=tuple(FO.RECORDS)) -> DataFrame:
+    return FO.fanout(event_plays(spark, d), topics, keep=("played_ts",))
 
 
 def _counts(wh: Warehouse) -> DataFrame:
@@ -112,7 +115,7 @@ def _star_run(spark: SparkSession, d: str) -> dict:
 
     with _stateful_width(spark):
         stage_and_run(event_topic_records(spark, d), landing, "played_ts", N_SLICES, run,
-                      replay=True, order=ARRIVAL)
+                      replay=True, order=ARRIVAL, times=event_plays(spark, d))
         resumed = f"{root}/counts_after_resume"
         _counts(wh).write.parquet(resumed)
         # full replay of everything retained, under new checkpoints
@@ -167,7 +170,7 @@ def _state_run(spark: SparkSession, d: str) -> dict:
 
     with _stateful_width(spark):
         stage_and_run(event_topic_records(spark, d), landing, "played_ts", N_SLICES, run,
-                      replay=True)
+                      replay=True, times=event_plays(spark, d))
     res = {"wh": wh, "root": root, "landing": landing, **out}
     _RUNS[key] = res
     return res
@@ -192,8 +195,8 @@ def _late_run(spark: SparkSession, d: str) -> dict:
         SC.run_to_end([LT.start_routed_load(spark, wh, f"{ck}/load")])
 
     with _stateful_width(spark):
-        plays = event_topic_records(spark, d).filter(F.col("topic") == "item_topic")
-        stage_and_run(plays, landing, "played_ts", 3, run, order=(0, 2, 1))
+        plays = event_topic_records(spark, d, ("item_topic",))
+        stage_and_run(plays, landing, "played_ts", 3, run, order=(0, 2, 1), times=event_plays(spark, d))
     return {"wh": wh, "root": root}
 
 
@@ -226,8 +229,8 @@ def _replay_run(spark: SparkSession, d: str) -> dict:
             SC.run_to_end([SC.start_topic_load(landing_topic_stream(spark, landing, "item_topic", archive=archive),
                                                "item_topic", first, f"{ck}/first", "first")])
 
-    plays = event_topic_records(spark, d).filter(F.col("topic") == "item_topic")
-    stage_and_run(plays, landing, "played_ts", N_SLICES, run)
+    plays = event_topic_records(spark, d, ("item_topic",))
+    stage_and_run(plays, landing, "played_ts", N_SLICES, run, times=event_plays(spark, d))
     wh = Warehouse(spark, f"{root}/star")
     hour = spark.range(1).select(*[F.date_format(F.timestamp_millis(F.lit(FIRST_ARRIVAL_MS + 3_600_000 * k)),
                                                  "yyyy-MM-dd HH:mm:ss") for k in (1, 4)]).first()

@@ -115,6 +115,21 @@ def shuffle_width(spark: SparkSession, partitions: int | None) -> Iterator[None]
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+@contextmanager
+def open_files(spark: SparkSession, most: int) -> Iterator[None]:
+    """Writes into folders by value: a task holds up to so many files open instead of sorting its rows by folder.
+
+    With more values than that in one task the rest is sorted, as it is without this.
+    """
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder beneath the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)

@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..session import open_files
+
+# Text files of so many topics are written side by side by one task, without sorting its rows by topic.
+OPEN_TOPICS = 64
+
 
 def write_kafka(records: DataFrame, servers: str, extra: dict | None = None) -> None:
     """``topic, key, value`` rows to Kafka; the ``topic`` column routes each row."""
@@ -16,5 +21,6 @@ def write_kafka(records: DataFrame, servers: str, extra: dict | None = None) ->
 
 def write_landing(records: DataFrame, root: str, fmt: str = "json") -> None:
     """Append ``topic, key, value`` rows (JSON lines or Parquet), one folder per topic."""
-    records.select("topic", "key", "value").write.mode("append") \
-        .partitionBy("topic").format(fmt).save(root)
+    with open_files(records.sparkSession, OPEN_TOPICS if fmt == "json" else 0):
+        records.select("topic", "key", "value").write.mode("append") \
+            .partitionBy("topic").format(fmt).save(root)
