@@ -1,8 +1,8 @@
 """Shared parts of the similarity joins: candidate pairs from postings, set filters, components.
 
-A posting is one row (key, rep, n, s0.., o1, o2): a set ``rep`` of n elements is
-filed under ``key``; s0.. are the words of a parity sketch of it; o1, o2,
-if there, its place in the corpus order.  Two sets whose sketches differ in more bits than
+A posting is one row (key, rep, n, s0.., parts, o1, o2): a set ``rep`` of n elements is
+filed under ``key``; s0.. are the words of a parity sketch of it, or of one of so many ``parts``
+of it; o1, o2, if there, its place in the corpus order.  Two sets whose sketches differ in more bits than
 their symmetric difference may hold can't be similar, so that pair is dropped
 at once.  Postings are sorted by Spark (which spills) and read as a stream.
 """
@@ -84,13 +84,20 @@ class Run:
         self.sig = [self.c[s].view(np.uint64) for s in SIGNATURE if s in self.c]
 
     def near(self, i: np.ndarray, j: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
-        """Whether sets i and j may be similar, and the distance of their sketches."""
+        """Whether sets i and j may be similar, and the distance of their sketches (times the number of parts)."""
         far = np.zeros(np.broadcast(i, j).shape, np.int64)
         for s in self.sig:
             far += np.bitwise_count(s[i] ^ s[j])
         n = self.c["n"].astype(np.int64)
         a, b = n[i], n[j]
-        ok = (far <= most_difference(a, b, share)) & (100 * np.minimum(a, b) >= share * np.maximum(a, b))
+        most = most_difference(a, b, share)
+        if "parts" in self.c:  # the part that differs least has this share of the difference at most
+            parts = self.c["parts"].astype(np.int64)[i]
+            most, far = most // parts, far * parts
+            ok = far <= most * parts
+        else:
+            ok = far <= most
+        ok &= 100 * np.minimum(a, b) >= share * np.maximum(a, b)
         if "place" in self.c:  # tokens left from the shared one on, against the overlap that is needed
             p = self.c["place"]
             ok &= (100 + share) * np.minimum(a - p[i], b - p[j]) >= share * (a + b)
@@ -185,10 +192,10 @@ def candidate_pairs(postings: DataFrame, share: int, every: bool = False) -> Dat
 
 
 class Bits:
-    """A set filter of fixed size over 64-bit keys: it may hold more than was put in, never less.
+    """A set filter of bounded size over 64-bit keys: it may hold more than was put in, never less.
 
     A key sets three bits of one word (a blocked Bloom filter).  It is built by an aggregation over at most
-    2 ** (BITS - 6) words, so what reaches the driver is bounded.
+    2 ** (BITS - 6) words, so what reaches the driver is bounded; halves are laid over each other while few words are used.
     """
 
     BITS = 27
@@ -204,16 +211,35 @@ class Bits:
                  .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
         words = np.zeros(1 << (cls.BITS - 6), np.int64)
         words[found["w"].to_numpy()] = found["b"].to_numpy()
+        while len(words) > max(1 << 10, 4 * len(found)):
+            words = words[:len(words) // 2] | words[len(words) // 2:]
         return cls(words.view(np.uint64))
 
     def holds(self, keys: np.ndarray) -> np.ndarray:
         keys = keys.view(np.uint64)
-        word = self.words[((keys & np.uint64((1 << self.BITS) - 1)) >> np.uint64(6)).astype(np.int64)]
+        word = self.words[((keys & np.uint64(64 * len(self.words) - 1)) >> np.uint64(6)).astype(np.int64)]
         for at in (0, self.BITS, self.BITS + 6):
             word = word & ~(((word >> ((keys >> np.uint64(at)) & np.uint64(63))) & np.uint64(1)) - np.uint64(1))
         return word > 0
 
 
+def among(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """The rows whose column is one of the keys, and few others: a set filter takes the place of a join."""
+    filled = rows.sparkSession.sparkContext.broadcast(Bits.of(keys).words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Bits(filled.value)
+        for batch in batches:
+            yield batch.filter(pa.array(held.holds(batch[column].to_numpy(zero_copy_only=False)), pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def texts_of(placed: DataFrame, reps: DataFrame) -> np.ndarray:
+    """The words of a set filter over one text hash for each set named in reps.  placed: rep, th of every text's sets."""
+    return Bits.of(among(placed.select("rep", "th"), "rep", reps).groupBy("rep").agg(F.min("th").alias("th")).select("th")).words
+
+
 def verify(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     """The pairs (later, earlier) whose sets have 100 * Jaccard >= share.  sets: rep, elements (sorted uint64, binary)."""
 

@@ -9,16 +9,18 @@ Sizes are cut into bands such that similar documents lie in the same or in
 neighbouring bands; every document files its blocks for its own band and the
 one below, with the number of blocks of that band.
 
-Empty blocks would match too often.  Each band has ``SPARE`` per cent more
-blocks than the bound needs, so a document may leave out as many empty ones:
-what remains still must agree somewhere.  Candidates under a common block are
+Blocks of no or one shingle would match too often: two long documents share some
+shingle by chance.  Each band has ``SPARE`` per cent more blocks than the bound
+needs, so a document may leave out as many of those (if there are more, the empty
+ones only, or none): blocks that agree look alike to both documents, so what
+remains still must agree somewhere.  Candidates under a common block are
 then held against a second, 256-bit sketch, pairs against a third one of about a
 bit per shingle, and what remains is verified on the sets.
 
 First each set is compared to its closest earlier candidate of all blocks, which
-links whole groups of copies with one pair a set; then candidates
-that still lie in different components are all verified, so no link that joins
-two components is lost.
+links whole groups of copies with one pair a set; then, for sets that have more
+candidates, those that still lie in different components are all verified, so no
+link that joins two components is lost.
 
 Defined cases: null or empty text, or text without a word: an empty set, linked
 with nothing, even its like.  Fewer words than the shingle width: the whole
@@ -39,12 +41,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, mix64, slices, type_of, word_hashes
-from .near import (SIGNATURE, Bits, candidate_pairs, components, most_difference, parity, screen, set_keys, verify,
+from .near import (Bits, among, candidate_pairs, components, most_difference, screen, set_keys, texts_of, verify,
                    wide_sketch)
 
-SPARE = 4
+SPARE = 8
+#: Shingles in which a part of a document may differ; the sketch of a part has 128 bits.
+PART = 32
 SLICE_CHARS = 1_000_000
-POSTING = "key long, rep long, n int, s0 long, s1 long, s2 long, s3 long"
+POSTING = "key long, rep long, n int, parts int, s0 long, s1 long"
 
 
 def shingle_sets(texts: list[str | None], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,37 +92,50 @@ def bands(share: int, largest: int = 1 << 34) -> list[int]:
     return out
 
 
-def blocks_of(band: int, share: int) -> tuple[int, int]:
-    """Blocks of a band and how many empty ones may be left out; (0, 0) if only equal sets are similar there."""
+def blocks_of(band: int, share: int) -> tuple[int, int, int]:
+    """Parts of a band, blocks of each part and how many of few shingles may be left out; no part if only equal sets
+    are similar there."""
     largest = bands(share)[band + 1] - 1
     most = most_difference(largest, 100 * largest // share, share)
     if not most:
-        return 0, 0
-    spare = 1 + most * SPARE // 100
-    return most + 1 + spare, spare
+        return 0, 0, 0
+    parts = -(-most // PART)
+    spare = 1 + most // parts * SPARE // 100
+    return parts, most // parts + 1 + spare, spare
 
 
-def block_keys(found: np.ndarray, share: int) -> np.ndarray:
-    """The keys under which a set is filed: one per block of its own band and the one below."""
+def filed(found: np.ndarray, share: int) -> Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarray]]:
+    """For a set's own band and the one below: keys, how many each part has, number of parts and their sketches."""
     own = int(np.searchsorted(bands(share), len(found), "right")) - 1
-    out = []
     for band in {own, max(0, own - 1)}:
-        n, spare = blocks_of(band, share)
-        if not n:
+        parts, n, spare = blocks_of(band, share)
+        if not parts:
             continue
         mixed = mix64(found + np.uint64(band))
-        block = (mixed >> np.uint64(8)) % np.uint64(n)
-        words = np.zeros(n, np.uint64)
-        np.bitwise_xor.at(words, block.astype(np.int64), np.uint64(1) << (mixed & np.uint64(63)))
-        filled = np.flatnonzero(words) if np.count_nonzero(words == 0) <= spare else np.arange(n)
-        out.append(mix64(mix64(words[filled]) + mix64(filled.astype(np.uint64) + np.uint64(band << 40))))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        block = ((mixed >> np.uint64(8)) % np.uint64(parts * n)).astype(np.int64)
+        bit = np.uint64(1) << (mixed & np.uint64(63))
+        words, sketch = np.zeros(parts * n, np.uint64), np.zeros((parts, 2), np.uint64)
+        np.bitwise_xor.at(words, block, bit)
+        mixed = mix64(mixed ^ np.uint64(0x9E3779B97F4A7C15))
+        np.bitwise_xor.at(sketch, (block // n, (mixed >> np.uint64(6) & np.uint64(1)).astype(np.int64)),
+                          np.uint64(1) << (mixed & np.uint64(63)))
+        bits = np.bitwise_count(words).reshape(parts, n)
+        few = np.where((bits <= 1).sum(1) <= spare, 1, np.where((bits == 0).sum(1) <= spare, 0, -1))
+        kept = bits.astype(np.int64) > few[:, None]
+        at = np.flatnonzero(kept)
+        yield mix64(mix64(words[at]) + mix64(at.astype(np.uint64) + np.uint64(band << 40))), kept.sum(1), parts, sketch
+
+
+def block_keys(found: np.ndarray, share: int) -> np.ndarray:
+    """The keys under which a set is filed: one per block of its own band and the one below."""
+    return np.concatenate([np.zeros(0, np.uint64), *[keys for keys, *_ in filed(found, share)]])
 
 
 def sketches(docs: DataFrame, k: int, share: int) -> DataFrame:
-    """doc_id, th (hash of the text), n_shingles, rep (null for an empty set), s0..s3, wide, keys of every row.
+    """doc_id, th (hash of the text), n_shingles, rep (null for an empty set), wide, keys, and for each part how many
+    keys are its own (sizes), the number of parts and its sketch (sigs, two numbers), of every row.
 
-    Within a batch only the first row of equal sets carries the wide sketch and keys.
+    Within a batch only the first row of equal sets carries the wide sketch, keys and parts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,25 +144,28 @@ def sketches(docs: DataFrame, k: int, share: int) -> DataFrame:
             for start, found, ends in shingled(texts, k):
                 n = np.diff(ends)
                 some = np.flatnonzero(n)
-                rep, sig = np.zeros(len(n), np.int64), np.zeros((len(n), 4), np.int64)
+                rep = np.zeros(len(n), np.int64)
                 rep[some] = set_keys(found, ends[some])
-                sig[some] = parity(found, ends[some]).view(np.int64)
-                wide, keys = [None] * len(n), [None] * len(n)
+                wide, keys, sizes, parts, sigs = ([None] * len(n) for _ in range(5))
                 for i in some.tolist():
                     if (r := int(rep[i])) not in seen:
                         seen.add(r)
                         own = found[ends[i]:ends[i + 1]]
-                        wide[i], keys[i] = wide_sketch(own), block_keys(own, share).view(np.int64)
+                        wide[i] = wide_sketch(own)
+                        each = list(filed(own, share))
+                        keys[i] = np.concatenate([np.zeros(0, np.int64), *[x[0].view(np.int64) for x in each]])
+                        sizes[i] = np.concatenate([np.zeros(0, np.int64), *[x[1] for x in each]])
+                        parts[i] = np.concatenate([np.zeros(0, np.int64), *[np.full(x[2], x[2]) for x in each]])
+                        sigs[i] = np.concatenate([np.zeros(0, np.int64), *[x[3].view(np.int64).ravel() for x in each]])
                 part = batch.slice(start, len(n))
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], part["th"], pa.array(n.astype(np.int64)), pa.array(rep, mask=n == 0),
-                     *[pa.array(np.ascontiguousarray(sig[:, i])) for i in range(4)], pa.array(wide, pa.binary()),
-                     pa.array(keys, pa.list_(pa.int64()))],
-                    ["doc_id", "th", "n_shingles", "rep", *SIGNATURE, "wide", "keys"])
+                     pa.array(wide, pa.binary()), *[pa.array(x, pa.list_(pa.int64())) for x in (keys, sizes, parts, sigs)]],
+                    ["doc_id", "th", "n_shingles", "rep", "wide", "keys", "sizes", "parts", "sigs"])
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(
-        run, f"doc_id {type_of(docs, 'doc_id')}, th long, n_shingles long, rep long, s0 long, s1 long, s2 long, "
-             "s3 long, wide binary, keys array<long>")
+        run, f"doc_id {type_of(docs, 'doc_id')}, th long, n_shingles long, rep long, wide binary, keys array<long>, "
+             "sizes array<long>, parts array<long>, sigs array<long>")
 
 
 def shared_postings(sketched: DataFrame) -> DataFrame:
@@ -159,24 +179,28 @@ def shared_postings(sketched: DataFrame) -> DataFrame:
         for batch in batches:
             lists = batch["keys"]
             row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
-            key = lists.flatten().to_numpy()
+            key, sizes = lists.flatten().to_numpy(), batch["sizes"].flatten().to_numpy()
+            of = np.repeat(np.arange(len(sizes)), sizes)
             keep = held.holds(key)
-            key, row = key[keep], pa.array(row[keep])
+            key, row, of = key[keep], pa.array(row[keep]), of[keep]
+            sigs = batch["sigs"].flatten().to_numpy().reshape(-1, 2)[of]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key), batch["rep"].take(row), batch["n_shingles"].take(row).cast(pa.int32()),
-                 *[batch[s].take(row) for s in SIGNATURE]],
-                ["key", "rep", "n", *SIGNATURE])
+                 pa.array(batch["parts"].flatten().to_numpy()[of].astype(np.int32)),
+                 *[pa.array(np.ascontiguousarray(sigs[:, i])) for i in range(2)]],
+                ["key", "rep", "n", "parts", "s0", "s1"])
 
-    return sketched.filter("keys IS NOT NULL").mapInArrow(run, POSTING)
+    return sketched.filter("keys IS NOT NULL").select("rep", "n_shingles", "keys", "sizes", "parts", "sigs").mapInArrow(run, POSTING)
 
 
-def sets_of(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
-    """rep, elements of the sets named in reps, from a second pass over the texts."""
-    filled = docs.sparkSession.sparkContext.broadcast(Bits.of(reps).words)
+def sets_of(docs: DataFrame, placed: DataFrame, reps: DataFrame, k: int) -> DataFrame:
+    """rep, elements of the sets named in reps, from the texts (one for each set) that ``placed`` (rep, th) has them in."""
+    filled = docs.sparkSession.sparkContext.broadcast((Bits.of(reps).words, texts_of(placed, reps)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Bits(filled.value)
+        held, texts = map(Bits, filled.value)
         for batch in batches:
+            batch = batch.filter(pa.array(texts.holds(batch["th"].to_numpy()), pa.bool_()))
             for _, found, ends in shingled(batch["text"].to_pylist(), k):
                 starts = ends[:-1][np.diff(ends) > 0]
                 rep, stop = set_keys(found, starts), np.append(starts, len(found))
@@ -184,7 +208,7 @@ def sets_of(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(sets), pa.int64()), pa.array(list(sets.values()), pa.binary())], ["rep", "elements"])
 
-    wide = docs.select("text").mapInArrow(run, "rep long, elements binary")
+    wide = docs.select("text", F.xxhash64("text").alias("th")).mapInArrow(run, "rep long, elements binary")
     return materialise(wide.groupBy("rep").agg(F.first("elements").alias("elements")), "sets")
 
 
@@ -195,10 +219,12 @@ def labelled(docs: DataFrame, k: int, share: int) -> DataFrame:
     wide = (sketched.filter("wide IS NOT NULL").groupBy("rep")
             .agg(F.first("n_shingles").alias("n"), F.first("wide").alias("wide")))
 
+    placed = sketched.filter("rep IS NOT NULL").select("rep", "th")
+
     def linked(pairs: DataFrame) -> DataFrame:
         close = materialise(screen(pairs, wide, share), "close")
         reps = close.select(F.col("later").alias("rep")).union(close.select("earlier"))
-        return materialise(verify(close, sets_of(src, reps, k), share), "links")
+        return materialise(verify(close, sets_of(src, placed, reps, k), share), "links")
 
     postings = materialise(shared_postings(sketched), "postings")
     # of all blocks' candidates the closest one decides first: one pair for each set
@@ -208,9 +234,12 @@ def labelled(docs: DataFrame, k: int, share: int) -> DataFrame:
                         .select("later", F.col("best.earlier").alias("earlier"), "more"), "pairs")
     links = linked(tried.select("later", "earlier"))
     roots = components(links)
-    if not tried.filter("more").isEmpty():
-        # all other candidates that are still in different components
-        grouped = (postings.join(roots, "rep", "left").withColumn("grp", F.coalesce("root", "rep")).drop("root"))
+    open_sets = tried.filter("more").select("later")
+    if not open_sets.isEmpty():
+        # all their other candidates that are still in different components, among the postings under their keys
+        keys = (among(sketched.filter("keys IS NOT NULL").select("rep", "keys"), "rep", open_sets)
+                .select(F.explode("keys").alias("key")))
+        grouped = (among(postings, "key", keys).join(roots, "rep", "left").withColumn("grp", F.coalesce("root", "rep")).drop("root"))
         rest = materialise(candidate_pairs(grouped, share, every=True).select("later", "earlier").distinct()
                            .join(tried, ["later", "earlier"], "left_anti"), "pairs")
         if not rest.isEmpty():
