@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, mix64, release_memory, slices, type_of, word_hashes
-from .near import Bits, candidate_pairs, parity, set_keys, verify
+from .near import Bits, among, candidate_pairs, parity, set_keys, texts_of, verify
 
 SHARE = 80
 COUNTERS = 1 << 20
@@ -180,13 +180,14 @@ def unmix64(x: np.ndarray) -> np.ndarray:
     return unshift(x, 30)
 
 
-def sets_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """rep, elements (sorted) of the sets named in reps, from another pass over the texts."""
-    filled = docs.sparkSession.sparkContext.broadcast(Bits.of(reps).words)
+def sets_of(docs: DataFrame, lines: DataFrame, reps: DataFrame) -> DataFrame:
+    """rep, elements (sorted) of the sets named in reps, from the texts (one for each set) that hold them."""
+    filled = docs.sparkSession.sparkContext.broadcast((Bits.of(reps).words, texts_of(lines, reps)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Bits(filled.value)
+        held, holding = map(Bits, filled.value)
         for batch in batches:
+            batch = batch.filter(pa.array(holding.holds(batch["th"].to_numpy()), pa.bool_()))
             texts, found = [t for t in batch["text"].to_pylist() if t], {}
             for a, b in slices([len(t) for t in texts], SLICE_CHARS):
                 h, _, starts = Tokens(texts[a:b]).sets(None)
@@ -197,7 +198,7 @@ def sets_of(docs: DataFrame, reps: DataFrame) -> DataFrame:
                                              ["rep", "elements"])
         release_memory()
 
-    wide = docs.select("text").mapInArrow(run, "rep long, elements binary")
+    wide = docs.select("text", F.xxhash64("text").alias("th")).mapInArrow(run, "rep long, elements binary")
     return materialise(wide.groupBy("rep").agg(F.first("elements").alias("elements")), "sets")
 
 
@@ -205,12 +206,25 @@ def both(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("later").alias("rep")).union(pairs.select("earlier"))
 
 
+def beside(postings: DataFrame, keys: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The postings under the keys, with want = 1 for wanted sets; by set filters, which let few others through."""
+    filled = postings.sparkSession.sparkContext.broadcast((Bits.of(keys).words, Bits.of(wanted).words))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, sets = map(Bits, filled.value)
+        for batch in batches:
+            near = batch.filter(pa.array(held.holds(batch["key"].to_numpy()), pa.bool_()))
+            yield near.append_column("want", pa.array(sets.holds(near["rep"].to_numpy()).astype(np.int32)))
+
+    return postings.mapInArrow(run, POSTING + ", want int")
+
+
 def matched_sets(docs: DataFrame, lines: DataFrame, counters: np.ndarray, share: int) -> DataFrame:
     """rep of the sets that match an earlier one."""
     postings = postings_of(lines, counters)
     tried = materialise(candidate_pairs(postings, share).groupBy("later", "earlier").agg(F.max("more").alias("more")),
                         "pairs")
-    matched = materialise(verify(tried, sets_of(docs, both(tried)), share).select(F.col("later").alias("rep")).distinct(),
+    matched = materialise(verify(tried, sets_of(docs, lines, both(tried)), share).select(F.col("later").alias("rep")).distinct(),
                           "matched")
     open_sets = (tried.groupBy(F.col("later").alias("rep")).agg(F.max("more").alias("more")).filter("more")
                  .join(matched, "rep", "left_anti").select("rep"))
@@ -218,14 +232,12 @@ def matched_sets(docs: DataFrame, lines: DataFrame, counters: np.ndarray, share:
     if open_sets.isEmpty():
         return matched
     # undecided sets against all their candidates, among the postings that share a token with one
-    wanted = postings.join(open_sets.withColumn("want", F.lit(1)), "rep", "left").fillna(0, ["want"])
-    keys = wanted.filter("want = 1").select("key").distinct()
-    near = wanted.join(keys, "key", "left_semi").select("key", "rep", "n", "place", "s0", "s1", "o1", "o2", "want")
+    near = beside(postings, postings_of(among(lines, "rep", open_sets), counters).select("key"), open_sets)
     rest = materialise(candidate_pairs(near, share, every=True).select("later", "earlier").distinct()
                        .join(tried, ["later", "earlier"], "left_anti"), "pairs")
     if rest.isEmpty():
         return matched
-    more = verify(rest, sets_of(docs, both(rest)), share).select(F.col("later").alias("rep"))
+    more = verify(rest, sets_of(docs, lines, both(rest)), share).select(F.col("later").alias("rep"))
     return matched.union(more).distinct()
 
 
