@@ -20,6 +20,8 @@ tokenizer has a token across a blank that stands between other characters
 (``UNSAFE``: blanks in a row, at an end, or inside white space).  A text with such
 blanks is cut only where ASCII letters or digits are on both sides.  B's vocabulary
 is searched for a piece across blanks when it is loaded; if it has one, texts go whole.
+So both tokenizers' tokens end where a piece does, and no group spans two pieces: the new pieces of a call are walked
+together once, and a text's groups and links are those of its pieces in turn.
 
 Defined cases: a null or empty text has no tokens: zeros, '' as digest.  So has a text whose
 tokens don't give back a blank and the text in both tokenizers.  Special
@@ -151,6 +153,8 @@ class Aligner:
         #: piece -> ids of A and of B as little-endian 32-bit numbers; pieces of which a tokenizer loses a byte
         self.known: dict[str, tuple[bytes, bytes]] = {}
         self.lossy: set[str] = set()
+        #: piece -> groups as text, linked pairs, numbers of A's and B's tokens and of groups; None if a byte is lost
+        self.walked: dict[str, tuple[str, bytes, int, int, int] | None] = {}
 
     def pieces(self, text: str) -> list[str]:
         """The text cut at blanks, which are left out."""
@@ -160,8 +164,8 @@ class Aligner:
             return CUT.split(text)
         return text.split(" ")
 
-    def remember(self, pieces: list[str]) -> None:
-        """Encode pieces not met before with both tokenizers; each comes after a blank.
+    def remember(self, pieces: list[str], walk: bool = False) -> None:
+        """Encode pieces not met before with both tokenizers (and walk them); each comes after a blank.
 
         Those without white space at an end are joined by blanks for that, as a text is.
         """
@@ -176,25 +180,61 @@ class Aligner:
             texts = [" ".join(r) for r in rows[s:e]]
             for r, t, x, y in zip(rows[s:e], texts, self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False),
                                   self.b.encode(texts, num_threads=1), strict=True):
-                self._note(r, (" " + t).encode(), x.ids, y)
+                self._note(r, (" " + t).encode(), x.ids, y, walk)
 
-    def _note(self, pieces: list[str], whole: bytes, a: list[int], b: list[int]) -> None:
-        """Deal the ids of pieces joined by blanks to them, by the bytes that the tokens take."""
+    def _note(self, pieces: list[str], whole: bytes, a: list[int], b: list[int], walk: bool) -> None:
+        """Deal the ids (or groups and links) of pieces joined by blanks to them, by the bytes that the tokens take."""
         if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
             if len(pieces) > 1:               # look for those that a tokenizer changes
-                self.remember(pieces[:len(pieces) // 2])
-                self.remember(pieces[len(pieces) // 2:])
+                self.remember(pieces[:len(pieces) // 2], walk)
+                self.remember(pieces[len(pieces) // 2:], walk)
+            elif walk:
+                self.walked[pieces[0]] = None
             else:
                 self.known[pieces[0]] = b"", b""
                 self.lossy.add(pieces[0])
             return
         ends, cut = np.cumsum([len(p.encode()) + 1 for p in pieces]), []
+        if walk:
+            self._walk(pieces, np.array(a, np.int64), np.array(b, np.int64), ends)
+            return
         for ids, length in ((a, self.length_a), (b, self.length_b)):
             ids = np.array(ids, "<i4")
             raw, stop = ids.tobytes(), (4 * np.searchsorted(np.cumsum(length[ids]), ends) + 4).tolist()
             cut.append([raw[u:v] for u, v in zip([0, *stop], stop, strict=False)])
         self.known.update(zip(pieces, zip(*cut, strict=True), strict=True))
 
+    def _walk(self, pieces: list[str], a: np.ndarray, b: np.ndarray, ends: np.ndarray) -> None:
+        """Note the groups and links of each of the pieces joined by blanks, which end at these bytes."""
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        x = Alignment(a, b, *[np.array(f, np.int64) for f in diagonal(ends_a, ends_b)])
+        tokens, pairs, wide = self._tokens(x), self.pairs(x), self.dtype.itemsize
+        u, v = np.searchsorted(ends_a, ends) + 1, np.searchsorted(ends_b, ends) + 1
+        rows = zip(pieces, np.diff(u, prepend=0).tolist(), np.diff(v, prepend=0).tolist(),
+                   np.diff(np.searchsorted(x.groups_a, u) + 1, prepend=0).tolist(),
+                   (wide * np.searchsorted(x.links_a, u)).tolist(), (u + v).tolist(), strict=True)
+        link = at = 0
+        for p, n_a, n_b, n_groups, to, stop in rows:
+            self.walked[p] = "".join(tokens[at:stop]), pairs[link:to], n_a, n_b, n_groups
+            link, at = to, stop
+
+    def rows(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, str, bytes, str]]:
+        """n_a, n_b, n_groups, n_links, the digest of the groups, linked pairs and the groups as text of each text."""
+        for s, e in slices([len(t) for t in texts], CALL):
+            cut = [self.pieces(t) if t else [] for t in texts[s:e]]
+            if len(self.walked) > REMEMBERED:
+                self.walked = {}
+            self.remember(list(set(chain.from_iterable(cut)).difference(self.walked)), walk=True)
+            for pieces in cut:
+                parts = [*map(self.walked.__getitem__, pieces)]
+                if not parts or None in parts:
+                    yield 0, 0, 0, 0, "", b"", ""
+                    continue
+                groups, links, n_a, n_b, n_groups = zip(*parts, strict=True)
+                text, held = "".join(groups)[:-1], b"".join(links)
+                yield (sum(n_a), sum(n_b), sum(n_groups), len(held) // self.dtype.itemsize,
+                       hashlib.sha256(text.encode()).hexdigest(), held, text)
+
     def align(self, texts: list[str], least: int = PART) -> Iterator[list[Alignment]]:
         """The alignments of each text's parts, in order; none for a text that is empty or not given back."""
         for s, e in slices([len(t) for t in texts], CALL):
@@ -218,8 +258,8 @@ class Aligner:
         found = diagonal(np.cumsum(self.length_a[x]), np.cumsum(self.length_b[y]))
         return Alignment(x, y, *[np.array(f, np.int64) for f in found])
 
-    def groups_text(self, x: Alignment) -> str:
-        """``a1,a2|b1;a3|b2,b3;`` in decimal ids."""
+    def _tokens(self, x: Alignment) -> list[str]:
+        """The ids of A's and B's tokens, group by group, each with the mark that comes after it."""
         size_a, size_b = np.diff(x.groups_a, prepend=0), np.diff(x.groups_b, prepend=0)
         at_a = np.repeat(x.groups_b - size_b, size_a) + np.arange(len(x.a))
         at_b = np.repeat(x.groups_a, size_b) + np.arange(len(x.b))
@@ -227,7 +267,11 @@ class Aligner:
         out[at_a], out[at_b] = self.text_a[x.a], self.text_b[x.b]
         out[at_a[x.groups_a - 1]] = self.last_a[x.a[x.groups_a - 1]]
         out[at_b[x.groups_b - 1]] = self.last_b[x.b[x.groups_b - 1]]
-        return "".join(out.tolist())
+        return out.tolist()
+
+    def groups_text(self, x: Alignment) -> str:
+        """``a1,a2|b1;a3|b2,b3;`` in decimal ids."""
+        return "".join(self._tokens(x))
 
     def pairs(self, x: Alignment) -> bytes:
         """Linked ids, a * n_b + b each, as little-endian unsigned numbers."""
@@ -247,25 +291,13 @@ def alignments(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", t
     """key, slice, n_a, n_b, n_groups, n_links, groups_sha256, links (id pairs) and, if asked for, groups as text."""
     names = [key, "slice", *COUNTS, "groups_sha256", "links", *["groups"] * groups]
 
-    def rows(aligned: Iterator[list[Alignment]]) -> Iterator[tuple]:
-        tool = aligner(path_a, path_b)
-        for parts in aligned:
-            texts = [tool.groups_text(x) for x in parts]
-            digest = hashlib.sha256()
-            for t in texts[:-1]:
-                digest.update(t.encode())
-            for t in texts[-1:]:
-                digest.update(t[:-1].encode())
-            yield (*[sum(len(getattr(x, f)) for x in parts) for f in ("a", "b", "groups_a", "links_a")],
-                   digest.hexdigest() if parts else "", b"".join(map(tool.pairs, parts)), "".join(texts)[:-1])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = aligner(path_a, path_b)
         current, held = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             texts = [t or "" for t in batch["_text"].to_pylist()]
             for s, e in slices([len(t) for t in texts], CALL):
-                made = list(rows(tool.align(texts[s:e])))
+                made = list(tool.rows(texts[s:e]))
                 numbers = []
                 for row in made:
                     if held and held + row[3] > slice_links:
