@@ -4,7 +4,9 @@ A posting is one row (key, rep, n, s0.., parts, o1, o2): a set ``rep`` of n elem
 filed under ``key``; s0.. are the words of a parity sketch of it, or of one of so many ``parts``
 of it; o1, o2, if there, its place in the corpus order.  Two sets whose sketches differ in more bits than
 their symmetric difference may hold can't be similar, so that pair is dropped
-at once.  Postings are sorted by Spark (which spills) and read as a stream.
+at once.  Postings are sorted by Spark (which spills) and read as a stream.  Postings of a
+second round may carry ``grp``, the component (its own sets don't meet), ``want`` (only wanted sets look for earlier ones)
+and w0.., a longer sketch of the whole set.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from pyspark.sql import functions as F
 from .common import materialise, mix64
 
 SIGNATURE = ("s0", "s1", "s2", "s3")
+#: Words of the longer sketch; a wide sketch has as many bits at least.
+FOLDED = tuple(f"w{i}" for i in range(8))
 #: Runs up to this length are compared together, longer ones one by one.
 SHORT = 48
 BLOCK = 512
@@ -49,7 +53,7 @@ def set_keys(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def wide_sketch(found: np.ndarray) -> bytes:
     """A parity sketch with at least as many bits as the set has elements; their number is a power of two."""
-    size = 1 << max(8, (len(found) - 1).bit_length())
+    size = max(64 * len(FOLDED), 1 << (len(found) - 1).bit_length())
     bit = (mix64(found ^ np.uint64(0xA24BAED4963EE407)) & np.uint64(size - 1)).astype(np.int64)
     return np.packbits((np.bincount(bit, minlength=size) & 1).astype(np.uint8)).tobytes()
 
@@ -62,6 +66,20 @@ def sketch_distance(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def folded(wide: DataFrame) -> DataFrame:
+    """rep, w0..: the wide sketches (rep, wide), all folded to the same length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = np.zeros((batch.num_rows, len(FOLDED)), np.uint64)
+            for i, sketch in enumerate(batch["wide"].to_pylist()):
+                out[i] = np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, len(FOLDED)), axis=0)
+            yield pa.RecordBatch.from_arrays(
+                [batch["rep"], *[pa.array(np.ascontiguousarray(w).view(np.int64)) for w in out.T]], ["rep", *FOLDED])
+
+    return wide.select("rep", "wide").mapInArrow(run, ", ".join(["rep long", *[f"{w} long" for w in FOLDED]]))
+
+
 def most_difference(a, b, share: int):
     """The largest symmetric difference of sets of sizes a and b with 100 * Jaccard >= share."""
     return (100 - share) * (a + b) // (100 + share)
@@ -82,6 +100,7 @@ class Run:
         self.start = np.flatnonzero(new)
         self.length = np.diff(np.append(self.start, len(key)))
         self.sig = [self.c[s].view(np.uint64) for s in SIGNATURE if s in self.c]
+        self.fold = [self.c[s].view(np.uint64) for s in FOLDED if s in self.c]
 
     def near(self, i: np.ndarray, j: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
         """Whether sets i and j may be similar, and the distance of their sketches (times the number of parts)."""
@@ -103,13 +122,18 @@ class Run:
             ok &= (100 + share) * np.minimum(a - p[i], b - p[j]) >= share * (a + b)
         if "grp" in self.c:
             ok &= self.c["grp"][i] != self.c["grp"][j]
+        if self.fold:
+            at = np.flatnonzero(ok)
+            apart = sum(np.bitwise_count(w[i[at]] ^ w[j[at]]).astype(np.int64) for w in self.fold)
+            ok[at] = apart <= most_difference(a[at], b[at], share)
         return ok, far
 
     def blocks(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Index arrays (i, j) of all pairs of a key, j before i, in bounded portions."""
+        """Index arrays (i, j) of all pairs of a key, j before i, in bounded portions; with ``want``, i is wanted."""
         short = self.length <= SHORT
         rank = np.arange(len(self.c["key"])) - np.repeat(self.start, self.length)
-        at = np.flatnonzero(np.repeat(short, self.length) & (rank > 0))
+        wanted = self.c["want"] > 0 if "want" in self.c else np.ones(len(rank), bool)
+        at = np.flatnonzero(np.repeat(short, self.length) & (rank > 0) & wanted)
         back = 1
         while len(at):
             yield at, at - back
@@ -118,16 +142,20 @@ class Run:
         for s, n in zip(self.start[~short].tolist(), self.length[~short].tolist(), strict=True):
             for a in range(0, n, BLOCK):
                 i = np.arange(s + a, s + min(n, a + BLOCK))
-                for b in range(0, a + len(i), BLOCK):
-                    j = np.arange(s + b, s + min(a + len(i), b + BLOCK))
+                i = i[wanted[i]]
+                for b in range(0, min(n, a + BLOCK) if len(i) else 0, BLOCK):
+                    j = np.arange(s + b, s + min(n, a + BLOCK, b + BLOCK))
                     ii, jj = np.meshgrid(i, j, indexing="ij")
                     earlier = jj < ii
                     yield ii[earlier], jj[earlier]
 
-    def closest(self, share: int) -> pa.RecordBatch:
-        """For each set with an earlier candidate under the same key: the closest one, and whether there are more."""
+    def closest(self, share: int, most: int = 1) -> pa.RecordBatch:
+        """For each set with an earlier candidate under the same key: the closest one, and whether there are more.
+
+        Where that one's sketch differs in over half of what is allowed, up to ``most`` of the closest ones.
+        """
         size = len(self.c["key"])
-        best, other, count = np.full(size, 1 << 30), np.zeros(size, np.int64), np.zeros(size, np.int64)
+        best, other, count = np.full((size, most), 1 << 30), np.zeros((size, most), np.int64), np.zeros(size, np.int64)
         for i, j in self.blocks():
             ok, far = self.near(i, j, share)
             i, j, far = i[ok], j[ok], far[ok]
@@ -135,21 +163,27 @@ class Run:
                 continue
             order = np.lexsort((j, far, i))
             i, j, far = i[order], j[order], far[order]
-            lead = np.ones(len(i), bool)
-            lead[1:] = i[1:] != i[:-1]
-            np.add.at(count, i, 1)
-            i, j, far = i[lead], j[lead], far[lead]
-            better = far < best[i]
-            best[i[better]], other[i[better]] = far[better], j[better]
-        has = np.flatnonzero(count)
-        return self._batch(has, other[has], count[has] > 1, best[has])
+            first = np.flatnonzero(np.diff(i, prepend=-1))
+            found = np.diff(np.append(first, len(i)))
+            rank = np.arange(len(i)) - np.repeat(first, found)
+            of, at = np.repeat(np.arange(len(first)), found)[rank < most], rank[rank < most]
+            i = i[first]
+            count[i] += found
+            new, its = np.full((len(i), most), 1 << 30), np.zeros((len(i), most), np.int64)
+            new[of, at], its[of, at] = far[rank < most], j[rank < most]
+            new, its = np.hstack([best[i], new]), np.hstack([other[i], its])
+            least = np.argsort(new, axis=1, kind="stable")[:, :most]
+            best[i], other[i] = np.take_along_axis(new, least, 1), np.take_along_axis(its, least, 1)
+        has, n = np.flatnonzero(count), self.c["n"].astype(np.int64)
+        unsure = 2 * best[has, 0] > most_difference(n[has], n[other[has, 0]], share)
+        told = np.where(unsure, np.minimum(count[has], most), 1)
+        row = np.repeat(np.arange(len(has)), told)
+        at = np.arange(len(row)) - np.repeat(np.cumsum(told) - told, told)
+        return self._batch(has[row], other[has[row], at], (count[has] > told)[row], best[has[row], at])
 
     def every(self, share: int) -> Iterator[pa.RecordBatch]:
         """All candidate pairs; with a column ``want``, those whose later set is wanted."""
         for i, j in self.blocks():
-            if "want" in self.c:
-                wanted = self.c["want"][i] > 0
-                i, j = i[wanted], j[wanted]
             ok, far = self.near(i, j, share)
             if ok.any():
                 yield self._batch(i[ok], j[ok], np.zeros(int(ok.sum()), bool), far[ok])
@@ -159,10 +193,11 @@ class Run:
                                            pa.array(far.astype(np.int32))], ["later", "earlier", "more", "far"])
 
 
-def candidate_pairs(postings: DataFrame, share: int, every: bool = False) -> DataFrame:
+def candidate_pairs(postings: DataFrame, share: int, every: bool = False, most: int = 1) -> DataFrame:
     """later, earlier, more, far: pairs of sets under a common key that their sketches don't rule out.
 
-    ``more``: the later set has other candidates under that key; ``far``: bits in which the sketches differ.
+    Of each later set the closest ones under a key, up to ``most`` (see ``Run.closest``), or every one.  ``more``: it has
+    other candidates under that key; ``far``: bits in which the sketches differ.
     """
     names = postings.columns
 
@@ -171,7 +206,7 @@ def candidate_pairs(postings: DataFrame, share: int, every: bool = False) -> Dat
 
         def out(cols: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
             r = Run(cols)
-            yield from r.every(share) if every else [r.closest(share)]
+            yield from r.every(share) if every else [r.closest(share, most)]
 
         for batch in batches:
             if not batch.num_rows:
@@ -191,6 +226,16 @@ def candidate_pairs(postings: DataFrame, share: int, every: bool = False) -> Dat
             .mapInArrow(run, "later long, earlier long, more boolean, far int"))
 
 
+def untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
+    """The distinct pairs (later, earlier) that are not among those tried.
+
+    One aggregation: an anti join would be moved below the distinct and take every repeat of a pair.
+    """
+    both = (pairs.select("later", "earlier", F.lit(False).alias("tried"))
+            .unionAll(tried.select("later", "earlier", F.lit(True).alias("tried"))))
+    return both.groupBy("later", "earlier").agg(F.max("tried").alias("tried")).filter("NOT tried").select("later", "earlier")
+
+
 class Bits:
     """A set filter of bounded size over 64-bit keys: it may hold more than was put in, never less.
 

@@ -17,10 +17,11 @@ remains still must agree somewhere.  Candidates under a common block are
 then held against a second, 256-bit sketch, pairs against a third one of about a
 bit per shingle, and what remains is verified on the sets.
 
-First each set is compared to its closest earlier candidate of all blocks, which
-links whole groups of copies with one pair a set; then, for sets that have more
+First each set is compared to its closest few earlier candidates of all blocks, which
+links whole groups of copies with few pairs a set; then, for sets that have more
 candidates, those that still lie in different components are all verified, so no
-link that joins two components is lost.
+link that joins two components is lost.  Their postings carry a 512-bit sketch of the
+whole set, so pairs that are not similar are dropped where they meet.
 
 Defined cases: null or empty text, or text without a word: an empty set, linked
 with nothing, even its like.  Fewer words than the shingle width: the whole
@@ -41,13 +42,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, mix64, slices, type_of, word_hashes
-from .near import (Bits, among, candidate_pairs, components, most_difference, screen, set_keys, texts_of, verify,
-                   wide_sketch)
+from .near import (Bits, among, candidate_pairs, components, folded, most_difference, screen, set_keys, texts_of, untried,
+                   verify, wide_sketch)
 
 SPARE = 8
 #: Shingles in which a part of a document may differ; the sketch of a part has 128 bits.
 PART = 32
 SLICE_CHARS = 1_000_000
+#: Earlier candidates of all blocks that a set is compared to first.
+CLOSEST = 3
 POSTING = "key long, rep long, n int, parts int, s0 long, s1 long"
 
 
@@ -227,11 +230,13 @@ def labelled(docs: DataFrame, k: int, share: int) -> DataFrame:
         return materialise(verify(close, sets_of(src, placed, reps, k), share), "links")
 
     postings = materialise(shared_postings(sketched), "postings")
-    # of all blocks' candidates the closest one decides first: one pair for each set
-    tried = materialise(candidate_pairs(postings, share).groupBy("later")
-                        .agg(F.min(F.struct("far", "earlier")).alias("best"),
-                             (F.max("more") | (F.min("earlier") != F.max("earlier"))).alias("more"))
-                        .select("later", F.col("best.earlier").alias("earlier"), "more"), "pairs")
+    # of all blocks' candidates the closest few decide first
+    met = candidate_pairs(postings, share).groupBy("later", "earlier").agg(F.min("far").alias("far"), F.max("more").alias("more"))
+    tried = materialise(met.groupBy("later").agg(F.array_sort(F.collect_list(F.struct("far", "earlier"))).alias("found"),
+                                                 F.max("more").alias("more"))
+                        .select("later", F.explode(F.slice("found", 1, CLOSEST)).alias("pair"),
+                                (F.col("more") | (F.size("found") > CLOSEST)).alias("more"))
+                        .select("later", F.col("pair.earlier").alias("earlier"), "more"), "pairs")
     links = linked(tried.select("later", "earlier"))
     roots = components(links)
     open_sets = tried.filter("more").select("later")
@@ -239,9 +244,9 @@ def labelled(docs: DataFrame, k: int, share: int) -> DataFrame:
         # all their other candidates that are still in different components, among the postings under their keys
         keys = (among(sketched.filter("keys IS NOT NULL").select("rep", "keys"), "rep", open_sets)
                 .select(F.explode("keys").alias("key")))
-        grouped = (among(postings, "key", keys).join(roots, "rep", "left").withColumn("grp", F.coalesce("root", "rep")).drop("root"))
-        rest = materialise(candidate_pairs(grouped, share, every=True).select("later", "earlier").distinct()
-                           .join(tried, ["later", "earlier"], "left_anti"), "pairs")
+        grouped = (among(postings, "key", keys).join(folded(wide), "rep").join(roots, "rep", "left")
+                   .withColumn("grp", F.coalesce("root", "rep")).drop("root"))
+        rest = materialise(untried(candidate_pairs(grouped, share, every=True), tried), "pairs")
         if not rest.isEmpty():
             links = links.unionByName(linked(rest))
             roots = components(links)
