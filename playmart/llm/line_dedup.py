@@ -10,9 +10,10 @@ other, the tokens left after the shared place must suffice for the overlap, and
 whole sets.  A line goes if an earlier line, by (doc_id, line number), is equal
 to or matches it, whether or not that earlier line went itself.
 
-Per shared token a line is first held against its closest earlier candidate,
-which decides whole groups of copies without writing all pairs; lines that this
-leaves undecided though they have more candidates are then held against all.  A
+Per shared token a line is first held against its closest earlier candidate, or
+the closest few if it is not clear that it matches, which decides whole groups of
+copies without writing all pairs; lines that this leaves undecided though they
+have more candidates are then held against all.  A
 token more frequent than ``HOT`` is split into blocks that meet pairwise.
 
 Defined cases: a null text has no lines and stays null; a line without a word is
@@ -34,12 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, mix64, release_memory, slices, type_of, word_hashes
-from .near import Bits, among, candidate_pairs, parity, set_keys, texts_of, verify
+from .near import Bits, among, candidate_pairs, parity, set_keys, texts_of, untried, verify
 
 SHARE = 80
 COUNTERS = 1 << 20
 HOT = 200_000
 SLICE_CHARS = 1_000_000
+#: Earlier candidates that a line is held against first, per shared token, if it is not clear that it matches.
+CLOSEST = 4
 LINES = "known boolean, {id}, th long, line int, rep long, n int, s0 long, s1 long, prefix array<long>"
 POSTING = "key long, rep long, n int, place int, s0 long, s1 long, o1 long, o2 long"
 
@@ -136,16 +139,25 @@ def lines_of(docs: DataFrame, counters: np.ndarray, share: int) -> DataFrame:
             .mapInArrow(run, LINES.format(id=f"doc_id {type_of(docs, 'doc_id')}")))
 
 
+def placed(lines: DataFrame) -> DataFrame:
+    """Of every line that files its set what its postings need."""
+    return (lines.filter("prefix IS NOT NULL")
+            .select("rep", "n", "s0", "s1", F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long").alias("o1"),
+                    F.col("line").cast("long").alias("o2"), "prefix"))
+
+
 def postings_of(lines: DataFrame, counters: np.ndarray) -> DataFrame:
-    """One posting per prefix token.  Tokens over HOT are split into blocks; each pair of blocks is a key."""
-    hot = counters.max(initial=0) > HOT
-    exploded = (lines.filter("prefix IS NOT NULL")
-                .select("rep", "n", "s0", "s1", F.coalesce("doc_id", F.lit(-(1 << 63))).cast("long").alias("o1"),
-                        F.col("line").cast("long").alias("o2"), F.posexplode("prefix").alias("place", "key"))
+    """One posting per prefix token."""
+    exploded = (placed(lines).select("rep", "n", "s0", "s1", "o1", "o2", F.posexplode("prefix").alias("place", "key"))
                 .select("key", "rep", "n", "place", "s0", "s1", "o1", "o2"))
-    if not hot:
-        return exploded
-    shared = lines.sparkSession.sparkContext.broadcast(counters)
+    return split_hot(exploded, counters)
+
+
+def split_hot(postings: DataFrame, counters: np.ndarray) -> DataFrame:
+    """Postings whose tokens over HOT are split into blocks; each pair of blocks is a key."""
+    if counters.max(initial=0) <= HOT:
+        return postings
+    shared = postings.sparkSession.sparkContext.broadcast(counters)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,7 +174,7 @@ def postings_of(lines: DataFrame, counters: np.ndarray) -> DataFrame:
             out = batch.take(pa.array(row))
             yield out.set_column(0, "key", pa.array(new))
 
-    return exploded.mapInArrow(split, POSTING)
+    return postings.mapInArrow(split, POSTING)
 
 
 def unmix64(x: np.ndarray) -> np.ndarray:
@@ -219,10 +231,57 @@ def beside(postings: DataFrame, keys: DataFrame, wanted: DataFrame) -> DataFrame
     return postings.mapInArrow(run, POSTING + ", want int")
 
 
+def size_step(n: np.ndarray) -> np.ndarray:
+    """The logarithm of a size in steps of a twentieth; sizes that are similar lie few steps apart."""
+    return np.floor(np.log(n) / np.log(1.05)).astype(np.int64)
+
+
+def sized(key: np.ndarray, step: np.ndarray) -> np.ndarray:
+    return mix64(key.view(np.uint64) + mix64(step.astype(np.uint64) + np.uint64(1))).view(np.int64)
+
+
+def lists_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, token and size of the row's set, of every prefix token."""
+    row = np.repeat(np.arange(batch.num_rows), batch["prefix"].value_lengths().to_numpy())
+    return row, batch["prefix"].flatten().to_numpy(), batch["n"].to_numpy()[row]
+
+
+def meeting(lines: DataFrame, counters: np.ndarray, wanted: DataFrame, share: int) -> DataFrame:
+    """The postings under a token of a wanted set of about their size; no other token leaves the list of its line."""
+    reach = int(np.ceil(np.log(100 / share) / np.log(1.05)))
+
+    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, key, n = lists_of(batch)
+            step = size_step(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([sized(key, step + d) for d in range(-reach, reach + 1)]))], ["key"])
+
+    filed = placed(lines)
+    keys = among(filed.select("rep", "n", "prefix"), "rep", wanted).mapInArrow(around, "key long")
+    filled = lines.sparkSession.sparkContext.broadcast(Bits.of(keys).words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Bits(filled.value)
+        for batch in batches:
+            row, key, n = lists_of(batch)
+            at = np.flatnonzero(held.holds(sized(key, size_step(n))))
+            row = row[at]
+            begins = np.append(0, np.cumsum(batch["prefix"].value_lengths().to_numpy()))
+            row, place = pa.array(row), (at - begins[row]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key[at]), batch["rep"].take(row), batch["n"].take(row), pa.array(place),
+                 *[batch[c].take(row) for c in ("s0", "s1", "o1", "o2")]],
+                ["key", "rep", "n", "place", "s0", "s1", "o1", "o2"])
+        release_memory()
+
+    return split_hot(filed.mapInArrow(run, POSTING), counters)
+
+
 def matched_sets(docs: DataFrame, lines: DataFrame, counters: np.ndarray, share: int) -> DataFrame:
     """rep of the sets that match an earlier one."""
     postings = postings_of(lines, counters)
-    tried = materialise(candidate_pairs(postings, share).groupBy("later", "earlier").agg(F.max("more").alias("more")),
+    tried = materialise(candidate_pairs(postings, share, most=CLOSEST).groupBy("later", "earlier").agg(F.max("more").alias("more")),
                         "pairs")
     matched = materialise(verify(tried, sets_of(docs, lines, both(tried)), share).select(F.col("later").alias("rep")).distinct(),
                           "matched")
@@ -232,9 +291,9 @@ def matched_sets(docs: DataFrame, lines: DataFrame, counters: np.ndarray, share:
     if open_sets.isEmpty():
         return matched
     # undecided sets against all their candidates, among the postings that share a token with one
-    near = beside(postings, postings_of(among(lines, "rep", open_sets), counters).select("key"), open_sets)
-    rest = materialise(candidate_pairs(near, share, every=True).select("later", "earlier").distinct()
-                       .join(tried, ["later", "earlier"], "left_anti"), "pairs")
+    met = materialise(meeting(lines, counters, open_sets, share), "met")
+    near = beside(met, among(met, "rep", open_sets).select("key"), open_sets)
+    rest = materialise(untried(candidate_pairs(near, share, every=True), tried), "pairs")
     if rest.isEmpty():
         return matched
     more = verify(rest, sets_of(docs, lines, both(rest)), share).select(F.col("later").alias("rep"))
