@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -141,6 +142,15 @@ def release_memory() -> None:
         pass
 
 
+def text_slices(texts: pa.Array, most: int) -> Iterator[tuple[int, list[str]]]:
+    """Number of the first text and the texts (null: empty) of consecutive rows of about ``most`` bytes in total.
+
+    Only one portion at a time becomes Python strings.
+    """
+    for a, b in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), most):
+        yield a, [t or "" for t in texts.slice(a, b - a).to_pylist()]
+
+
 def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     """(start, end) ranges of consecutive items of about ``most`` in total, each at least one item."""
     start, total = 0, 0

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, mix64, release_memory, slices, type_of, word_hashes
+from .common import materialise, mix64, release_memory, text_slices, type_of, word_hashes
 from .near import Bits, among, candidate_pairs, parity, set_keys, texts_of, untried, verify
 
 SHARE = 80
@@ -82,12 +82,12 @@ def count_tokens(docs: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            texts = [t for t in batch["text"].to_pylist() if t]
-            for a, b in slices([len(t) for t in texts], SLICE_CHARS):
-                found = Tokens(texts[a:b]).hashes
+            for _, texts in text_slices(batch["text"], SLICE_CHARS):
+                found = Tokens(texts).hashes
                 total += np.bincount((found % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["counter", "n"])
+        release_memory()
 
     found = (docs.select("text").mapInArrow(run, "counter int, n long")
              .groupBy("counter").agg(F.sum("n").alias("n")).toArrow())  # at most COUNTERS rows
@@ -106,9 +106,9 @@ def lines_of(docs: DataFrame, counters: np.ndarray, share: int) -> DataFrame:
             rank = pc.rank(batch["doc_id"], null_placement="at_start", tiebreaker="dense").to_numpy()
             order = np.argsort(rank, kind="stable")
             batch, rank = batch.take(pa.array(order)), rank[order]
-            texts, seen = [t or "" for t in batch["text"].to_pylist()], np.zeros(0, np.int64)
-            for a, b in slices([len(t) for t in texts], SLICE_CHARS):
-                t = Tokens(texts[a:b])
+            seen = np.zeros(0, np.int64)
+            for a, texts in text_slices(batch["text"], SLICE_CHARS):
+                t, b = Tokens(texts), a + len(texts)
                 h, _, starts = t.sets(shared.value)
                 rep = set_keys(h, starts)
                 n = np.diff(np.append(starts, len(h)))
@@ -200,9 +200,9 @@ def sets_of(docs: DataFrame, lines: DataFrame, reps: DataFrame) -> DataFrame:
         held, holding = map(Bits, filled.value)
         for batch in batches:
             batch = batch.filter(pa.array(holding.holds(batch["th"].to_numpy()), pa.bool_()))
-            texts, found = [t for t in batch["text"].to_pylist() if t], {}
-            for a, b in slices([len(t) for t in texts], SLICE_CHARS):
-                h, _, starts = Tokens(texts[a:b]).sets(None)
+            found = {}
+            for _, texts in text_slices(batch["text"], SLICE_CHARS):
+                h, _, starts = Tokens(texts).sets(None)
                 rep, ends = set_keys(h, starts), np.append(starts, len(h))
                 for i in np.flatnonzero(held.holds(rep)).tolist():
                     found[int(rep[i])] = h[ends[i]:ends[i + 1]].tobytes()

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, mix64
+from .common import materialise, mix64, release_memory
 
 SIGNATURE = ("s0", "s1", "s2", "s3")
 #: Words of the longer sketch; a wide sketch has as many bits at least.
@@ -221,6 +221,7 @@ def candidate_pairs(postings: DataFrame, share: int, every: bool = False, most:
                 yield from out({k: v[:cut] for k, v in cols.items()})
         if held is not None:
             yield from out(held)
+        release_memory()
 
     return (postings.repartition("key").sortWithinPartitions(*[k for k in ("key", "rep", "o1", "o2") if k in names])
             .mapInArrow(run, "later long, earlier long, more boolean, far int"))
@@ -276,6 +277,7 @@ def among(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
         held = Bits(filled.value)
         for batch in batches:
             yield batch.filter(pa.array(held.holds(batch[column].to_numpy(zero_copy_only=False)), pa.bool_()))
+        release_memory()
 
     return rows.mapInArrow(run, rows.schema)
 
@@ -296,6 +298,7 @@ def verify(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= share * (len(x) + len(y) - both))
             yield batch.select(["later", "earlier"]).filter(pa.array(keep, pa.bool_()))
+        release_memory()
 
     return (pairs.select("later", "earlier")
             .join(sets.select(F.col("rep").alias("later"), F.col("elements").alias("a")), "later")
@@ -315,6 +318,7 @@ def screen(pairs: DataFrame, wide: DataFrame, share: int) -> DataFrame:
             c = [batch[k].to_pylist() for k in ("an", "aw", "bn", "bw")]
             keep = [sketch_distance(x, y) <= most_difference(a, b, share) for a, x, b, y in zip(*c, strict=True)]
             yield batch.select(["later", "earlier"]).filter(pa.array(keep, pa.bool_()))
+        release_memory()
 
     def side(name: str, short: str) -> DataFrame:
         return wide.select(F.col("rep").alias(name), F.col("n").alias(f"{short}n"), F.col("wide").alias(f"{short}w"))

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, mix64, slices, type_of, word_hashes
+from .common import materialise, mix64, release_memory, slices, text_slices, type_of, word_hashes
 from .near import (Bits, among, candidate_pairs, components, folded, most_difference, screen, set_keys, texts_of, untried,
                    verify, wide_sketch)
 
@@ -49,6 +49,8 @@ SPARE = 8
 #: Shingles in which a part of a document may differ; the sketch of a part has 128 bits.
 PART = 32
 SLICE_CHARS = 1_000_000
+#: Keys of about so many are looked up at a time.
+SLICE_KEYS = 200_000
 #: Earlier candidates of all blocks that a set is compared to first.
 CLOSEST = 3
 POSTING = "key long, rep long, n int, parts int, s0 long, s1 long"
@@ -80,10 +82,10 @@ def shingle_sets(texts: list[str | None], k: int) -> tuple[np.ndarray, np.ndarra
     return (np.concatenate(out) if out else np.zeros(0, np.uint64)), ends
 
 
-def shingled(texts: list[str | None], k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def shingled(texts: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Number of the first text, shingles and their beginnings, for bounded portions of texts."""
-    for a, b in slices([len(t or "") for t in texts], SLICE_CHARS):
-        yield a, *shingle_sets(texts[a:b], k)
+    for a, some in text_slices(texts, SLICE_CHARS):
+        yield a, *shingle_sets(some, k)
 
 
 @lru_cache(maxsize=4)
@@ -143,8 +145,8 @@ def sketches(docs: DataFrame, k: int, share: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen, texts = set(), batch["text"].to_pylist()
-            for start, found, ends in shingled(texts, k):
+            seen = set()
+            for start, found, ends in shingled(batch["text"], k):
                 n = np.diff(ends)
                 some = np.flatnonzero(n)
                 rep = np.zeros(len(n), np.int64)
@@ -165,6 +167,7 @@ def sketches(docs: DataFrame, k: int, share: int) -> DataFrame:
                     [part["doc_id"], part["th"], pa.array(n.astype(np.int64)), pa.array(rep, mask=n == 0),
                      pa.array(wide, pa.binary()), *[pa.array(x, pa.list_(pa.int64())) for x in (keys, sizes, parts, sigs)]],
                     ["doc_id", "th", "n_shingles", "rep", "wide", "keys", "sizes", "parts", "sigs"])
+        release_memory()
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInArrow(
         run, f"doc_id {type_of(docs, 'doc_id')}, th long, n_shingles long, rep long, wide binary, keys array<long>, "
@@ -179,19 +182,22 @@ def shared_postings(sketched: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Bits(filled.value)
-        for batch in batches:
-            lists = batch["keys"]
-            row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
-            key, sizes = lists.flatten().to_numpy(), batch["sizes"].flatten().to_numpy()
-            of = np.repeat(np.arange(len(sizes)), sizes)
-            keep = held.holds(key)
-            key, row, of = key[keep], pa.array(row[keep]), of[keep]
-            sigs = batch["sigs"].flatten().to_numpy().reshape(-1, 2)[of]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key), batch["rep"].take(row), batch["n_shingles"].take(row).cast(pa.int32()),
-                 pa.array(batch["parts"].flatten().to_numpy()[of].astype(np.int32)),
-                 *[pa.array(np.ascontiguousarray(sigs[:, i])) for i in range(2)]],
-                ["key", "rep", "n", "parts", "s0", "s1"])
+        for whole in batches:
+            for a, b in slices(whole["keys"].value_lengths().to_pylist(), SLICE_KEYS):
+                batch = whole.slice(a, b - a)
+                lists = batch["keys"]
+                row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+                key, sizes = lists.flatten().to_numpy(), batch["sizes"].flatten().to_numpy()
+                of = np.repeat(np.arange(len(sizes)), sizes)
+                keep = held.holds(key)
+                key, row, of = key[keep], pa.array(row[keep]), of[keep]
+                sigs = batch["sigs"].flatten().to_numpy().reshape(-1, 2)[of]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), batch["rep"].take(row), batch["n_shingles"].take(row).cast(pa.int32()),
+                     pa.array(batch["parts"].flatten().to_numpy()[of].astype(np.int32)),
+                     *[pa.array(np.ascontiguousarray(sigs[:, i])) for i in range(2)]],
+                    ["key", "rep", "n", "parts", "s0", "s1"])
+        release_memory()
 
     return sketched.filter("keys IS NOT NULL").select("rep", "n_shingles", "keys", "sizes", "parts", "sigs").mapInArrow(run, POSTING)
 
@@ -204,12 +210,13 @@ def sets_of(docs: DataFrame, placed: DataFrame, reps: DataFrame, k: int) -> Data
         held, texts = map(Bits, filled.value)
         for batch in batches:
             batch = batch.filter(pa.array(texts.holds(batch["th"].to_numpy()), pa.bool_()))
-            for _, found, ends in shingled(batch["text"].to_pylist(), k):
+            for _, found, ends in shingled(batch["text"], k):
                 starts = ends[:-1][np.diff(ends) > 0]
                 rep, stop = set_keys(found, starts), np.append(starts, len(found))
                 sets = {int(rep[i]): found[stop[i]:stop[i + 1]].tobytes() for i in np.flatnonzero(held.holds(rep)).tolist()}
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(sets), pa.int64()), pa.array(list(sets.values()), pa.binary())], ["rep", "elements"])
+        release_memory()
 
     wide = docs.select("text", F.xxhash64("text").alias("th")).mapInArrow(run, "rep long, elements binary")
     return materialise(wide.groupBy("rep").agg(F.first("elements").alias("elements")), "sets")
