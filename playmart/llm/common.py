@@ -142,13 +142,14 @@ def release_memory() -> None:
         pass
 
 
-def text_slices(texts: pa.Array, most: int) -> Iterator[tuple[int, list[str]]]:
+def text_slices(texts: pa.Array, most: int) -> Iterator[tuple[int, list]]:
     """Number of the first text and the texts (null: empty) of consecutive rows of about ``most`` bytes in total.
 
-    Only one portion at a time becomes Python strings.
+    Only one portion at a time becomes Python strings, or bytes if the array is binary.
     """
+    empty = b"" if pa.types.is_binary(texts.type) else ""
     for a, b in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), most):
-        yield a, [t or "" for t in texts.slice(a, b - a).to_pylist()]
+        yield a, [t or empty for t in texts.slice(a, b - a).to_pylist()]
 
 
 def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:

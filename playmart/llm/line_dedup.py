@@ -34,8 +34,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, mix64, release_memory, text_slices, type_of, word_hashes
-from .near import Bits, among, candidate_pairs, parity, set_keys, texts_of, untried, verify
+from .common import materialise, mix64, release_memory, slices, text_slices, type_of, word_hashes
+from .near import (PACKED, Bits, among, buckets_for, candidate_pairs, kinds_of, packed, packed_schema, pairs_of, parity, set_keys,
+                   texts_of, untried, verify)
 
 SHARE = 80
 COUNTERS = 1 << 20
@@ -45,26 +46,43 @@ SLICE_CHARS = 1_000_000
 CLOSEST = 4
 LINES = "known boolean, {id}, th long, line int, rep long, n int, s0 long, s1 long, prefix array<long>"
 POSTING = "key long, rep long, n int, place int, s0 long, s1 long, o1 long, o2 long"
+KINDS = kinds_of(POSTING)
+#: Counters that one row of counts holds.
+COUNTED = 1 << 16
 
 
 class Tokens:
     """The words of a slice of texts: hashes, and of each line with a word its text, place and number of words."""
 
-    def __init__(self, texts: list[str]):
-        data = [t.encode() for t in texts]
+    def __init__(self, data: list[bytes]):
         joined = b"\n".join(data)
         self.hashes, at = word_hashes(joined)
-        line = np.searchsorted(np.flatnonzero(np.frombuffer(joined, np.uint8) == 10), at)
+        # words before the end of each line
+        ends = np.append(np.searchsorted(at, np.flatnonzero(np.frombuffer(joined, np.uint8) == 10)), len(at))
+        count = np.diff(ends, prepend=0)
         begins = np.cumsum([0, *(d.count(b"\n") + 1 for d in data)])
-        found, self.count = np.unique(line, return_counts=True)
+        found = np.flatnonzero(count)
+        self.count = count[found]
         self.row = np.searchsorted(begins, found, "right") - 1
         self.line = found - begins[self.row]
         self.of = np.repeat(np.arange(len(self.count)), self.count)
 
-    def sets(self, counters: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct hashes of each line, rare ones first; their line; where the lines begin."""
+    def sets(self, ranks: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct hashes of each line, by rank of their counter (see ``ranks_of``) and hash; their line; where the lines begin."""
         h = self.hashes
-        order = np.lexsort((h, counters[h % np.uint64(COUNTERS)], self.of) if counters is not None else (h, self.of))
+        place = ranks[h % np.uint64(COUNTERS)].astype(np.uint64) if ranks is not None else None
+        # line, rank and the upper bits of the hash in one number, which sorts much faster than the three do
+        left = 64 - int(len(self.count)).bit_length()
+        upper = h >> np.uint64(64 - left) if place is None else place << np.uint64(left - 20)
+        if place is not None and left > 20:
+            upper |= h >> np.uint64(84 - left)
+        if left >= 40:
+            key = self.of.astype(np.uint64) << np.uint64(left) | upper
+            order = np.argsort(key)
+            key, sorted_h = key[order], h[order]
+            alike = key[1:] == key[:-1]
+        if left < 40 or (sorted_h[1:][alike] != sorted_h[:-1][alike]).any():
+            order = np.lexsort((h, self.of) if place is None else (h, place, self.of))
         h, of = h[order], self.of[order]
         first = np.ones(len(h), bool)
         first[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
@@ -79,26 +97,52 @@ def prefix_length(n: np.ndarray, share: int) -> np.ndarray:
 def count_tokens(docs: DataFrame) -> np.ndarray:
     """Occurrences of the words of all documents, in COUNTERS counters by hash."""
 
+    def rows(total: np.ndarray, parts: list[int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array([x.tobytes() for x in total], pa.binary())],
+                                          ["part", "counts"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.int64)
+        total, held = np.zeros(COUNTERS, np.int64), []
+        for batch in batches:
+            for _, texts in text_slices(batch["text"].cast(pa.binary()), SLICE_CHARS):
+                found, _ = word_hashes(b"\n".join(texts))
+                held.append((found % np.uint64(COUNTERS)).astype(np.int32))
+                if sum(map(len, held)) > COUNTERS:
+                    total += np.bincount(np.concatenate(held), minlength=COUNTERS)
+                    held = []
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=COUNTERS)
+        total = total.reshape(-1, COUNTED)
+        some = np.flatnonzero(total.any(1)).tolist()
+        yield rows(total[some], some)
+        release_memory()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for _, texts in text_slices(batch["text"], SLICE_CHARS):
-                found = Tokens(texts).hashes
-                total += np.bincount((found % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["counter", "n"])
+            for part, counts in zip(batch["part"].to_pylist(), batch["counts"].to_pylist(), strict=True):
+                total[part] = total.get(part, 0) + np.frombuffer(counts, np.int64)
+        yield rows(list(total.values()), list(total))
         release_memory()
 
-    found = (docs.select("text").mapInArrow(run, "counter int, n long")
-             .groupBy("counter").agg(F.sum("n").alias("n")).toArrow())  # at most COUNTERS rows
-    out = np.zeros(COUNTERS, np.int64)
-    out[found["counter"].to_numpy()] = found["n"].to_numpy()
+    schema = "part int, counts binary"
+    found = docs.select("text").mapInArrow(run, schema).repartition("part").mapInArrow(add, schema).toArrow()
+    out = np.zeros((COUNTERS // COUNTED, COUNTED), np.int64)     # one row for each part
+    for part, counts in zip(found["part"].to_pylist(), found["counts"].to_pylist(), strict=True):
+        out[part] = np.frombuffer(counts, np.int64)
+    return out.ravel()
+
+
+def ranks_of(counters: np.ndarray) -> np.ndarray:
+    """The place of each counter in their order from rare to frequent."""
+    out = np.empty(len(counters), np.int32)
+    out[np.argsort(counters, kind="stable")] = np.arange(len(counters), dtype=np.int32)
     return out
 
 
 def lines_of(docs: DataFrame, counters: np.ndarray, share: int) -> DataFrame:
     """Every line with a word: place, set, size, sketch and prefix tokens (null where the batch had the set before)."""
-    shared = docs.sparkSession.sparkContext.broadcast(counters)
+    shared = docs.sparkSession.sparkContext.broadcast(ranks_of(counters))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,7 +151,7 @@ def lines_of(docs: DataFrame, counters: np.ndarray, share: int) -> DataFrame:
             order = np.argsort(rank, kind="stable")
             batch, rank = batch.take(pa.array(order)), rank[order]
             seen = np.zeros(0, np.int64)
-            for a, texts in text_slices(batch["text"], SLICE_CHARS):
+            for a, texts in text_slices(batch["text"].cast(pa.binary()), SLICE_CHARS):
                 t, b = Tokens(texts), a + len(texts)
                 h, _, starts = t.sets(shared.value)
                 rep = set_keys(h, starts)
@@ -146,33 +190,50 @@ def placed(lines: DataFrame) -> DataFrame:
                     F.col("line").cast("long").alias("o2"), "prefix"))
 
 
-def postings_of(lines: DataFrame, counters: np.ndarray) -> DataFrame:
-    """One posting per prefix token."""
-    exploded = (placed(lines).select("rep", "n", "s0", "s1", "o1", "o2", F.posexplode("prefix").alias("place", "key"))
-                .select("key", "rep", "n", "place", "s0", "s1", "o1", "o2"))
-    return split_hot(exploded, counters)
+def packed_postings(lines: DataFrame, counters: np.ndarray, buckets: int) -> DataFrame:
+    """One posting per prefix token, packed into buckets of tokens."""
+    hot = counters.max(initial=0) > HOT
+    shared = lines.sparkSession.sparkContext.broadcast(counters if hot else None)
 
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+        for whole in batches:
+            for a, b in slices(whole["prefix"].value_lengths().to_pylist(), PACKED):
+                batch = whole.slice(a, b - a)
+                row, key, n = lists_of(batch)
+                begins = np.append(0, np.cumsum(batch["prefix"].value_lengths().to_numpy()))
+                cols = {"key": key, "n": n, "place": np.arange(len(row)) - begins[row]}
+                cols |= {c: batch[c].to_numpy()[row] for c in ("rep", "s0", "s1", "o1", "o2")}
+                yield split_keys(cols, shared.value) if hot else cols
 
-def split_hot(postings: DataFrame, counters: np.ndarray) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from packed(parts(batches), KINDS, buckets)
+        release_memory()
+
+    return placed(lines).mapInArrow(run, packed_schema(KINDS))
+
+
+def split_keys(cols: dict[str, np.ndarray], counters: np.ndarray) -> dict[str, np.ndarray]:
     """Postings whose tokens over HOT are split into blocks; each pair of blocks is a key."""
+    key, rep = cols["key"].view(np.uint64), cols["rep"].view(np.uint64)
+    blocks = np.maximum(-(-counters[unmix64(key) % np.uint64(COUNTERS)] // HOT), 1)
+    row = np.repeat(np.arange(len(key)), blocks)
+    other = (np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)).astype(np.uint64)
+    own = rep[row] % blocks[row].astype(np.uint64)
+    pair = np.minimum(own, other) * np.uint64(1 << 20) + np.maximum(own, other)
+    new = np.where(blocks[row] > 1, mix64(key[row] ^ mix64(pair + np.uint64(1))), key[row]).view(np.int64)
+    return {c: v[row] for c, v in cols.items()} | {"key": new}
+
+
+def split_hot(postings: DataFrame, counters: np.ndarray) -> DataFrame:
+    """The rows of postings, split as by ``split_keys``."""
     if counters.max(initial=0) <= HOT:
         return postings
     shared = postings.sparkSession.sparkContext.broadcast(counters)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key = batch["key"].to_numpy()
-            blocks = -(-shared.value[unmix64(key.view(np.uint64)) % np.uint64(COUNTERS)] // HOT)
-            rep = batch["rep"].to_numpy().view(np.uint64)
-            row = np.repeat(np.arange(len(key)), np.maximum(blocks, 1))
-            other = (np.arange(len(row)) - np.repeat(np.cumsum(np.maximum(blocks, 1)) - np.maximum(blocks, 1),
-                                                     np.maximum(blocks, 1))).astype(np.uint64)
-            own = rep[row] % np.maximum(blocks, 1)[row].astype(np.uint64)
-            pair = np.minimum(own, other) * np.uint64(1 << 20) + np.maximum(own, other)
-            new = np.where(blocks[row] > 1, mix64(key.view(np.uint64)[row] ^ mix64(pair + np.uint64(1))),
-                           key.view(np.uint64)[row]).view(np.int64)
-            out = batch.take(pa.array(row))
-            yield out.set_column(0, "key", pa.array(new))
+            cols = split_keys({c: batch[c].to_numpy() for c in KINDS}, shared.value)
+            yield pa.RecordBatch.from_arrays([pa.array(cols[c]) for c in KINDS], list(KINDS))
 
     return postings.mapInArrow(split, POSTING)
 
@@ -201,7 +262,7 @@ def sets_of(docs: DataFrame, lines: DataFrame, reps: DataFrame) -> DataFrame:
         for batch in batches:
             batch = batch.filter(pa.array(holding.holds(batch["th"].to_numpy()), pa.bool_()))
             found = {}
-            for _, texts in text_slices(batch["text"], SLICE_CHARS):
+            for _, texts in text_slices(batch["text"].cast(pa.binary()), SLICE_CHARS):
                 h, _, starts = Tokens(texts).sets(None)
                 rep, ends = set_keys(h, starts), np.append(starts, len(h))
                 for i in np.flatnonzero(held.holds(rep)).tolist():
@@ -280,8 +341,10 @@ def meeting(lines: DataFrame, counters: np.ndarray, wanted: DataFrame, share: in
 
 def matched_sets(docs: DataFrame, lines: DataFrame, counters: np.ndarray, share: int) -> DataFrame:
     """rep of the sets that match an earlier one."""
-    postings = postings_of(lines, counters)
-    tried = materialise(candidate_pairs(postings, share, most=CLOSEST).groupBy("later", "earlier").agg(F.max("more").alias("more")),
+    # a prefix holds about this share of a line's words
+    buckets = buckets_for(int(counters.sum()) * (100 - share) // 100)
+    postings = packed_postings(lines, counters, buckets)
+    tried = materialise(pairs_of(postings, KINDS, share, most=CLOSEST).groupBy("later", "earlier").agg(F.max("more").alias("more")),
                         "pairs")
     matched = materialise(verify(tried, sets_of(docs, lines, both(tried)), share).select(F.col("later").alias("rep")).distinct(),
                           "matched")
@@ -293,29 +356,33 @@ def matched_sets(docs: DataFrame, lines: DataFrame, counters: np.ndarray, share:
     # undecided sets against all their candidates, among the postings that share a token with one
     met = materialise(meeting(lines, counters, open_sets, share), "met")
     near = beside(met, among(met, "rep", open_sets).select("key"), open_sets)
-    rest = materialise(untried(candidate_pairs(near, share, every=True), tried), "pairs")
+    rest = materialise(untried(candidate_pairs(near, share, every=True, buckets=buckets), tried), "pairs")
     if rest.isEmpty():
         return matched
     more = verify(rest, sets_of(docs, lines, both(rest)), share).select(F.col("later").alias("rep"))
     return matched.union(more).distinct()
 
 
-def decisions(docs: DataFrame, share: int = SHARE) -> DataFrame:
-    """doc_id, th (hash of the text), line and whether it goes, for every line with a word."""
+def gone_lines(docs: DataFrame, share: int = SHARE) -> DataFrame:
+    """doc_id, th (hash of the text) and line of every line that goes."""
     src = docs.select("doc_id", "text")
     counters = count_tokens(src)
     lines = materialise(lines_of(src, counters, share), "lines")
+    matched = materialise(matched_sets(src, lines, counters, share), "matched")
+    # a line whose set comes once and matches nothing stays: only the others are sorted and joined
+    twice = lines.groupBy("rep").agg(F.count("*").alias("n")).filter("n > 1").select("rep")
+    some = among(lines.select("known", "doc_id", "th", "line", "rep"), "rep", matched.select("rep").union(twice))
     place = F.struct("known", "doc_id", "line")
-    first = lines.groupBy("rep").agg(F.min(place).alias("first"))
-    matched = matched_sets(src, lines, counters, share).withColumn("matched", F.lit(True))
-    fate = first.join(matched, "rep", "left")
-    return (lines.select("known", "doc_id", "th", "line", "rep").join(fate, "rep")
-            .select("doc_id", "th", "line", (F.col("matched").isNotNull() | (F.col("first") != place)).alias("goes")))
+    some = materialise(some, "repeated")
+    first = some.groupBy("rep").agg(F.min(place).alias("first"))
+    fate = first.join(matched.withColumn("matched", F.lit(True)), "rep", "left")
+    return (some.join(fate, "rep").filter(F.col("matched").isNotNull() | (F.col("first") != place))
+            .select("doc_id", "th", "line"))
 
 
 def report(docs: DataFrame, share: int = SHARE) -> DataFrame:
     """doc_id, n_lines, n_removed, removed_lines (numbers from 0) of every row."""
-    gone = (decisions(docs, share).filter("goes").distinct().groupBy("doc_id", "th")
+    gone = (gone_lines(docs, share).distinct().groupBy("doc_id", "th")
             .agg(F.sort_array(F.collect_list("line")).alias("removed")))
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"),
                        F.when(F.col("text").isNull(), 0).otherwise(
@@ -330,7 +397,7 @@ def report(docs: DataFrame, share: int = SHARE) -> DataFrame:
 
 def remove(docs: DataFrame, share: int = SHARE) -> DataFrame:
     """The documents without their removed lines; one whose every line with a word went is dropped."""
-    gone = (decisions(docs, share).filter("goes").distinct().groupBy("doc_id", "th")
+    gone = (gone_lines(docs, share).distinct().groupBy("doc_id", "th")
             .agg(F.collect_list("line").alias("removed")))
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     g = gone.select(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th"), "removed")

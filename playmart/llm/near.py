@@ -4,8 +4,8 @@ A posting is one row (key, rep, n, s0.., parts, o1, o2): a set ``rep`` of n elem
 filed under ``key``; s0.. are the words of a parity sketch of it, or of one of so many ``parts``
 of it; o1, o2, if there, its place in the corpus order.  Two sets whose sketches differ in more bits than
 their symmetric difference may hold can't be similar, so that pair is dropped
-at once.  Postings are sorted by Spark (which spills) and read as a stream.  Postings of a
-second round may carry ``grp``, the component (its own sets don't meet), ``want`` (only wanted sets look for earlier ones)
+at once.  Tasks pack their postings into buckets of keys, a row for each bucket and portion; Spark deals the buckets out
+and each is sorted in its task, so the JVM moves few rows.  Postings of a second round may carry ``grp``, the component (its own sets don't meet), ``want`` (only wanted sets look for earlier ones)
 and w0.., a longer sketch of the whole set.
 """
 
@@ -15,17 +15,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, mix64, release_memory
+from .common import materialise, mix64, release_memory, slices
 
 SIGNATURE = ("s0", "s1", "s2", "s3")
 #: Words of the longer sketch; a wide sketch has as many bits at least.
 FOLDED = tuple(f"w{i}" for i in range(8))
-#: Runs up to this length are compared together, longer ones one by one.
-SHORT = 48
-BLOCK = 512
+#: Pairs that are compared at once.
+PAIRS = 1 << 16
+#: Rows that a bucket of keys holds on average, and that a task packs at a time.
+BUCKET = 1 << 16
+PACKED = 1 << 18
 
 
 def parity(hashes: np.ndarray, starts: np.ndarray, words: int = 4) -> np.ndarray:
@@ -85,14 +88,87 @@ def most_difference(a, b, share: int):
     return (100 - share) * (a + b) // (100 + share)
 
 
+def kinds_of(schema: str) -> dict[str, type]:
+    """The columns of postings and their types in numpy, from a schema string."""
+    return {c: np.int32 if kind == "int" else np.int64 for c, kind in map(str.split, schema.split(","))}
+
+
+def packed_schema(kinds: dict[str, type]) -> str:
+    return ", ".join(["bucket int", *[f"{c} binary" for c in kinds]])
+
+
+def buckets_for(rows: int) -> int:
+    return max(1, rows // BUCKET)
+
+
+def packed(parts: Iterator[dict[str, np.ndarray]], kinds: dict[str, type], buckets: int) -> Iterator[pa.RecordBatch]:
+    """One row for each bucket of keys that a portion of postings has: the bucket, and of each column the values' bytes."""
+
+    def pack(cols: dict[str, np.ndarray]) -> pa.RecordBatch:
+        bucket = ((cols["key"].view(np.uint64) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        some, first = np.unique(bucket[order], return_index=True)
+        ends = np.append(first, len(order))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(some), *[pa.Array.from_buffers(pa.binary(), len(some), [
+                None, pa.py_buffer((ends * cols[c].itemsize).astype(np.int32)), pa.py_buffer(cols[c][order])]) for c in kinds]],
+            ["bucket", *kinds])
+
+    held, size = [], 0
+    for part in parts:
+        for a in range(0, len(part["key"]), PACKED):
+            held.append({c: part[c][a:a + PACKED].astype(kind, copy=False) for c, kind in kinds.items()})
+            size += len(held[-1]["key"])
+            if size >= PACKED:
+                yield pack({c: np.concatenate([h[c] for h in held]) for c in kinds})
+                held, size = [], 0
+    if size:
+        yield pack({c: np.concatenate([h[c] for h in held]) for c in kinds})
+
+
+def unpacked(batch: pa.RecordBatch, kinds: dict[str, type]) -> dict[str, np.ndarray]:
+    return {c: np.frombuffer(b"".join(batch[c].to_pylist()), kind) for c, kind in kinds.items()}
+
+
+def whole_buckets(batches: Iterator[pa.RecordBatch], kinds: dict[str, type]) -> Iterator[dict[str, np.ndarray]]:
+    """The postings of one bucket after another, of those under keys that occur more than once; rows are sorted by bucket."""
+
+    def shared(held: list[pa.RecordBatch]) -> dict[str, np.ndarray]:
+        cols = {c: np.frombuffer(b"".join(x for h in held for x in h[c].to_pylist()), kind) for c, kind in kinds.items()}
+        order = np.argsort(cols["key"])
+        key = cols["key"][order]
+        same = key[1:] == key[:-1]
+        order = order[np.append(same, False) | np.append(False, same)]
+        return {c: v[order] for c, v in cols.items()}
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        bucket = batch["bucket"].to_numpy()
+        edge = np.flatnonzero(np.diff(bucket)) + 1
+        for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(bucket)], strict=True):
+            if held and held[-1]["bucket"][0].as_py() != bucket[a]:
+                yield shared(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield shared(held)
+
+
+def dealt(packed_rows: DataFrame) -> DataFrame:
+    return packed_rows.repartition("bucket").sortWithinPartitions("bucket")
+
+
 class Run:
     """Sorted postings of whole keys, without repeated sets."""
 
     def __init__(self, cols: dict[str, np.ndarray]):
-        first = np.ones(len(cols["key"]), bool)
-        first[1:] = (cols["key"][1:] != cols["key"][:-1]) | (cols["rep"][1:] != cols["rep"][:-1])
-        cols = {k: v[first] for k, v in cols.items()}
         order = np.lexsort([cols[k] for k in ("rep", "o2", "o1", "key") if k in cols])
+        key, rep = cols["key"][order], cols["rep"][order]
+        by = np.lexsort((rep, key))     # stable: of a set that a key has several times the first comes first
+        again = by[1:][(key[by[1:]] == key[by[:-1]]) & (rep[by[1:]] == rep[by[:-1]])]
+        order = np.delete(order, again)
         self.c = {k: v[order] for k, v in cols.items()}
         key = self.c["key"]
         new = np.ones(len(key), bool)
@@ -102,52 +178,61 @@ class Run:
         self.sig = [self.c[s].view(np.uint64) for s in SIGNATURE if s in self.c]
         self.fold = [self.c[s].view(np.uint64) for s in FOLDED if s in self.c]
 
-    def near(self, i: np.ndarray, j: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
-        """Whether sets i and j may be similar, and the distance of their sketches (times the number of parts)."""
-        far = np.zeros(np.broadcast(i, j).shape, np.int64)
+    def near(self, i: np.ndarray, j: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of pairs of sets of similar sizes those that may be similar, and the distance of their sketches (times parts)."""
+        n = self.c["n"].astype(np.int64)
+        if "place" in self.c:  # tokens left from the shared one on, against the overlap that is needed
+            left = n - self.c["place"]
+            ok = (100 + share) * np.minimum(left[i], left[j]) >= share * (n[i] + n[j])
+            i, j = i[ok], j[ok]
+        if "grp" in self.c:
+            ok = self.c["grp"][i] != self.c["grp"][j]
+            i, j = i[ok], j[ok]
+        far = np.zeros(len(i), np.int64)
         for s in self.sig:
             far += np.bitwise_count(s[i] ^ s[j])
-        n = self.c["n"].astype(np.int64)
-        a, b = n[i], n[j]
-        most = most_difference(a, b, share)
+        most = most_difference(n[i], n[j], share)
         if "parts" in self.c:  # the part that differs least has this share of the difference at most
             parts = self.c["parts"].astype(np.int64)[i]
-            most, far = most // parts, far * parts
-            ok = far <= most * parts
+            ok = far <= most // parts
+            far = far * parts
         else:
             ok = far <= most
-        ok &= 100 * np.minimum(a, b) >= share * np.maximum(a, b)
-        if "place" in self.c:  # tokens left from the shared one on, against the overlap that is needed
-            p = self.c["place"]
-            ok &= (100 + share) * np.minimum(a - p[i], b - p[j]) >= share * (a + b)
-        if "grp" in self.c:
-            ok &= self.c["grp"][i] != self.c["grp"][j]
+        i, j, far, most = i[ok], j[ok], far[ok], most[ok]
         if self.fold:
-            at = np.flatnonzero(ok)
-            apart = sum(np.bitwise_count(w[i[at]] ^ w[j[at]]).astype(np.int64) for w in self.fold)
-            ok[at] = apart <= most_difference(a[at], b[at], share)
-        return ok, far
-
-    def blocks(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Index arrays (i, j) of all pairs of a key, j before i, in bounded portions; with ``want``, i is wanted."""
-        short = self.length <= SHORT
-        rank = np.arange(len(self.c["key"])) - np.repeat(self.start, self.length)
-        wanted = self.c["want"] > 0 if "want" in self.c else np.ones(len(rank), bool)
-        at = np.flatnonzero(np.repeat(short, self.length) & (rank > 0) & wanted)
-        back = 1
-        while len(at):
-            yield at, at - back
-            back += 1
-            at = at[rank[at] >= back]
-        for s, n in zip(self.start[~short].tolist(), self.length[~short].tolist(), strict=True):
-            for a in range(0, n, BLOCK):
-                i = np.arange(s + a, s + min(n, a + BLOCK))
-                i = i[wanted[i]]
-                for b in range(0, min(n, a + BLOCK) if len(i) else 0, BLOCK):
-                    j = np.arange(s + b, s + min(n, a + BLOCK, b + BLOCK))
-                    ii, jj = np.meshgrid(i, j, indexing="ij")
-                    earlier = jj < ii
-                    yield ii[earlier], jj[earlier]
+            ok = sum(np.bitwise_count(w[i] ^ w[j]).astype(np.int64) for w in self.fold) <= most
+            i, j, far = i[ok], j[ok], far[ok]
+        return i, j, far
+
+    def blocks(self, share: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Index arrays (i, j) of all pairs of a key, j before i, in bounded portions; with ``want``, i is wanted.
+
+        Only pairs of similar sizes: in the order of sizes, the others of a key are a range for each set.
+        """
+        n = self.c["n"].astype(np.int64)
+        of = np.repeat(np.arange(len(self.start)), self.length)
+        by, wide = np.lexsort((n, of)), int(n.max(initial=0)) + 1
+        size = n[by]
+        at = of * wide + size
+        low = np.searchsorted(at, of * wide + -(-share * size // 100))
+        if "want" in self.c:
+            its = np.flatnonzero(self.c["want"][by] > 0)
+            most = np.minimum(100 * size[its] // share, wide - 1) if share else wide - 1
+            low, high = low[its], np.searchsorted(at, of[its] * wide + most, "right")
+        else:
+            its = high = np.arange(len(by))
+        count = high - low
+        ends = np.cumsum(count)
+        for a in range(0, int(ends[-1]) if len(ends) else 0, PAIRS):
+            b = min(a + PAIRS, int(ends[-1]))
+            some = np.arange(np.searchsorted(ends, a, "right"), np.searchsorted(ends, b, "left") + 1)
+            begin = ends[some] - count[some]
+            k = np.repeat(some, np.minimum(ends[some], b) - np.maximum(begin, a))
+            i, j = by[its[k]], by[np.arange(a, b) - (ends[k] - count[k]) + low[k]]
+            if "want" in self.c:
+                yield i[j < i], j[j < i]
+            else:
+                yield np.maximum(i, j), np.minimum(i, j)
 
     def closest(self, share: int, most: int = 1) -> pa.RecordBatch:
         """For each set with an earlier candidate under the same key: the closest one, and whether there are more.
@@ -156,9 +241,8 @@ class Run:
         """
         size = len(self.c["key"])
         best, other, count = np.full((size, most), 1 << 30), np.zeros((size, most), np.int64), np.zeros(size, np.int64)
-        for i, j in self.blocks():
-            ok, far = self.near(i, j, share)
-            i, j, far = i[ok], j[ok], far[ok]
+        for i, j in self.blocks(share):
+            i, j, far = self.near(i, j, share)
             if not len(i):
                 continue
             order = np.lexsort((j, far, i))
@@ -183,48 +267,76 @@ class Run:
 
     def every(self, share: int) -> Iterator[pa.RecordBatch]:
         """All candidate pairs; with a column ``want``, those whose later set is wanted."""
-        for i, j in self.blocks():
-            ok, far = self.near(i, j, share)
-            if ok.any():
-                yield self._batch(i[ok], j[ok], np.zeros(int(ok.sum()), bool), far[ok])
+        for i, j in self.blocks(share):
+            i, j, far = self.near(i, j, share)
+            if len(i):
+                yield self._batch(i, j, np.zeros(len(i), bool), far)
 
     def _batch(self, i: np.ndarray, j: np.ndarray, more: np.ndarray, far: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(self.c["rep"][i]), pa.array(self.c["rep"][j]), pa.array(more),
                                            pa.array(far.astype(np.int32))], ["later", "earlier", "more", "far"])
 
 
-def candidate_pairs(postings: DataFrame, share: int, every: bool = False, most: int = 1) -> DataFrame:
+def candidate_pairs(postings: DataFrame, share: int, every: bool = False, most: int = 1, buckets: int = 64) -> DataFrame:
     """later, earlier, more, far: pairs of sets under a common key that their sketches don't rule out.
 
     Of each later set the closest ones under a key, up to ``most`` (see ``Run.closest``), or every one.  ``more``: it has
     other candidates under that key; ``far``: bits in which the sketches differ.
     """
-    names = postings.columns
+    kinds = {c: np.int32 if kind == "int" else np.int64 for c, kind in postings.dtypes}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] | None = None
+        yield from packed(({c: b[c].to_numpy(zero_copy_only=False) for c in kinds} for b in batches), kinds, buckets)
+        release_memory()
 
-        def out(cols: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-            r = Run(cols)
-            yield from r.every(share) if every else [r.closest(share, most)]
+    return pairs_of(postings.mapInArrow(run, packed_schema(kinds)), kinds, share, every, most)
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            cols = {k: batch[k].to_numpy(zero_copy_only=False) for k in names}
-            if held is not None:
-                cols = {k: np.concatenate([held[k], cols[k]]) for k in names}
-            # the last key may go on in the next batch
-            cut = int(np.searchsorted(cols["key"], cols["key"][-1], "left"))
-            held = {k: v[cut:] for k, v in cols.items()}
-            if cut:
-                yield from out({k: v[:cut] for k, v in cols.items()})
-        if held is not None:
-            yield from out(held)
+
+def pairs_of(packed_rows: DataFrame, kinds: dict[str, type], share: int, every: bool = False, most: int = 1) -> DataFrame:
+    """The pairs of ``candidate_pairs`` from packed postings; a task holds the postings of one bucket at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cols in whole_buckets(batches, kinds):
+            if len(cols["key"]):
+                r = Run(cols)
+                yield from r.every(share) if every else [r.closest(share, most)]
+        release_memory()
+
+    return dealt(packed_rows).mapInArrow(run, "later long, earlier long, more boolean, far int")
+
+
+def under(packed_rows: DataFrame, kinds: dict[str, type], schema: str, keys: DataFrame) -> DataFrame:
+    """The packed postings under one of the keys, and few others, as rows."""
+    filled = packed_rows.sparkSession.sparkContext.broadcast(Bits.of(keys).words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Bits(filled.value)
+        for whole in batches:
+            for a, b in slices(pc.binary_length(whole["key"]).to_pylist(), 8 * PACKED):
+                cols = unpacked(whole.slice(a, b - a), kinds)
+                keep = held.holds(cols["key"])
+                yield pa.RecordBatch.from_arrays([pa.array(v[keep]) for v in cols.values()], list(cols))
+        release_memory()
+
+    return packed_rows.mapInArrow(run, schema)
+
+
+def repeated(keys: DataFrame, buckets: int) -> DataFrame:
+    """key: those that the lists in the one column hold more than once in all."""
+    name, kinds = keys.columns[0], {"key": np.int64}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from packed(({"key": b[name].flatten().to_numpy()} for b in batches), kinds, buckets)
+        release_memory()
+
+    def twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cols in whole_buckets(batches, kinds):
+            key = cols["key"]
+            first = np.append(True, key[1:] != key[:-1]) if len(key) else np.zeros(0, bool)
+            yield pa.RecordBatch.from_arrays([pa.array(key[first])], ["key"])
         release_memory()
 
-    return (postings.repartition("key").sortWithinPartitions(*[k for k in ("key", "rep", "o1", "o2") if k in names])
-            .mapInArrow(run, "later long, earlier long, more boolean, far int"))
+    return dealt(keys.mapInArrow(run, packed_schema(kinds))).mapInArrow(twice, "key long")
 
 
 def untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
@@ -294,9 +406,9 @@ def verify(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
         for batch in batches:
             keep = []
             for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= share * (len(x) + len(y) - both))
+                every = np.sort(np.frombuffer(a + b, np.uint64))    # an element of both comes twice
+                both = int(np.count_nonzero(every[1:] == every[:-1]))
+                keep.append(100 * both >= share * (len(every) - both))
             yield batch.select(["later", "earlier"]).filter(pa.array(keep, pa.bool_()))
         release_memory()
 

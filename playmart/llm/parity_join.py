@@ -42,8 +42,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, mix64, release_memory, slices, text_slices, type_of, word_hashes
-from .near import (Bits, among, candidate_pairs, components, folded, most_difference, screen, set_keys, texts_of, untried,
-                   verify, wide_sketch)
+from .near import (Bits, among, buckets_for, candidate_pairs, components, folded, kinds_of, most_difference, packed,
+                   packed_schema, pairs_of, repeated, screen, set_keys, texts_of, under, untried, verify, wide_sketch)
 
 SPARE = 8
 #: Shingles in which a part of a document may differ; the sketch of a part has 128 bits.
@@ -54,6 +54,7 @@ SLICE_KEYS = 200_000
 #: Earlier candidates of all blocks that a set is compared to first.
 CLOSEST = 3
 POSTING = "key long, rep long, n int, parts int, s0 long, s1 long"
+KINDS = kinds_of(POSTING)
 
 
 def shingle_sets(texts: list[str | None], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -174,13 +175,15 @@ def sketches(docs: DataFrame, k: int, share: int) -> DataFrame:
              "sizes array<long>, parts array<long>, sigs array<long>")
 
 
-def shared_postings(sketched: DataFrame) -> DataFrame:
-    """The postings whose key may be shared: one narrow count of keys, kept as a filter of fixed size."""
-    twice = (sketched.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n"))
-             .filter("n > 1").select("key"))
-    filled = sketched.sparkSession.sparkContext.broadcast(Bits.of(twice).words)
+def shared_postings(sketched: DataFrame, buckets: int = 0) -> DataFrame:
+    """The postings whose key may be shared: one narrow count of keys, kept as a filter of fixed size.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    With ``buckets`` they come packed into so many.
+    """
+    some = sketched.filter("keys IS NOT NULL")
+    filled = sketched.sparkSession.sparkContext.broadcast(Bits.of(repeated(some.select("keys"), buckets or 1)).words)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Bits(filled.value)
         for whole in batches:
             for a, b in slices(whole["keys"].value_lengths().to_pylist(), SLICE_KEYS):
@@ -199,7 +202,11 @@ def shared_postings(sketched: DataFrame) -> DataFrame:
                     ["key", "rep", "n", "parts", "s0", "s1"])
         release_memory()
 
-    return sketched.filter("keys IS NOT NULL").select("rep", "n_shingles", "keys", "sizes", "parts", "sigs").mapInArrow(run, POSTING)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from packed(({c: b[c].to_numpy() for c in KINDS} for b in rows(batches)), KINDS, buckets)
+
+    lists = some.select("rep", "n_shingles", "keys", "sizes", "parts", "sigs")
+    return lists.mapInArrow(run, packed_schema(KINDS)) if buckets else lists.mapInArrow(rows, POSTING)
 
 
 def sets_of(docs: DataFrame, placed: DataFrame, reps: DataFrame, k: int) -> DataFrame:
@@ -236,9 +243,11 @@ def labelled(docs: DataFrame, k: int, share: int) -> DataFrame:
         reps = close.select(F.col("later").alias("rep")).union(close.select("earlier"))
         return materialise(verify(close, sets_of(src, placed, reps, k), share), "links")
 
-    postings = materialise(shared_postings(sketched), "postings")
+    # about as many keys as shingles
+    buckets = buckets_for(sketched.filter("keys IS NOT NULL").agg(F.sum("n_shingles")).first()[0] or 0)
+    postings = materialise(shared_postings(sketched, buckets), "postings")
     # of all blocks' candidates the closest few decide first
-    met = candidate_pairs(postings, share).groupBy("later", "earlier").agg(F.min("far").alias("far"), F.max("more").alias("more"))
+    met = pairs_of(postings, KINDS, share).groupBy("later", "earlier").agg(F.min("far").alias("far"), F.max("more").alias("more"))
     tried = materialise(met.groupBy("later").agg(F.array_sort(F.collect_list(F.struct("far", "earlier"))).alias("found"),
                                                  F.max("more").alias("more"))
                         .select("later", F.explode(F.slice("found", 1, CLOSEST)).alias("pair"),
@@ -251,9 +260,9 @@ def labelled(docs: DataFrame, k: int, share: int) -> DataFrame:
         # all their other candidates that are still in different components, among the postings under their keys
         keys = (among(sketched.filter("keys IS NOT NULL").select("rep", "keys"), "rep", open_sets)
                 .select(F.explode("keys").alias("key")))
-        grouped = (among(postings, "key", keys).join(folded(wide), "rep").join(roots, "rep", "left")
+        grouped = (under(postings, KINDS, POSTING, keys).join(folded(wide), "rep").join(roots, "rep", "left")
                    .withColumn("grp", F.coalesce("root", "rep")).drop("root"))
-        rest = materialise(untried(candidate_pairs(grouped, share, every=True), tried), "pairs")
+        rest = materialise(untried(candidate_pairs(grouped, share, every=True, buckets=buckets), tried), "pairs")
         if not rest.isEmpty():
             links = links.unionByName(linked(rest))
             roots = components(links)
