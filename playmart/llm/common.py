@@ -84,7 +84,7 @@ GAP = re.compile(rb"[\x20\x09-\x0D]")
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BYTE = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C17
-CHUNK = 1 << 18
+CHUNK = 1 << 16
 _powers: list[np.ndarray] = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
 
 
@@ -135,6 +135,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def release_memory() -> None:
     """Give freed memory back to the system: a worker outlives its task, and what runs next needs the room."""
     gc.collect()
+    if not gc.get_freeze_count():       # modules stay, and needn't be gone through after each task
+        gc.freeze()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)

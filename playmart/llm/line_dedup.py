@@ -70,7 +70,7 @@ class Tokens:
     def sets(self, ranks: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct hashes of each line, by rank of their counter (see ``ranks_of``) and hash; their line; where the lines begin."""
         h = self.hashes
-        place = ranks[h % np.uint64(COUNTERS)].astype(np.uint64) if ranks is not None else None
+        place = ranks[h & np.uint64(COUNTERS - 1)].astype(np.uint64) if ranks is not None else None
         # line, rank and the upper bits of the hash in one number, which sorts much faster than the three do
         left = 64 - int(len(self.count)).bit_length()
         upper = h >> np.uint64(64 - left) if place is None else place << np.uint64(left - 20)
@@ -106,7 +106,7 @@ def count_tokens(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             for _, texts in text_slices(batch["text"].cast(pa.binary()), SLICE_CHARS):
                 found, _ = word_hashes(b"\n".join(texts))
-                held.append((found % np.uint64(COUNTERS)).astype(np.int32))
+                held.append((found & np.uint64(COUNTERS - 1)).astype(np.int32))
                 if sum(map(len, held)) > COUNTERS:
                     total += np.bincount(np.concatenate(held), minlength=COUNTERS)
                     held = []
@@ -163,9 +163,11 @@ def lines_of(docs: DataFrame, counters: np.ndarray, share: int) -> DataFrame:
                 first = by[np.unique(rep[by], return_index=True)[1]]
                 fresh[first] = True
                 # smaller sets are similar to equal ones only
-                fresh &= ~np.isin(rep, seen) & (100 * n >= share * (n + 1))
+                if len(seen):
+                    fresh &= seen[np.minimum(np.searchsorted(seen, rep), len(seen) - 1)] != rep
+                fresh &= 100 * n >= share * (n + 1)
                 # another text of the last id may hold a set at an earlier line
-                seen = np.union1d(seen, rep[first[at[first] < rank[b - 1]]])
+                seen = np.sort(np.concatenate([seen, rep[first[at[first] < rank[b - 1]]]]))
                 size = np.where(fresh, prefix_length(n, share), 0)
                 ends = np.cumsum(size)
                 taken = np.repeat(starts - (ends - size), size) + np.arange(int(size.sum()))
@@ -199,10 +201,10 @@ def packed_postings(lines: DataFrame, counters: np.ndarray, buckets: int) -> Dat
         for whole in batches:
             for a, b in slices(whole["prefix"].value_lengths().to_pylist(), PACKED):
                 batch = whole.slice(a, b - a)
-                row, key, n = lists_of(batch)
+                row, key = lists_of(batch)
                 begins = np.append(0, np.cumsum(batch["prefix"].value_lengths().to_numpy()))
-                cols = {"key": key, "n": n, "place": np.arange(len(row)) - begins[row]}
-                cols |= {c: batch[c].to_numpy()[row] for c in ("rep", "s0", "s1", "o1", "o2")}
+                cols = {"key": key, "place": np.arange(len(row)) - begins[row]}
+                cols |= {c: batch[c].to_numpy()[row] for c in ("rep", "n", "s0", "s1", "o1", "o2")}
                 yield split_keys(cols, shared.value) if hot else cols
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,32 +303,35 @@ def sized(key: np.ndarray, step: np.ndarray) -> np.ndarray:
     return mix64(key.view(np.uint64) + mix64(step.astype(np.uint64) + np.uint64(1))).view(np.int64)
 
 
-def lists_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, token and size of the row's set, of every prefix token."""
+def lists_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Row and token of every prefix token."""
     row = np.repeat(np.arange(batch.num_rows), batch["prefix"].value_lengths().to_numpy())
-    return row, batch["prefix"].flatten().to_numpy(), batch["n"].to_numpy()[row]
+    return row, batch["prefix"].flatten().to_numpy()
 
 
 def meeting(lines: DataFrame, counters: np.ndarray, wanted: DataFrame, share: int) -> DataFrame:
     """The postings under a token of a wanted set of about their size; no other token leaves the list of its line."""
     reach = int(np.ceil(np.log(100 / share) / np.log(1.05)))
+    sought = lines.sparkSession.sparkContext.broadcast(Bits.of(wanted).words)
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Bits(sought.value)
         for batch in batches:
-            _, key, n = lists_of(batch)
-            step = size_step(n)
+            batch = batch.filter(pa.array(held.holds(batch["rep"].to_numpy()), pa.bool_()))
+            row, key = lists_of(batch)
+            step = size_step(batch["n"].to_numpy())[row]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([sized(key, step + d) for d in range(-reach, reach + 1)]))], ["key"])
 
     filed = placed(lines)
-    keys = among(filed.select("rep", "n", "prefix"), "rep", wanted).mapInArrow(around, "key long")
+    keys = filed.select("rep", "n", "prefix").mapInArrow(around, "key long")
     filled = lines.sparkSession.sparkContext.broadcast(Bits.of(keys).words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Bits(filled.value)
         for batch in batches:
-            row, key, n = lists_of(batch)
-            at = np.flatnonzero(held.holds(sized(key, size_step(n))))
+            row, key = lists_of(batch)
+            at = np.flatnonzero(held.holds(sized(key, size_step(batch["n"].to_numpy())[row])))
             row = row[at]
             begins = np.append(0, np.cumsum(batch["prefix"].value_lengths().to_numpy()))
             row, place = pa.array(row), (at - begins[row]).astype(np.int32)
@@ -382,8 +387,8 @@ def gone_lines(docs: DataFrame, share: int = SHARE) -> DataFrame:
 
 def report(docs: DataFrame, share: int = SHARE) -> DataFrame:
     """doc_id, n_lines, n_removed, removed_lines (numbers from 0) of every row."""
-    gone = (gone_lines(docs, share).distinct().groupBy("doc_id", "th")
-            .agg(F.sort_array(F.collect_list("line")).alias("removed")))
+    gone = (gone_lines(docs, share).groupBy("doc_id", "th")
+            .agg(F.sort_array(F.collect_set("line")).alias("removed")))
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"),
                        F.when(F.col("text").isNull(), 0).otherwise(
                            F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)
@@ -397,8 +402,7 @@ def report(docs: DataFrame, share: int = SHARE) -> DataFrame:
 
 def remove(docs: DataFrame, share: int = SHARE) -> DataFrame:
     """The documents without their removed lines; one whose every line with a word went is dropped."""
-    gone = (gone_lines(docs, share).distinct().groupBy("doc_id", "th")
-            .agg(F.collect_list("line").alias("removed")))
+    gone = gone_lines(docs, share).groupBy("doc_id", "th").agg(F.collect_set("line").alias("removed"))
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
     g = gone.select(F.col("doc_id").alias("g_id"), F.col("th").alias("g_th"), "removed")
     joined = held.join(g, F.col("doc.doc_id").eqNullSafe(F.col("g_id")) & (F.xxhash64("doc.text") == F.col("g_th")), "left")

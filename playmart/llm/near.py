@@ -160,14 +160,46 @@ def dealt(packed_rows: DataFrame) -> DataFrame:
     return packed_rows.repartition("bucket").sortWithinPartitions("bucket")
 
 
+def sorted_by(of: np.ndarray, first: np.ndarray, rest: list[np.ndarray]) -> np.ndarray:
+    """The order by ascending small numbers ``of``, then ``first``, then the last of ``rest`` and so on, as by lexsort.
+
+    Where the first two fit into one number that is sorted, and only ties are looked at again.
+    """
+    if not len(of):
+        return np.zeros(0, np.int64)
+    least = int(first.min())
+    bits = (int(first.max()) - least).bit_length()
+    if bits + int(of[-1]).bit_length() > 63:
+        return np.lexsort([*rest, first, of])
+    one = of.astype(np.int64) << bits | (first - least)
+    order = np.argsort(one)
+    one = one[order]
+    same = one[1:] == one[:-1]
+    ties = np.flatnonzero(np.append(same, False) | np.append(False, same))
+    if len(ties) and rest:
+        of_ties = order[ties]
+        order[ties] = of_ties[np.lexsort([*[r[of_ties] for r in rest], one[ties]])]
+    return order
+
+
 class Run:
     """Sorted postings of whole keys, without repeated sets."""
 
     def __init__(self, cols: dict[str, np.ndarray]):
-        order = np.lexsort([cols[k] for k in ("rep", "o2", "o1", "key") if k in cols])
-        key, rep = cols["key"][order], cols["rep"][order]
-        by = np.lexsort((rep, key))     # stable: of a set that a key has several times the first comes first
-        again = by[1:][(key[by[1:]] == key[by[:-1]]) & (rep[by[1:]] == rep[by[:-1]])]
+        by = np.argsort(cols["key"])
+        cols = {k: v[by] for k, v in cols.items()}
+        key, rep = cols["key"], cols["rep"]
+        of = np.cumsum(np.append(False, key[1:] != key[:-1])[:len(key)])
+        rest = [cols[k] for k in ("rep", "o2", "o1") if k in cols]
+        order = sorted_by(of, rest[-1], rest[:-1])
+        # the same sets under a key have equal numbers here, and few others have
+        mixed = (mix64(rep.view(np.uint64)) + of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[order]
+        by = np.argsort(mixed)
+        same = mixed[by[1:]] == mixed[by[:-1]]
+        some = np.sort(by[np.append(same, False) | np.append(False, same)]) if len(by) else by
+        at = order[some]
+        by = np.lexsort((rep[at], of[at]))     # stable: of a set that a key has several times the first comes first
+        again = some[by[1:][(of[at[by[1:]]] == of[at[by[:-1]]]) & (rep[at[by[1:]]] == rep[at[by[:-1]]])]]
         order = np.delete(order, again)
         self.c = {k: v[order] for k, v in cols.items()}
         key = self.c["key"]
