@@ -15,7 +15,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -114,32 +113,23 @@ def packed(parts: Iterator[dict[str, np.ndarray]], kinds: dict[str, type], bucke
                 None, pa.py_buffer((ends * cols[c].itemsize).astype(np.int32)), pa.py_buffer(cols[c][order])]) for c in kinds]],
             ["bucket", *kinds])
 
-    held, size = [], 0
+    kept, held, size = {"key": np.int64} | kinds, [], 0
     for part in parts:
         for a in range(0, len(part["key"]), PACKED):
-            held.append({c: part[c][a:a + PACKED].astype(kind, copy=False) for c, kind in kinds.items()})
+            held.append({c: part[c][a:a + PACKED].astype(kind, copy=False) for c, kind in kept.items()})
             size += len(held[-1]["key"])
             if size >= PACKED:
-                yield pack({c: np.concatenate([h[c] for h in held]) for c in kinds})
+                yield pack({c: np.concatenate([h[c] for h in held]) for c in kept})
                 held, size = [], 0
     if size:
-        yield pack({c: np.concatenate([h[c] for h in held]) for c in kinds})
+        yield pack({c: np.concatenate([h[c] for h in held]) for c in kept})
 
 
-def unpacked(batch: pa.RecordBatch, kinds: dict[str, type]) -> dict[str, np.ndarray]:
-    return {c: np.frombuffer(b"".join(batch[c].to_pylist()), kind) for c, kind in kinds.items()}
+def raw_buckets(batches: Iterator[pa.RecordBatch], kinds: dict[str, type]) -> Iterator[dict[str, np.ndarray]]:
+    """The columns of one bucket after another; rows are sorted by bucket."""
 
-
-def whole_buckets(batches: Iterator[pa.RecordBatch], kinds: dict[str, type]) -> Iterator[dict[str, np.ndarray]]:
-    """The postings of one bucket after another, of those under keys that occur more than once; rows are sorted by bucket."""
-
-    def shared(held: list[pa.RecordBatch]) -> dict[str, np.ndarray]:
-        cols = {c: np.frombuffer(b"".join(x for h in held for x in h[c].to_pylist()), kind) for c, kind in kinds.items()}
-        order = np.argsort(cols["key"])
-        key = cols["key"][order]
-        same = key[1:] == key[:-1]
-        order = order[np.append(same, False) | np.append(False, same)]
-        return {c: v[order] for c, v in cols.items()}
+    def whole(held: list[pa.RecordBatch]) -> dict[str, np.ndarray]:
+        return {c: np.frombuffer(b"".join(x for h in held for x in h[c].to_pylist()), kind) for c, kind in kinds.items()}
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -149,11 +139,21 @@ def whole_buckets(batches: Iterator[pa.RecordBatch], kinds: dict[str, type]) ->
         edge = np.flatnonzero(np.diff(bucket)) + 1
         for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(bucket)], strict=True):
             if held and held[-1]["bucket"][0].as_py() != bucket[a]:
-                yield shared(held)
+                yield whole(held)
                 held = []
             held.append(batch.slice(a, b - a))
     if held:
-        yield shared(held)
+        yield whole(held)
+
+
+def whole_buckets(batches: Iterator[pa.RecordBatch], kinds: dict[str, type]) -> Iterator[dict[str, np.ndarray]]:
+    """The postings of one bucket after another, of those under keys that occur more than once."""
+    for cols in raw_buckets(batches, kinds):
+        order = np.argsort(cols["key"])
+        key = cols["key"][order]
+        same = key[1:] == key[:-1]
+        order = order[np.append(same, False) | np.append(False, same)]
+        yield {c: v[order] for c, v in cols.items()}
 
 
 def dealt(packed_rows: DataFrame) -> DataFrame:
@@ -337,35 +337,28 @@ def pairs_of(packed_rows: DataFrame, kinds: dict[str, type], share: int, every:
     return dealt(packed_rows).mapInArrow(run, "later long, earlier long, more boolean, far int")
 
 
-def under(packed_rows: DataFrame, kinds: dict[str, type], schema: str, keys: DataFrame) -> DataFrame:
-    """The packed postings under one of the keys, and few others, as rows."""
-    filled = packed_rows.sparkSession.sparkContext.broadcast(Bits.of(keys).words)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Bits(filled.value)
-        for whole in batches:
-            for a, b in slices(pc.binary_length(whole["key"]).to_pylist(), 8 * PACKED):
-                cols = unpacked(whole.slice(a, b - a), kinds)
-                keep = held.holds(cols["key"])
-                yield pa.RecordBatch.from_arrays([pa.array(v[keep]) for v in cols.values()], list(cols))
-        release_memory()
-
-    return packed_rows.mapInArrow(run, schema)
+def repeated(keys: DataFrame, buckets: int) -> DataFrame:
+    """key: those that the lists in the one column hold more than once in all, and few others.
 
+    Only the bits of a key that a set filter looks at are shuffled, in five bytes, and come back.
+    """
+    name, kinds = keys.columns[0], {"low": np.uint32, "high": np.uint8}
 
-def repeated(keys: DataFrame, buckets: int) -> DataFrame:
-    """key: those that the lists in the one column hold more than once in all."""
-    name, kinds = keys.columns[0], {"key": np.int64}
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+        for batch in batches:
+            for a, b in slices(batch[name].value_lengths().to_pylist(), PACKED):
+                key = batch[name].slice(a, b - a).flatten().to_numpy()
+                yield {"key": key, "low": key.astype(np.uint32), "high": (key >> 32).astype(np.uint8)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from packed(({"key": b[name].flatten().to_numpy()} for b in batches), kinds, buckets)
+        yield from packed(parts(batches), kinds, buckets)
         release_memory()
 
     def twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cols in whole_buckets(batches, kinds):
-            key = cols["key"]
-            first = np.append(True, key[1:] != key[:-1]) if len(key) else np.zeros(0, bool)
-            yield pa.RecordBatch.from_arrays([pa.array(key[first])], ["key"])
+        for cols in raw_buckets(batches, kinds):
+            key = np.sort(cols["high"].astype(np.int64) << 32 | cols["low"])
+            same = np.append(key[1:] == key[:-1], False)
+            yield pa.RecordBatch.from_arrays([pa.array(key[same & ~np.append(False, same[:-1])])], ["key"])
         release_memory()
 
     return dealt(keys.mapInArrow(run, packed_schema(kinds))).mapInArrow(twice, "key long")

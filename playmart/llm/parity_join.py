@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, mix64, release_memory, slices, text_slices, type_of, word_hashes
 from .near import (Bits, among, buckets_for, candidate_pairs, components, folded, kinds_of, most_difference, packed,
-                   packed_schema, pairs_of, repeated, screen, set_keys, texts_of, under, untried, verify, wide_sketch)
+                   packed_schema, pairs_of, repeated, screen, set_keys, texts_of, untried, verify, wide_sketch)
 
 SPARE = 8
 #: Shingles in which a part of a document may differ; the sketch of a part has 128 bits.
@@ -180,8 +180,14 @@ def shared_postings(sketched: DataFrame, buckets: int = 0) -> DataFrame:
 
     With ``buckets`` they come packed into so many.
     """
+    some = sketched.filter("keys IS NOT NULL").select("keys")
+    return postings_under(sketched, repeated(some, buckets or 1), buckets)
+
+
+def postings_under(sketched: DataFrame, keys: DataFrame, buckets: int = 0) -> DataFrame:
+    """The postings under one of the keys, and few others."""
     some = sketched.filter("keys IS NOT NULL")
-    filled = sketched.sparkSession.sparkContext.broadcast(Bits.of(repeated(some.select("keys"), buckets or 1)).words)
+    filled = sketched.sparkSession.sparkContext.broadcast(Bits.of(keys).words)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Bits(filled.value)
@@ -245,7 +251,7 @@ def labelled(docs: DataFrame, k: int, share: int) -> DataFrame:
 
     # about as many keys as shingles
     buckets = buckets_for(sketched.filter("keys IS NOT NULL").agg(F.sum("n_shingles")).first()[0] or 0)
-    postings = materialise(shared_postings(sketched, buckets), "postings")
+    postings = shared_postings(sketched, buckets)
     # of all blocks' candidates the closest few decide first
     met = pairs_of(postings, KINDS, share).groupBy("later", "earlier").agg(F.min("far").alias("far"), F.max("more").alias("more"))
     tried = materialise(met.groupBy("later").agg(F.array_sort(F.collect_list(F.struct("far", "earlier"))).alias("found"),
@@ -260,7 +266,7 @@ def labelled(docs: DataFrame, k: int, share: int) -> DataFrame:
         # all their other candidates that are still in different components, among the postings under their keys
         keys = (among(sketched.filter("keys IS NOT NULL").select("rep", "keys"), "rep", open_sets)
                 .select(F.explode("keys").alias("key")))
-        grouped = (under(postings, KINDS, POSTING, keys).join(folded(wide), "rep").join(roots, "rep", "left")
+        grouped = (postings_under(sketched, keys).join(folded(wide), "rep").join(roots, "rep", "left")
                    .withColumn("grp", F.coalesce("root", "rep")).drop("root"))
         rest = materialise(untried(candidate_pairs(grouped, share, every=True, buckets=buckets), tried), "pairs")
         if not rest.isEmpty():
