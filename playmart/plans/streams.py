@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators import fanout as FO
 from ..operators.dedup import dedup_stream
-from ..session import DEFAULT_CONF, scratch_dir
+from ..session import DEFAULT_CONF, freed_shuffles, scratch_dir
 from ..sinks.loader import Warehouse
 from ..sinks.versions import Files
 from ..sources.topics import landing_path, landing_topic_stream
@@ -71,6 +71,11 @@ class _stateful_width:
             self.spark.conf.unset(STATE_STORE)
 
 
+def replay_files(spark: SparkSession) -> int:
+    """So many files of a topic a batch of the replay reads, however much is retained: two a core."""
+    return 2 * spark.sparkContext.defaultParallelism
+
+
 def event_plays(spark: SparkSession, d: str) -> DataFrame:
     return X.wide_plays_from_events(X.table(spark, d, "events"), X.table(spark, d, "part"))
 
@@ -113,14 +118,14 @@ def _star_run(spark: SparkSession, d: str) -> dict:
             spark, lambda t: landing_topic_stream(spark, landing, t), wh, ck))
         SC.run_to_end([start_pane_refresh([panes, sets, top_songs], f"{ck}/panes")])
 
-    with _stateful_width(spark):
+    with _stateful_width(spark), freed_shuffles(spark):
         stage_and_run(event_topic_records(spark, d), landing, "played_ts", N_SLICES, run,
                       replay=True, order=ARRIVAL, times=event_plays(spark, d))
         resumed = f"{root}/counts_after_resume"
         _counts(wh).write.parquet(resumed)
-        # full replay of everything retained, under new checkpoints
+        # full replay of everything retained, under new checkpoints, batch by batch until all of it is read
         SC.run_to_end(SC.start_star_load(
-            spark, lambda t: landing_topic_stream(spark, landing, t), wh,
+            spark, lambda t: landing_topic_stream(spark, landing, t, max_files_per_trigger=replay_files(spark)), wh,
             f"{root}/checkpoints-replay", prefix="replay"))
     out = {"wh": wh, "root": root, "landing": landing, "resumed": resumed, "panes": panes, "sets": sets,
            "top_songs": top_songs}

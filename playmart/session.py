@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings chosen for the production shape of the jobs.  Shuffle width is left
 # to AQE (coalescing + skew-join split); the broadcast threshold is Spark's own
@@ -130,12 +130,36 @@ def open_files(spark: SparkSession, most: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside go when it ends, not when the driver happens to collect garbage.
+
+    Streaming queries copy the session's settings when they start, so it holds for their batches too.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder beneath the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/playmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_checkpoint(frame: DataFrame) -> None:
+    """Delete the files of a frame that ``checkpoint()`` returned; neither it nor what is made of it is read again."""
+    held = frame._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if held.isDefined():
+        jvm, sc = frame.sparkSession.sparkContext._jvm, frame.sparkSession.sparkContext._jsc
+        path = jvm.org.apache.hadoop.fs.Path(held.get())
+        path.getFileSystem(sc.hadoopConfiguration()).delete(path, True)
+
+
 def to_local_path(path: str) -> str:
     """Strip a ``file:`` scheme (used only by local helpers such as tests)."""
     if path.startswith("file:"):

@@ -48,6 +48,7 @@ from ..functions.scalars import ts_literal
 from ..operators.dedup import dedup_batch
 from ..operators.ids import with_row_index
 from ..schemas import FACT_HISTORY, TableContract
+from ..session import drop_checkpoint
 from .journal import Journal
 from .versions import Files
 
@@ -285,21 +286,24 @@ def _load_fact(batch: DataFrame, wh: Warehouse, batch_id: str, order: Sequence[s
     base = recover(wh)
     # a reliable copy: ids are counted on it and written from it, whatever is lost in between
     new = insert_candidates(batch, FACT_HISTORY, wh, order, rows_in).checkpoint()
-    rows_new, days = new.agg(F.count(F.lit(1)), F.collect_set(F.col("play_date").cast("string"))).first()
-    if not rows_new:
-        return 0, None
-    journal = wh.journal(FACT_HISTORY.name)
-    last = base + rows_new if with_ids else base
-    journal.put(base, {"batch": batch_id, "first": base + 1, "last": last, "days": sorted(days)})
-    out = with_row_index(new, start=base + 1, col="id", checkpoint=False) if with_ids else new
-    # one shuffle by day: few files per day folder; AQE splits a hot day
-    (out.hint("rebalance", "play_date").write.partitionBy("play_date").mode("append")
-     .parquet(wh.path(FACT_HISTORY.name)))
-    if wh.key_buckets:
-        wh.add_keys(new)
-    announce(wh, batch_id, sorted(days))
-    journal.put(last)
-    return rows_new, last if with_ids else None
+    try:
+        rows_new, days = new.agg(F.count(F.lit(1)), F.collect_set(F.col("play_date").cast("string"))).first()
+        if not rows_new:
+            return 0, None
+        journal = wh.journal(FACT_HISTORY.name)
+        last = base + rows_new if with_ids else base
+        journal.put(base, {"batch": batch_id, "first": base + 1, "last": last, "days": sorted(days)})
+        out = with_row_index(new, start=base + 1, col="id", checkpoint=False) if with_ids else new
+        # one shuffle by day: few files per day folder; AQE splits a hot day
+        (out.hint("rebalance", "play_date").write.partitionBy("play_date").mode("append")
+         .parquet(wh.path(FACT_HISTORY.name)))
+        if wh.key_buckets:
+            wh.add_keys(new)
+        announce(wh, batch_id, sorted(days))
+        journal.put(last)
+        return rows_new, last if with_ids else None
+    finally:
+        drop_checkpoint(new)
 
 
 def load_table(batch: DataFrame, contract: TableContract, wh: Warehouse, batch_id: str,

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.decode import classify, parse_values
+from ..operators.decode import CORRUPT, classify, parse_values
 from ..operators.dedup import dedup_stream, dedup_within_watermark
 from ..schemas import TOPIC_TABLE, TOPICS
 from ..session import shuffle_width
@@ -72,7 +72,9 @@ def topic_batch_handler(topic: str, wh: Warehouse, query_name: str, write_reject
         if already_accepted:
             load_table(batch, contract, wh, f"{query_name}-{batch_id}", order)
             return
-        batch = batch.persist()
+        # the copy holds the typed columns, and the text of what goes to the dead letters only
+        batch = (batch.withColumn("value", F.when(F.col("_reject").isNotNull(), F.col("value")))
+                 .drop(CORRUPT).persist())
         try:
             # one read of the source, then the copy
             rows, bad = batch.agg(F.count(F.lit(1)), F.count("_reject")).first()
