@@ -137,7 +137,7 @@ def freed_shuffles(spark: SparkSession) -> Iterator[None]:
     Streaming queries copy the session's settings when they start, so it holds for their batches too.
     """
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key)
+    before = spark.conf.get(key, "false")
     spark.conf.set(key, "true")
     try:
         yield

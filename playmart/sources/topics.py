@@ -1,7 +1,7 @@
 """Topic sources: Kafka, or a landing folder with the same ``topic, key, value`` rows.
 
 The landing folder is what an upstream writer (``sinks.topics.write_landing``)
-lays out: JSON lines partitioned by ``topic``.  A streaming read of one topic
+lays out: compressed JSON lines (plain ones are read too) partitioned by ``topic``.  A streaming read of one topic
 reads ``<root>/topic=<name>``; a replay reads it again as a batch, or as a
 stream under a fresh checkpoint.
 """
